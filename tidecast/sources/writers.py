@@ -88,7 +88,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_model_metadata(df: DataFrame, path: str) -> None:
-    conform(df, MODEL_METADATA).write.mode("overwrite").json(path)
+    """One JSON document per model."""
+    documents = conform(df, MODEL_METADATA).write.mode("overwrite")
+    documents.option("maxRecordsPerFile", 1).json(path)
 
 
 def log_run(df: DataFrame, path: str) -> None:

@@ -233,7 +233,7 @@ def snk_partitioned_by_key(spark, sf):
 
 @query(
     "snk_row_target_partitions",
-    """SELECT count(*) AS n_rows, sum(l_partkey) AS sum_partkey, 1 AS within_target FROM lineitem""",
+    """SELECT count(*) AS n_rows, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey, 1 AS within_target FROM lineitem""",
 )
 def snk_row_target_partitions(spark, sf):
     path = work_path(spark, "sized")
