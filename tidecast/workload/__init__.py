@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_sources", "q_rows", "q_relational", "q_features"]
+MODULES = ["q_sources", "q_rows", "q_relational", "q_features", "q_learning"]
 
 
 def load_all() -> None:
