@@ -69,11 +69,17 @@ def quality_funnel(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     Result: ``(step, rule, rows, retention_pct)`` with step 0 for the input.
     """
-    aggregates = [F.count(F.lit(1)).alias("r0")]
-    passed = F.lit(True)
-    for i, (_, rule) in enumerate(rules, 1):
-        passed = passed & F.coalesce(rule, F.lit(False))
-        aggregates.append(F.count_if(passed).alias(f"r{i}"))
+    # number of rules a row passes before the first one it fails, evaluated once per row
+    passes = F.lit(len(rules))
+    for i, (_, rule) in reversed(list(enumerate(rules))):
+        passes = F.when(F.coalesce(rule, F.lit(False)), passes).otherwise(F.lit(i))
+    per_stop = df.select(passes.alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    counts = per_stop.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("p") >= i, F.col("n"))), F.lit(0)).alias(f"r{i}")
+            for i in range(len(rules) + 1)
+        ]
+    )
     steps = [
         F.struct(
             F.lit(i).alias("step"),
@@ -82,7 +88,6 @@ def quality_funnel(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         )
         for i, name in enumerate(["input", *[name for name, _ in rules]])
     ]
-    counts = df.agg(*aggregates)
     return counts.select("r0", F.explode(F.array(*steps)).alias("s")).select(
         "s.step",
         "s.rule",
@@ -135,16 +140,14 @@ def impute_median(
 ) -> DataFrame:
     """NULL -> median of the column over ``basis`` (default: ``df`` itself).
 
-    The medians come back as a single scalar subquery row, not as a join.
+    The medians - one number per column - are computed here and enter the plan as
+    literals. ``exact=False`` saves one of the two scans at a rank error of n / 10,000.
     """
     basis = df if basis is None else basis
     find = exact_quantiles if exact else approx_quantiles
-    medians = find(basis, columns, [0.5])
-    packed = medians.agg(
-        F.map_from_entries(F.collect_list(F.struct("column", "q0"))).alias("m")
-    ).scalar()
+    medians = {r["column"]: r["q0"] for r in find(basis, columns, [0.5]).collect()}
     return df.withColumns(
-        {c: F.coalesce(F.col(c), F.try_element_at(packed, F.lit(c))) for c in columns}
+        {c: F.coalesce(F.col(c), F.lit(m)) for c, m in medians.items() if m is not None}
     )
 
 

@@ -11,13 +11,6 @@ from pyspark.sql import functions as F
 ACCURACY = 100_000
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-    ]
-    return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("value is not null")
-
-
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """``(column, q0, q1, ...)`` from mergeable sketches in one scan."""
     sketched = df.agg(
@@ -37,45 +30,41 @@ def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact, linearly interpolated quantiles: ``(column, n, q0, q1, ...)``.
 
-    Scan 1 brackets every wanted rank with a mergeable sketch whose rank error is
-    guaranteed. Scan 2 counts rows per value inside the brackets and only one row
-    (count, min, max) for everything between them, so the shuffle and the ranking
-    window see about n / ACCURACY values instead of the column.
+    Scan 1 (run here; two numbers per wanted quantile come back) brackets every rank
+    with a mergeable sketch whose rank error is guaranteed. Scan 2 counts rows per
+    value inside the brackets and only one row (count, min, max) for everything
+    between them, so the shuffle and the ranking window see about n / ACCURACY values
+    instead of the column.
     """
     eps = 2.0 / ACCURACY
     edges = [e for p in probs for e in (max(0.0, p - eps), min(1.0, p + eps))]
     brackets = df.agg(
         *[
-            F.percentile_approx(F.col(c).cast("double"), F.lit(edges), F.lit(ACCURACY)).alias(c)
-            for c in columns
+            F.percentile_approx(F.col(c).cast("double"), F.lit(edges), F.lit(ACCURACY)).alias(f"e{i}")
+            for i, c in enumerate(columns)
         ]
-    ).select(F.struct(*[F.col(c) for c in columns]).alias("b"))
-    bounds = brackets.scalar()
-
-    pairs = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(c).cast("double").alias("value"),
-            bounds.getField(c).alias("edge"),
+    ).first()
+
+    entries = []
+    for i, c in enumerate(columns):
+        value = F.col(c).cast("double")
+        inside, below = F.lit(False), F.lit(None).cast("double")
+        bounds = brackets[i] or []
+        for lo, hi in sorted(set(zip(bounds[::2], bounds[1::2], strict=True))):
+            inside = inside | value.between(lo, hi)
+            below = F.when(value > hi, F.lit(hi)).otherwise(below)
+        entries.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                value.alias("value"),
+                F.when(inside, value).otherwise(below).alias("at"),
+                F.when(inside, F.lit(0)).otherwise(F.lit(1)).alias("gap"),
+            )
         )
-        for c in columns
-    ]
-    values = (
-        df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("value is not null")
-    )
-    inside = F.lit(False)
-    below = F.lit(None).cast("double")
-    for i in range(len(probs)):
-        lo, hi = F.col("edge")[2 * i], F.col("edge")[2 * i + 1]
-        inside = inside | F.col("value").between(lo, hi)
-        below = F.greatest(below, F.when(hi < F.col("value"), hi))
     counted = (
-        values.select(
-            "column",
-            "value",
-            F.when(inside, F.col("value")).otherwise(below).alias("at"),
-            F.when(inside, F.lit(0)).otherwise(F.lit(1)).alias("gap"),
-        )
+        df.select(F.explode(F.array(*entries)).alias("p"))
+        .select("p.*")
+        .where("value is not null")
         .groupBy("column", "at", "gap")
         .agg(
             F.count(F.lit(1)).alias("rows"),

@@ -13,7 +13,7 @@ from tidecast.plans.ingest import clean_trips, value_rules
 from tidecast.plans.weather import weather_by_hour
 from tidecast.sources import writers
 from tidecast.sources.contracts import DATASET
-from tidecast.sources.storage import work_path
+from tidecast.sources.storage import materialise, work_path
 from tidecast.streaming import jobs
 from tidecast.workload import views as v
 from tidecast.workload.oracle_views import CALENDAR, holiday, nearest_hour
@@ -141,7 +141,7 @@ PARITY_SQL = f"""{STORE_CTES},
 
 @query("feat_next_hour", PARITY_SQL.replace("FROM keys k, wx LEFT JOIN", "FROM (SELECT * FROM keys, wx) k LEFT JOIN"))
 def feat_next_hour(spark, sf):
-    rows = feat.next_hour_rows(store(spark, sf), v.zones(spark, sf), None, v.DOWNTOWN, mode="parity")
+    rows = feat.next_hour_rows(materialise(store(spark, sf), "store"), v.zones(spark, sf), None, v.DOWNTOWN, mode="parity")
     return rounded(rows, *WEATHER_COLUMNS)
 
 
@@ -150,13 +150,12 @@ def feat_next_hour(spark, sf):
     f"{STORE_CTES} SELECT * FROM store WHERE hourly_timestamp = (SELECT max(hourly_timestamp) FROM store)",
 )
 def feat_next_hour_aligned(spark, sf):
-    return feat.next_hour_rows(store(spark, sf), v.zones(spark, sf), downtown=v.DOWNTOWN)
+    return feat.next_hour_rows(materialise(store(spark, sf), "store"), v.zones(spark, sf), downtown=v.DOWNTOWN)
 
 
 # -- monitoring ---------------------------------------------------------------
-def _offline(spark, sf):
-    """Offline scores of the persistence model: MAE before and after the monitored days."""
-    e = v.errors(spark, sf)
+def _offline(e):
+    """Offline scores of the persistence model: MAE up to two earlier cut-off days."""
     return e.agg(
         F.round(F.avg(F.when(F.col(HOUR) < ntz("2024-01-20 00:00:00"), F.col("absolute_error"))), 6).alias("offline_cv_mae"),
         F.round(F.avg(F.when(F.col(HOUR) < ntz("2024-01-25 00:00:00"), F.col("absolute_error"))), 6).alias("offline_test_mae"),
@@ -175,7 +174,8 @@ OFFLINE_SQL = """SELECT round(avg(absolute_error) FILTER (hourly_timestamp < TIM
         FROM errors, off GROUP BY ALL""",
 )
 def mon_online_vs_offline(spark, sf):
-    return rounded(analysis.online_vs_offline(v.errors(spark, sf), _offline(spark, sf)), "mae")
+    e = v.stored_errors(spark, sf)
+    return rounded(analysis.online_vs_offline(e, _offline(e)), "mae")
 
 
 @query(
@@ -186,8 +186,9 @@ def mon_online_vs_offline(spark, sf):
                CAST(online_mae > offline_test_mae * 1.2 AS INTEGER) AS is_drifting FROM onl, off""",
 )
 def mon_drift_flag(spark, sf):
-    offline = _offline(spark, sf).select("offline_test_mae").scalar()
-    return rounded(analysis.drift_report(v.errors(spark, sf), offline), "online_mae", "drift_limit")
+    e = v.stored_errors(spark, sf)
+    offline = _offline(e).select("offline_test_mae").scalar()
+    return rounded(analysis.drift_report(e, offline), "online_mae", "drift_limit")
 
 
 @query(
@@ -226,7 +227,7 @@ def mon_zone_demand_map(spark, sf):
         QUALIFY row_number() OVER (PARTITION BY PULocationID ORDER BY hourly_timestamp) <= 168""",
 )
 def mon_actual_vs_pred_series(spark, sf):
-    return analysis.zone_series(v.errors(spark, sf))
+    return analysis.zone_series(v.stored_errors(spark, sf))
 
 
 @query(
@@ -303,9 +304,8 @@ def st_dedup(spark, sf):
 )
 def st_online_error(spark, sf):
     base = work_path(spark, "st-errors")
-    series = v.series(spark, sf)
-    series.withColumnRenamed(COUNT, ACTUAL).write.parquet(f"{base}/actuals")
-    predictions = series.select(HOUR, ZONE, F.lit(1).alias(PREDICTED))
+    v.series(spark, sf).withColumnRenamed(COUNT, ACTUAL).write.parquet(f"{base}/actuals")
+    predictions = spark.read.parquet(f"{base}/actuals").select(HOUR, ZONE, F.lit(1).alias(PREDICTED))
     schema = spark.read.parquet(f"{base}/actuals").schema
     actuals = jobs.read_new_files(spark, f"{base}/actuals", schema)
     errors = jobs.hourly_error_stream(actuals, predictions)
@@ -353,7 +353,7 @@ def pl_features(spark, sf):
 )
 def pl_dataset(spark, sf):
     path = work_path(spark, "dataset")
-    data = v.dataset(spark, sf)
+    data = v.stored_dataset(spark, sf)
     sides = feat.split_by_time(data, ntz("2024-01-22 23:00:00"))
     out = None
     for name, side in zip(("train", "test"), sides, strict=True):
@@ -376,7 +376,7 @@ def pl_dataset(spark, sf):
         FROM errors WHERE PULocationID IN ({TOP10}) GROUP BY PULocationID""",
 )
 def pl_analyse(spark, sf):
-    e = v.errors(spark, sf)
+    e = v.stored_errors(spark, sf)
     top = analysis.busiest_zones(e).withColumnRenamed("absolute_error", "mean_error").drop("zone")
     return rounded(top.join(a.bias(e, [ZONE]), ZONE), "mean_bias")
 
@@ -389,8 +389,8 @@ def pl_analyse(spark, sf):
         FROM hourly, onl, off""",
 )
 def pl_monitor(spark, sf):
-    e = v.errors(spark, sf)
-    offline = _offline(spark, sf).select("offline_test_mae")
+    e = v.stored_errors(spark, sf)
+    offline = _offline(e).select("offline_test_mae")
     flag = analysis.drift_report(e, offline.scalar()).select("is_drifting").scalar()
     return rounded(analysis.online_vs_offline(e, offline), "mae").withColumn("is_drifting", flag)
 

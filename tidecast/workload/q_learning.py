@@ -45,7 +45,7 @@ def _vectors(spark, sf):
     f"SELECT {SIDE_SQL} AS side, count(*) AS n, sum(target) AS target_sum FROM dataset GROUP BY 1",
 )
 def ml_split_time(spark, sf):
-    train, test = _sides(spark, sf)
+    train, test = feat.split_by_time(v.stored_dataset(spark, sf), ntz(CUT))
     both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
     return both.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum(TARGET).alias("target_sum"))
 
@@ -69,7 +69,7 @@ def ml_split_random(spark, sf):
     + "), 3) AS feature_sum FROM dataset GROUP BY PULocationID",
 )
 def ml_assemble(spark, sf):
-    matrix = models.checked_matrix(v.dataset(spark, sf), DATASET_FEATURES)
+    matrix = models.checked_matrix(v.stored_dataset(spark, sf), DATASET_FEATURES)
     row = vector_to_array(models.FEATURES)
     return (
         matrix.select(ZONE, F.size(row).alias("k"), F.aggregate(row, F.lit(0.0), lambda s, x: s + x).alias("s"))
@@ -90,7 +90,7 @@ def ml_persistence(spark, sf):
     f"SELECT {SIDE_SQL} AS side, {METRICS_SQL} FROM errors GROUP BY 1",
 )
 def ml_evaluate(spark, sf):
-    train, test = _sides(spark, sf)
+    train, test = feat.split_by_time(v.stored_dataset(spark, sf), ntz(CUT))
     model = models.PersistenceForecaster().fit(train)
     return rounded(validation.evaluate(model, train, test), *SCORES)
 
@@ -236,7 +236,7 @@ def ml_score(spark, sf):
 )
 def ml_registry(spark, sf):
     root = work_path(spark, "registry")
-    data = v.dataset(spark, sf).select(HOUR, ZONE, lag_name(1), lag_name(24))
+    data = v.stored_dataset(spark, sf).select(HOUR, ZONE, lag_name(1), lag_name(24))
     for version, column in enumerate([lag_name(1), lag_name(24)], 1):
         model = models.pipeline([column], models.PersistenceForecaster(inputCol=column)).fit(data)
         registry.register(spark, root, "persistence", model, f"run-{version}", version)
@@ -337,7 +337,7 @@ def pl_score(spark, sf):
     from tidecast.sources import writers
 
     root = work_path(spark, "score")
-    rows = feat.next_hour_rows(store(spark, sf), v.zones(spark, sf), downtown=v.DOWNTOWN)
+    rows = feat.next_hour_rows(materialise(store(spark, sf), "store"), v.zones(spark, sf), downtown=v.DOWNTOWN)
     forecaster = models.PersistenceForecaster(inputCol="rolling_mean_24h")
     registry.register(spark, root, "demand", models.pipeline(STORE_FEATURES, forecaster).fit(rows), "run", 1)
     model, _ = registry.load_latest(spark, root, "demand")
@@ -351,5 +351,5 @@ def pl_score_trees(spark, sf):
     train, _ = _sides(spark, sf)
     typed = train.select(*[F.col(c).cast("double").alias(c) for c in [*STORE_FEATURES, TARGET]])
     model = models.pipeline(STORE_FEATURES, models.tree(maxDepth=6)).fit(materialise(typed, "trees"))
-    rows = feat.next_hour_rows(store(spark, sf), v.zones(spark, sf), downtown=v.DOWNTOWN)
+    rows = feat.next_hour_rows(materialise(store(spark, sf), "store"), v.zones(spark, sf), downtown=v.DOWNTOWN)
     return training.score_next_hour(rows.withColumn(HOUR, plus_hours(HOUR, 1)), model, STORE_FEATURES)

@@ -21,6 +21,7 @@ from tidecast.operators.quantiles import approx_quantiles, describe, exact_quant
 from tidecast.plans import analysis
 from tidecast.plans.weather import clean_observations, resample_hourly
 from tidecast.sources.readers import union_all
+from tidecast.sources.storage import materialise
 from tidecast.workload import views as v
 from tidecast.workload.oracle_views import nearest_hour
 from tidecast.workload.q_rows import ntz
@@ -129,7 +130,7 @@ def join_asof_backward(spark, sf):
        FROM series, t GROUP BY PULocationID""",
 )
 def join_lag_lookup(spark, sf):
-    s = v.series(spark, sf)
+    s = v.stored_series(spark, sf)
     at = plus_hours(s.agg(F.max(HOUR)).scalar(), 1)
     return j.values_at(s, at, {lag_name(k): (COUNT, k) for k in (1, 2, 24)})
 
@@ -263,7 +264,7 @@ def _describe_sql(view: str, columns: list[str]) -> str:
 
 @query("agg_describe", _describe_sql("dataset", ["ride_count", "lag_1_ride_count", "rolling_mean_24h", "target"]))
 def agg_describe(spark, sf):
-    d = describe(v.dataset(spark, sf), [COUNT, lag_name(1), "rolling_mean_24h", TARGET])
+    d = describe(v.stored_dataset(spark, sf), [COUNT, lag_name(1), "rolling_mean_24h", TARGET])
     return rounded(d, "mean", "std", "p25", "p50", "p75")
 
 
@@ -344,7 +345,7 @@ TOP10 = """SELECT PULocationID FROM errors GROUP BY PULocationID, zone
     + _slices_sql(["hour", "day_of_week", "is_rush_hour", "is_weekend"], "PULocationID,"),
 )
 def agg_error_by_zone_and_dim(spark, sf):
-    return rounded(analysis.zone_slice_report(v.errors(spark, sf)), "mean_error")
+    return rounded(analysis.zone_slice_report(v.stored_errors(spark, sf)), "mean_error")
 
 
 @query(
@@ -363,7 +364,7 @@ def agg_bias(spark, sf):
        FROM errors GROUP BY hourly_timestamp""",
 )
 def agg_hourly_mae(spark, sf):
-    hourly = a.hourly_mae(v.errors(spark, sf))
+    hourly = a.hourly_mae(v.stored_errors(spark, sf))
     overall = hourly.agg(F.round(F.avg("mae"), 6)).scalar()
     return rounded(hourly, "mae").withColumn("mean_of_hours", overall)
 
@@ -409,7 +410,7 @@ def agg_histogram(spark, sf):
        FROM g, b, s GROUP BY point, x""",
 )
 def agg_density(spark, sf):
-    return rounded(a.density(v.errors(spark, sf), "absolute_error"), "x", "density")
+    return rounded(a.density(v.stored_errors(spark, sf), "absolute_error"), "x", "density")
 
 
 @query(
@@ -430,7 +431,7 @@ def agg_cv_summary(spark, sf):
        WHERE hourly_timestamp = (SELECT max(hourly_timestamp) FROM featured)""",
 )
 def agg_latest_mean(spark, sf):
-    m = a.latest_mean(v.featured_series(spark, sf), HOUR, ["temperature", "humidity"])
+    m = a.latest_mean(materialise(v.featured_series(spark, sf), "featured"), HOUR, ["temperature", "humidity"])
     return rounded(m, "temperature", "humidity")
 
 
@@ -456,7 +457,7 @@ def agg_row_count(spark, sf):
 def agg_count_diff(spark, sf):
     from tidecast.plans.features import series_dataset
 
-    full = v.series(spark, sf)
+    full = v.stored_series(spark, sf)
     marked = series_dataset(full, on_missing="zero")
     counted = hourly_counts(v.pickups(spark, sf), "pickup_ts").agg(F.count(F.lit(1))).scalar()
     kept = series_dataset(full).agg(F.count(F.lit(1))).scalar()
@@ -609,7 +610,7 @@ def win_first_n_per_key(spark, sf):
        FROM p, h""",
 )
 def win_fold_ids(spark, sf):
-    s = v.series(spark, sf).drop(COUNT)
+    s = v.stored_series(spark, sf).drop(COUNT)
     by_time = w.assign_folds(s, 5, "chronological").withColumnRenamed("fold", "chronological_fold")
     return w.assign_folds(by_time, 5, "positional").withColumnRenamed("fold", "positional_fold")
 

@@ -13,6 +13,7 @@ from tidecast.names import COUNT, HOUR, TARGET, ZONE, lag_name
 from tidecast.plans.analysis import error_table
 from tidecast.plans.features import featured, hourly_series, series_dataset
 from tidecast.plans.weather import weather_by_hour
+from tidecast.sources.storage import materialise
 
 DOWNTOWN = [2, 7]
 BUSY = [0, 3, 8, 11, 17]
@@ -152,3 +153,17 @@ def small_series(spark, sf) -> DataFrame:
     return series(spark, sf).withColumn("seen", F.when(F.col(COUNT) > 0, F.col(COUNT).cast("double"))).select(
         HOUR, ZONE, "seen"
     )
+
+
+# Stage hand-over: a report that reads its input more than once works on the written
+# stage output instead of repeating the stages from the raw events.
+def stored_series(spark, sf) -> DataFrame:
+    return materialise(series(spark, sf), "series")
+
+
+def stored_dataset(spark, sf) -> DataFrame:
+    return materialise(dataset(spark, sf), "dataset")
+
+
+def stored_errors(spark, sf) -> DataFrame:
+    return materialise(errors(spark, sf), "errors")
