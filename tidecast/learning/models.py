@@ -13,11 +13,11 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidecast.functions.scalars import round_half_even
 from tidecast.names import TARGET, lag_name
 from tidecast.operators.quality import expect
+from tidecast.sources.contracts import MODEL_METADATA, struct
 
 FEATURES = "features"
 SEED = 42
@@ -99,7 +99,7 @@ def pipeline(features: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=[assembler(features), estimator])
 
 
-IMPORTANCE = T.StructType.fromDDL("rank int, feature string, importance double")
+IMPORTANCE = struct("rank int, feature string, importance double")
 
 
 def importance_table(spark, model, features: Sequence[str]) -> DataFrame:
@@ -133,8 +133,6 @@ def metadata_row(
     rows: int,
     target: str = TARGET,
 ) -> DataFrame:
-    from tidecast.sources.contracts import MODEL_METADATA
-
     row = (
         name,
         kind,

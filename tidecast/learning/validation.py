@@ -10,12 +10,12 @@ from pyspark.ml import Estimator
 from pyspark.ml.param import Param
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidecast.names import TARGET
 from tidecast.operators.aggregates import regression_metrics
+from tidecast.sources.contracts import struct
 
-SCORES = T.StructType.fromDDL("fold int, n bigint, mae double")
+SCORES = struct("fold int, n bigint, mae double")
 
 
 def cv_summary(scores: DataFrame, score: str = "mae") -> DataFrame:

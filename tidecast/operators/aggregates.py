@@ -179,12 +179,12 @@ def density(df: DataFrame, column: str, points: int = 100, bins: int = 512) -> D
 
     def kernel(acc, b):
         centre = F.col("lo") + (b["bin"] + 0.5) * width
-        z = (F.col("x") - centre) / F.col("h")
+        z = F.try_divide(F.col("x") - centre, F.col("h"))
         return acc + b["n"] * F.exp(z * z * -0.5)
 
     total = F.aggregate("bins", F.lit(0.0), kernel)
     return grid.select(
-        "point", "x", (total / (F.col("n") * F.col("h") * F.sqrt(2 * F.pi()))).alias("density")
+        "point", "x", F.try_divide(total, F.col("n") * F.col("h") * F.sqrt(2 * F.pi())).alias("density")
     )
 
 
@@ -214,8 +214,8 @@ def population_shift(df: DataFrame, column: str, is_current: Column, bins: int =
         F.struct(F.count_if(~F.col("cur")).alias("b"), F.count_if("cur").alias("c"))
     ).scalar()
     floor_share = F.lit(1e-6)
-    p = F.greatest(F.col("base_n") / totals.getField("b"), floor_share)
-    q = F.greatest(F.col("current_n") / totals.getField("c"), floor_share)
+    p = F.greatest(F.try_divide("base_n", totals.getField("b")), floor_share)
+    q = F.greatest(F.try_divide("current_n", totals.getField("c")), floor_share)
     return per_bin.select("bin", "base_n", "current_n", ((q - p) * F.ln(q / p)).alias("psi"))
 
 

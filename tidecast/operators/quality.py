@@ -92,7 +92,7 @@ def quality_funnel(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         "s.step",
         "s.rule",
         "s.rows",
-        F.round(F.col("s.rows") * 100.0 / F.col("r0"), 4).alias("retention_pct"),
+        F.round(F.try_divide(F.col("s.rows") * 100.0, F.col("r0")), 4).alias("retention_pct"),
     )
 
 
@@ -124,7 +124,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         "c.data_type",
         "n_rows",
         "c.n_null",
-        F.round(F.col("c.n_null") * 100.0 / F.col("n_rows"), 4).alias("null_pct"),
+        F.round(F.try_divide(F.col("c.n_null") * 100.0, F.col("n_rows")), 4).alias("null_pct"),
     )
 
 

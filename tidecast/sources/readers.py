@@ -25,14 +25,16 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
     return spark.read.parquet(path).select(*columns)
 
 
-def read_periods(spark: SparkSession, paths: Sequence[str], missing: str = "error") -> DataFrame:
+def read_periods(
+    spark: SparkSession, paths: Sequence[str], missing: str = "error", schema: T.StructType | None = None
+) -> DataFrame:
     """Union of period tables by column name; absent paths raise or are skipped."""
     if missing not in ("error", "skip"):
         raise ValueError("missing must be 'error' or 'skip'")
     frames = []
     for path in paths:
         try:
-            frames.append(spark.read.parquet(path))
+            frames.append(read_trips(spark, path, schema))
         except AnalysisException as e:
             if missing == "error" or e.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -32,7 +32,7 @@ def src_multi_file_union(spark, sf):
     third = F.least(F.floor((F.day("ts") - 1) / 10), F.lit(2)).cast("int")
     e.withColumn("period", third).write.partitionBy("period").parquet(base)
     paths = [f"{base}/period={i}" for i in range(3)]
-    return readers.read_periods(spark, paths)
+    return readers.read_periods(spark, paths, schema=e.schema)
 
 
 @query("src_pruned_scan", "SELECT o_orderkey, o_orderdate FROM orders")
