@@ -55,6 +55,17 @@ def test_fills(spark):
     assert column(w.fill_chain(empty, {"x": 9.0}), "x") == [9, 9]
 
 
+@pytest.mark.parametrize("block", ["day", "hour", "year"])
+def test_blocked_fills_equal_plain_fills(spark, block):
+    rng = random.Random(8)
+    values = {z: [rng.choice([None, None, None, float(i)]) for i in range(200)] for z in (1, 2)}
+    values[3] = [None] * 30
+    df = series(spark, values, "x", "double")
+    for fill in (w.ffill, w.bfill):
+        plain, split = fill(df, ["x"]), fill(df, ["x"], block=block)
+        assert plain.exceptAll(split).count() == 0 and split.count() == 430
+
+
 def test_interpolation(spark):
     df = series(spark, {1: [None, 1.0, None, None, 4.0, None]}, "x", "double")
     assert column(w.interpolate(df, ["x"]), "x") == [None, 1, 2, 3, 4, 4]

@@ -23,6 +23,14 @@ CLOUD_COVER = {
     "Sky obscured by fog and/or other meteorological phenomena.": 100.0,
 }
 CLOUD_COVER_DEFAULT = 75.0
+CLOUD_FRACTION = {
+    "no clouds": 0.0,
+    "20–30%.": 0.3,
+    "50%.": 0.5,
+    "70 – 80%.": 0.7,
+    "100%.": 1.0,
+    "Sky obscured by fog and/or other meteorological phenomena.": 1.0,
+}
 
 # -- fixed values: trip quality rules ---------------------------------------
 VENDOR_CODES = [1, 2]

@@ -46,6 +46,17 @@ def hour_bucket(ts: Column | str, mode: str = "round") -> Column:
     return plus_hours(midnight(ts), hour + up.cast("int"))
 
 
+def time_block(ts: Column | str, unit: str) -> Column:
+    """Start of the hour, day, month or year of a zone-less timestamp."""
+    if unit == "hour":
+        return hour_bucket(ts, "floor")
+    if unit == "day":
+        return midnight(ts)
+    if unit in ("month", "year"):
+        return F.trunc(F.to_date(_col(ts)), unit).cast("timestamp_ntz")
+    raise ValueError(f"unknown time block: {unit}")
+
+
 def epoch_seconds(ts: Column | str) -> Column:
     """Whole seconds since 1970-01-01 00:00:00 of a zone-less timestamp."""
     ts = _col(ts)

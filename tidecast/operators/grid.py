@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.functions.timeutil import hour_bucket, midnight
+from tidecast.functions.timeutil import hour_bucket, time_block
 from tidecast.names import COUNT, HOUR, ZONE
 
 ONE_HOUR = "interval 1 hour"
@@ -100,22 +100,17 @@ def asof_backward(
     The right row travels as one struct, so NULLs inside it survive. Rows of both
     sides are interleaved per (key, time block) - never a whole key in one task -
     and a second, tiny window over one row per block carries the newest right row
-    of earlier blocks forward. ``block`` is a ``date_trunc`` unit and can be lowered
-    when one key is dense.
+    of earlier blocks forward. ``block`` (hour, day, month, year) can be lowered when
+    one key is dense.
     """
     keys = list(keys)
     packed = F.struct(*[F.col(v) for v in values])
 
-    def time_block(ts):
-        if block == "day":
-            return midnight(ts)
-        return F.date_trunc(block, F.col(ts)).cast("timestamp_ntz")
-
     carried = [c for c in left.columns if c not in keys]
     lefts = left.select(
         *keys,
         F.col(left_ts).alias("__at"),
-        time_block(left_ts).alias("__block"),
+        time_block(left_ts, block).alias("__block"),
         F.lit(1).alias("__side"),
         F.struct(*carried).alias("__left"),
     )
@@ -123,7 +118,7 @@ def asof_backward(
     rights = right.select(
         *keys,
         F.col(right_ts).alias("__at"),
-        time_block(right_ts).alias("__block"),
+        time_block(right_ts, block).alias("__block"),
         F.lit(0).alias("__side"),
         tie.alias("__order"),
         packed.alias("__right"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 # Rank error of the bracketing pass: at most n / ACCURACY per boundary.
@@ -27,7 +27,19 @@ def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def _edges(columns: Sequence[str], probs: Sequence[float]) -> list[Column]:
+    """One aggregate per column: a lower and an upper bound value for every wanted rank."""
+    eps = 2.0 / ACCURACY
+    edges = [e for p in probs for e in (max(0.0, p - eps), min(1.0, p + eps))]
+    return [
+        F.percentile_approx(F.col(c).cast("double"), F.lit(edges), F.lit(ACCURACY)).alias(f"e{i}")
+        for i, c in enumerate(columns)
+    ]
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], brackets: Row | None = None
+) -> DataFrame:
     """Exact, linearly interpolated quantiles: ``(column, n, q0, q1, ...)``.
 
     Scan 1 (run here; two numbers per wanted quantile come back) brackets every rank
@@ -36,20 +48,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     between them, so the shuffle and the ranking window see about n / ACCURACY values
     instead of the column.
     """
-    eps = 2.0 / ACCURACY
-    edges = [e for p in probs for e in (max(0.0, p - eps), min(1.0, p + eps))]
-    brackets = df.agg(
-        *[
-            F.percentile_approx(F.col(c).cast("double"), F.lit(edges), F.lit(ACCURACY)).alias(f"e{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
+    if brackets is None:
+        brackets = df.agg(*_edges(columns, probs)).first()
 
     entries = []
     for i, c in enumerate(columns):
         value = F.col(c).cast("double")
         inside, below = F.lit(False), F.lit(None).cast("double")
-        bounds = brackets[i] or []
+        bounds = brackets[f"e{i}"] or []
         for lo, hi in sorted(set(zip(bounds[::2], bounds[1::2], strict=True))):
             inside = inside | value.between(lo, hi)
             below = F.when(value > hi, F.lit(hi)).otherwise(below)
@@ -112,24 +118,28 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max of each column, one row per column."""
-    stats = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.max(F.col(c).cast("double")).alias("max"),
-            ).alias(f"s{i}")
-            for i, c in enumerate(columns)
-        ]
+    """count, mean, sample std, min, quartiles and max of each column, one row per column.
+
+    Two scans: the moments share the first one with the quantile brackets.
+    """
+    probs = [0.25, 0.5, 0.75]
+    moments = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(c).alias("count"),
+            F.avg(c).alias("mean"),
+            F.stddev_samp(c).alias("std"),
+            F.min(F.col(c).cast("double")).alias("min"),
+            F.max(F.col(c).cast("double")).alias("max"),
+        ).alias(f"s{i}")
+        for i, c in enumerate(columns)
+    ]
+    first = df.agg(*moments, *_edges(columns, probs)).first()
+    stats = df.sparkSession.createDataFrame(
+        [tuple(first[f"s{i}"]) for i in range(len(columns))],
+        "column string, count bigint, mean double, std double, min double, max double",
     )
-    stats = stats.select(
-        F.explode(F.array(*[F.col(f"s{i}") for i in range(len(columns))])).alias("s")
-    ).select("s.*")
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
+    quartiles = exact_quantiles(df, columns, probs, first).select(
         "column", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75")
     )
     return stats.join(quartiles, "column", "left")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.functions.timeutil import time_block
 from tidecast.names import COUNT, HOUR, ZONE, lag_name, rolling_name
 
 
@@ -63,14 +64,43 @@ def add_target(df: DataFrame, column=COUNT, keys=ZONE, ts=HOUR, name="target") -
     return df.withColumn(name, lead_column(column, 1, series_window(keys, ts)))
 
 
-def ffill(df: DataFrame, columns: Sequence[str], keys=ZONE, ts=HOUR) -> DataFrame:
-    w = series_window(keys, ts).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+def _fill(df: DataFrame, columns: Sequence[str], keys, ts: str, forward: bool, block: str | None):
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    pick = F.last if forward else F.first
+    frame = (Window.unboundedPreceding, 0) if forward else (0, Window.unboundedFollowing)
+    if block is None:
+        w = series_window(keys, ts).rowsBetween(*frame)
+        return df.withColumns({c: pick(c, ignorenulls=True).over(w) for c in columns})
+
+    # (key, time block) groups only; one value per block and column crosses block borders
+    blocked = df.withColumn("__block", time_block(ts, block))
+    inside = Window.partitionBy(*keys, "__block").orderBy(ts).rowsBetween(*frame)
+    edge = F.max_by if forward else F.min_by
+    ends = blocked.groupBy(*keys, "__block").agg(
+        *[edge(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in columns]
+    )
+    beyond = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
+    across = Window.partitionBy(*keys).orderBy("__block").rowsBetween(*beyond)
+    carry = ends.select(
+        *keys, "__block", *[pick(c, ignorenulls=True).over(across).alias(f"__carry_{c}") for c in columns]
+    )
+    return (
+        blocked.withColumns({c: pick(c, ignorenulls=True).over(inside) for c in columns})
+        .join(carry, [*keys, "__block"])
+        .withColumns({c: F.coalesce(c, f"__carry_{c}") for c in columns})
+        .drop("__block", *[f"__carry_{c}" for c in columns])
+    )
+
+
+def ffill(df: DataFrame, columns: Sequence[str], keys=ZONE, ts=HOUR, block: str | None = None) -> DataFrame:
+    """Last known value per key. ``block`` (hour, day, month, year) splits long or hot keys
+    by time; it needs distinct, non-NULL keys and timestamps."""
+    return _fill(df, columns, keys, ts, True, block)
 
 
-def bfill(df: DataFrame, columns: Sequence[str], keys=ZONE, ts=HOUR) -> DataFrame:
-    w = series_window(keys, ts).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns({c: F.first(c, ignorenulls=True).over(w) for c in columns})
+def bfill(df: DataFrame, columns: Sequence[str], keys=ZONE, ts=HOUR, block: str | None = None) -> DataFrame:
+    """Next known value per key; ``block`` as in :func:`ffill`."""
+    return _fill(df, columns, keys, ts, False, block)
 
 
 def fill_chain(df: DataFrame, defaults: dict, keys=ZONE, ts=HOUR) -> DataFrame:

@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.functions.timeutil import date_parts, is_us_holiday, week_day, weekend_flag
+from tidecast.functions.fixed_values import CLOUD_FRACTION, PRECIPITATION_WORDS
+from tidecast.functions.scalars import clean_numeric, recode
+from tidecast.functions.timeutil import date_parts, hour_bucket, is_us_holiday, week_day, weekend_flag
+from tidecast.names import HOUR, WEATHER_COLUMNS
 from tidecast.operators.aggregates import mean_and_count
 from tidecast.operators.joins import lookup
+from tidecast.operators.windows import bfill, interpolate
 
 CATEGORIES = [
     "transaction_date",
@@ -44,3 +48,34 @@ def enrich(groups: DataFrame, zones: DataFrame, zone: str, zone_key: str = "Loca
         }
     )
     return lookup(dated, zones, zone, zone_key, {"Borough": "Borough"})
+
+
+def interpolated_weather(obs: DataFrame, ts: str, order: Sequence[str]) -> DataFrame:
+    """Newest observation per hour with gaps interpolated, the head filled backward.
+
+    Cloud cover is a fraction here and unknown words are gaps. The windows run over
+    one row per observed hour.
+    """
+    cleaned = obs.withColumns(
+        {
+            "cloud_cover_numeric": recode("cloud_cover", CLOUD_FRACTION),
+            "amount_of_precipitation": clean_numeric("amount_of_precipitation", PRECIPITATION_WORDS, None),
+        }
+    )
+    hourly = (
+        cleaned.groupBy(hour_bucket(ts, "floor").alias(HOUR))
+        .agg(F.max_by(F.struct(*WEATHER_COLUMNS), F.struct(*order)).alias("r"))
+        .select(HOUR, "r.*")
+    )
+    return bfill(interpolate(hourly, WEATHER_COLUMNS, keys=[]), WEATHER_COLUMNS, keys=[])
+
+
+def add_weather_by_parts(groups: DataFrame, hourly: DataFrame) -> DataFrame:
+    """Weather joined on (month, day, hour); the year of the trips does not matter."""
+    keyed = hourly.select(
+        F.month(HOUR).alias("transaction_month"),
+        F.day(HOUR).alias("transaction_day"),
+        F.hour(HOUR).alias("transaction_hour"),
+        *WEATHER_COLUMNS,
+    )
+    return groups.join(keyed, ["transaction_month", "transaction_day", "transaction_hour"], "left")

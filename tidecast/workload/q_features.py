@@ -395,18 +395,45 @@ def pl_monitor(spark, sf):
     return rounded(analysis.online_vs_offline(e, offline), "mae").withColumn("is_drifting", flag)
 
 
-@query(
-    "pl_fare_features",
-    f"""WITH g AS (SELECT pu_zone, CAST(pickup_ts AS DATE) AS transaction_date, CAST(month(pickup_ts) AS INTEGER) AS transaction_month,
-              CAST(day(pickup_ts) AS INTEGER) AS transaction_day, CAST(hour(pickup_ts) AS INTEGER) AS transaction_hour,
-              round(avg(trip_distance), 6) AS trip_distance, round(avg(total_amount), 6) AS total_amount,
-              count(total_amount) AS count_of_transactions
-       FROM trips WHERE total_amount >= 0 AND total_amount < 200 GROUP BY ALL)
-       SELECT g.*, CAST(isodow(transaction_date) - 1 AS INTEGER) AS transaction_week_day,
-              CAST(isodow(transaction_date) > 5 AS INTEGER) AS weekend,
-              CAST({holiday('transaction_date')} AS INTEGER) AS is_holiday, Borough AS "Borough"
-       FROM g LEFT JOIN zones ON pu_zone = LocationID""",
-)
+def _interpolate_sql(column: str) -> str:
+    frame = "OVER (ORDER BY rn ROWS BETWEEN"
+    before = f"max(CASE WHEN {column} IS NOT NULL THEN rn END) {frame} UNBOUNDED PRECEDING AND CURRENT ROW)"
+    after = f"min(CASE WHEN {column} IS NOT NULL THEN rn END) {frame} CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    return f"""edges_{column} AS (SELECT rn, {column} AS v, {before} AS pr, {after} AS nr FROM numbered),
+      fill_{column} AS (SELECT e.rn, CASE WHEN e.v IS NOT NULL THEN e.v WHEN e.nr IS NULL THEN p.{column}
+          WHEN e.pr IS NULL THEN q.{column}
+          ELSE p.{column} + (q.{column} - p.{column}) * (e.rn - e.pr) / (e.nr - e.pr) END AS {column}
+        FROM edges_{column} e LEFT JOIN numbered p ON p.rn = e.pr LEFT JOIN numbered q ON q.rn = e.nr)"""
+
+
+FARE_WEATHER = ["temperature", "humidity", "wind_speed", "cloud_cover_numeric", "amount_of_precipitation"]
+FARE_SQL = f"""WITH parsed AS (
+    SELECT date_trunc('hour', observed_at)::TIMESTAMP AS h, temperature, humidity, wind_speed,
+           CASE cloud_cover WHEN 'no clouds' THEN 0.0::DOUBLE WHEN '20–30%.' THEN 0.3 WHEN '50%.' THEN 0.5
+                WHEN '70 – 80%.' THEN 0.7 WHEN '100%.' THEN 1 END AS cloud_cover_numeric,
+           CASE WHEN amount_of_precipitation = 'Trace of precipitation' THEN 0.1::DOUBLE
+                ELSE TRY_CAST(amount_of_precipitation AS DOUBLE) END AS amount_of_precipitation
+    FROM obs QUALIFY row_number() OVER (PARTITION BY h ORDER BY observed_at DESC, event_id DESC) = 1),
+  numbered AS (SELECT *, row_number() OVER (ORDER BY h) AS rn FROM parsed),
+  {", ".join(_interpolate_sql(c) for c in FARE_WEATHER)},
+  wx AS (SELECT month(h) AS m, day(h) AS d, hour(h) AS hh, {", ".join(f"fill_{c}.{c}" for c in FARE_WEATHER)}
+         FROM numbered {" ".join(f"JOIN fill_{c} USING (rn)" for c in FARE_WEATHER)}),
+  g AS (SELECT pu_zone, CAST(pickup_ts AS DATE) AS transaction_date, CAST(month(pickup_ts) AS INTEGER) AS transaction_month,
+               CAST(day(pickup_ts) AS INTEGER) AS transaction_day, CAST(hour(pickup_ts) AS INTEGER) AS transaction_hour,
+               round(avg(trip_distance), 6) AS trip_distance, round(avg(total_amount), 6) AS total_amount,
+               count(total_amount) AS count_of_transactions
+        FROM trips WHERE total_amount >= 0 AND total_amount < 200 GROUP BY ALL)
+  SELECT g.*, CAST(isodow(transaction_date) - 1 AS INTEGER) AS transaction_week_day,
+         CAST(isodow(transaction_date) > 5 AS INTEGER) AS weekend,
+         CAST({holiday('transaction_date')} AS INTEGER) AS is_holiday, Borough AS "Borough",
+         {", ".join(f"round({c}, 6) AS {c}" for c in FARE_WEATHER)}
+  FROM g LEFT JOIN zones ON pu_zone = LocationID
+  LEFT JOIN wx ON transaction_month = m AND transaction_day = d AND transaction_hour = hh"""
+
+
+@query("pl_fare_features", FARE_SQL)
 def pl_fare_features(spark, sf):
     g = fares.fare_groups(v.trips(spark, sf), "pickup_ts", "pu_zone", "total_amount", ["trip_distance", "total_amount"])
-    return fares.enrich(rounded(g, "trip_distance", "total_amount"), v.zones(spark, sf), "pu_zone")
+    enriched = fares.enrich(rounded(g, "trip_distance", "total_amount"), v.zones(spark, sf), "pu_zone")
+    hourly = fares.interpolated_weather(v.observations(spark, sf), "observed_at", ["observed_at", "event_id"])
+    return rounded(fares.add_weather_by_parts(enriched, hourly), *FARE_WEATHER)

@@ -517,7 +517,7 @@ def win_rolling_incl(spark, sf):
               ORDER BY hourly_timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen FROM seen_series""",
 )
 def win_ffill(spark, sf):
-    return w.ffill(v.small_series(spark, sf), ["seen"])
+    return w.ffill(v.stored_seen(spark, sf), ["seen"], block="month")
 
 
 @query(
@@ -526,7 +526,7 @@ def win_ffill(spark, sf):
               ORDER BY hourly_timestamp ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS seen FROM seen_series""",
 )
 def win_bfill(spark, sf):
-    return w.bfill(v.small_series(spark, sf), ["seen"])
+    return w.bfill(v.stored_seen(spark, sf), ["seen"], block="month")
 
 
 @query(

@@ -178,6 +178,10 @@ def stored_series(spark, sf) -> DataFrame:
     return materialise(series(spark, sf), "series")
 
 
+def stored_seen(spark, sf) -> DataFrame:
+    return materialise(small_series(spark, sf), "seen")
+
+
 def stored_dataset(spark, sf) -> DataFrame:
     return materialise(dataset(spark, sf), "dataset")
 
