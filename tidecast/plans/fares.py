@@ -14,6 +14,7 @@ from tidecast.names import HOUR, WEATHER_COLUMNS
 from tidecast.operators.aggregates import mean_and_count
 from tidecast.operators.joins import lookup
 from tidecast.operators.windows import bfill, interpolate
+from tidecast.plans.weather import OBSERVED
 
 CATEGORIES = [
     "transaction_date",
@@ -56,17 +57,19 @@ def interpolated_weather(obs: DataFrame, ts: str, order: Sequence[str]) -> DataF
     Cloud cover is a fraction here and unknown words are gaps. The windows run over
     one row per observed hour.
     """
-    cleaned = obs.withColumns(
-        {
-            "cloud_cover_numeric": recode("cloud_cover", CLOUD_FRACTION),
-            "amount_of_precipitation": clean_numeric("amount_of_precipitation", PRECIPITATION_WORDS, None),
-        }
-    )
-    hourly = (
-        cleaned.groupBy(hour_bucket(ts, "floor").alias(HOUR))
-        .agg(F.max_by(F.struct(*WEATHER_COLUMNS), F.struct(*order)).alias("r"))
+    newest = (
+        obs.groupBy(hour_bucket(ts, "floor").alias(HOUR))
+        .agg(F.max_by(F.struct(*OBSERVED), F.struct(*order)).alias("r"))
         .select(HOUR, "r.*")
     )
+    hourly = newest.select(
+        HOUR,
+        "temperature",
+        "humidity",
+        "wind_speed",
+        recode("cloud_cover", CLOUD_FRACTION).alias("cloud_cover_numeric"),
+        clean_numeric("amount_of_precipitation", PRECIPITATION_WORDS, None).alias("amount_of_precipitation"),
+    )
     return bfill(interpolate(hourly, WEATHER_COLUMNS, keys=[]), WEATHER_COLUMNS, keys=[])
 
 

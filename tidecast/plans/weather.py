@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tidecast.functions.fixed_values import CLOUD_COVER, CLOUD_COVER_DEFAULT, PRECIPITATION_WORDS
 from tidecast.functions.scalars import clean_numeric, recode
 from tidecast.functions.timeutil import hour_bucket
-from tidecast.names import HOUR, WEATHER_COLUMNS
+from tidecast.names import HOUR
 from tidecast.operators.grid import hour_spine
 
+OBSERVED = ["temperature", "humidity", "wind_speed", "cloud_cover", "amount_of_precipitation"]
 FILLED = ["temperature", "humidity", "wind_speed", "cloud_cover_numeric"]
 
 
@@ -54,13 +55,18 @@ def resample_hourly(obs: DataFrame, ts: str, columns: list[str], order: list[str
 def weather_by_hour(
     obs: DataFrame, ts: str, order: list[str], zero_head: bool = False, **cleaning
 ) -> DataFrame:
-    """Clean -> resample -> column-wise forward fill; precipitation gaps are 0.
+    """Resample -> clean -> column-wise forward fill; precipitation gaps are 0.
 
-    Weather depends on the hour only, so filling here equals filling after the join
-    to the zones. ``zero_head`` also closes leading gaps with 0.
+    Text is cleaned after the reduction to one row per hour: cleaning is row-wise, so
+    the result is the same and only hours are parsed, not observations. Weather
+    depends on the hour only, so filling here equals filling after the join to the
+    zones. ``zero_head`` also closes leading gaps with 0.
     """
-    hourly = resample_hourly(clean_observations(obs, **cleaning), ts, WEATHER_COLUMNS, order)
+    hourly = clean_observations(resample_hourly(obs, ts, OBSERVED, order), **cleaning)
     carried = Window.orderBy(HOUR).rowsBetween(Window.unboundedPreceding, 0)
-    filled = hourly.withColumns({c: F.last(c, ignorenulls=True).over(carried) for c in FILLED})
-    filled = filled.na.fill({"amount_of_precipitation": 0.0})
+    filled = hourly.select(
+        HOUR,
+        *[F.last(c, ignorenulls=True).over(carried).alias(c) for c in FILLED],
+        F.coalesce("amount_of_precipitation", F.lit(0.0)).alias("amount_of_precipitation"),
+    )
     return filled.na.fill({c: 0.0 for c in FILLED}) if zero_head else filled

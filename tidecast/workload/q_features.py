@@ -248,9 +248,12 @@ def mon_feature_shift(spark, sf):
 
 # -- streaming ----------------------------------------------------------------
 def _event_stream(spark, sf):
-    """The events table as a stream of newly arriving files."""
+    """The events table as a stream of newly arriving files.
+
+    The pattern lets the table be one file as well as a folder of files.
+    """
     schema = v.table(spark, sf, "events").schema
-    return jobs.read_new_files(spark, sf, schema, glob="events.parquet")
+    return jobs.read_new_files(spark, f"{sf}/events.parque[t]", schema)
 
 
 def _pickup_stream(spark, sf):

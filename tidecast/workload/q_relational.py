@@ -547,10 +547,12 @@ def win_ffill_hour_dim(spark, sf):
 
 @query("win_resample_hourly", "SELECT * FROM weather_raw")
 def win_resample_hourly(spark, sf):
-    from tidecast.names import WEATHER_COLUMNS
+    from tidecast.plans.weather import OBSERVED
 
-    obs = clean_observations(v.observations(spark, sf))
-    return resample_hourly(obs, "observed_at", WEATHER_COLUMNS, ["observed_at", "event_id"])
+    obs = v.observations(spark, sf)
+    return clean_observations(resample_hourly(obs, "observed_at", OBSERVED, ["observed_at", "event_id"])).drop(
+        "cloud_cover"
+    )
 
 
 @query(
