@@ -11,7 +11,7 @@ from tidecast.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, name="tests")
+    session = local_session(8, shuffle_partitions=4, name="tests")
     yield session
     session.stop()
 

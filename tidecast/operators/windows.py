@@ -88,7 +88,7 @@ def _fill(df: DataFrame, columns: Sequence[str], keys, ts: str, forward: bool, b
         blocked.withColumns({c: pick(c, ignorenulls=True).over(inside) for c in columns})
         .join(carry, [*keys, "__block"])
         .withColumns({c: F.coalesce(c, f"__carry_{c}") for c in columns})
-        .drop("__block", *[f"__carry_{c}" for c in columns])
+        .select(*df.columns)
     )
 
 
