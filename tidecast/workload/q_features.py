@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidecast.names import ACTUAL, COUNT, HOUR, PREDICTED, TARGET, WEATHER_COLUMNS, ZONE, lag_name
+from tidecast.names import ACTUAL, COUNT, HOUR, PREDICTED, TARGET, WEATHER_COLUMNS, ZONE
 from tidecast.operators import aggregates as a
-from tidecast.operators.grid import hour_span, hourly_counts
+from tidecast.operators.grid import hourly_counts
 from tidecast.plans import analysis, fares
 from tidecast.plans import features as feat
-from tidecast.plans.ingest import clean_trips, value_rules
+from tidecast.plans.ingest import clean_trips
 from tidecast.plans.weather import weather_by_hour
 from tidecast.sources import writers
 from tidecast.sources.contracts import DATASET

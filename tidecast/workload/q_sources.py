@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidecast.functions.scalars import json_number, weather_from_json
+from tidecast.functions.scalars import weather_from_json
 from tidecast.names import COUNT, HOUR, ZONE
 from tidecast.operators.grid import hour_span, hourly_counts, zone_hours
 from tidecast.sources import readers, writers
