@@ -1,5 +1,7 @@
 """Every query against its SQL counterpart on the smallest tables."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 import __spark_entry__ as entry
@@ -22,15 +24,31 @@ def duck():
     con.close()
 
 
+@pytest.fixture(scope="module")
+def results(spark, request):
+    """Results of the selected queries, a few queries at a time in the one session."""
+    wanted = [
+        item.callspec.params["name"]
+        for item in request.session.items
+        if item.module is request.module and hasattr(item, "callspec")
+    ]
+    queries = entry.queries()
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        futures = {name: pool.submit(lambda n: queries[n](spark, SF).toPandas(), name) for name in wanted}
+        yield futures
+        for future in futures.values():
+            future.cancel()
+
+
 @pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
-def test_query_equals_oracle(spark, duck, name):
-    got = entry.queries()[name](spark, SF).toPandas()
+def test_query_equals_oracle(results, duck, name):
+    got = results[name].result()
     assert differences(got, duck.execute(ORACLES[name]).df()) == ""
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLES) - SLOW))
-def test_query_without_oracle_has_rows(spark, name):
-    assert entry.queries()[name](spark, SF).count() > 0
+def test_query_without_oracle_has_rows(results, name):
+    assert len(results[name].result()) > 0
 
 
 def test_entry(spark):
