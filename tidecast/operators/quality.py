@@ -34,22 +34,26 @@ def lookback(col: Column | str, now: Column, hours: int) -> Column:
     return between_ts(col, now - F.make_dt_interval(F.lit(0), F.lit(hours)), now, closed="both")
 
 
-def either_in(df: DataFrame, columns: Sequence[str], keys: DataFrame, key: str) -> DataFrame:
-    """Rows where at least one of ``columns`` holds a key of the dimension ``keys``.
+def mark_either_in(
+    df: DataFrame, columns: Sequence[str], keys: DataFrame, key: str, name: str
+) -> DataFrame:
+    """Boolean column ``name``: some of ``columns`` holds a key of the dimension ``keys``.
 
     One marker join per column keeps the dimension free to grow: Spark broadcasts
     it while it is under its own size limit and falls back to a shuffle join
     beyond it.
     """
-    marks = []
-    out = df
+    out, marks = df, []
     for i, column in enumerate(columns):
-        mark = f"__in_{i}"
-        allowed = keys.select(F.col(key).alias(f"__key_{i}")).distinct().withColumn(mark, F.lit(True))
-        out = out.join(allowed, F.col(column) == F.col(f"__key_{i}"), "left").drop(f"__key_{i}")
-        marks.append(mark)
-    keep = reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in marks])
-    return out.where(keep).drop(*marks)
+        side = keys.select(F.col(key).alias(f"__key_{i}")).distinct().withColumn(f"__in_{i}", F.lit(True))
+        out = out.join(side, F.col(column) == F.col(f"__key_{i}"), "left").drop(f"__key_{i}")
+        marks.append(f"__in_{i}")
+    return out.withColumn(name, F.coalesce(*marks, F.lit(False))).drop(*marks)
+
+
+def either_in(df: DataFrame, columns: Sequence[str], keys: DataFrame, key: str) -> DataFrame:
+    """Rows where at least one of ``columns`` holds a key of the dimension."""
+    return mark_either_in(df, columns, keys, key, "__either").where("__either").drop("__either")
 
 
 def normalise_nan(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from tidecast.operators.quality import (
     apply_rules,
     between_ts,
     impute_median,
+    mark_either_in,
     normalise_nan,
     quality_funnel,
 )
@@ -73,22 +74,9 @@ def value_rules(c: Mapping[str, str]) -> list[tuple[str, Column]]:
     ]
 
 
-def mark_zones(trips: DataFrame, zones: DataFrame, zone_key: str, columns: Sequence[str]) -> DataFrame:
-    """``__zone_ok``: some of the columns is a key of ``zones`` (one marker join per column)."""
-    out, marks = trips, []
-    for i, column in enumerate(columns):
-        side = (
-            zones.select(F.col(zone_key).alias(f"__k{i}")).distinct().withColumn(f"__m{i}", F.lit(True))
-        )
-        out = out.join(side, F.col(column) == F.col(f"__k{i}"), "left").drop(f"__k{i}")
-        marks.append(F.col(f"__m{i}"))
-    return out.withColumn("__zone_ok", F.coalesce(*marks, F.lit(False))).drop(
-        *[f"__m{i}" for i in range(len(columns))]
-    )
-
-
 def _prepare(trips, zones, zone_key, c, start, end, closed, exact):
-    marked = mark_zones(normalise_nan(trips), zones, zone_key, [c["pickup_zone"], c["dropoff_zone"]])
+    either = [c["pickup_zone"], c["dropoff_zone"]]
+    marked = mark_either_in(normalise_nan(trips), either, zones, zone_key, "__zone_ok")
     basis = apply_rules(marked, row_rules(c, start, end, closed))
     imputed = [c[role] for role in IMPUTED]
 
