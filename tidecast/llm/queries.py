@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import exact_dedup, html_text, pii
+from tidecast.llm import exact_dedup, html_text, language, packing, pii, simhash
 from tidecast.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,18 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_sequences(documents(spark, sf_dir))
+
+
+@query("op9_language")
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
