@@ -8,7 +8,10 @@ bundle, the prototype, has the largest cosine with its own.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,6 +108,18 @@ def prototypes(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     return names, np.array(rows).reshape(len(names), DIMENSIONS)
 
 
+def best_language(profiles: Profiles, names: list[str], vectors: np.ndarray, text: str | None) -> tuple[str, float]:
+    """Name and cosine of the nearest prototype; ``und`` and -1 for a text without letters."""
+    grams, counts = np.unique(profiles.trigrams(text), return_counts=True)
+    vector = profiles.bundle(grams, counts)
+    size = np.linalg.norm(vector)
+    if len(grams) == 0 or not names or size == 0:
+        return UNDETERMINED, -1.0
+    cosines = vectors @ vector / size
+    best = int(cosines.argmax())
+    return names[best], float(min(1.0, cosines[best]))
+
+
 def predictions(docs: DataFrame, names: list[str], vectors: np.ndarray) -> DataFrame:
     """``docs`` (``doc_id``, ``held_out``, ``text``) with ``lang_pred`` and ``score``, the cosine from 0 to 1."""
 
@@ -112,19 +127,8 @@ def predictions(docs: DataFrame, names: list[str], vectors: np.ndarray) -> DataF
         profiles = Profiles()
 
         def predict(ids, held, texts):
-            langs, scores = [], []
-            for text in texts:
-                grams, counts = np.unique(profiles.trigrams(text), return_counts=True)
-                vector = profiles.bundle(grams, counts)
-                size = np.linalg.norm(vector)
-                if len(grams) == 0 or not names or size == 0:
-                    langs.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                cosines = vectors @ vector / size
-                best = int(cosines.argmax())
-                langs.append(names[best])
-                scores.append(float(min(1.0, max(0.0, cosines[best]))))
+            found = [best_language(profiles, names, vectors, text) for text in texts]
+            langs, scores = [lang for lang, _ in found], [max(0.0, cosine) for _, cosine in found]
             return {"doc_id": ids, "held_out": held, "lang_pred": langs, "score": scores}
 
         return predict
@@ -148,3 +152,20 @@ def identify(docs: DataFrame, parts: int = HOLD_OUT_PARTS) -> DataFrame:
     )
     names, vectors = prototypes(source.where(remainder != 1).select("text", "lang"))
     return predictions(source.select("doc_id", "held_out", "text"), names, vectors)
+
+
+def recognised(docs: DataFrame, least_cosine: float, parts: int = HOLD_OUT_PARTS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that have a language: not ``und``, and a cosine of at least ``least_cosine``.
+
+    Prototypes are learnt as in :func:`identify`; the text is read twice and never shuffled.
+    """
+    remainder = F.crc32(F.col("doc_id").cast("long").cast("string")) % parts
+    names, vectors = prototypes(docs.where(remainder != 1).select("text", "lang"))
+
+    @F.pandas_udf("double")
+    def cosine(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        profiles = Profiles()
+        for texts in batches:
+            yield pd.Series([best_language(profiles, names, vectors, text)[1] for text in texts], dtype="float64")
+
+    return docs.where(cosine(F.col("text").cast("string")) >= least_cosine)

@@ -21,10 +21,10 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import ascii_words, map_slices, map_task
+from tidecast.llm.common import ascii_words, map_slices, map_task, text_or_empty
 from tidecast.llm.components import components
 from tidecast.sources.storage import materialise
 
@@ -39,7 +39,6 @@ PIVOTS, PIVOT_SEED = 24, 7
 STEP_PAIRS = 2_000_000
 #: Hashes counted in one numpy step.
 STEP_HASHES = 500_000
-NO_ID = -(2**63)
 
 
 def shingle_hashes(text: str | None, size: int = SHINGLE_WORDS) -> list[int]:
@@ -78,13 +77,17 @@ class BitCounter:
         return result
 
 
+def text_key() -> Column:
+    return F.xxhash64(text_or_empty())
+
+
 def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, bits``: the fingerprint of every row as a signed 64-bit number."""
+    """``doc_id, text_key, bits``: a hash that tells texts of one id apart, and the fingerprint as a signed number."""
 
     def make():
         counter = BitCounter()
 
-        def digest(ids, texts):
+        def digest(ids, keys, texts):
             results = np.zeros(len(ids), dtype=np.uint64)
             pending: list[tuple[int, list[int]]] = []
 
@@ -104,11 +107,12 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
                     flush()
                     held = 0
             flush()
-            return {"doc_id": ids, "bits": results.view(np.int64)}
+            return {"doc_id": ids, "text_key": keys, "bits": results.view(np.int64)}
 
         return digest
 
-    return map_slices(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, bits long")
+    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), F.col("text").cast("string"))
+    return map_slices(rows, make, "doc_id long, text_key long, bits long")
 
 
 def band_masks(positions: list[int], bands: int, untouched: int) -> list[int]:
@@ -221,22 +225,38 @@ def fingerprint_links(bits: DataFrame, distance: int = DISTANCE, group_limit: in
     return links
 
 
+def rooted(docs: DataFrame, size: int, distance: int, group_limit: int) -> DataFrame:
+    """``doc_id, text_key, bits, root``: rows of one component share the root."""
+    marked = materialise(fingerprints(docs, size), "fingerprints")
+    roots = components(fingerprint_links(marked.select("bits").distinct(), distance, group_limit))
+    rows = marked.join(roots.withColumnRenamed("node", "bits"), "bits", "left")
+    return materialise(rows.withColumn("root", F.coalesce("root", "bits")), "rooted")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, fingerprint, component_id``.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. Null, empty and blank texts have
     the fingerprint zero and link like any other. ``component_id`` is the smallest ``doc_id`` in the
-    component; a null ``doc_id`` is never the smallest unless it is the only one, then it is null.
+    component; a null ``doc_id`` is never the smallest unless all are null, then it is null.
     Copies are one fingerprint and never make pairs. Repeated rows give repeated rows; an empty
     table an empty result.
     """
-    marked = materialise(fingerprints(docs, size), "fingerprints")
-    roots = components(fingerprint_links(marked.select("bits").distinct(), distance, group_limit))
-    rows = marked.join(roots.withColumnRenamed("node", "bits"), "bits", "left").select(
-        "doc_id", "bits", F.coalesce("root", "bits").alias("root")
-    )
-    rows = materialise(rows, "rooted")
+    rows = rooted(docs, size, distance, group_limit)
     least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """One row of each component of ``docs``, with all its columns: that of the smallest id.
+
+    A null id stays only if its component has no other; of rows that repeat an id in a component one stays.
+    """
+    first = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("text_key").alias("key"))
+    kept = rooted(docs, size, distance, group_limit).groupBy("root").agg(F.min(first).alias("first"))
+    kept = kept.select(F.col("first.id").alias("_kept_id"), F.col("first.key").alias("_kept_key"))
+    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
+    joined = docs.withColumns({"_kept_id": ids, "_kept_key": text_key()}).join(kept, ["_kept_id", "_kept_key"], "left_semi")
+    return joined.dropDuplicates(["_kept_id", "_kept_key"]).select(*docs.columns)
