@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import exact_dedup, html_text, language, lm, mixing, packing, pii, simhash
+from tidecast.llm import exact_dedup, html_text, language, lm, mixing, packing, passages, pii, simhash
 from tidecast.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm_score")
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(documents(spark, sf_dir))
+
+
+@query("op4_passages")
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir))
