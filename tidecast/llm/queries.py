@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import exact_dedup, html_text, language, lm, mixing, packing, passages, pii, simhash
+from tidecast.llm import exact_dedup, html_text, language, lm, mixing, packing, passages, pii, simhash, topk
 from tidecast.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,22 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_passages")
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(documents(spark, sf_dir))
+
+
+@query(
+    "op5_topk",
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+    ), r AS (
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+)
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
