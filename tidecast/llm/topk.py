@@ -2,7 +2,8 @@
 
 Vectors and queries are dealt to blocks of bounded size. For each pair of a query block and a data
 block a task builds a cover tree over either side: the children of a node are centres that lie
-further apart than half the node's scale, and cover its points within it. Both trees are walked
+further apart than half the node's scale, and cover its points within it (with few clusters in many
+dimensions only the first centres are taken, and points go to the nearest). Both trees are walked
 together. With c the centres and r the covering radii of a query node and a data node, no
 score between them exceeds
 
@@ -25,7 +26,9 @@ SCALE = 1024
 NEIGHBOURS = 10
 QUERY_EVERY = 100
 BLOCK_VECTORS, BLOCK_QUERIES = 50_000, 10_000
-LEAF = 48
+#: Points of a data leaf and of a query leaf, and the most children of a node.
+LEAF, QUERY_LEAF, CENTRES = 64, 1, 32
+LEAVES_AT_ONCE = 256
 
 
 class CoverTree:
@@ -63,30 +66,33 @@ class CoverTree:
             number, distance = self.node(members, leaf)
             if parent >= 0:
                 self.children[parent].append(number)
-            parts = self.split(members, distance) if len(members) > leaf and distance.max() > 0 else None
-            if parts is None:
+            parts = self.split(members, distance) if len(members) > leaf and distance.max() > 0 else []
+            if not parts:
                 self.span[number] = (self.placed, len(members))
                 self.order.append(members)
                 self.placed += len(members)
             else:
                 waiting += [(part, number) for part in parts]
 
-    def split(self, members: np.ndarray, distance: np.ndarray) -> list[np.ndarray] | None:
-        """Groups around centres that are further apart than half the node's scale; None if they are too many.
+    def split(self, members: np.ndarray, distance: np.ndarray) -> list[np.ndarray]:
+        """Groups around centres that are further apart than half the node's scale.
 
-        Where the points are about equally far from each other (many dimensions, no clusters) every point would
-        be a centre, and a tree below would prune nothing: such a node stays a leaf.
+        Where points are about equally far from each other (many dimensions, no clusters) nearly every point
+        would be a centre; then the first CENTRES of them take all points, each the nearest ones.
         """
         scale = 2.0 ** np.ceil(np.log2(distance.max()) - 1)
         left, near, parts = members, distance, []
-        while len(left):
+        while len(left) and len(parts) < CENTRES:
             inside = near <= scale
             parts.append(left[inside])
             left = left[~inside]
-            if len(parts) > max(8, len(members) // 8):
-                return None
             if len(left):
                 near = np.sqrt(((self.points[left] - self.points[left[0]]) ** 2).sum(axis=1))
+        if len(left):
+            centres = self.points[[part[0] for part in parts]]
+            nearest = ((centres**2).sum(axis=1)[None, :] - 2 * self.points[members] @ centres.T).argmin(axis=1)
+            groups = [members[nearest == k] for k in range(len(parts))]
+            parts = [np.concatenate((g[g == p[0]], g[g != p[0]])) for g, p in zip(groups, parts, strict=True) if len(g)]
         if len(parts) > 1:
             return parts
         return [members[distance <= distance.max() / 2], members[distance > distance.max() / 2]]
@@ -130,36 +136,27 @@ class Best:
         self.ident[some] = np.take_along_axis(ident, order, axis=1)
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return a @ b.T
-
-
 class DualSearch:
     def __init__(self, queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, copies: list[np.ndarray], k: int) -> None:
         """``copies`` holds the ids of each distinct data vector in ascending order, k + 1 at most."""
-        self.queries, self.query_ids, self.data, self.copies, self.k = queries, query_ids, data, copies, k
-        self.q, self.d = CoverTree(queries), CoverTree(data)
+        self.queries, self.query_ids, self.data = queries, query_ids, data
+        self.q, self.d = CoverTree(queries, QUERY_LEAF), CoverTree(data)
         self.best = Best(len(queries), k)
-        self.most = max((len(c) for c in copies), default=1)
-        self.first = np.array([c[0] for c in copies], dtype=np.int64)
-        self.done: list[set[int]] = [set() for _ in self.q.centre]
+        self.ids = np.full((len(copies), max((len(c) for c in copies), default=1)), -1, dtype=np.int64)
+        for i, c in enumerate(copies):
+            self.ids[i, : len(c)] = c
+        self.seeds: dict[int, int] = {}
         self.compared = 0
 
-    def look(self, qnode: int, dnode: int) -> None:
-        """All points of a data leaf against the queries of a query leaf."""
-        if dnode in self.done[qnode]:
-            return
-        self.done[qnode].add(dnode)
-        some, points = self.q.members(qnode), self.d.members(dnode)
-        for at in range(0, len(points), 4096):
-            part = points[at : at + 4096]
-            scores = products(self.queries[some], self.data[part])
-            self.compared += scores.size
-            for c in range(self.most):
-                has = np.array([len(self.copies[p]) > c for p in part]) if c else np.ones(len(part), dtype=bool)
-                if not has.any():
-                    break
-                ids = self.first[part] if c == 0 else np.array([self.copies[p][c] for p in part[has]], dtype=np.int64)
+    def look(self, qnode: int, dnodes: np.ndarray) -> None:
+        """All points of some data leaves against the queries of a query leaf."""
+        some, part = self.q.members(qnode), np.concatenate([self.d.members(n) for n in dnodes.tolist()])
+        scores = self.queries[some] @ self.data[part].T
+        self.compared += scores.size
+        for c in range(self.ids.shape[1]):
+            has = self.ids[part, c] >= 0 if c else slice(None)
+            ids = self.ids[part, c][has]
+            if len(ids):
                 own = np.where(ids[None, :] == self.query_ids[some][:, None], -np.inf, scores[:, has])
                 self.best.offer(some, own, ids[None, :])
 
@@ -174,7 +171,8 @@ class DualSearch:
         leaves = np.array([i for i in range(len(self.d.centre)) if self.d.span[i][1]])
         for qnode in range(len(self.q.centre)):
             if self.q.span[qnode][1]:  # a first k-th score for every query from the leaf that promises most
-                self.look(qnode, int(leaves[self.bounds(qnode, leaves).argmax()]))
+                self.seeds[qnode] = int(leaves[self.bounds(qnode, leaves).argmax()])
+                self.look(qnode, np.array([self.seeds[qnode]]))
         self.walk(0, np.array([0]))
         return self.best
 
@@ -195,16 +193,20 @@ class DualSearch:
                 nodes = nodes[self.bounds(qnode, nodes) >= self.best.worst(own)]
                 ends = np.concatenate((ends, [n for n in nodes.tolist() if self.d.span[n][1]])).astype(np.int64)
                 inner = [c for n in nodes.tolist() for c in self.d.children[n]]
-            if len(ends):
-                limits = self.bounds(qnode, ends)
-                for i in np.argsort(-limits, kind="stable").tolist():
-                    if limits[i] < self.best.worst(own):
-                        break
-                    self.look(qnode, int(ends[i]))
+            ends = ends[ends != self.seeds[qnode]]
+            limits = self.bounds(qnode, ends)
+            order = np.argsort(-limits, kind="stable")
+            ends, limits = ends[order], limits[order]
+            at, step = 0, 2
+            while at < len(ends) and limits[at] >= self.best.worst(own):
+                # the most promising leaves first; more of them at once the longer it takes
+                upto = at + int((limits[at : at + step] >= self.best.worst(own)).sum())
+                self.look(qnode, ends[at:upto])
+                at, step = upto, min(2 * step, LEAVES_AT_ONCE)
 
 
 def as_matrix(vectors: pd.Series, width: int) -> np.ndarray:
-    """Rows padded with zeros; float64 where all scores are exact in it, else int64."""
+    """Rows padded with zeros."""
     out = np.zeros((len(vectors), width), dtype=np.int64)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
