@@ -30,8 +30,8 @@ GROUP_PIECES = 20_000
 #: A bin with more free tokens than this goes to the next round.
 SLACK = 16
 ROUNDS = 4
-#: Words whose ids a task remembers, and bins and steps that the local search looks at.
-CACHE_WORDS, SEARCH_BINS, SEARCH_STEPS = 800_000, 256, 2_000
+#: Words whose ids a task remembers; bins, pieces of a bin and steps that the local search looks at.
+CACHE_WORDS, SEARCH_BINS, SEARCH_PIECES, SEARCH_STEPS = 800_000, 32, 12, 400
 TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -173,62 +173,57 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def exchange(source: list[int], target: list[int], lengths: list[int], free: int, loads: tuple[int, int]):
-    """The best exchange that fills ``target`` from ``source``: (gain, out of source, out of target) or None.
+def combined(members: list[int], lengths: list[int]) -> tuple[list[tuple[int, ...]], np.ndarray]:
+    """The longest pieces of a bin, alone and in twos, with their lengths."""
+    longest = sorted(members, key=lambda i: (-lengths[i], i))[:SEARCH_PIECES]
+    sets = [(i,) for i in longest] + [(i, j) for a, i in enumerate(longest) for j in longest[a + 1 :]]
+    return sets, np.array([sum(lengths[i] for i in s) for s in sets], dtype=np.int64)
 
-    Sum of squared fills rises by 2d(target - source) + 2d^2 if d tokens move over.
-    """
-    best = None
 
-    def offer(out: list[int], back: list[int]) -> None:
-        nonlocal best
-        moved = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
-        if 0 < moved <= free:
-            gain = 2 * moved * (loads[1] - loads[0]) + 2 * moved * moved
-            if gain > 0 and (best is None or gain > best[0]):
-                best = (gain, out, back)
-
-    for a, x in enumerate(source):
-        offer([x], [])
-        for y in target:
-            offer([x], [y])
-        for z in source[a + 1 :]:
-            for y in target:
-                offer([x, z], [y])
-    for a, y in enumerate(target):
-        for w in target[a + 1 :]:
-            for x in source:
-                offer([x], [y, w])
-    return best
+def best_exchange(source: list[int], load: int, targets: list[list[int]], loads: np.ndarray, lengths: list[int], capacity: int):
+    """The exchange with the largest gain, over all targets: (target, out of source, out of target), or None.
+
+    Kinds: a piece moves over, one goes for one, two for one, one for two. If d tokens move from the
+    source to a target, the sum of squared fills rises by 2 d (target - source) + 2 d^2.
+    """
+    out_sets, out_sizes = combined(source, lengths)
+    ones = min(len(source), SEARCH_PIECES)
+    best, answer = 0, None
+    for t, target in enumerate(targets):
+        back_sets, back_sizes = combined(target, lengths)
+        back_sets, back_sizes = [(), *back_sets], np.concatenate(([0], back_sizes))
+        moved = out_sizes[:, None] - back_sizes[None, :]
+        gain = 2 * moved * (int(loads[t]) - load) + 2 * moved * moved
+        gain[(moved <= 0) | (moved > capacity - int(loads[t]))] = 0
+        gain[ones:, 1 + min(len(target), SEARCH_PIECES) :] = 0  # not two for two
+        at = int(gain.argmax())
+        if gain.flat[at] > best:
+            best = int(gain.flat[at])
+            answer = (t, out_sets[at // len(back_sets)], back_sets[at % len(back_sets)])
+    return answer
 
 
 def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Local search over underfull bins; the emptiest gives its pieces to the others until it is empty."""
+    """Local search: the emptiest bin gives its pieces to other underfull bins until it is empty.
+
+    Stops when no bins fewer are possible, when no bin it looks at can gain, or after SEARCH_STEPS.
+    """
     loads = [sum(lengths[i] for i in b) for b in bins]
-    least = -(-sum(loads) // capacity)
-    steps, stuck = 0, set()
-    while len(bins) - sum(1 for b in bins if not b) > least and steps < SEARCH_STEPS:
+    least, stuck = -(-sum(loads) // capacity), set()
+    for _ in range(SEARCH_STEPS):
         under = sorted((k for k, b in enumerate(bins) if b and loads[k] < capacity), key=lambda k: (loads[k], k))
         source = next((k for k in under[:SEARCH_BINS] if k not in stuck), None)
-        if source is None:
+        if source is None or sum(1 for b in bins if b) <= least:
             break
         targets = [k for k in under if k != source][:SEARCH_BINS]
-        best = None
-        for t in targets:
-            # long lists of short pieces offer many equal exchanges; the longest of each bin are enough to look at
-            here = sorted(bins[source], key=lambda i: -lengths[i])[:24]
-            there = sorted(bins[t], key=lambda i: -lengths[i])[:24]
-            found = exchange(here, there, lengths, capacity - loads[t], (loads[source], loads[t]))
-            if found and (best is None or found[0] > best[0]):
-                best = (*found, t)
-        steps += 1
-        if best is None:
+        found = best_exchange(bins[source], loads[source], [bins[k] for k in targets], np.array([loads[k] for k in targets]), lengths, capacity)
+        if found is None:
             stuck.add(source)
             continue
-        _, out, back, t = best
+        t, out, back = targets[found[0]], found[1], found[2]
         moved = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
-        bins[source] = [i for i in bins[source] if i not in out] + back
-        bins[t] = [i for i in bins[t] if i not in back] + out
+        bins[source] = [i for i in bins[source] if i not in out] + list(back)
+        bins[t] = [i for i in bins[t] if i not in back] + list(out)
         loads[source] -= moved
         loads[t] += moved
         stuck.clear()
