@@ -127,3 +127,16 @@ def test_partitioned_and_sized_writes(spark, tmp_path):
     writers.write_sized(df.coalesce(1), str(tmp_path / "s"), 300)
     files = [f for f in os.listdir(tmp_path / "s") if f.endswith(".parquet")]
     assert len(files) == 4
+
+
+def test_upsert_opens_touched_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = spark.sql("SELECT id AS k, date_add(DATE'2024-01-01', CAST(id AS INT)) AS at, id AS v FROM range(20)")
+    writers.upsert(spark, path, rows, ["k", "at"], "day", F.col("at"))
+    # folders that receive no row may be unreadable
+    broken = tmp_path / "store" / "day=2024-01-05"
+    for f in broken.glob("*.parquet"):
+        f.write_bytes(b"not parquet")
+    writers.upsert(spark, path, rows.where("k in (1, 7)").withColumn("v", F.lit(100)), ["k", "at"], "day", F.col("at"))
+    got = {r.k: r.v for r in spark.read.parquet(path).where("day <> DATE'2024-01-05'").collect()}
+    assert got == {k: 100 if k in (1, 7) else k for k in range(20) if k != 4}

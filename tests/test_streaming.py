@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidecast.names import COUNT, HOUR, ZONE
+from tidecast.names import ACTUAL, COUNT, HOUR, PREDICTED, ZONE
 from tidecast.operators.grid import hourly_counts
 from tidecast.streaming import jobs
 
@@ -27,46 +27,82 @@ def batches(n_batches, per_batch, seed=1):
     return out
 
 
-def test_incremental_counts_equal_the_batch_result(spark, tmp_path):
+def shuffled(n_files=5, n_rows=400, seed=3):
+    """Rows over ten days in random order: most rows of a file are older than rows seen before."""
+    rng = random.Random(seed)
+    rows = [(i, START + dt.timedelta(minutes=rng.randrange(14_400)), rng.choice([1, 1, 2, 3])) for i in range(n_rows)]
+    rng.shuffle(rows)
+    return [rows[k::n_files] for k in range(n_files)]
+
+
+def same(got, want):
+    return got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_counts_of_late_rows_and_of_a_replay_equal_the_batch_result(spark, tmp_path):
+    src, base = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in shuffled():
+        land(spark, src, rows)
+    schema = spark.read.parquet(src).schema
+    want = hourly_counts(spark.read.parquet(src), "ts").select(HOUR, ZONE, COUNT)
+    for attempt in range(2):
+        # the second attempt starts without a checkpoint and writes everything again
+        stream = jobs.read_new_files(spark, src, schema, files_per_trigger=1)
+        sink = jobs.partial_sink(f"{base}/log", [HOUR, ZONE], {COUNT: F.lit(1)})
+        jobs.run_available(jobs.hour_cells(stream, "ts"), f"{base}/checkpoint-{attempt}", "append", sink)
+        assert same(jobs.totals(spark, f"{base}/log", [HOUR, ZONE], [COUNT]).select(HOUR, ZONE, COUNT), want)
+
+
+def test_a_second_run_adds_older_events(spark, tmp_path):
     src, base = str(tmp_path / "in"), str(tmp_path / "out")
-    for rows in batches(4, 100):
+    for rows in reversed(batches(3, 60)):
         land(spark, src, rows)
-        # one run per arrival: state continues from the checkpoint
         stream = jobs.read_new_files(spark, src, spark.read.parquet(src).schema)
-        counts = jobs.hourly_count_stream(stream, "ts", delay="6 hours")
-        jobs.run_available(counts, f"{base}/checkpoint", "update", jobs.changelog_sink(f"{base}/log"))
-    got = jobs.current_state(spark, f"{base}/log", [HOUR, ZONE]).select(HOUR, ZONE, COUNT)
+        sink = jobs.partial_sink(f"{base}/log", [HOUR, ZONE], {COUNT: F.lit(1)})
+        jobs.run_available(jobs.hour_cells(stream, "ts"), f"{base}/checkpoint", "append", sink)
     want = hourly_counts(spark.read.parquet(src), "ts").select(HOUR, ZONE, COUNT)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert same(jobs.totals(spark, f"{base}/log", [HOUR, ZONE], [COUNT]).select(HOUR, ZONE, COUNT), want)
 
 
-def test_upsert_stream_equals_the_batch_result_and_survives_a_replay(spark, tmp_path):
+def test_upserted_totals_of_late_rows_and_of_a_replay(spark, tmp_path):
     src, base = str(tmp_path / "in"), str(tmp_path / "out")
-    for rows in batches(3, 80, seed=2):
+    for rows in shuffled(n_files=4, n_rows=200):
         land(spark, src, rows)
     schema = spark.read.parquet(src).schema
     want = hourly_counts(spark.read.parquet(src), "ts").select(HOUR, ZONE, COUNT)
     for attempt in range(2):
-        # the second attempt starts without a checkpoint and writes everything again
         stream = jobs.read_new_files(spark, src, schema, files_per_trigger=1)
-        counts = jobs.hourly_count_stream(stream, "ts", delay="1 day")
-        sink = jobs.upsert_sink(f"{base}/store", [HOUR, ZONE], "day", F.to_date(HOUR))
-        jobs.run_available(counts, f"{base}/checkpoint-{attempt}", "update", sink)
-        got = spark.read.parquet(f"{base}/store").select(HOUR, ZONE, COUNT)
-        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        sink = jobs.upsert_totals_sink(f"{base}/store", f"{base}/log", [HOUR, ZONE], {COUNT: F.lit(1)}, "day")
+        jobs.run_available(jobs.hour_cells(stream, "ts"), f"{base}/checkpoint-{attempt}", "append", sink)
+        assert same(spark.read.parquet(f"{base}/store").select(HOUR, ZONE, COUNT), want)
+
+
+def test_replayed_rows_are_dropped_however_late(spark, tmp_path):
+    src, base = str(tmp_path / "in"), str(tmp_path / "out")
+    files = shuffled(n_files=4, n_rows=120)
+    for rows in [*files, files[0], files[1][:5] + files[3][:5]]:
+        land(spark, src, rows)
+    schema = spark.read.parquet(src).schema
+    want = spark.createDataFrame([r for rows in files for r in rows], SCHEMA)
+    for attempt in range(2):
+        stream = jobs.read_new_files(spark, src, schema, files_per_trigger=1)
+        jobs.run_available(stream, f"{base}/checkpoint-{attempt}", "append", jobs.once_sink(f"{base}/table", ["id"], "ts"))
+        out = spark.read.parquet(f"{base}/table").drop("day", "batch")
+        assert same(out, want) and dict(out.dtypes)["ts"] == "timestamp_ntz"
 
 
-def test_replayed_rows_are_dropped(spark, tmp_path):
+def test_errors_of_late_rows_equal_the_batch_result(spark, tmp_path):
     src, base = str(tmp_path / "in"), str(tmp_path / "out")
-    rows = batches(1, 50)[0]
-    land(spark, src, rows)
-    land(spark, src, rows[:20])
-    stream = jobs.read_new_files(spark, src, spark.read.parquet(src).schema, files_per_trigger=1)
-    once = jobs.drop_replays(stream, ["id"], "ts", delay="6 hours")
-    jobs.run_available(once, f"{base}/checkpoint", "append", jobs.changelog_sink(f"{base}/table"))
-    out = spark.read.parquet(f"{base}/table")
-    assert out.count() == 50 and out.select("id").distinct().count() == 50
-    assert dict(out.dtypes)["ts"] == "timestamp_ntz"
+    for rows in shuffled(n_files=4, n_rows=100):
+        cells = spark.createDataFrame(rows, SCHEMA).select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias(HOUR), ZONE, F.col("id").alias(ACTUAL))
+        cells.dropDuplicates([HOUR, ZONE]).coalesce(1).write.mode("append").parquet(src)
+    actuals = spark.read.parquet(src)
+    predictions = actuals.select(HOUR, ZONE).distinct().withColumn(PREDICTED, F.lit(7))
+    stream = jobs.read_new_files(spark, src, actuals.schema, files_per_trigger=1)
+    sink = jobs.partial_sink(f"{base}/log", [HOUR], {"error": F.col("error"), "n": F.lit(1)})
+    jobs.run_available(jobs.absolute_errors(stream, predictions), f"{base}/checkpoint", "append", sink)
+    want = actuals.groupBy(HOUR).agg(F.avg(F.abs(F.col(ACTUAL) - 7)).alias("mae"), F.count(F.lit(1)).alias("n"))
+    assert same(jobs.hourly_errors(spark, f"{base}/log"), want)
 
 
 def test_cleaning_stream_applies_rules_and_fills(spark, tmp_path):

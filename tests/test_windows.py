@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidecast.names import HOUR, ZONE
 from tidecast.operators import windows as w
+from tidecast.operators.joins import on_calendar_parts
 from tidecast.operators.grid import asof_backward, dense_hourly_counts, densify, hourly_counts, zone_hours
 
 START = dt.datetime(2024, 1, 1)
@@ -156,3 +157,52 @@ def test_rolling_matches_numpy_on_a_long_series(spark):
     got = column(df, "rolling_mean_24h")
     for i in range(24, 300):
         assert got[i] == pytest.approx(np.mean(values[i - 24 : i]))
+
+
+def test_a_null_key_or_time_matches_nothing(spark):
+    left = spark.sql(
+        "SELECT * FROM VALUES (1, CAST(NULL AS INT), TIMESTAMP_NTZ'2024-01-01 10:00:00'), (2, 1, NULL),"
+        " (3, 1, TIMESTAMP_NTZ'2024-01-02 10:00:00') AS t(id, k, at)"
+    )
+    right = spark.sql(
+        "SELECT * FROM VALUES (CAST(NULL AS INT), TIMESTAMP_NTZ'2024-01-01 09:00:00', 5), (1, CAST(NULL AS TIMESTAMP_NTZ), 7) AS t(k, at, v)"
+    )
+    for grain in (None, "hour"):
+        out = asof_backward(left, right, ["k"], "at", "at", ["v"], left_grain=grain)
+        assert {(r.id, r.v) for r in out.collect()} == {(1, None), (2, None), (3, None)}
+
+
+def test_reducing_to_the_left_grain_changes_nothing(spark):
+    left = spark.sql("SELECT id % 3 AS k, TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, 0, CAST(id AS INT)) AS at FROM range(72)")
+    right = spark.sql(
+        "SELECT id % 2 AS k, TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, 0, 0, CAST(id * 37 % 4000 AS INT)) AS at, id AS v FROM range(600)"
+    )
+    plain = asof_backward(left, right, ["k"], "at", "at", ["v"], tie_break=["v"])
+    reduced = asof_backward(left, right, ["k"], "at", "at", ["v"], tie_break=["v"], left_grain="hour")
+    assert plain.exceptAll(reduced).count() == 0 and reduced.exceptAll(plain).count() == 0 and plain.where("v is not null").count() > 20
+
+
+def test_blocked_fills_equal_the_plain_ones(spark):
+    df = spark.sql(
+        f"SELECT CAST(id % 2 AS INT) AS {ZONE}, TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, CAST(id AS INT)) AS {HOUR},"
+        " CASE WHEN id % 7 = 3 OR id BETWEEN 80 AND 200 THEN NULL WHEN id < 9 THEN NULL ELSE CAST(id * id AS DOUBLE) END AS x FROM range(260)"
+    )
+    for fill in (
+        lambda b: w.bfill(df, ["x"], block=b), lambda b: w.ffill(df, ["x"], block=b),
+        lambda b: w.fill_chain(df, {"x": 1.0}, block=b), lambda b: w.interpolate(df, ["x"], block=b),
+    ):
+        one, other = fill(None), fill("month")
+        assert one.columns == df.columns == other.columns
+        assert one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
+
+
+def test_no_frame_ends_at_the_last_row(spark, plan_of):
+    df = spark.sql(f"SELECT 1 AS {ZONE}, TIMESTAMP_NTZ'2024-01-01' AS {HOUR}, 1.0D AS x")
+    for out in (w.bfill(df, ["x"]), w.fill_chain(df, {"x": 0.0}), w.interpolate(df, ["x"])):
+        assert "unboundedfollowing" not in plan_of(out).lower().replace(" ", "")
+
+
+def test_two_years_of_weather_do_not_multiply_rows(spark):
+    fact = spark.sql("SELECT TIMESTAMP_NTZ'2024-05-01 10:30:00' AS t")
+    hourly = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ'2022-05-01 10:00:00', 1), (TIMESTAMP_NTZ'2023-05-01 10:00:00', 2) AS t(h, x)")
+    assert [r.x for r in on_calendar_parts(fact, hourly, "t", "h").collect()] == [2]

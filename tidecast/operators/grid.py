@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,6 +96,7 @@ def asof_backward(
     values: Sequence[str],
     tie_break: Sequence[str] = (),
     block: str = "day",
+    left_grain: str | None = None,
 ) -> DataFrame:
     """Each left row with the newest right row of its key at or before it.
 
@@ -101,10 +104,25 @@ def asof_backward(
     sides are interleaved per (key, time block) - never a whole key in one task -
     and a second, tiny window over one row per block carries the newest right row
     of earlier blocks forward. ``block`` (hour, day, month, year) can be lowered when
-    one key is dense.
+    one key is dense. A NULL key or time matches nothing: such right rows are dropped,
+    such left rows come back with NULL values. ``left_grain`` names the grain of the left
+    times where they are whole hours or days: the right side is then reduced, map-side, to
+    the newest row per key and next full step, so a dense key never reaches the windows.
     """
     keys = list(keys)
+    complete = [F.col(k).isNotNull() for k in keys]
+    right = right.where(reduce(and_, complete, F.col(right_ts).isNotNull()))
+    matchable = reduce(and_, complete, F.col(left_ts).isNotNull())
+    unmatched = left.where(~matchable)
+    left = left.where(matchable)
     packed = F.struct(*[F.col(v) for v in values])
+    if left_grain:
+        tied = F.struct(F.col(right_ts), *[F.col(t) for t in tie_break])
+        floor = F.date_trunc(left_grain, right_ts).cast("timestamp_ntz")
+        step = F.when(floor == F.col(right_ts), floor).otherwise(floor + F.expr(f"interval 1 {left_grain}"))
+        newest_in_step = right.groupBy(*keys, step.alias("__step")).agg(F.max_by(packed, tied).alias("__packed"))
+        right, right_ts, tie_break = newest_in_step, "__step", ()
+        packed = F.col("__packed")
 
     carried = [c for c in left.columns if c not in keys]
     lefts = left.select(
@@ -153,8 +171,9 @@ def asof_backward(
     )
     joined = local.join(carry, [*keys, "__block"], "left")
     hit = F.coalesce("__here", "__before")
-    return joined.select(
+    matched = joined.select(
         *keys,
         *[F.col("__left").getField(c).alias(c) for c in carried],
         *[hit.getField(v).alias(v) for v in values],
     )
+    return matched.unionByName(unmatched.select(*keys, *carried), allowMissingColumns=True)

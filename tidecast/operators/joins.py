@@ -30,15 +30,25 @@ def lookup(
     return fact.join(side, F.col(fact_key) == F.col("__key"), "left").drop("__key")
 
 
-def on_calendar_parts(fact: DataFrame, hourly: DataFrame, fact_ts: str, hourly_ts: str) -> DataFrame:
-    """Join on (month, day, hour) without the year, as a left join."""
+def newest_by_parts(hourly: DataFrame, ts: str, names: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per (month, day, hour), named by ``names``: the newest year's values."""
+    parts = [F.month(ts).alias(names[0]), F.day(ts).alias(names[1]), F.hour(ts).alias(names[2])]
+    return (
+        hourly.groupBy(*parts)
+        .agg(F.max_by(F.struct(*columns), ts).alias("__newest"))
+        .select(*names, *[F.col("__newest").getField(c).alias(c) for c in columns])
+    )
 
-    def parts(ts):
-        return {"__month": F.month(ts), "__day": F.day(ts), "__hour": F.hour(ts)}
 
-    left = fact.withColumns(parts(fact_ts))
-    right = hourly.withColumns(parts(hourly_ts)).drop(hourly_ts)
-    return left.join(right, ["__month", "__day", "__hour"], "left").drop("__month", "__day", "__hour")
+def on_calendar_parts(fact: DataFrame, hourly: DataFrame, fact_ts: str, hourly_ts: str) -> DataFrame:
+    """Left join on (month, day, hour) without the year; a fact row comes back once.
+
+    Where the hourly side has several years, the newest one counts.
+    """
+    names = ["__month", "__day", "__hour"]
+    left = fact.withColumns(dict(zip(names, (F.month(fact_ts), F.day(fact_ts), F.hour(fact_ts)), strict=True)))
+    right = newest_by_parts(hourly, hourly_ts, names, [c for c in hourly.columns if c != hourly_ts])
+    return left.join(right, names, "left").drop(*names)
 
 
 def keys_in(df: DataFrame, keys: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
@@ -60,12 +70,11 @@ def values_at(
 ) -> DataFrame:
     """Per zone, the value of a column ``k`` hours before ``at``; absent rows give 0.
 
-    ``offsets`` maps output names to (column, hours back). All lookups are one
-    conditional aggregation over the needed hours instead of one join per offset.
+    ``offsets`` maps output names to (column, hours back). Every zone of ``df`` has a row, also
+    one without any row at the wanted hours. All lookups are one conditional aggregation, merged
+    map-side, instead of one join per offset.
     """
-    needed = sorted({k for _, k in offsets.values()})
-    rows = df.where(F.col(hour).isin([plus_hours(at, -k) for k in needed]))
-    return rows.groupBy(zone).agg(
+    return df.groupBy(zone).agg(
         *[
             F.coalesce(
                 F.max(F.when(F.col(hour) == plus_hours(at, -k), F.col(c).cast("double"))), F.lit(0.0)

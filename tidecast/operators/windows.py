@@ -64,34 +64,45 @@ def add_target(df: DataFrame, column=COUNT, keys=ZONE, ts=HOUR, name="target") -
     return df.withColumn(name, lead_column(column, 1, series_window(keys, ts)))
 
 
-def _fill(df: DataFrame, columns: Sequence[str], keys, ts: str, forward: bool, block: str | None):
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    pick = F.last if forward else F.first
-    frame = (Window.unboundedPreceding, 0) if forward else (0, Window.unboundedFollowing)
+def _ordered(keys: Sequence[str], ts: str, forward: bool):
+    """Rows of a key in the direction of a fill.
+
+    A backward fill is a forward fill over the reversed order: a frame that starts at the current
+    row and ends at the last one would be computed anew for every row.
+    """
+    w = Window.partitionBy(*keys).orderBy(F.col(ts).asc() if forward else F.col(ts).desc())
+    return w.rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _known(df: DataFrame, points: dict[str, Column], keys: Sequence[str], ts: str, forward: bool, block: str | None):
+    """Add, for each named expression, its last non-NULL value up to the row (in the fill's direction)."""
     if block is None:
-        w = series_window(keys, ts).rowsBetween(*frame)
-        return df.withColumns({c: pick(c, ignorenulls=True).over(w) for c in columns})
+        w = _ordered(keys, ts, forward)
+        return df.withColumns({name: F.last(e, ignorenulls=True).over(w) for name, e in points.items()})
 
     # (key, time block) groups only; one value per block and column crosses block borders
-    blocked = df.withColumn("__block", time_block(ts, block))
-    inside = Window.partitionBy(*keys, "__block").orderBy(ts).rowsBetween(*frame)
+    blocked = df.withColumn("__block", time_block(ts, block)).withColumns({f"__at_{n}": e for n, e in points.items()})
+    inside = _ordered([*keys, "__block"], ts, forward)
     edge = F.max_by if forward else F.min_by
     ends = blocked.groupBy(*keys, "__block").agg(
-        *[edge(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in columns]
-    )
-    beyond = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
-    across = Window.partitionBy(*keys).orderBy("__block").rowsBetween(*beyond)
-    carry = ends.select(
-        *keys, "__block", *[pick(c, ignorenulls=True).over(across).alias(f"__carry_{c}") for c in columns]
+        *[edge(f"__at_{n}", F.when(F.col(f"__at_{n}").isNotNull(), F.col(ts))).alias(n) for n in points]
     )
+    order = F.col("__block").asc() if forward else F.col("__block").desc()
+    across = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(*keys, "__block", *[F.last(n, ignorenulls=True).over(across).alias(f"__carry_{n}") for n in points])
     return (
-        blocked.withColumns({c: pick(c, ignorenulls=True).over(inside) for c in columns})
+        blocked.withColumns({f"__in_{n}": F.last(f"__at_{n}", ignorenulls=True).over(inside) for n in points})
         .join(carry, [*keys, "__block"])
-        .withColumns({c: F.coalesce(c, f"__carry_{c}") for c in columns})
-        .select(*df.columns)
+        .select(*df.columns, *[F.coalesce(f"__in_{n}", f"__carry_{n}").alias(n) for n in points])
     )
 
 
+def _fill(df: DataFrame, columns: Sequence[str], keys, ts: str, forward: bool, block: str | None):
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    found = _known(df, {f"__fill_{c}": F.col(c) for c in columns}, keys, ts, forward, block)
+    return found.select(*[F.col(f"__fill_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
 def ffill(df: DataFrame, columns: Sequence[str], keys=ZONE, ts=HOUR, block: str | None = None) -> DataFrame:
     """Last known value per key. ``block`` (hour, day, month, year) splits long or hot keys
     by time; it needs distinct, non-NULL keys and timestamps."""
@@ -103,40 +114,51 @@ def bfill(df: DataFrame, columns: Sequence[str], keys=ZONE, ts=HOUR, block: str
     return _fill(df, columns, keys, ts, False, block)
 
 
-def fill_chain(df: DataFrame, defaults: dict, keys=ZONE, ts=HOUR) -> DataFrame:
-    """Forward fill, then backward fill, then the column's default."""
-    back = series_window(keys, ts).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = series_window(keys, ts).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns(
-        {
-            c: F.coalesce(
-                F.last(c, ignorenulls=True).over(back),
-                F.first(c, ignorenulls=True).over(ahead),
-                F.lit(value),
-            )
-            for c, value in defaults.items()
-        }
+def fill_chain(df: DataFrame, defaults: dict, keys=ZONE, ts=HOUR, block: str | None = None) -> DataFrame:
+    """Forward fill, then backward fill, then the column's default; ``block`` as in :func:`ffill`."""
+    columns = list(defaults)
+    return bfill(ffill(df, columns, keys, ts, block), columns, keys, ts, block).withColumns(
+        {c: F.coalesce(F.col(c), F.lit(value)) for c, value in defaults.items()}
     )
 
 
-def interpolate(df: DataFrame, columns: Sequence[str], keys=ZONE, ts=HOUR) -> DataFrame:
-    """Linear interpolation by row position; the tail repeats the last value, the head stays NULL."""
-    w = series_window(keys, ts)
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
-    numbered = df.withColumn("__rn", F.row_number().over(w))
+def _numbered(df: DataFrame, keys: Sequence[str], ts: str, block: str | None) -> DataFrame:
+    """Row number per key as ``__rn``; with ``block`` from the number inside the block and the sizes of earlier ones."""
+    if block is None:
+        return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(ts)))
+    blocked = df.withColumn("__block", time_block(ts, block))
+    sizes = blocked.groupBy(*keys, "__block").agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    skips = sizes.select(*keys, "__block", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__skip"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "__block").orderBy(ts))
+    return (
+        blocked.withColumn("__in", inside)
+        .join(skips, [*keys, "__block"])
+        .select(*df.columns, (F.col("__in") + F.col("__skip")).alias("__rn"))
+    )
+
+
+def interpolate(df: DataFrame, columns: Sequence[str], keys=ZONE, ts=HOUR, block: str | None = None) -> DataFrame:
+    """Linear interpolation by row position; the tail repeats the last value, the head stays NULL.
+
+    ``block`` as in :func:`ffill`.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    numbered = _numbered(df, keys, ts, block)
+    points = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("__rn").alias("rn"), F.col(c).alias("v"))) for c in columns}
+    around = _known(numbered, {f"__before_{c}": e for c, e in points.items()}, keys, ts, True, block)
+    around = _known(around, {f"__after_{c}": e for c, e in points.items()}, keys, ts, False, block)
     filled = {}
     for c in columns:
-        point = F.when(F.col(c).isNotNull(), F.struct(F.col("__rn").alias("rn"), F.col(c).alias("v")))
-        before = F.last(point, ignorenulls=True).over(back)
-        after = F.first(point, ignorenulls=True).over(ahead)
+        before, after = F.col(f"__before_{c}"), F.col(f"__after_{c}")
         step = (F.col("__rn") - before["rn"]) / (after["rn"] - before["rn"])
         filled[c] = (
             F.when(F.col(c).isNotNull(), F.col(c))
             .when(after.isNull(), before["v"])
             .otherwise(before["v"] + (after["v"] - before["v"]) * step)
+            .alias(c)
         )
-    return numbered.withColumns(filled).drop("__rn")
+    return around.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

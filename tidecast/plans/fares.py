@@ -12,7 +12,7 @@ from tidecast.functions.scalars import clean_numeric, recode
 from tidecast.functions.timeutil import date_parts, hour_bucket, is_us_holiday, week_day, weekend_flag
 from tidecast.names import HOUR, WEATHER_COLUMNS
 from tidecast.operators.aggregates import mean_and_count
-from tidecast.operators.joins import lookup
+from tidecast.operators.joins import lookup, newest_by_parts
 from tidecast.operators.windows import bfill, interpolate
 from tidecast.plans.weather import OBSERVED
 
@@ -54,8 +54,8 @@ def enrich(groups: DataFrame, zones: DataFrame, zone: str, zone_key: str = "Loca
 def interpolated_weather(obs: DataFrame, ts: str, order: Sequence[str]) -> DataFrame:
     """Newest observation per hour with gaps interpolated, the head filled backward.
 
-    Cloud cover is a fraction here and unknown words are gaps. The windows run over
-    one row per observed hour.
+    Cloud cover is a fraction here and unknown words are gaps. The fills run over one
+    row per observed hour, a year of hours in one task.
     """
     newest = (
         obs.groupBy(hour_bucket(ts, "floor").alias(HOUR))
@@ -70,15 +70,12 @@ def interpolated_weather(obs: DataFrame, ts: str, order: Sequence[str]) -> DataF
         recode("cloud_cover", CLOUD_FRACTION).alias("cloud_cover_numeric"),
         clean_numeric("amount_of_precipitation", PRECIPITATION_WORDS, None).alias("amount_of_precipitation"),
     )
-    return bfill(interpolate(hourly, WEATHER_COLUMNS, keys=[]), WEATHER_COLUMNS, keys=[])
+    filled = interpolate(hourly, WEATHER_COLUMNS, keys=[], block="year")
+    return bfill(filled, WEATHER_COLUMNS, keys=[], block="year")
 
 
 def add_weather_by_parts(groups: DataFrame, hourly: DataFrame) -> DataFrame:
-    """Weather joined on (month, day, hour); the year of the trips does not matter."""
-    keyed = hourly.select(
-        F.month(HOUR).alias("transaction_month"),
-        F.day(HOUR).alias("transaction_day"),
-        F.hour(HOUR).alias("transaction_hour"),
-        *WEATHER_COLUMNS,
-    )
-    return groups.join(keyed, ["transaction_month", "transaction_day", "transaction_hour"], "left")
+    """Weather joined on (month, day, hour); of several years the newest one counts."""
+    parts = ["transaction_month", "transaction_day", "transaction_hour"]
+    keyed = newest_by_parts(hourly, HOUR, parts, WEATHER_COLUMNS)
+    return groups.join(keyed, parts, "left")

@@ -55,7 +55,8 @@ def upsert(
 ) -> None:
     """Merge rows into a partitioned Parquet table, the new rows winning on the keys.
 
-    Only partitions that receive rows are read, merged and replaced. The partition
+    Only partitions that receive rows are read, merged and replaced: their values are
+    listed by the driver and filter the folders before any file is opened. The partition
     must be a function of the keys (for example the date of the hour key). The
     merged rows are first written to the shared work folder, so the table is never
     read while it is being replaced and a lost executor cannot lose rows.
@@ -68,7 +69,9 @@ def upsert(
         return
     new = materialise(new, "upsert-in")
     table = spark.read.parquet(path)
-    touched = table.join(new.select(partition).distinct(), partition, "left_semi")
+    values = [r[0] for r in new.select(partition).distinct().collect()]
+    column = F.col(partition)
+    touched = table.where(column.isin([v for v in values if v is not None]) | (column.isNull() if None in values else F.lit(False)))
     merged = materialise(upsert_frame(touched, new, keys, version), "upsert-out")
     (
         merged.write.mode("overwrite")

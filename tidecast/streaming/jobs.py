@@ -1,27 +1,26 @@
 """Incremental jobs on new files. Each runs under any trigger; ``run_available``
 processes what is there and stops.
 
-Event time must be a session-zone timestamp for watermarks, so zone-less hours are
-cast on the way in and back on the way out.
+Counts, errors and replay removal keep no streaming state and no watermark: every micro-batch
+stores what it adds, keyed by its number, and reads sum it up. Late rows count like any other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecast.functions.timeutil import hour_bucket
-from tidecast.names import ACTUAL, COUNT, HOUR, PREDICTED, ZONE
+from tidecast.names import ACTUAL, HOUR, PREDICTED, ZONE
 from tidecast.operators.quality import Rule, apply_rules, normalise_nan
-from tidecast.operators.windows import dedup
+from tidecast.sources.storage import materialise
 from tidecast.sources.writers import upsert
 
-DEFAULT_DELAY = "2 hours"
-
 
 def read_new_files(
     spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, files_per_trigger: int | None = None
@@ -52,73 +51,99 @@ def clean_stream(stream: DataFrame, rules: Sequence[Rule], fill: dict | None = N
     return apply_rules(out.na.fill(fill) if fill else out, rules)
 
 
-def hourly_count_stream(
-    stream: DataFrame, ts: str, zone: str = ZONE, delay: str = DEFAULT_DELAY, mode: str = "round"
-) -> DataFrame:
-    """Running counts per (hour, zone); state is dropped once the watermark passes the hour.
+def hour_cells(stream: DataFrame, ts: str, zone: str = ZONE, mode: str = "round") -> DataFrame:
+    """The (hour, zone) cell of every row: a stateless projection, whatever order rows arrive in."""
+    return stream.select(F.col(zone), hour_bucket(ts, mode).alias(HOUR))
+
+
+def absolute_errors(actuals: DataFrame, predictions: DataFrame, keys: Sequence[str] = (HOUR, ZONE)) -> DataFrame:
+    """Error of each measured value of a stream that a prediction table covers."""
+    joined = actuals.join(predictions, list(keys), "inner")
+    return joined.select(HOUR, F.abs(F.col(ACTUAL) - F.col(PREDICTED)).alias("error"))
+
+
+def partial_sink(path: str, keys: Sequence[str], sums: Mapping[str, Column], day: str = HOUR) -> Callable[[DataFrame, int], None]:
+    """Sums per key of each micro-batch, in a folder of its own below ``path``.
 
-    The bucketed hour itself is the event time, so rounding needs no window offsets.
+    Totals are the sums over all batches (:func:`totals`), so rows may come in any order and as late
+    as they like: nothing waits for a watermark and nothing is dropped. A replayed batch overwrites its
+    own folder. ``day`` is the timestamp whose date splits a batch's folder. A run that starts
+    without the old checkpoint must be given the same files per trigger, or another path.
     """
-    return (
-        stream.select(F.col(zone), hour_bucket(ts, mode).cast("timestamp").alias(HOUR))
-        .withWatermark(HOUR, delay)
-        .groupBy(HOUR, zone)
-        .agg(F.count(F.lit(1)).alias(COUNT))
-    )
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        partial = batch.groupBy(*keys).agg(*[F.sum(e).alias(name) for name, e in sums.items()])
+        partial.withColumn("day", F.to_date(day)).write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch_id}")
 
-def drop_replays(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Remove replayed rows whose copies arrive within the delay."""
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    return timed.dropDuplicatesWithinWatermark(list(keys)).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+    return write
 
 
-def hourly_error_stream(
-    actuals: DataFrame, predictions: DataFrame, delay: str = DEFAULT_DELAY, keys: Sequence[str] = (HOUR, ZONE)
-) -> DataFrame:
-    """Running MAE per hour of a stream of measured values against a prediction table."""
-    joined = actuals.join(predictions, list(keys), "inner")
-    return (
-        joined.withColumn(HOUR, F.col(HOUR).cast("timestamp"))
-        .withWatermark(HOUR, delay)
-        .groupBy(HOUR)
-        .agg(
-            F.avg(F.abs(F.col(ACTUAL) - F.col(PREDICTED))).alias("mae"),
-            F.count(F.lit(1)).alias("n"),
-        )
-    )
+def totals(spark: SparkSession, path: str, keys: Sequence[str], names: Sequence[str], days: Sequence | None = None) -> DataFrame:
+    """Current sums per key over all batches of :func:`partial_sink`, of some days only if given."""
+    parts = spark.read.parquet(path)
+    if days is not None:
+        parts = parts.where(F.col("day").isin(list(days)))
+    return parts.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
 
 
-def changelog_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink for update-mode results: one folder per micro-batch.
+def hourly_errors(spark: SparkSession, path: str) -> DataFrame:
+    """MAE and number of errors per hour from the partial sums of ``error`` and ``n``."""
+    return totals(spark, path, [HOUR], ["error", "n"]).select(HOUR, (F.col("error") / F.col("n")).alias("mae"), "n")
 
-    A replayed batch overwrites its own folder, so the sink is idempotent.
+
+def once_sink(path: str, keys: Sequence[str], ts: str) -> Callable[[DataFrame, int], None]:
+    """Append rows whose keys are not stored yet; copies of a row carry the same time.
+
+    Only the stored keys of the days in the batch are read. A replayed batch overwrites its own
+    folder and ignores what it wrote before, so nothing depends on how late a copy comes.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        rows = materialise(batch.dropDuplicates(list(keys)).withColumn("day", F.to_date(ts)), "once")
+        if _has_files(spark, path):
+            days = [r[0] for r in rows.select("day").distinct().collect()]
+            kept = spark.read.parquet(path).where(F.col("day").isin(days) & (F.col("batch") != batch_id))
+            rows = rows.join(kept.select(*keys), list(keys), "left_anti")
+        rows.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch_id}")
 
     return write
 
 
-def current_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Newest row per key of a change log, with hours back as zone-less timestamps."""
-    log = spark.read.parquet(path)
-    state = dedup(log, keys, [F.desc("batch")]).drop("batch")
-    return state.withColumns(
-        {f.name: F.col(f.name).cast("timestamp_ntz") for f in state.schema.fields if isinstance(f.dataType, T.TimestampType)}
-    )
+def changelog_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink for appended results: one folder per micro-batch, overwritten when the batch is replayed."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
 
 
-def upsert_sink(
-    path: str, keys: Sequence[str], partition: str, partition_value: Column
+def upsert_totals_sink(
+    path: str, log: str, keys: Sequence[str], sums: Mapping[str, Column], partition: str, day: str = HOUR
 ) -> Callable[[DataFrame, int], None]:
-    """Merge every micro-batch into a partitioned table; replaying a batch changes nothing."""
+    """Keep partial sums in ``log`` and merge the new totals of the touched keys into the table at ``path``.
+
+    The log is read for the days of the batch only. Replaying a batch changes nothing.
+    """
+    note = partial_sink(log, keys, sums, day)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumns(
-            {f.name: F.col(f.name).cast("timestamp_ntz") for f in batch.schema.fields if isinstance(f.dataType, T.TimestampType)}
-        )
-        upsert(batch.sparkSession, path, rows, keys, partition, partition_value)
+        spark = batch.sparkSession
+        note(batch, batch_id)
+        touched = materialise(batch.select(*keys).distinct(), "touched")
+        days = [r[0] for r in touched.select(F.to_date(day)).distinct().collect()]
+        if days:
+            new = totals(spark, log, keys, list(sums), days).join(touched, list(keys), "left_semi")
+            upsert(spark, path, new, keys, partition, F.to_date(day))
 
     return write
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise

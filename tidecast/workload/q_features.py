@@ -278,17 +278,16 @@ def st_ingest_clean(spark, sf):
 @query("st_hourly_counts", "SELECT hourly_timestamp, PULocationID, ride_count FROM counts")
 def st_hourly_counts(spark, sf):
     base = work_path(spark, "st-counts")
-    counts = jobs.hourly_count_stream(_pickup_stream(spark, sf), "pickup_ts")
-    jobs.run_available(counts, f"{base}/checkpoint", "update", jobs.changelog_sink(f"{base}/log"))
-    return jobs.current_state(spark, f"{base}/log", [HOUR, ZONE])
+    sink = jobs.partial_sink(f"{base}/log", [HOUR, ZONE], {COUNT: F.lit(1)})
+    jobs.run_available(jobs.hour_cells(_pickup_stream(spark, sf), "pickup_ts"), f"{base}/checkpoint", "append", sink)
+    return jobs.totals(spark, f"{base}/log", [HOUR, ZONE], [COUNT])
 
 
 @query("st_feature_upsert", "SELECT hourly_timestamp, PULocationID, ride_count FROM counts")
 def st_feature_upsert(spark, sf):
     base = work_path(spark, "st-store")
-    counts = jobs.hourly_count_stream(_pickup_stream(spark, sf), "pickup_ts")
-    sink = jobs.upsert_sink(f"{base}/store", [HOUR, ZONE], "day", F.to_date(HOUR))
-    jobs.run_available(counts, f"{base}/checkpoint", "update", sink)
+    sink = jobs.upsert_totals_sink(f"{base}/store", f"{base}/log", [HOUR, ZONE], {COUNT: F.lit(1)}, "day")
+    jobs.run_available(jobs.hour_cells(_pickup_stream(spark, sf), "pickup_ts"), f"{base}/checkpoint", "append", sink)
     return spark.read.parquet(f"{base}/store").drop("day")
 
 
@@ -296,9 +295,8 @@ def st_feature_upsert(spark, sf):
 def st_dedup(spark, sf):
     base = work_path(spark, "st-dedup")
     twice = _pickup_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    once = jobs.drop_replays(twice, ["event_id"], "pickup_ts")
-    jobs.run_available(once, f"{base}/checkpoint", "append", jobs.changelog_sink(f"{base}/table"))
-    return spark.read.parquet(f"{base}/table").drop("batch")
+    jobs.run_available(twice, f"{base}/checkpoint", "append", jobs.once_sink(f"{base}/table", ["event_id"], "pickup_ts"))
+    return spark.read.parquet(f"{base}/table").drop("batch", "day")
 
 
 @query(
@@ -311,9 +309,9 @@ def st_online_error(spark, sf):
     predictions = spark.read.parquet(f"{base}/actuals").select(HOUR, ZONE, F.lit(1).alias(PREDICTED))
     schema = spark.read.parquet(f"{base}/actuals").schema
     actuals = jobs.read_new_files(spark, f"{base}/actuals", schema)
-    errors = jobs.hourly_error_stream(actuals, predictions)
-    jobs.run_available(errors, f"{base}/checkpoint", "update", jobs.changelog_sink(f"{base}/log"))
-    return rounded(jobs.current_state(spark, f"{base}/log", [HOUR]), "mae")
+    sink = jobs.partial_sink(f"{base}/log", [HOUR], {"error": F.col("error"), "n": F.lit(1)})
+    jobs.run_available(jobs.absolute_errors(actuals, predictions), f"{base}/checkpoint", "append", sink)
+    return rounded(jobs.hourly_errors(spark, f"{base}/log"), "mae")
 
 
 # -- pipelines ----------------------------------------------------------------

@@ -116,7 +116,7 @@ def join_asof_backward(spark, sf):
     keys = v.zones(spark, sf).select(F.col("LocationID").alias(ZONE))
     grid = zone_hours(keys, *hour_span(p, "pickup_ts"))
     return asof_backward(
-        grid, p, [ZONE], HOUR, "pickup_ts", ["event_id", "amount", "vendor"], tie_break=["event_id"]
+        grid, p, [ZONE], HOUR, "pickup_ts", ["event_id", "amount", "vendor"], tie_break=["event_id"], left_grain="hour"
     ).na.fill({"event_id": -1})
 
 
@@ -146,12 +146,14 @@ def join_semi_zone_set(spark, sf):
 
 @query(
     "join_anti_missing",
-    "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)",
+    "SELECT PULocationID, hourly_timestamp FROM grid g WHERE NOT EXISTS (SELECT 1 FROM counts c"
+    " WHERE c.PULocationID = g.PULocationID AND c.hourly_timestamp = g.hourly_timestamp)",
 )
 def join_anti_missing(spark, sf):
-    sold = v.table(spark, sf, "lineitem").where("l_quantity >= 49")
-    parts = v.table(spark, sf, "part").select("p_partkey")
-    return j.keys_missing(parts, sold.select(F.col("l_partkey").alias("p_partkey")), "p_partkey")
+    p = v.pickups(spark, sf)
+    keys = v.zones(spark, sf).select(F.col("LocationID").alias(ZONE))
+    cells = zone_hours(keys, *hour_span(p, "pickup_ts"))
+    return j.keys_missing(cells, hourly_counts(p, "pickup_ts").select(ZONE, HOUR), [ZONE, HOUR])
 
 
 @query(
@@ -537,7 +539,7 @@ def win_bfill(spark, sf):
               0) AS seen FROM seen_series""",
 )
 def win_fill_chain(spark, sf):
-    return w.fill_chain(v.small_series(spark, sf), {"seen": 0.0})
+    return w.fill_chain(v.small_series(spark, sf), {"seen": 0.0}, block="month")
 
 
 @query("win_ffill_hour_dim", "SELECT * FROM weather")
@@ -569,7 +571,7 @@ def win_resample_hourly(spark, sf):
               LEFT JOIN n q ON q.PULocationID = e.PULocationID AND q.rn = e.nr""",
 )
 def win_interpolate(spark, sf):
-    return rounded(w.interpolate(v.small_series(spark, sf), ["seen"]), "seen")
+    return rounded(w.interpolate(v.small_series(spark, sf), ["seen"], block="month"), "seen")
 
 
 @query(
@@ -657,12 +659,11 @@ def set_union(spark, sf):
 
 @query(
     "set_difference",
-    "SELECT p_partkey AS partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_discount > 0.09",
+    "SELECT CAST(o_orderdate AS DATE) AS day FROM orders EXCEPT SELECT CAST(l_shipdate AS DATE) FROM lineitem",
 )
 def set_difference(spark, sf):
-    p = v.table(spark, sf, "part").select(F.col("p_partkey").alias("partkey"))
-    li = v.table(spark, sf, "lineitem").where("l_discount > 0.09")
-    return p.subtract(li.select("l_partkey"))
+    ordered = v.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day"))
+    return ordered.subtract(v.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day")))
 
 
 @query(
