@@ -142,14 +142,18 @@ def us_holidays(df: DataFrame, first: str, last: str, include_actual: bool = Fal
     ).where(is_us_holiday("holiday", include_actual))
 
 
-def calendar_features(ts: str) -> dict[str, Column]:
-    """Calendar columns of an hour key, all computed from the key itself."""
+def calendar_features(ts: str, include_actual: bool = True) -> dict[str, Column]:
+    """Calendar columns of an hour key, all computed from the key itself.
+
+    A holiday moved from a weekend counts on both dates; ``include_actual=False`` keeps
+    the observed one only.
+    """
     return {
         "hour_of_day": F.hour(ts),
         "day_of_week": week_day(ts),
         "day_of_month": F.day(ts),
         "is_weekend": weekend_flag(ts),
-        "is_holiday": is_us_holiday(ts).cast("int"),
+        "is_holiday": is_us_holiday(ts, include_actual).cast("int"),
         "is_rush_hour": rush_hour_flag(ts),
     }
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param.shared import HasInputCol, HasPredictionCol
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -99,6 +99,13 @@ def pipeline(features: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=[assembler(features), estimator])
 
 
+def encoded_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A sparse 0/1 vector ``<column>_levels`` per category, every level kept and none refused."""
+    places, vectors = [f"{c}_place" for c in columns], [f"{c}_levels" for c in columns]
+    indexed = StringIndexer(inputCols=list(columns), outputCols=places, stringOrderType="alphabetAsc").fit(df).transform(df)
+    return OneHotEncoder(inputCols=places, outputCols=vectors, dropLast=False).fit(indexed).transform(indexed).drop(*places)
+
+
 IMPORTANCE = struct("rank int, feature string, importance double")
 
 

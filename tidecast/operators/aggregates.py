@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.fixed_values import DRIFT_RATIO
@@ -144,48 +144,26 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
     )
 
 
-def density(df: DataFrame, column: str, points: int = 100, bins: int = 512) -> DataFrame:
-    """Gaussian density curve ``(point, x, density)`` with Scott's bandwidth.
+def density(df: DataFrame, column: str, points: int = 100, by: Sequence[str] = ()) -> DataFrame:
+    """Gaussian density curve ``(*by, point, x, density)`` with Scott's bandwidth, one curve per key.
 
-    The column is first reduced to at most ``bins`` (centre, count) pairs, so the
-    kernel sum works on one bounded array whatever the number of rows.
+    The kernel is summed over the exact values: equal values are counted first, then each
+    distinct one adds its part to every point, combined map-side to one row per key, point and task.
     """
-    data = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    stats = data.agg(
-        F.struct(
-            F.min("v").alias("lo"),
-            F.max("v").alias("hi"),
-            F.count("v").alias("n"),
-            F.stddev_samp("v").alias("sd"),
-        )
-    ).scalar()
-    low, high = stats.getField("lo"), stats.getField("hi")
-    binned = (
-        data.select(_bin_of(F.col("v"), low, high, bins).alias("bin"))
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    width = (F.col("hi") - F.col("lo")) / bins
-    table = binned.agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins")).select(
-        "bins",
-        low.alias("lo"),
-        high.alias("hi"),
-        stats.getField("n").alias("n"),
-        (F.pow(stats.getField("n"), F.lit(-0.2)) * stats.getField("sd")).alias("h"),
-    )
-    grid = table.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    ).withColumn("x", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / (points - 1))
-
-    def kernel(acc, b):
-        centre = F.col("lo") + (b["bin"] + 0.5) * width
-        z = F.try_divide(F.col("x") - centre, F.col("h"))
-        return acc + b["n"] * F.exp(z * z * -0.5)
-
-    total = F.aggregate("bins", F.lit(0.0), kernel)
-    return grid.select(
-        "point", "x", F.try_divide(total, F.col("n") * F.col("h") * F.sqrt(2 * F.pi())).alias("density")
-    )
+    keys = list(by) or ["__all"]
+    data = df.withColumn("__all", F.lit(0)).select(*keys, F.col(column).cast("double").alias("v")).where("v is not null")
+    counted = data.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
+    stats = data.groupBy(*keys).agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n"), F.stddev_samp("v").alias("sd")
+    )
+    table = stats.select(*keys, "lo", "hi", "n", (F.pow("n", F.lit(-0.2)) * F.col("sd")).alias("h"))
+    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    x = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / (points - 1)
+    parts = counted.join(table, keys).select("*", grid).withColumn("x", x)
+    z = F.try_divide(F.col("x") - F.col("v"), F.col("h"))
+    sums = parts.groupBy(*keys, "point", "x", "n", "h").agg(F.sum(F.col("c") * F.exp(z * z * -0.5)).alias("s"))
+    curve = F.try_divide("s", F.col("n") * F.col("h") * F.sqrt(2 * F.pi()))
+    return sums.select(*by, "point", "x", curve.alias("density"))
 
 
 def population_shift(df: DataFrame, column: str, is_current: Column, bins: int = 10) -> DataFrame:
@@ -210,12 +188,11 @@ def population_shift(df: DataFrame, column: str, is_current: Column, bins: int =
     per_bin = data.groupBy(bin_no.alias("bin")).agg(
         F.count_if(~F.col("cur")).alias("base_n"), F.count_if("cur").alias("current_n")
     )
-    totals = data.agg(
-        F.struct(F.count_if(~F.col("cur")).alias("b"), F.count_if("cur").alias("c"))
-    ).scalar()
+    # one row per bin: this window is as long as the list of bins
+    everything = Window.partitionBy()
     floor_share = F.lit(1e-6)
-    p = F.greatest(F.try_divide("base_n", totals.getField("b")), floor_share)
-    q = F.greatest(F.try_divide("current_n", totals.getField("c")), floor_share)
+    p = F.greatest(F.try_divide("base_n", F.sum("base_n").over(everything)), floor_share)
+    q = F.greatest(F.try_divide("current_n", F.sum("current_n").over(everything)), floor_share)
     return per_bin.select("bin", "base_n", "current_n", ((q - p) * F.ln(q / p)).alias("psi"))
 
 
@@ -251,11 +228,3 @@ def one_hot(df: DataFrame, column: str, levels: Sequence[str]) -> DataFrame:
         *[c for c in df.columns if c != column],
         *[F.coalesce(F.col(column) == v, F.lit(False)).cast("int").alias(f"{column}_{v}") for v in levels],
     )
-
-
-def levels_of(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
-    """Distinct levels of a category, refused beyond ``limit``: each becomes a column."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} levels")
-    return sorted(r[0] for r in rows)

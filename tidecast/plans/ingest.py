@@ -16,6 +16,7 @@ from tidecast.functions.fixed_values import (
     VENDOR_CODES,
 )
 from tidecast.operators.quality import (
+    drop_all_null,
     apply_rules,
     between_ts,
     impute_median,
@@ -23,6 +24,7 @@ from tidecast.operators.quality import (
     normalise_nan,
     quality_funnel,
 )
+from tidecast.sources.contracts import downcast
 
 # role -> column of the published trip files
 TRIP_COLUMNS = {
@@ -95,12 +97,22 @@ def clean_trips(
     columns: Mapping[str, str] = TRIP_COLUMNS,
     closed: str = "both",
     exact_medians: bool = True,
+    drop_empty: bool = False,
+    narrow: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Rows that satisfy every rule, with NULLs imputed by medians of the rows that
-    satisfy the rules before imputation."""
+    satisfy the rules before imputation.
+
+    ``drop_empty`` drops columns without a single value (one more aggregate, as the schema then
+    depends on the data); ``narrow`` casts columns to smaller types, after imputation and before the
+    range rules.
+    """
     c = columns
+    if drop_empty:
+        trips = drop_all_null(trips)
     _, basis, fill = _prepare(trips, zones, zone_key, c, start, end, closed, exact_medians)
-    return apply_rules(fill(basis), value_rules(c)).drop("__zone_ok")
+    filled = downcast(fill(basis), narrow) if narrow else fill(basis)
+    return apply_rules(filled, value_rules(c)).drop("__zone_ok")
 
 
 def cleaning_funnel(

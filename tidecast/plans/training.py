@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,13 +53,19 @@ def train(
     trained_at: str = "",
     created: int = 0,
     parallelism: int = 2,
+    estimator: Estimator | None = None,
+    fold_mode: str = "chronological",
 ) -> TrainingResult:
-    """Split by time, tune on the training side in two stages, refit, evaluate, register, log."""
+    """Split by time, tune on the training side in two stages, refit, evaluate, register, log.
+
+    ``estimator`` is the boosting variant to tune (absolute loss by default, see ``learning.models`` for the
+    others); ``fold_mode`` is ``chronological`` or ``positional``.
+    """
     spark = df.sparkSession
     train_side, test_side = split_by_time(df, cut)
-    folds = training_table(train_side, features, n_folds)
+    folds = training_table(train_side, features, n_folds, fold_mode)
     vectors = models.checked_matrix(folds, features).select(models.FEATURES, TARGET, "fold")
-    estimator = models.gbt_absolute()
+    estimator = estimator or models.gbt_absolute()
     first = first or {estimator.maxIter: 200, estimator.maxDepth: 6}
     second = second or [
         {estimator.maxIter: i, estimator.maxDepth: d, estimator.subsamplingRate: s, estimator.minInstancesPerNode: m}

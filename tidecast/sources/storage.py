@@ -1,12 +1,13 @@
 """Shared working folders.
 
 On a cluster the session names a shared folder in ``spark.checkpoint.dir``; every
-intermediate table goes below it. Only where the setting is absent (tests on one
-machine) a temporary folder is created.
+intermediate table goes below it. Only where the setting is absent on one machine
+(tests) a temporary folder is created; a cluster without the setting is refused.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,11 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not re.fullmatch(r"local(\[[^\[\]]*\])?", master):
+        raise RuntimeError(
+            f"spark.checkpoint.dir is not set; on {master} it must name a folder that all executors share"
+        )
     if not _fallback:
         _fallback.append(tempfile.mkdtemp(prefix="tidecast-"))
     return _fallback[0]

@@ -13,8 +13,8 @@ def nearest_hour(ts: str) -> str:
     )
 
 
-def holiday(day: str) -> str:
-    """Federal holiday test of a date, by month-day text and weekday rules."""
+def holiday(day: str, actual: bool = False) -> str:
+    """Federal holiday test of a date, by month-day text and weekday rules; ``actual`` adds unmoved dates."""
 
     def fixed(d):
         return (
@@ -34,6 +34,7 @@ def holiday(day: str) -> str:
       OR (isodow({d}) <= 5 AND {fixed(d)})
       OR (isodow({d}) = 5 AND {fixed(after)})
       OR (isodow({d}) = 1 AND {fixed(before)})
+      {f"OR {fixed(d)}" if actual else ""}
     )"""
 
 
@@ -42,7 +43,7 @@ CALENDAR = f"""
   CAST(isodow(hourly_timestamp) - 1 AS INTEGER) AS day_of_week,
   CAST(day(hourly_timestamp) AS INTEGER) AS day_of_month,
   CAST(isodow(hourly_timestamp) >= 6 AS INTEGER) AS is_weekend,
-  CAST({holiday('hourly_timestamp')} AS INTEGER) AS is_holiday,
+  CAST({holiday('hourly_timestamp', actual=True)} AS INTEGER) AS is_holiday,
   CAST(isodow(hourly_timestamp) < 6 AND hour(hourly_timestamp) IN (7,8,9,16,17,18,19) AS INTEGER) AS is_rush_hour
 """
 

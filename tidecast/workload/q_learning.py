@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.scalars import bucket_label, flag
@@ -142,7 +143,7 @@ _FITS = {
     "ml_gbt_absolute": lambda: models.gbt_absolute(**QUICK),
     "ml_gbt_leafmin": lambda: models.gbt_leafmin(**QUICK, minInstancesPerNode=50),
     "ml_gbt_squared": lambda: models.gbt_squared(maxIter=20),
-    "ml_tree": lambda: models.tree(maxDepth=5),
+    "ml_tree": lambda: models.tree(),
     "ml_forest": lambda: models.forest(numTrees=20, maxDepth=8),
 }
 for _name, _make in _FITS.items():
@@ -159,16 +160,28 @@ def ml_timeseries_cv_gbt(spark, sf):
         folds.unpersist()
 
 
-@query("ml_depth_sweep")
+DEPTHS = (1, 2, 5, 8, 10, 15, 20, 30)
+
+
+@query(
+    "ml_depth_sweep",
+    f"""SELECT CAST(depth AS INTEGER) AS depth, side, n, CAST(CASE side WHEN 'train' THEN 1 ELSE -1 END AS INTEGER) AS fits_no_worse
+        FROM (SELECT unnest({list(DEPTHS)}) AS depth), (SELECT {SIDE_SQL} AS side, count(*) AS n FROM dataset GROUP BY 1)""",
+)
 def ml_depth_sweep(spark, sf):
-    train, test = _vectors(spark, sf)
-    out = None
-    for depth in (2, 5, 8):
-        row = validation.evaluate(models.tree(maxDepth=depth).fit(train), train, test).select(
-            F.lit(depth).alias("depth"), "side", "rmse"
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Errors of trees of growing depth; on the training side none may be worse than the one before."""
+    train, test = (side.persist() for side in _vectors(spark, sf))
+    rows, before = [], None
+    try:
+        for depth in DEPTHS:
+            scores = validation.evaluate(models.tree(maxDepth=depth).fit(train), train, test).collect()
+            now = next(r["mse"] for r in scores if r["side"] == "train")
+            worse = int(before is None or now <= before + 1e-9)
+            rows += [(depth, r["side"], r["n"], worse if r["side"] == "train" else -1) for r in scores]
+            before = now
+    finally:
+        train.unpersist(), test.unpersist()
+    return spark.createDataFrame(rows, "depth int, side string, n long, fits_no_worse int")
 
 
 @query("ml_two_stage_grid")
@@ -206,10 +219,21 @@ def ml_random_search(spark, sf):
     return spark.createDataFrame(rows, "params string, rmse double")
 
 
-@query("ml_importance")
+def _importance_checks(table):
+    """How many features, whether their importances sum to one, and whether the ranks follow them."""
+    later = Window.partitionBy().orderBy("rank")  # one row per feature
+    falls = F.coalesce(F.col("importance") <= F.lag("importance").over(later), F.lit(True))
+    checked = table.withColumn("falls", falls)
+    return checked.agg(
+        F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.countDistinct("feature").alias("n_names"), F.min(F.col("falls").cast("int")).alias("ranked"),
+    )
+
+
+@query("ml_importance", f"SELECT {len(DATASET_FEATURES)}::BIGINT AS n_features, 1.0::DOUBLE AS total, {len(DATASET_FEATURES)}::BIGINT AS n_names, 1 AS ranked")
 def ml_importance(spark, sf):
     train, _ = _vectors(spark, sf)
-    return models.importance_table(spark, models.tree().fit(train), DATASET_FEATURES)
+    return _importance_checks(models.importance_table(spark, models.tree().fit(train), DATASET_FEATURES))
 
 
 @query("top_k_importance")
@@ -273,14 +297,11 @@ def _fare_vectors(spark, sf):
     numeric = ["transaction_month", "transaction_day", "transaction_hour", "transaction_week_day", "weekend", "is_holiday"]
     numeric += WEATHER_COLUMNS
     saved = materialise(e.select("pu_zone", "Borough", "transaction_date", *numeric, "total_amount"), "fares")
-    names = []
-    for column in ("pu_zone", "Borough"):
-        levels = a.levels_of(saved, column)
-        names += [f"{column}_{x}" for x in levels]
-        saved = a.one_hot(saved.withColumn(f"{column}_key", F.col(column)), column, levels)
-    keyed = saved.withColumn(TARGET, F.col("total_amount"))
-    vectors = models.assembler(numeric + names).transform(keyed)
-    return search.split_random(vectors, ["pu_zone_key", "transaction_date", "transaction_hour"])
+    # sparse 0/1 vectors of all levels, however many there are
+    keyed = saved.withColumn(TARGET, F.col("total_amount")).na.fill("", subset=["pu_zone", "Borough"])
+    encoded = models.encoded_levels(keyed, ["pu_zone", "Borough"])
+    vectors = models.assembler([*numeric, "pu_zone_levels", "Borough_levels"]).transform(encoded)
+    return search.split_random(vectors, ["pu_zone", "transaction_date", "transaction_hour"])
 
 
 @query("ml_forest_classifier")
@@ -305,30 +326,32 @@ def pl_fare_model(spark, sf):
     return out
 
 
-@query("pl_train")
+@query(
+    "pl_train",
+    f"""SELECT m.model_name, m.fold_mode, (SELECT count(*) FROM dataset WHERE hourly_timestamp <= TIMESTAMP '{CUT}') AS training_data_size,
+               {len(DATASET_FEATURES)} AS feature_count, 2 AS cv_folds, 4 AS trials, 1 AS best_is_least, 1 AS version
+        FROM (VALUES ('demand_absolute', 'chronological'), ('demand_leafmin', 'positional')) AS m(model_name, fold_mode)""",
+)
 def pl_train(spark, sf):
-    root = work_path(spark, "train")
-    result = training.train(
-        v.dataset(spark, sf),
-        DATASET_FEATURES,
-        ntz(CUT),
-        root,
-        "demand",
-        rates=(0.3, 0.5),
-        first={"maxIter": 3, "maxDepth": 4},
-        second=[{"maxIter": 3, "maxDepth": d} for d in (3, 5)],
-        n_folds=2,
-        trained_at="2024-01-31T00:00:00",
-        created=1,
-    )
-    return result.metadata.select(
-        "model_name",
-        "training_data_size",
-        "feature_count",
-        F.col("metrics.test_mae").alias("test_mae"),
-        F.col("cross_validation.cv_mae_mean").alias("cv_mae_mean"),
-        F.lit(result.version).alias("version"),
-    )
+    """Both boosting variants, searched over a small space: SQL checks sizes, trials and the choice."""
+    root, data = work_path(spark, "train"), v.stored_dataset(spark, sf)
+    out = None
+    for name, make, mode in (
+        ("demand_absolute", models.gbt_absolute, "chronological"), ("demand_leafmin", models.gbt_leafmin, "positional"),
+    ):
+        result = training.train(
+            data, DATASET_FEATURES, ntz(CUT), root, name, rates=(0.3, 0.5), first={"maxIter": 3, "maxDepth": 4},
+            second=[{"maxIter": 3, "maxDepth": d} for d in (3, 5)], n_folds=2, trained_at="2024-01-31T00:00:00", created=1,
+            estimator=make(), fold_mode=mode,
+        )
+        least = min(t.cv_mae_mean for t in result.trials)
+        row = result.metadata.select(
+            "model_name", F.lit(mode).alias("fold_mode"), "training_data_size", "feature_count",
+            F.col("cross_validation.cv_folds").cast("int").alias("cv_folds"), F.lit(len(result.trials)).alias("trials"),
+            F.lit(int(result.best.cv_mae_mean <= least + 1e-12)).alias("best_is_least"), F.lit(result.version).alias("version"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @query(

@@ -399,22 +399,27 @@ def agg_histogram(spark, sf):
     return a.histogram(v.trips(spark, sf), "total_amount", 60)
 
 
-@query(
-    "agg_density",
-    """WITH s AS (SELECT min(absolute_error) AS lo, max(absolute_error) AS hi, count(absolute_error) AS n,
-                         stddev_samp(absolute_error) * pow(count(absolute_error), -0.2) AS h FROM errors),
-       b AS (SELECT least(floor((absolute_error - lo) * 512 / (hi - lo)), 511) AS bin, count(*) AS c
-             FROM errors, s GROUP BY 1),
-       g AS (SELECT CAST(i AS INTEGER) AS point, lo + (hi - lo) * i / 99 AS x FROM s, range(100) t(i))
-       SELECT point, round(x, 6) AS x,
-              round(sum(c * exp(-0.5 * pow((x - (lo + (bin + 0.5) * (hi - lo) / 512)) / h, 2)))
-                    / (max(n) * max(h) * sqrt(2 * pi())), 6) AS density
-       FROM g, b, s GROUP BY point, x""",
-)
+def _density_sql(by: str) -> str:
+    keys, using = (f"{by}, ", f"USING ({by})") if by else ("", "ON true")
+    grouped = f"GROUP BY {by}" if by else ""
+    return f"""WITH s AS (SELECT {keys}min(absolute_error) AS lo, max(absolute_error) AS hi, count(absolute_error) AS n,
+                         stddev_samp(absolute_error) * pow(count(absolute_error), -0.2) AS h FROM errors {grouped}),
+       g AS (SELECT s.*, CAST(i AS INTEGER) AS point, lo + (hi - lo) * i / 99 AS x FROM s, range(100) t(i))
+       SELECT {keys}point, round(x, 6) AS x,
+              round(sum(exp(-0.5 * pow((x - absolute_error) / h, 2))) / (max(n) * max(h) * sqrt(2 * pi())), 6) AS density
+       FROM g JOIN errors {using} GROUP BY {keys}point, x"""
+
+
+@query("agg_density", _density_sql(""))
 def agg_density(spark, sf):
     return rounded(a.density(v.stored_errors(spark, sf), "absolute_error"), "x", "density")
 
 
+@query("agg_density_by_zone", _density_sql("PULocationID"))
+def agg_density_by_zone(spark, sf):
+    return rounded(a.density(v.stored_errors(spark, sf), "absolute_error", by=[ZONE]), "x", "density")
+
+
 @query(
     "agg_cv_summary",
     """WITH f AS (SELECT PULocationID, avg(absolute_error) AS score FROM errors GROUP BY PULocationID)

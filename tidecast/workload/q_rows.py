@@ -8,7 +8,7 @@ from tidecast.functions import scalars as S
 from tidecast.functions import timeutil as t
 from tidecast.names import HOUR, ZONE
 from tidecast.operators import quality as q
-from tidecast.operators.aggregates import levels_of, one_hot
+from tidecast.operators.aggregates import one_hot
 from tidecast.operators.grid import hour_span, hour_spine
 from tidecast.operators.joins import keys_in
 from tidecast.plans.features import interact
@@ -194,7 +194,7 @@ def prj_round_half_even(spark, sf):
 )
 def prj_one_hot(spark, sf):
     o = v.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    return one_hot(o, "o_orderstatus", levels_of(o, "o_orderstatus"))
+    return one_hot(o, "o_orderstatus", ["F", "O", "P"])
 
 
 @query(
@@ -387,11 +387,14 @@ def dq_funnel(spark, sf):
 @query(
     "dq_clean_trips",
     f"WITH basis AS ({BASIS_SQL}), filled AS ({FILLED_SQL} basis) "
-    "SELECT * FROM filled WHERE " + " AND ".join(s for _, s in STEPS[4:]),
+    "SELECT * REPLACE (CAST(passenger_count AS FLOAT) AS passenger_count, CAST(trip_distance AS FLOAT) AS trip_distance) "
+    "FROM filled WHERE " + " AND ".join(s for _, s in STEPS[4:]),
 )
 def dq_clean_trips(spark, sf):
+    trips = v.trips(spark, sf).withColumn("airport_fee", F.lit(None).cast("double"))
     return clean_trips(
-        v.trips(spark, sf), v.home_zones(spark, sf), "LocationID", ntz(TRIP_START), ntz(TRIP_END), v.TRIP_ROLES
+        trips, v.home_zones(spark, sf), "LocationID", ntz(TRIP_START), ntz(TRIP_END), v.TRIP_ROLES,
+        drop_empty=True, narrow={"passenger_count": "float", "trip_distance": "float"},
     )
 
 
@@ -535,13 +538,14 @@ def fn_weekend_flag(spark, sf):
 
 @query(
     "fn_holiday_calendar",
-    f"""SELECT CAST(d AS DATE) AS holiday FROM (
+    f"""SELECT CAST(d AS DATE) AS holiday, CAST({holiday('d')} AS INTEGER) AS observed FROM (
           SELECT unnest(generate_series((SELECT min(o_orderdate)::DATE FROM orders)::TIMESTAMP,
                                         (SELECT max(o_orderdate)::DATE FROM orders)::TIMESTAMP, INTERVAL 1 DAY)) AS d)
-        WHERE {holiday('d')}""",
+        WHERE {holiday('d', actual=True)}""",
 )
 def fn_holiday_calendar(spark, sf):
-    return t.us_holidays(v.table(spark, sf, "orders"), "o_orderdate", "o_orderdate")
+    both = t.us_holidays(v.table(spark, sf, "orders"), "o_orderdate", "o_orderdate", include_actual=True)
+    return both.withColumn("observed", t.is_us_holiday("holiday").cast("int"))
 
 
 @query("fn_parse_ts", "SELECT event_id, date_trunc('minute', ts)::TIMESTAMP AS parsed FROM events")
