@@ -1,6 +1,8 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+
 import corpus_pipeline
 from tests_llm_helpers import components_of, words_of
 from tidecast.llm import language, packing, passages, simhash
@@ -80,18 +82,27 @@ def test_few_or_no_texts(make_docs):
     assert passages.repeated_passages(make_docs([(1, "x")]).where("false")).count() == 0
 
 
-def test_alone_comparisons_find_every_partner():
-    import numpy as np
-
+def test_dealing_out_by_runs_finds_every_partner():
     rng = np.random.default_rng(0)
-    base = rng.integers(1, 60_000, passages.BEFORE + passages.AFTER).astype("<u2")
-    rows = np.stack([base] * 30 + [rng.integers(1, 60_000, len(base)).astype("<u2") for _ in range(30)])
-    limit = passages.EXACT_LIMIT
-    for cut in (limit, 10):
-        passages.EXACT_LIMIT = cut
-        found = {i for i, *_ in passages.compared(np.arange(60), rows, 0.8)}
-        assert found == set(range(30))
-    passages.EXACT_LIMIT = limit
+    width = passages.BEFORE + passages.AFTER
+    draw = lambda: rng.integers(1, 60_000, width).astype("<u2")
+    base = [draw() for _ in range(4)]
+    rows = [draw() for _ in range(40)]
+    for _ in range(160):
+        row = base[rng.integers(4)].copy()
+        low = int(rng.integers(0, passages.BEFORE))  # another text around a stretch of 50 to 60 words
+        high = min(width, low + int(rng.integers(46, 62)))
+        row[:low], row[high:] = draw()[:low], draw()[high:]
+        for at in rng.integers(0, width, size=int(rng.integers(0, 3))):
+            if not passages.BEFORE <= at < passages.BEFORE + passages.SHINGLE:
+                row[at] = rng.integers(1, 60_000)
+        rows.append(row)
+    rows, docs = np.stack(rows), np.arange(200)
+    want = set()
+    for i in docs:
+        _, end = passages.paragraphs_alike(rows, rows[i], 0.8)
+        want |= {int(i)} if (np.delete(end, i) >= 0).any() else set()
+    assert {i for i, *_ in passages.compared(docs, rows, 0.8)} == want and 60 < len(want) < 190
 
 
 def test_pipeline_stages_one_by_one(spark, table):

@@ -121,6 +121,24 @@ def word_counts(train: DataFrame) -> DataFrame:
     return map_task(train.select("text"), run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def head_of(counts: DataFrame, most: int) -> tuple[list[bytes], list[int]]:
+    """The most frequent words, down to a count that no more than ``most`` words reach; by count, then word.
+
+    The border is found from how many words have each count, so no task ever sorts the words.
+    """
+    steps = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(most).collect()
+    border, taken = None, 0
+    for n, words in steps:
+        taken += words
+        if taken > most:
+            break
+        border = n
+    if border is None:
+        return [], []
+    rows = sorted(counts.where(F.col("n") >= border).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
+    return [bytes(r["word"]) for r in rows], [r["n"] for r in rows]
+
+
 def feature_counts(train: DataFrame, lexicon) -> DataFrame:
     """``k, n``: how often each (context, class) and (previous token, word) occurs in all texts."""
 
@@ -374,9 +392,8 @@ def scores(docs: DataFrame, parts: int = HOLD_OUT_PARTS, head_words: int = HEAD_
     ends = train.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     train_tokens, types = total + ends, distinct + (ends > 0)
-    head = counts.orderBy(F.desc("n"), "word").limit(head_words).toPandas()
-    words = [bytes(w) for w in head["word"]]
-    lexicon = spark.sparkContext.broadcast((words, head["n"].tolist(), ends))
+    words, numbers = head_of(counts, head_words)
+    lexicon = spark.sparkContext.broadcast((words, numbers, ends))
     modelled = words[: MODEL_WORDS - 1]
 
     table = feature_counts(train, lexicon).repartition(PARTS, F.shiftright("k", 6)).sortWithinPartitions("k")
@@ -387,7 +404,7 @@ def scores(docs: DataFrame, parts: int = HOLD_OUT_PARTS, head_words: int = HEAD_
     mass = np.full(TAIL_CLASSES, 0.5)
     for number, value in counts.groupBy(tail.alias("tail")).agg(F.sum(F.col("n") + 0.5)).collect():
         mass[number] += float(value)
-    for w, n in zip(modelled, head["n"].tolist()):
+    for w, n in zip(modelled, numbers):
         mass[tail_class(w)] -= n + 0.5
     shared = spark.sparkContext.broadcast((weights.plain(), np.log10(mass)))
 

@@ -34,7 +34,7 @@ STEP_WORDS = 1 << 20
 #: Occurrences of a shingle compared with each other in one task; more are dealt out and meet again
 #: through the first of each cluster.
 GROUP_LIMIT = 20_000
-EXACT_LIMIT = 600
+EXACT_LIMIT = 64
 NO_ID = -(2**63)
 IN_PARAGRAPH = WORDS - SHINGLE + 1
 #: Words kept before and after the first word of a shared shingle.
@@ -163,45 +163,88 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return len(one & two) / len(one | two)
 
 
-def compared(docs: np.ndarray, rows: np.ndarray, similarity: float):
-    """Clusters of the occurrences of one shingle: (member, leader, first, last) of verified stretches.
+def run_keys(rows: np.ndarray) -> list[np.ndarray]:
+    """Hashes of 20-word runs, of which two texts with an alike paragraph here share at least one; 0: not in the text.
 
-    Few occurrences are all compared with each other. Of many, each is compared with the leaders (the
-    first of each cluster so far), then those left alone with all others: whatever has a partner gets one.
+    An alike paragraph has at most five shingles that differ, so its equal words form at most two runs, one
+    of 25 words or more. If the shared shingle stands in that run, 15 more words in steps of five to either side
+    are equal; if not, some 20 words that begin a multiple of five before or after it are.
     """
-    n = len(docs)
-    parent, first, last = np.arange(n), np.full(n, 10**6), np.full(n, -1)
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            i = parent[i]
+    spans = [(-5 * k, 20 - 5 * k) for k in range(4)]
+    spans += [(at, at + 20) for k in range(1, 6) for at in (SHINGLE + 5 * k, -20 - 5 * k) if -BEFORE <= at and at + 20 <= AFTER]
+    keys = []
+    for low, high in spans:
+        part = rows[:, BEFORE + low : BEFORE + high]
+        with np.errstate(over="ignore"):
+            key = np.zeros(len(rows), dtype=np.uint64)
+            for j in range(part.shape[1]):
+                key = key * np.uint64(0x9E3779B97F4A7C15) + part[:, j].astype(np.uint64) + np.uint64(1)
+                key ^= key >> np.uint64(31)
+        keys.append(np.where((part != 0).all(axis=1), key, np.uint64(0)))
+    return keys
+
+
+class Clusters:
+    """Occurrences of one shingle, joined where a paragraph around them is alike."""
+
+    def __init__(self, docs: np.ndarray, rows: np.ndarray, similarity: float) -> None:
+        self.docs, self.rows, self.similarity = docs, rows, similarity
+        self.parent, self.first, self.last = np.arange(len(docs)), np.full(len(docs), 10**6), np.full(len(docs), -1)
+
+    def root(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
         return i
 
-    def join(i: int, others: np.ndarray) -> None:
-        others = others[docs[others] != docs[i]]
-        if not len(others):
+    def join(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Compare one occurrence with others of other documents; which of ``others`` are alike."""
+        alike = np.zeros(len(others), dtype=bool)
+        foreign = np.flatnonzero(self.docs[others] != self.docs[i])
+        if len(foreign):
+            start, end = paragraphs_alike(self.rows[others[foreign]], self.rows[i], self.similarity)
+            hit = foreign[end >= 0]
+            alike[hit] = True
+            for j, x, y in zip(others[hit].tolist(), start[end >= 0].tolist(), end[end >= 0].tolist(), strict=True):
+                for k in (i, j):
+                    self.first[k], self.last[k] = min(self.first[k], x), max(self.last[k], y)
+                p, q = self.root(i), self.root(j)
+                if p != q:
+                    self.parent[max(p, q)] = min(p, q)
+        return alike
+
+    def compare(self, some: np.ndarray) -> None:
+        """Few are all compared. Of many, each with the leaders (the first of each cluster so far), and those
+        left alone with all others: whatever has a partner gets one."""
+        if len(some) <= EXACT_LIMIT:
+            for k in range(len(some) - 1):
+                self.join(int(some[k]), some[k + 1 :])
             return
-        a, b = paragraphs_alike(rows[others], rows[i], similarity)
-        hit = b >= 0
-        for j, x, y in zip(others[hit].tolist(), a[hit].tolist(), b[hit].tolist(), strict=True):
-            for k in (i, j):
-                first[k], last[k] = min(first[k], x), max(last[k], y)
-            p, q = root(i), root(j)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-
-    if n <= EXACT_LIMIT:
-        for i in range(n - 1):
-            join(i, np.arange(i + 1, n))
-    else:
-        left = np.arange(n)
+        left = some
         while len(left):
-            join(int(left[0]), left[1:])
-            left = left[1:][last[left[1:]] < 0]
-        for i in np.flatnonzero(last < 0).tolist():
-            join(i, np.flatnonzero(np.arange(n) != i))
-    for i in np.flatnonzero(last >= 0).tolist():
-        yield i, root(i), int(first[i]), int(last[i])
+            alike = self.join(int(left[0]), left[1:])
+            left = left[1:][~alike]
+        for i in some[self.last[some] < 0].tolist():
+            self.join(i, some[some != i])
+
+
+def compared(docs: np.ndarray, rows: np.ndarray, similarity: float):
+    """Clusters of the occurrences of one shingle: (member, leader, start, end) of verified stretches.
+
+    More than EXACT_LIMIT occurrences are first dealt out by runs of words that alike ones must share.
+    """
+    clusters, everything = Clusters(docs, rows, similarity), np.arange(len(docs))
+    if len(docs) <= EXACT_LIMIT:
+        clusters.compare(everything)
+    else:
+        for key in run_keys(rows):
+            order = np.argsort(key, kind="stable")
+            edges = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1], [True])))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if b - a > 1 and key[order[a]]:
+                    clusters.compare(order[a:b])
+    for i in np.flatnonzero(clusters.last >= 0).tolist():
+        yield i, clusters.root(i), int(clusters.first[i]), int(clusters.last[i])
 
 
 def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
