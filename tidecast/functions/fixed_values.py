@@ -9,7 +9,6 @@ WEEKEND_DAYS = [5, 6]
 # -- fixed values: zones ----------------------------------------------------
 DOWNTOWN_ZONES = [113, 161, 162, 230]
 BUSY_ZONES = [186, 230, 48, 79, 161, 142, 162, 236, 237, 170]
-HOME_BOROUGH = "Manhattan"
 
 # -- fixed values: weather text ---------------------------------------------
 OBSERVATION_FORMAT = "dd.MM.yyyy HH:mm"
@@ -49,4 +48,11 @@ WEEKLY_LAG = 168
 # -- fixed values: evaluation and monitoring --------------------------------
 DRIFT_RATIO = 1.2
 MAP_RADIUS_DIVISOR = 20
-LOW_EARNING_LIMIT = 15
+
+# -- fixed values: published searches ---------------------------------------
+SEARCH_RATES = (0.3, 0.4, 0.5, 0.6, 0.7)
+SEARCH_FIRST = {"maxIter": 200, "maxDepth": 6}
+SEARCH_TREES = (200, 300)
+SEARCH_DEPTHS = (7, 9)
+SEARCH_SAMPLES = (0.8, 1.0)
+SEARCH_LEAVES = (1, 3)

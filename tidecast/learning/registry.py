@@ -26,9 +26,13 @@ def latest_versions(table: DataFrame) -> DataFrame:
 
 
 def register(spark: SparkSession, root: str, name: str, model: PipelineModel, run_id: str, created: int) -> int:
-    """Save a fitted pipeline as the next version of ``name`` and return that version."""
+    """Save a fitted pipeline as the next version of ``name`` and return that version.
+
+    A version belongs to the writer who creates its folder below ``claims``; two writers at the same time
+    get different versions.
+    """
     newest = versions(spark, root).where(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = (newest or 0) + 1
+    version = _claimed(spark, f"{root}/claims/{name}", (newest or 0) + 1)
     source = f"{root}/models/{name}/{version}"
     model.write().overwrite().save(source)
     row = spark.createDataFrame([(name, version, run_id, source, created, "READY")], REGISTRY)
@@ -36,6 +40,18 @@ def register(spark: SparkSession, root: str, name: str, model: PipelineModel, ru
     return version
 
 
+def _claimed(spark: SparkSession, path: str, first: int) -> int:
+    version = first
+    while True:
+        try:
+            spark.range(1).write.mode("error").parquet(f"{path}/{version}")
+            return version
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            version += 1
+
+
 def load_latest(spark: SparkSession, root: str, name: str) -> tuple[PipelineModel, int]:
     row = latest_versions(versions(spark, root).where(F.col("name") == name)).first()
     if row is None:

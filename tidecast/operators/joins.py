@@ -67,14 +67,17 @@ def values_at(
     offsets: Mapping[str, tuple[str, int]],
     zone: str = ZONE,
     hour: str = HOUR,
+    zones: DataFrame | None = None,
 ) -> DataFrame:
     """Per zone, the value of a column ``k`` hours before ``at``; absent rows give 0.
 
-    ``offsets`` maps output names to (column, hours back). Every zone of ``df`` has a row, also
-    one without any row at the wanted hours. All lookups are one conditional aggregation, merged
-    map-side, instead of one join per offset.
+    ``offsets`` maps output names to (column, hours back). All lookups are one
+    conditional aggregation over the needed hours instead of one join per offset. A zone
+    without a row at any of these hours is absent, unless ``zones`` lists it.
     """
-    return df.groupBy(zone).agg(
+    needed = sorted({k for _, k in offsets.values()})
+    rows = df.where(F.col(hour).isin([plus_hours(at, -k) for k in needed]))
+    found = rows.groupBy(zone).agg(
         *[
             F.coalesce(
                 F.max(F.when(F.col(hour) == plus_hours(at, -k), F.col(c).cast("double"))), F.lit(0.0)
@@ -82,6 +85,7 @@ def values_at(
             for name, (c, k) in offsets.items()
         ]
     )
+    return found if zones is None else zones.select(zone).distinct().join(found, zone, "left").na.fill(0.0, list(offsets))
 
 
 def predictions_vs_actuals(

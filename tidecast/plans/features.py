@@ -186,7 +186,8 @@ def next_hour_rows(
 ) -> DataFrame:
     """Feature rows for scoring the hour after the newest stored hour, all zones.
 
-    ``aligned``: the newest stored row of each zone, whose target *is* the next hour.
+    ``aligned``: the stored rows of the newest hour, whose target *is* the next hour; a zone whose
+    newest row is older has no such row and none here.
     ``parity``: a row keyed by the next hour itself with its own calendar, weather
     (or the mean weather of the newest hour) and looked-up lags.
     """
@@ -199,7 +200,7 @@ def next_hour_rows(
     target = plus_hours(newest, 1)
     offsets = {lag_name(k): (COUNT, k) for k in STORE_LAGS}
     offsets |= {rolling_name(h): (rolling_name(h), 1) for h in ROLLING_HOURS}
-    history = values_at(store, target, offsets)
+    history = values_at(store, target, offsets, zones=keys)
     rows = add_zone_features(add_calendar(keys.withColumn(HOUR, target)), None, downtown)
     if weather is None:
         packed = latest_mean(store, HOUR, WEATHER_COLUMNS).select(F.struct(*WEATHER_COLUMNS)).scalar()

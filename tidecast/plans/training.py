@@ -9,6 +9,7 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.functions.fixed_values import SEARCH_DEPTHS, SEARCH_FIRST, SEARCH_LEAVES, SEARCH_RATES, SEARCH_SAMPLES, SEARCH_TREES
 from tidecast.learning import models, registry
 from tidecast.learning.validation import Trial, evaluate, two_stage_search
 from tidecast.names import HOUR, TARGET
@@ -46,7 +47,7 @@ def train(
     cut: Column,
     root: str,
     name: str,
-    rates: Sequence[float] = (0.3, 0.4, 0.5, 0.6, 0.7),
+    rates: Sequence[float] = SEARCH_RATES,
     first: dict | None = None,
     second: Sequence[dict] | None = None,
     n_folds: int = 5,
@@ -66,13 +67,13 @@ def train(
     folds = training_table(train_side, features, n_folds, fold_mode)
     vectors = models.checked_matrix(folds, features).select(models.FEATURES, TARGET, "fold")
     estimator = estimator or models.gbt_absolute()
-    first = first or {estimator.maxIter: 200, estimator.maxDepth: 6}
+    first = first or SEARCH_FIRST
     second = second or [
-        {estimator.maxIter: i, estimator.maxDepth: d, estimator.subsamplingRate: s, estimator.minInstancesPerNode: m}
-        for i in (200, 300)
-        for d in (7, 9)
-        for s in (0.8, 1.0)
-        for m in (1, 3)
+        {"maxIter": i, "maxDepth": d, "subsamplingRate": s, "minInstancesPerNode": m}
+        for i in SEARCH_TREES
+        for d in SEARCH_DEPTHS
+        for s in SEARCH_SAMPLES
+        for m in SEARCH_LEAVES
     ]
     named = [{estimator.getParam(getattr(k, "name", k)): x for k, x in p.items()} for p in second]
     start = {estimator.getParam(getattr(k, "name", k)): x for k, x in first.items()}

@@ -407,7 +407,7 @@ def _interpolate_sql(column: str) -> str:
         FROM edges_{column} e LEFT JOIN numbered p ON p.rn = e.pr LEFT JOIN numbered q ON q.rn = e.nr)"""
 
 
-FARE_WEATHER = ["temperature", "humidity", "wind_speed", "cloud_cover_numeric", "amount_of_precipitation"]
+FARE_WEATHER = WEATHER_COLUMNS
 FARE_SQL = f"""WITH parsed AS (
     SELECT date_trunc('hour', observed_at)::TIMESTAMP AS h, temperature, humidity, wind_speed,
            CASE cloud_cover WHEN 'no clouds' THEN 0.0::DOUBLE WHEN '20–30%.' THEN 0.3 WHEN '50%.' THEN 0.5
