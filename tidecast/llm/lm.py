@@ -20,7 +20,7 @@ import zlib
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +36,11 @@ SYMBOLS, START = MODEL_WORDS + TAIL_CLASSES + 1, MODEL_WORDS + TAIL_CLASSES
 OLDER = CLASSES + 1
 #: Words that tasks hold in memory with their counts; a documented bound of what is broadcast.
 HEAD_WORDS = 2**18
+#: Buckets that each previous token has for hashed features, of classes and of words in a class.
+CLASS_BUCKETS, WORD_BUCKETS = 4, 8
 #: Rows of the two weight tables (each row has a weight for every class, or word of a class).
-CLASS_ROWS, WORD_ROWS = 8192, 8192
 FIXED_ROWS = 1 + SYMBOLS + OLDER
+CLASS_ROWS, WORD_ROWS = FIXED_ROWS + SYMBOLS * CLASS_BUCKETS, WORD_CLASSES + SYMBOLS * WORD_BUCKETS
 STEPS, RATE, PRIOR = 12, 0.35, 0.5
 #: Parts of the table of feature counts, whose size the model bounds; tokens held before they are counted.
 PARTS, HELD_TOKENS, HELD_WORDS, STEP_ROWS = 12, 3_000_000, 600_000, 200_000
@@ -50,15 +52,14 @@ def tail_class(word: bytes) -> int:
 
 
 def class_rows(previous: np.ndarray, older: np.ndarray) -> list[np.ndarray]:
-    """Rows of the class weights that a context switches on."""
-    both = (previous * 2654435761 + older * 40503) >> 3
-    return [np.zeros_like(previous), 1 + previous, 1 + SYMBOLS + older, FIXED_ROWS + both % (CLASS_ROWS - FIXED_ROWS)]
+    """Rows of the class weights that a context switches on: bias, previous, skip, both (hashed)."""
+    both = previous * CLASS_BUCKETS + (older * 40503 >> 5) % CLASS_BUCKETS
+    return [np.zeros_like(previous), 1 + previous, 1 + SYMBOLS + older, FIXED_ROWS + both]
 
 
 def word_rows(previous: np.ndarray, classes: np.ndarray) -> list[np.ndarray]:
-    """Rows of the word weights of a class after a token: the bias and a hashed one."""
-    both = (previous * 2654435761 + classes * 97) >> 3
-    return [classes, WORD_CLASSES + both % (WORD_ROWS - WORD_CLASSES)]
+    """Rows of the word weights of a class after a token: the bias, and both (hashed)."""
+    return [classes, WORD_CLASSES + previous * WORD_BUCKETS + (classes * 40503 >> 5) % WORD_BUCKETS]
 
 
 def log_softmax(logits: np.ndarray) -> np.ndarray:
@@ -232,50 +233,41 @@ def expected_counts(keys: np.ndarray, n: np.ndarray, weights: Weights, observed:
 
 
 def summed(table: DataFrame, weights: Weights, observed: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Feature counts over the whole table: partial sums in tasks, added up by blocks of rows."""
-    context = table.sparkSession.sparkContext
-    shared = context.broadcast(weights.plain())
-    block = 512
+    """Feature counts over the whole table.
+
+    A part of the table holds all rows of a previous token, so nearly every row of the two sums comes from
+    one task; what the driver adds up is about the size of the model, whatever the input.
+    """
+    shared = table.sparkSession.sparkContext.broadcast(weights.plain())
+    fields = pa.schema([("row", pa.int32()), ("sums", pa.binary())])
 
     def run(batches):
         of_class, of_word = np.zeros((CLASS_ROWS, CLASSES)), np.zeros((WORD_ROWS, CLASS_WORDS))
-        held, rows, seen = [], 0, False
-        current = Weights(*shared.value)
+        current, held, rows = Weights(*shared.value), [], 0
 
         def flush():
             keys, n = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(2))
             expected_counts(keys, n, current, observed, of_class, of_word)
 
         for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                rows, seen = rows + batch.num_rows, True
+            held.append(batch)
+            rows += batch.num_rows
             if rows >= STEP_ROWS:
                 flush()
                 held, rows = [], 0
-        if held:
+        if rows:
             flush()
-        if seen:
-            sums = np.concatenate((of_class, of_word)).astype(np.float32)
-            yield pd.DataFrame(
-                {"block": range(len(sums) // block), "sums": [sums[at : at + block].tobytes() for at in range(0, len(sums), block)]}
+        sums = np.concatenate((of_class, of_word)).astype(np.float32)
+        some = np.flatnonzero(sums.any(axis=1))
+        for at in range(0, len(some), 2_000):
+            part = some[at : at + 2_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, type=pa.int32()), pa.array([sums[i].tobytes() for i in part], type=pa.binary())], schema=fields
             )
 
-    import pyarrow as pa
-
-    def task(batches):
-        for frame in run(batches):
-            yield pa.RecordBatch.from_pandas(frame, schema=pa.schema([("block", pa.int32()), ("sums", pa.binary())]), preserve_index=False)
-
-    def added(frame: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(s, dtype=np.float32).astype(np.float64) for s in frame["sums"])
-        return pd.DataFrame({"block": frame["block"].iloc[:1], "sums": [total.astype(np.float32).tobytes()]})
-
-    schema = "block int, sums binary"
-    parts = table.select("k", "n").mapInArrow(task, schema).groupBy("block").applyInPandas(added, schema)
     result = np.zeros((CLASS_ROWS + WORD_ROWS, CLASSES), dtype=np.float64)
-    for number, sums in parts.collect():
-        result[number * block : (number + 1) * block] = np.frombuffer(sums, dtype=np.float32).reshape(block, -1)
+    for row, sums in table.select("k", "n").mapInArrow(run, "row int, sums binary").collect():
+        result[row] += np.frombuffer(sums, dtype=np.float32)
     shared.unpersist()
     return result[:CLASS_ROWS], result[CLASS_ROWS:]
 
@@ -396,7 +388,9 @@ def scores(docs: DataFrame, parts: int = HOLD_OUT_PARTS, head_words: int = HEAD_
     lexicon = spark.sparkContext.broadcast((words, numbers, ends))
     modelled = words[: MODEL_WORDS - 1]
 
-    table = feature_counts(train, lexicon).repartition(PARTS, F.shiftright("k", 6)).sortWithinPartitions("k")
+    is_word = F.col("k") >= WORD_KEYS
+    previous = F.when(is_word, F.expr(f"(k - {WORD_KEYS}) div {MODEL_WORDS}")).otherwise(F.expr(f"k div {OLDER * CLASSES}"))
+    table = feature_counts(train, lexicon).repartition(PARTS, previous).sortWithinPartitions("k")
     weights = trained(materialise(table, "feature-counts"), len(modelled) + 1, steps)
 
     # smoothed mass of each tail class: all its words' counts, less those of words that the model has
