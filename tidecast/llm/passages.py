@@ -34,7 +34,8 @@ STEP_WORDS = 1 << 20
 #: Occurrences of a shingle compared with each other in one task; more are dealt out and meet again
 #: through the first of each cluster.
 GROUP_LIMIT = 20_000
-EXACT_LIMIT = 64
+#: Occurrences of a shingle that are all compared; pairs compared in one step.
+PAIRS_LIMIT, STEP_PAIRS = 24, 20_000
 NO_ID = -(2**63)
 IN_PARAGRAPH = WORDS - SHINGLE + 1
 #: Words kept before and after the first word of a shared shingle.
@@ -163,29 +164,40 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return len(one & two) / len(one | two)
 
 
-def run_keys(rows: np.ndarray) -> list[np.ndarray]:
-    """Hashes of 20-word runs, of which two texts with an alike paragraph here share at least one; 0: not in the text.
+def run_keys(rows: np.ndarray):
+    """Keys of which two texts with an alike paragraph around the shared shingle have at least one in common.
 
-    An alike paragraph has at most five shingles that differ, so its equal words form at most two runs, one
-    of 25 words or more. If the shared shingle stands in that run, 15 more words in steps of five to either side
-    are equal; if not, some 20 words that begin a multiple of five before or after it are.
+    An alike paragraph has at most five shingles that differ. So either one word inside it differs, or some of its
+    first and last words, five at most. Cut it in thirds: the middle third and one other are equal (a run of
+    33 words), or the outer two are, or only edges differ (a run of 40). Yields a key for each start of a run,
+    then for each paragraph's outer thirds; 0 where the text does not reach so far.
     """
-    spans = [(-5 * k, 20 - 5 * k) for k in range(4)]
-    spans += [(at, at + 20) for k in range(1, 6) for at in (SHINGLE + 5 * k, -20 - 5 * k) if -BEFORE <= at and at + 20 <= AFTER]
-    keys = []
-    for low, high in spans:
-        part = rows[:, BEFORE + low : BEFORE + high]
-        with np.errstate(over="ignore"):
-            key = np.zeros(len(rows), dtype=np.uint64)
-            for j in range(part.shape[1]):
-                key = key * np.uint64(0x9E3779B97F4A7C15) + part[:, j].astype(np.uint64) + np.uint64(1)
-                key ^= key >> np.uint64(31)
-        keys.append(np.where((part != 0).all(axis=1), key, np.uint64(0)))
-    return keys
+    n, width = rows.shape
+    prefix = np.zeros((n, width + 1), dtype=np.uint64)
+    factor = np.uint64(0x9E3779B97F4A7C15)
+    powers = [np.uint64(1)]
+    with np.errstate(over="ignore"):
+        words = rows.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)
+        words ^= words >> np.uint64(29)
+        for j in range(width):
+            prefix[:, j + 1] = prefix[:, j] * factor + words[:, j]
+            powers.append(powers[-1] * factor)
+        gaps = np.concatenate((np.zeros((n, 1), dtype=np.int64), (rows == 0).cumsum(axis=1)), axis=1)
+
+        def part(low: int, high: int) -> np.ndarray:
+            value = prefix[:, high] - prefix[:, low] * powers[high - low]
+            return np.where(gaps[:, high] == gaps[:, low], value | np.uint64(1), np.uint64(0))
+
+        third = WORDS // 3
+        for low in range(width - 2 * third):
+            yield part(low, low + 2 * third + 1)
+        for low in range(width - WORDS + 1):
+            outer, other = part(low, low + third + 1), part(low + WORDS - third, low + WORDS)
+            yield np.where((outer != 0) & (other != 0), (outer * factor + other) | np.uint64(1), np.uint64(0))
 
 
 class Clusters:
-    """Occurrences of one shingle, joined where a paragraph around them is alike."""
+    """Occurrences of shingles, joined where a paragraph around them is alike."""
 
     def __init__(self, docs: np.ndarray, rows: np.ndarray, similarity: float) -> None:
         self.docs, self.rows, self.similarity = docs, rows, similarity
@@ -194,57 +206,79 @@ class Clusters:
     def root(self, i: int) -> int:
         while self.parent[i] != i:
             self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
+            i = int(self.parent[i])
         return i
 
-    def join(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Compare one occurrence with others of other documents; which of ``others`` are alike."""
-        alike = np.zeros(len(others), dtype=bool)
-        foreign = np.flatnonzero(self.docs[others] != self.docs[i])
-        if len(foreign):
-            start, end = paragraphs_alike(self.rows[others[foreign]], self.rows[i], self.similarity)
-            hit = foreign[end >= 0]
-            alike[hit] = True
-            for j, x, y in zip(others[hit].tolist(), start[end >= 0].tolist(), end[end >= 0].tolist(), strict=True):
-                for k in (i, j):
-                    self.first[k], self.last[k] = min(self.first[k], x), max(self.last[k], y)
-                p, q = self.root(i), self.root(j)
+    def join(self, one: np.ndarray, other: np.ndarray) -> None:
+        """Compare pairs of occurrences, those of different documents, and join the alike ones."""
+        foreign = self.docs[one] != self.docs[other]
+        one, other = one[foreign], other[foreign]
+        for at in range(0, len(one), STEP_PAIRS):
+            i, j = one[at : at + STEP_PAIRS], other[at : at + STEP_PAIRS]
+            start, end = paragraphs_alike(self.rows[i], self.rows[j], self.similarity)
+            hit = end >= 0
+            i, j, start, end = i[hit], j[hit], start[hit], end[hit]
+            for k in (i, j):
+                np.minimum.at(self.first, k, start)
+                np.maximum.at(self.last, k, end)
+            for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                p, q = self.root(a), self.root(b)
                 if p != q:
                     self.parent[max(p, q)] = min(p, q)
-        return alike
-
-    def compare(self, some: np.ndarray) -> None:
-        """Few are all compared. Of many, each with the leaders (the first of each cluster so far), and those
-        left alone with all others: whatever has a partner gets one."""
-        if len(some) <= EXACT_LIMIT:
-            for k in range(len(some) - 1):
-                self.join(int(some[k]), some[k + 1 :])
-            return
-        left = some
-        while len(left):
-            alike = self.join(int(left[0]), left[1:])
-            left = left[1:][~alike]
-        for i in some[self.last[some] < 0].tolist():
-            self.join(i, some[some != i])
 
+    def compare_all(self, groups: np.ndarray, few: np.ndarray) -> None:
+        """All pairs inside groups of at most PAIRS_LIMIT neighbours (``few`` marks their members)."""
+        for apart in range(1, PAIRS_LIMIT):
+            (at,) = np.nonzero((groups[:-apart] == groups[apart:]) & few[:-apart]) if apart < len(groups) else (np.zeros(0, dtype=int),)
+            if not len(at):
+                break
+            self.join(at, at + apart)
 
-def compared(docs: np.ndarray, rows: np.ndarray, similarity: float):
-    """Clusters of the occurrences of one shingle: (member, leader, start, end) of verified stretches.
+    def compare_many(self, some: np.ndarray, everyone: np.ndarray) -> None:
+        """Of occurrences that share a key: each with a leader, the one most like the others, then the rest again.
 
-    More than EXACT_LIMIT occurrences are first dealt out by runs of words that alike ones must share.
-    """
-    clusters, everything = Clusters(docs, rows, similarity), np.arange(len(docs))
-    if len(docs) <= EXACT_LIMIT:
-        clusters.compare(everything)
-    else:
-        for key in run_keys(rows):
+        ``some`` has one of each cluster so far. Whoever is left alone is compared with ``everyone``, so
+        whatever has a partner gets one.
+        """
+        left = some
+        while len(left) > 1:
+            usual = self.rows[left[:: max(1, len(left) // 200)]]
+            usual = np.sort(usual, axis=0)[len(usual) // 2]  # the word that most have, if most have one
+            leader = left[int((self.rows[left] == usual).sum(axis=1).argmax())]
+            others = left[left != leader]
+            self.join(np.full(len(others), leader), others)
+            kin = self.root(int(leader))
+            left = np.array([i for i in others.tolist() if self.root(i) != kin], dtype=np.int64)
+        for i in some[self.last[some] < 0].tolist():
+            others = everyone[everyone != i]
+            self.join(np.full(len(others), i), others)
+
+    def compare_keys(self, group: np.ndarray) -> None:
+        """A large group: dealt out by keys that alike occurrences must share; of a cluster so far one stands for all."""
+        for key in run_keys(self.rows[group]):
             order = np.argsort(key, kind="stable")
-            edges = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1], [True])))
+            ranked = key[order]
+            edges = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1], [True])))
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if b - a > 1 and key[order[a]]:
-                    clusters.compare(order[a:b])
-    for i in np.flatnonzero(clusters.last >= 0).tolist():
-        yield i, clusters.root(i), int(clusters.first[i]), int(clusters.last[i])
+                if b - a < 2 or not ranked[a]:
+                    continue
+                everyone, roots = group[order[a:b]], {}
+                for i in everyone.tolist():
+                    roots.setdefault(self.root(i), i)
+                if len(roots) > 1:
+                    self.compare_many(np.array(sorted(roots.values()), dtype=np.int64), everyone)
+
+
+def compared(groups: np.ndarray, docs: np.ndarray, rows: np.ndarray, similarity: float) -> Clusters:
+    """Clusters of the occurrences of shingles; ``groups`` holds the shingle's number, equal ones side by side."""
+    clusters = Clusters(docs, rows, similarity)
+    edges = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1], [True])))
+    sizes = np.repeat(edges[1:] - edges[:-1], edges[1:] - edges[:-1])
+    clusters.compare_all(groups, sizes <= PAIRS_LIMIT)
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if b - a > PAIRS_LIMIT:
+            clusters.compare_keys(np.arange(a, b))
+    return clusters
 
 
 def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
@@ -259,21 +293,20 @@ def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
         def done(upto: int) -> dict:
             key, part, doc = (np.array(held[n][:upto], dtype=np.int64) for n in ("key", "part", "doc"))
             out = {n: [] for n in ("key", "doc", "place", "first", "last", "leader_doc", "leader_place", "leader_around")}
-            edges = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]), [True])))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if b - a < 2:
-                    continue
-                rows = np.frombuffer(b"".join(held["around"][a:b]), dtype="<u2").reshape(b - a, -1)
-                for i, leader, first, last in compared(doc[a:b], rows, similarity):
-                    place = held["place"][a + i] - BEFORE
-                    out["key"].append(int(key[a]))
-                    out["doc"].append(int(doc[a + i]))
-                    out["place"].append(held["place"][a + i])
-                    out["first"].append(place + first)
-                    out["last"].append(place + last)
-                    out["leader_doc"].append(int(doc[a + leader]))
-                    out["leader_place"].append(held["place"][a + leader])
-                    out["leader_around"].append(held["around"][a + leader] if i == leader else None)
+            if upto:
+                changes = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
+                rows = np.frombuffer(b"".join(held["around"][:upto]), dtype="<u2").reshape(upto, -1)
+                clusters = compared(changes, doc, rows, similarity)
+                for i in np.flatnonzero(clusters.last >= 0).tolist():
+                    leader, place = clusters.root(i), held["place"][i] - BEFORE
+                    out["key"].append(int(key[i]))
+                    out["doc"].append(int(doc[i]))
+                    out["place"].append(held["place"][i])
+                    out["first"].append(place + int(clusters.first[i]))
+                    out["last"].append(place + int(clusters.last[i]))
+                    out["leader_doc"].append(int(doc[leader]))
+                    out["leader_place"].append(held["place"][leader])
+                    out["leader_around"].append(held["around"][leader] if i == leader else None)
             for n in held:
                 del held[n][:upto]
             return out
