@@ -35,7 +35,7 @@ STEP_WORDS = 1 << 20
 #: through the first of each cluster.
 GROUP_LIMIT = 20_000
 #: Occurrences of a shingle that are all compared; pairs compared in one step.
-PAIRS_LIMIT, STEP_PAIRS = 24, 20_000
+PAIRS_LIMIT, STEP_PAIRS = 96, 20_000
 NO_ID = -(2**63)
 IN_PARAGRAPH = WORDS - SHINGLE + 1
 #: Words kept before and after the first word of a shared shingle.
@@ -170,7 +170,7 @@ def run_keys(rows: np.ndarray):
     An alike paragraph has at most five shingles that differ. So either one word inside it differs, or some of its
     first and last words, five at most. Cut it in thirds: the middle third and one other are equal (a run of
     33 words), or the outer two are, or only edges differ (a run of 40). Yields a key for each start of a run,
-    then for each paragraph's outer thirds; 0 where the text does not reach so far.
+    then for each paragraph's outer thirds (0 where the text does not reach so far), and whether it follows on the last.
     """
     n, width = rows.shape
     prefix = np.zeros((n, width + 1), dtype=np.uint64)
@@ -190,10 +190,10 @@ def run_keys(rows: np.ndarray):
 
         third = WORDS // 3
         for low in range(width - 2 * third):
-            yield part(low, low + 2 * third + 1)
+            yield part(low, low + 2 * third + 1), low > 0
         for low in range(width - WORDS + 1):
             outer, other = part(low, low + third + 1), part(low + WORDS - third, low + WORDS)
-            yield np.where((outer != 0) & (other != 0), (outer * factor + other) | np.uint64(1), np.uint64(0))
+            yield np.where((outer != 0) & (other != 0), (outer * factor + other) | np.uint64(1), np.uint64(0)), low > 0
 
 
 class Clusters:
@@ -234,39 +234,44 @@ class Clusters:
                 break
             self.join(at, at + apart)
 
-    def compare_many(self, some: np.ndarray, everyone: np.ndarray) -> None:
-        """Of occurrences that share a key: each with a leader, the one most like the others, then the rest again.
+    def usual(self, some: np.ndarray) -> int:
+        """The occurrence most like the others: it has most of the words that most of a sample have."""
+        sample = self.rows[some[:: max(1, len(some) // 200)]]
+        middle = np.sort(sample, axis=0)[len(sample) // 2]
+        return int(some[int((self.rows[some] == middle).sum(axis=1).argmax())])
 
-        ``some`` has one of each cluster so far. Whoever is left alone is compared with ``everyone``, so
+    def compare_keys(self, group: np.ndarray) -> None:
+        """A large group: dealt out by keys that alike occurrences must share.
+
+        Of a key's occurrences one of each cluster so far is compared with the one most like the others, and
+        who is still alone with all of them, but for pairs that the key before had together already. So
         whatever has a partner gets one.
         """
-        left = some
-        while len(left) > 1:
-            usual = self.rows[left[:: max(1, len(left) // 200)]]
-            usual = np.sort(usual, axis=0)[len(usual) // 2]  # the word that most have, if most have one
-            leader = left[int((self.rows[left] == usual).sum(axis=1).argmax())]
-            others = left[left != leader]
-            self.join(np.full(len(others), leader), others)
-            kin = self.root(int(leader))
-            left = np.array([i for i in others.tolist() if self.root(i) != kin], dtype=np.int64)
-        for i in some[self.last[some] < 0].tolist():
-            others = everyone[everyone != i]
-            self.join(np.full(len(others), i), others)
-
-    def compare_keys(self, group: np.ndarray) -> None:
-        """A large group: dealt out by keys that alike occurrences must share; of a cluster so far one stands for all."""
-        for key in run_keys(self.rows[group]):
+        before = np.zeros(len(group), dtype=np.uint64)
+        for key, follows in run_keys(self.rows[group]):
+            before = before if follows else np.zeros(len(group), dtype=np.uint64)
             order = np.argsort(key, kind="stable")
             ranked = key[order]
             edges = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1], [True])))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if b - a < 2 or not ranked[a]:
+            wide = np.flatnonzero((edges[1:] - edges[:-1] > 1) & (ranked[edges[:-1]] != 0))
+            for a, b in zip(edges[wide].tolist(), edges[wide + 1].tolist(), strict=True):
+                local = order[a:b]
+                if before[local[0]] and (before[local] == before[local[0]]).all():
                     continue
-                everyone, roots = group[order[a:b]], {}
-                for i in everyone.tolist():
-                    roots.setdefault(self.root(i), i)
-                if len(roots) > 1:
-                    self.compare_many(np.array(sorted(roots.values()), dtype=np.int64), everyone)
+                everyone = group[local]
+                alone = local[self.last[everyone] < 0]
+                first_of = {self.root(i): i for i in everyone[::-1].tolist()}
+                if len(first_of) > 1:
+                    leader = self.usual(everyone)
+                    others = np.array([i for r, i in first_of.items() if r != self.root(leader)], dtype=np.int64)
+                    self.join(np.full(len(others), leader), others)
+                    alone = alone[self.last[group[alone]] < 0]
+                step = max(1, 10 * STEP_PAIRS // len(local))
+                for at in range(0, len(alone), step):
+                    i, j = (x.ravel() for x in np.meshgrid(alone[at : at + step], local, indexing="ij"))
+                    new = (i != j) & ((before[i] != before[j]) | (before[i] == 0))
+                    self.join(group[i[new]], group[j[new]])
+            before = key
 
 
 def compared(groups: np.ndarray, docs: np.ndarray, rows: np.ndarray, similarity: float) -> Clusters:
