@@ -35,7 +35,7 @@ STEP_WORDS = 1 << 20
 #: through the first of each cluster.
 GROUP_LIMIT = 20_000
 #: Occurrences of a shingle that are all compared; pairs compared in one step.
-PAIRS_LIMIT, STEP_PAIRS = 96, 20_000
+PAIRS_LIMIT, STEP_PAIRS = 4, 20_000
 NO_ID = -(2**63)
 IN_PARAGRAPH = WORDS - SHINGLE + 1
 #: Words kept before and after the first word of a shared shingle.
@@ -240,6 +240,18 @@ class Clusters:
         middle = np.sort(sample, axis=0)[len(sample) // 2]
         return int(some[int((self.rows[some] == middle).sum(axis=1).argmax())])
 
+    def compare_group(self, group: np.ndarray) -> None:
+        """All with the one most like the others, then who is still alone with all of them."""
+        leader = self.usual(group)
+        others = group[group != leader]
+        self.join(np.full(len(others), leader), others)
+        alone = group[self.last[group] < 0]
+        if len(alone) * len(group) > STEP_PAIRS:
+            self.compare_keys(group)
+        elif len(alone):
+            i, j = (x.ravel() for x in np.meshgrid(alone, group, indexing="ij"))
+            self.join(i[i != j], j[i != j])
+
     def compare_keys(self, group: np.ndarray) -> None:
         """A large group: dealt out by keys that alike occurrences must share.
 
@@ -282,7 +294,7 @@ def compared(groups: np.ndarray, docs: np.ndarray, rows: np.ndarray, similarity:
     clusters.compare_all(groups, sizes <= PAIRS_LIMIT)
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         if b - a > PAIRS_LIMIT:
-            clusters.compare_keys(np.arange(a, b))
+            clusters.compare_group(np.arange(a, b))
     return clusters
 
 
