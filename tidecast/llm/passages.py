@@ -10,7 +10,7 @@ always if they are equal.
 Equal texts are first reduced to one. Shingles that only one document has are dropped before
 anything else is looked at. Around each that is left, the two texts are laid over each other at the
 shared shingle, and paragraphs that contain it are verified by the Jaccard similarity of their
-shingle sets. Verified stretches of a document that overlap are merged to passages, and passages
+shingles, repeats included. Verified stretches of a document that overlap are merged to passages, and passages
 linked over documents form components; one document keeps the passage.
 """
 
@@ -139,17 +139,13 @@ def moving_sum(values: np.ndarray, width: int) -> np.ndarray:
 def paragraphs_alike(rows: np.ndarray, other: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Start and end (exclusive) of what each row shares with ``other`` in alike paragraphs; end -1 if none.
 
-    A paragraph is looked at in every position that contains the shared shingle. Places where both have the
-    same shingle are counted; m of them mean a Jaccard similarity of at least m / (2 IN_PARAGRAPH - m).
+    A paragraph is looked at in every position that contains the shared shingle. Similarity is the Jaccard
+    similarity of the shingles, repeats included, with the texts laid over each other: m equal ones of
+    IN_PARAGRAPH on either side are m / (2 IN_PARAGRAPH - m).
     """
     equal = equal_shingles(rows, other)
     alike = moving_sum(equal, IN_PARAGRAPH) >= 2 * IN_PARAGRAPH * similarity / (1 + similarity)
     alike &= moving_sum((rows != 0) & (other != 0), WORDS) == WORDS  # inside both texts
-    # a shingle that a paragraph holds twice counts once in its set: looked at one by one
-    for i in np.flatnonzero(alike.any(axis=1)).tolist():
-        if len(np.unique(rows[i])) < SHINGLE * 4:
-            for o in np.flatnonzero(alike[i]).tolist():
-                alike[i, o] = jaccard(rows[i, o : o + WORDS], np.broadcast_to(other, rows.shape)[i, o : o + WORDS]) >= similarity
     some = alike.any(axis=1)
     low = alike.argmax(axis=1)[:, None]
     high = (alike.shape[1] - 1 - alike[:, ::-1].argmax(axis=1))[:, None] + IN_PARAGRAPH
@@ -159,11 +155,6 @@ def paragraphs_alike(rows: np.ndarray, other: np.ndarray, similarity: float) ->
     return shared.argmax(axis=1), np.where(some, end, -1)
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    one, two = ({tuple(x[i : i + SHINGLE].tolist()) for i in range(IN_PARAGRAPH)} for x in (a, b))
-    return len(one & two) / len(one | two)
-
-
 def run_keys(rows: np.ndarray):
     """Keys of which two texts with an alike paragraph around the shared shingle have at least one in common.
 
@@ -294,7 +285,14 @@ def compared(groups: np.ndarray, docs: np.ndarray, rows: np.ndarray, similarity:
     clusters.compare_all(groups, sizes <= PAIRS_LIMIT)
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         if b - a > PAIRS_LIMIT:
-            clusters.compare_group(np.arange(a, b))
+            # a text that repeats itself has the same surroundings many times
+            own = np.ascontiguousarray(np.concatenate((docs[a:b, None].view("<u2").reshape(b - a, -1), rows[a:b]), axis=1))
+            _, once, of = np.unique(own.view(f"V{own.shape[1] * 2}").ravel(), return_index=True, return_inverse=True)
+            clusters.compare_group(a + np.sort(once))
+            again = a + once[of.ravel()]
+            clusters.first[a:b], clusters.last[a:b] = clusters.first[again], clusters.last[again]
+            copies = np.flatnonzero(again != np.arange(a, b))
+            clusters.parent[a + copies] = again[copies]
     return clusters
 
 
