@@ -43,7 +43,7 @@ FIXED_ROWS = 1 + SYMBOLS + OLDER
 CLASS_ROWS, WORD_ROWS = FIXED_ROWS + SYMBOLS * CLASS_BUCKETS, WORD_CLASSES + SYMBOLS * WORD_BUCKETS
 STEPS, RATE, PRIOR = 12, 0.35, 0.5
 #: Parts of the table of feature counts, whose size the model bounds; tokens held before they are counted.
-PARTS, HELD_TOKENS, HELD_WORDS, STEP_ROWS = 12, 3_000_000, 600_000, 200_000
+PARTS, HELD_TOKENS, HELD_WORDS, STEP_ROWS = 12, 1_500_000, 600_000, 200_000
 WORD_KEYS = SYMBOLS * OLDER * CLASSES
 
 
@@ -136,8 +136,8 @@ def head_of(counts: DataFrame, most: int) -> tuple[list[bytes], list[int]]:
         border = n
     if border is None:
         return [], []
-    rows = sorted(counts.where(F.col("n") >= border).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
-    return [bytes(r["word"]) for r in rows], [r["n"] for r in rows]
+    rows = counts.where(F.col("n") >= border).select("word", "n").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    return rows["word"].to_pylist(), rows["n"].to_pylist()
 
 
 def feature_counts(train: DataFrame, lexicon) -> DataFrame:
@@ -352,7 +352,7 @@ def head_scores(docs: DataFrame, lexicon, shared) -> DataFrame:
                 ranks, symbols, left = lex.encode(ascii_words(text))
                 held.append((row, key, symbols, ranks, left, flag))
                 tokens += len(symbols)
-            if tokens >= HELD_TOKENS // 6:
+            if tokens >= HELD_TOKENS // 4:
                 yield scored()
                 held, tokens = [], 0
         if held:
