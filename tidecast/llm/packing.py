@@ -31,7 +31,7 @@ GROUP_PIECES = 20_000
 SLACK = 16
 ROUNDS = 4
 #: Words whose ids a task remembers; bins, pieces of a bin and steps that the local search looks at.
-CACHE_WORDS, SEARCH_BINS, SEARCH_PIECES, SEARCH_STEPS = 800_000, 32, 12, 400
+CACHE_WORDS, SEARCH_BINS, SEARCH_PIECES, SEARCH_STEPS = 500_000, 32, 12, 400
 TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
