@@ -154,3 +154,37 @@ def test_run_equals_the_stages_in_turn(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, sf)
     assert Counter((r.doc_id, r.ids_crc32) for r in rows) == Counter((r.doc_id, r.ids_crc32) for r in packing.packed_sequences(docs).collect())
+
+
+def jaccard(one, other):
+    shingles = [Counter(tuple(w[i : i + passages.SHINGLE]) for i in range(len(w) - passages.SHINGLE + 1)) for w in (one, other)]
+    return (shingles[0] & shingles[1]).total() / (shingles[0] | shingles[1]).total()
+
+
+def test_a_word_put_in_or_left_out_is_verified():
+    rng = np.random.default_rng(3)
+    width = passages.BEFORE + passages.AFTER
+    draw = lambda n: rng.integers(1, 60_000, n).astype("<u2")
+    for change in (lambda p: np.insert(p, 30, 7), lambda p: np.delete(p, 30), lambda p: np.concatenate((p[:22], p[22:24], p[20:]))):
+        passage = draw(60)
+        rows = []
+        for p in (passage, change(passage)):
+            at = passages.BEFORE - 10  # both have the shingle that starts at the passage's tenth word
+            rows.append(np.concatenate((draw(at), p, draw(width)))[:width])
+        rows = np.stack(rows)
+        windows = [[r[s : s + WORD].tolist() for s in range(passages.BEFORE + 1)] for r in rows]
+        want = any(jaccard(x, y) >= 0.8 for x in windows[0] for y in windows[1])
+        assert want and (passages.paragraphs_alike(rows, rows[1], 0.8)[1][0] >= 0) and passages.paragraphs_alike(rows, rows[0], 0.8)[1][1] >= 0
+
+
+def test_repeated_shingles_count_as_often_as_both_have_them():
+    rng = np.random.default_rng(4)
+    width = passages.BEFORE + passages.AFTER
+    for _ in range(60):
+        one = rng.integers(1, 4, width).astype("<u2")
+        other = np.roll(one, int(rng.integers(-3, 4)))
+        for at in rng.integers(0, width, 4):
+            other[at] = rng.integers(1, 4)
+        windows = [[r[s : s + WORD].tolist() for s in range(passages.BEFORE + 1)] for r in (one, other)]
+        best = max(jaccard(x, y) for x in windows[0] for y in windows[1])
+        assert (passages.paragraphs_alike(one[None], other, 0.8)[1][0] >= 0) == (best >= 0.8)

@@ -8,9 +8,9 @@ paragraphs of similarity s meet with probability 1 - (1 - s)^BANDS: 0.96 at 0.8
 always if they are equal.
 
 Equal texts are first reduced to one. Shingles that only one document has are dropped before
-anything else is looked at. Around each that is left, the two texts are laid over each other at the
-shared shingle, and paragraphs that contain it are verified by the Jaccard similarity of their
-shingles, repeats included. Verified stretches of a document that overlap are merged to passages, and passages
+anything else is looked at. Around each that is left, every two paragraphs that contain it are verified
+by the exact Jaccard similarity of their shingles, repeats included, wherever they stand: a word put in
+or left out shifts the others and costs only the shingles that hold it. Verified stretches of a document that overlap are merged to passages, and passages
 linked over documents form components; one document keeps the passage.
 """
 
@@ -36,6 +36,9 @@ STEP_WORDS = 1 << 20
 GROUP_LIMIT = 20_000
 #: Occurrences of a shingle that are all compared; pairs compared in one step.
 PAIRS_LIMIT, STEP_PAIRS = 4, 20_000
+#: Pairs whose shingles are all laid against each other at once; what stands for no shingle of a text,
+#: and for one that no other document has.
+STEP_MATRICES, OUTSIDE, ALONE = 500, 0, 2
 NO_ID = -(2**63)
 IN_PARAGRAPH = WORDS - SHINGLE + 1
 #: Words kept before and after the first word of a shared shingle.
@@ -121,13 +124,18 @@ def around(words: np.ndarray, place: int) -> bytes:
     return out.tobytes()
 
 
-def equal_shingles(rows: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Where shingles of ``rows`` (n x words) equal those of ``other`` at the same place."""
-    same = (rows == other) & (rows != 0)
-    out = same[:, : same.shape[1] - SHINGLE + 1].copy()
-    for j in range(1, SHINGLE):
-        out &= same[:, j : j + out.shape[1]]
-    return out
+def shingle_rows(rows: np.ndarray) -> np.ndarray:
+    """Shingles of surroundings (n x words), each above ALONE; OUTSIDE where the text does not reach."""
+    n = rows.shape[1] - SHINGLE + 1
+    total, inside = np.zeros((len(rows), n), dtype=np.uint64), np.ones((len(rows), n), dtype=bool)
+    words = rows.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(SHINGLE):
+            total = total * np.uint64(0x9E3779B97F4A7C15) + words[:, j : j + n]
+            inside &= rows[:, j : j + n] != 0
+        total ^= total >> np.uint64(29)
+        total *= np.uint64(0xBF58476D1CE4E5B9)
+    return np.where(inside, total | np.uint64(4), np.uint64(OUTSIDE))
 
 
 def moving_sum(values: np.ndarray, width: int) -> np.ndarray:
@@ -136,23 +144,65 @@ def moving_sum(values: np.ndarray, width: int) -> np.ndarray:
     return sums[:, width:] - sums[:, :-width]
 
 
-def paragraphs_alike(rows: np.ndarray, other: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end (exclusive) of what each row shares with ``other`` in alike paragraphs; end -1 if none.
+def least_common(similarity: float) -> int:
+    """m equal shingles of IN_PARAGRAPH on either side have the Jaccard similarity m / (2 IN_PARAGRAPH - m)."""
+    return int(np.ceil(2 * IN_PARAGRAPH * similarity / (1 + similarity) - 1e-9))
+
+
+def whole(shingles: np.ndarray) -> np.ndarray:
+    """Which paragraphs are inside the text."""
+    return moving_sum(shingles != OUTSIDE, IN_PARAGRAPH) == IN_PARAGRAPH
+
 
-    A paragraph is looked at in every position that contains the shared shingle. Similarity is the Jaccard
-    similarity of the shingles, repeats included, with the texts laid over each other: m equal ones of
-    IN_PARAGRAPH on either side are m / (2 IN_PARAGRAPH - m).
+def inside_some(paragraphs: np.ndarray, axis: int) -> np.ndarray:
+    """How many of the marked paragraphs hold each shingle."""
+    paragraphs = np.moveaxis(paragraphs, axis, -1)
+    sums = np.zeros((*paragraphs.shape[:-1], paragraphs.shape[-1] + 1), dtype=np.int16)
+    np.cumsum(paragraphs, axis=-1, dtype=np.int16, out=sums[..., 1:])
+    place = np.arange(paragraphs.shape[-1] + IN_PARAGRAPH - 1)
+    counts = sums[..., np.minimum(place + 1, paragraphs.shape[-1])] - sums[..., np.maximum(0, place - IN_PARAGRAPH + 1)]
+    return np.moveaxis(counts, -1, axis)
+
+
+def pairs_alike(one: np.ndarray, other: np.ndarray, similarity: float) -> tuple[np.ndarray, ...]:
+    """Start and end (exclusive) in words of what each row of shingles shares with its pair in alike paragraphs.
+
+    For ``one``, then for ``other``; end -1 if none. Every paragraph of the one is compared with every one of the
+    other, by the Jaccard similarity of their shingles, repeats included, wherever in the paragraph they stand.
     """
-    equal = equal_shingles(rows, other)
-    alike = moving_sum(equal, IN_PARAGRAPH) >= 2 * IN_PARAGRAPH * similarity / (1 + similarity)
-    alike &= moving_sum((rows != 0) & (other != 0), WORDS) == WORDS  # inside both texts
-    some = alike.any(axis=1)
-    low = alike.argmax(axis=1)[:, None]
-    high = (alike.shape[1] - 1 - alike[:, ::-1].argmax(axis=1))[:, None] + IN_PARAGRAPH
-    place = np.arange(equal.shape[1])
-    shared = equal & (place >= low) & (place < high)
-    end = shared.shape[1] - 1 - shared[:, ::-1].argmax(axis=1) + SHINGLE
-    return shared.argmax(axis=1), np.where(some, end, -1)
+    n, need = len(one), least_common(similarity)
+    out = [np.full(n, 10**6), np.full(n, -1), np.full(n, 10**6), np.full(n, -1)]
+    for at in range(0, n, STEP_MATRICES):
+        a, b = one[at : at + STEP_MATRICES], other[at : at + STEP_MATRICES]
+        equal = (a[:, :, None] == b[:, None, :]) & (a > ALONE)[:, :, None]
+        ok_a = whole(a) & (moving_sum(equal.any(axis=2), IN_PARAGRAPH) >= need)
+        ok_b = whole(b) & (moving_sum(equal.any(axis=1), IN_PARAGRAPH) >= need)
+        (kept,) = np.nonzero(ok_a.any(axis=1) & ok_b.any(axis=1))
+        if not len(kept):
+            continue
+        equal, a, b = equal[kept], a[kept], b[kept]
+        width, windows = equal.shape[1], equal.shape[1] - IN_PARAGRAPH + 1
+        common = moving_sum(equal.reshape(-1, width), IN_PARAGRAPH).reshape(len(kept), width, windows)
+        common = moving_sum(common.transpose(0, 2, 1).reshape(-1, width), IN_PARAGRAPH).reshape(len(kept), windows, windows).transpose(0, 2, 1)
+        # of a shingle that repeats, the smaller of the two numbers counts
+        for k in np.flatnonzero((equal.sum(axis=2) > 1).any(axis=1) | (equal.sum(axis=1) > 1).any(axis=1)).tolist():
+            values, times = np.unique(np.concatenate((a[k][equal[k].any(axis=1)], b[k][equal[k].any(axis=0)])), return_counts=True)
+            for x in values[times > 2]:
+                x, y = moving_sum((a[k] == x)[None], IN_PARAGRAPH)[0], moving_sum((b[k] == x)[None], IN_PARAGRAPH)[0]
+                common[k] -= np.multiply.outer(x, y) - np.minimum.outer(x, y)
+        alike = (common >= need) & ok_a[kept][:, :, None] & ok_b[kept][:, None, :]
+        some = alike.any(axis=(1, 2))
+        shared = equal[some] & (inside_some(inside_some(alike[some], 1) > 0, 2) > 0)
+        for k, places in enumerate((shared.any(axis=2), shared.any(axis=1))):
+            out[2 * k][at + kept[some]] = places.argmax(axis=1)
+            out[2 * k + 1][at + kept[some]] = width - 1 - places[:, ::-1].argmax(axis=1) + SHINGLE
+    return tuple(out)
+
+
+def paragraphs_alike(rows: np.ndarray, other: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`pairs_alike` of surroundings: what each row shares with ``other``, a row or one for each."""
+    own, others = shingle_rows(rows), shingle_rows(np.atleast_2d(other))
+    return pairs_alike(own, np.broadcast_to(others, own.shape), similarity)[:2]
 
 
 def run_keys(rows: np.ndarray):
@@ -206,12 +256,12 @@ class Clusters:
         one, other = one[foreign], other[foreign]
         for at in range(0, len(one), STEP_PAIRS):
             i, j = one[at : at + STEP_PAIRS], other[at : at + STEP_PAIRS]
-            start, end = paragraphs_alike(self.rows[i], self.rows[j], self.similarity)
-            hit = end >= 0
-            i, j, start, end = i[hit], j[hit], start[hit], end[hit]
-            for k in (i, j):
-                np.minimum.at(self.first, k, start)
-                np.maximum.at(self.last, k, end)
+            spans = pairs_alike(shingle_rows(self.rows[i]), shingle_rows(self.rows[j]), self.similarity)
+            hit = spans[1] >= 0
+            i, j = i[hit], j[hit]
+            for k, start, end in ((i, *spans[:2]), (j, *spans[2:])):
+                np.minimum.at(self.first, k, start[hit])
+                np.maximum.at(self.last, k, end[hit])
             for a, b in zip(i.tolist(), j.tolist(), strict=True):
                 p, q = self.root(a), self.root(b)
                 if p != q:
