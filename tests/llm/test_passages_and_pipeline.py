@@ -188,3 +188,35 @@ def test_repeated_shingles_count_as_often_as_both_have_them():
         windows = [[r[s : s + WORD].tolist() for s in range(passages.BEFORE + 1)] for r in (one, other)]
         best = max(jaccard(x, y) for x in windows[0] for y in windows[1])
         assert (passages.paragraphs_alike(one[None], other, 0.8)[1][0] >= 0) == (best >= 0.8)
+
+
+def test_every_pair_of_a_large_group_counts():
+    """Links and widest extents equal those of all pairs, with words changed, put in and left out."""
+    rng = np.random.default_rng(11)
+    width = passages.BEFORE + passages.AFTER
+    draw = lambda n: rng.integers(1, 60_000, n).astype("<u2")
+    chain = [draw(width)]
+    for _ in range(5):  # each like the one before, the ends unlike
+        chain.append(chain[-1].copy())
+        chain[-1][rng.integers(0, 40, 2)] = rng.integers(1, 60_000, 2)
+    rows = []
+    for _ in range(240):
+        row = chain[rng.integers(len(chain))].copy()
+        low = int(rng.integers(0, passages.BEFORE))
+        high = min(width, low + int(rng.integers(46, 80)))
+        row[:low], row[high:] = draw(width)[:low], draw(width)[high:]
+        if rng.random() < 0.4:
+            row = np.insert(row, 60, draw(1))[:width] if rng.random() < 0.5 else np.append(np.delete(row, 60), draw(1))
+        rows.append(row)
+    rows, docs = np.stack(rows), np.arange(240) // 2
+    found = passages.compared(np.zeros(240, dtype=int), docs, rows, 0.8)
+    links = []
+    for i in range(240):
+        others = np.flatnonzero(docs != docs[i])
+        start, end = passages.paragraphs_alike(np.repeat(rows[i : i + 1], len(others), axis=0), rows[others], 0.8)
+        alike = end >= 0
+        links += [(i, int(j)) for j in others[alike]]
+        assert (found.last[i], found.first[i]) == ((end[alike].max(), start[alike].min()) if alike.any() else (-1, 10**6))
+    want = components_of(range(240), links)
+    assert len(set(want.values())) < 200
+    assert all(found.root(i) == want[i] for i in range(240))

@@ -34,8 +34,8 @@ STEP_WORDS = 1 << 20
 #: Occurrences of a shingle compared with each other in one task; more are dealt out and meet again
 #: through the first of each cluster.
 GROUP_LIMIT = 20_000
-#: Occurrences of a shingle that are all compared; pairs compared in one step.
-PAIRS_LIMIT, STEP_PAIRS = 4, 20_000
+#: Kinds of surroundings of a shingle whose pairs are compared together with those of other shingles.
+PAIRS_LIMIT = 4
 #: Pairs whose shingles are all laid against each other at once; what stands for no shingle of a text,
 #: and for one that no other document has.
 STEP_MATRICES, OUTSIDE, ALONE = 500, 0, 2
@@ -205,43 +205,45 @@ def paragraphs_alike(rows: np.ndarray, other: np.ndarray, similarity: float) ->
     return pairs_alike(own, np.broadcast_to(others, own.shape), similarity)[:2]
 
 
-def run_keys(rows: np.ndarray):
-    """Keys of which two texts with an alike paragraph around the shared shingle have at least one in common.
+def reduced(groups: np.ndarray, docs: np.ndarray, shingles: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows can have a partner in their group, and their shingles with those that cannot count marked ALONE.
 
-    An alike paragraph has at most five shingles that differ. So either one word inside it differs, or some of its
-    first and last words, five at most. Cut it in thirds: the middle third and one other are equal (a run of
-    33 words), or the outer two are, or only edges differ (a run of 40). Yields a key for each start of a run,
-    then for each paragraph's outer thirds (0 where the text does not reach so far), and whether it follows on the last.
+    A shingle counts if another document of the group has it too and if it stands in a paragraph with enough of
+    such shingles. What is left out of a row lowers those of others, so this goes on until nothing changes.
+    No pair's common shingles in alike paragraphs are touched.
     """
-    n, width = rows.shape
-    prefix = np.zeros((n, width + 1), dtype=np.uint64)
-    factor = np.uint64(0x9E3779B97F4A7C15)
-    powers = [np.uint64(1)]
-    with np.errstate(over="ignore"):
-        words = rows.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)
-        words ^= words >> np.uint64(29)
-        for j in range(width):
-            prefix[:, j + 1] = prefix[:, j] * factor + words[:, j]
-            powers.append(powers[-1] * factor)
-        gaps = np.concatenate((np.zeros((n, 1), dtype=np.int64), (rows == 0).cumsum(axis=1)), axis=1)
-
-        def part(low: int, high: int) -> np.ndarray:
-            value = prefix[:, high] - prefix[:, low] * powers[high - low]
-            return np.where(gaps[:, high] == gaps[:, low], value | np.uint64(1), np.uint64(0))
-
-        third = WORDS // 3
-        for low in range(width - 2 * third):
-            yield part(low, low + 2 * third + 1), low > 0
-        for low in range(width - WORDS + 1):
-            outer, other = part(low, low + third + 1), part(low + WORDS - third, low + WORDS)
-            yield np.where((outer != 0) & (other != 0), (outer * factor + other) | np.uint64(1), np.uint64(0)), low > 0
+    need, left = least_common(similarity), np.arange(len(groups))
+    values, seed = shingles.copy(), groups.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    inside = whole(values)
+    while len(left):
+        counts = values > ALONE
+        with np.errstate(over="ignore"):
+            keys = ((values ^ seed[left][:, None]) * np.uint64(0x9E3779B97F4A7C15))[counts]
+        owner = np.repeat(docs[left], counts.sum(axis=1))
+        order = np.argsort(keys)
+        ranked, owner = keys[order], owner[order]
+        edges = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))) if len(ranked) else np.zeros(0, dtype=np.int64)
+        shared = np.zeros(len(ranked), dtype=bool)
+        if len(edges):
+            foreign = np.minimum.reduceat(owner, edges) != np.maximum.reduceat(owner, edges)
+            shared[order] = np.repeat(foreign, np.diff(np.append(edges, len(ranked))))
+        good = np.zeros_like(counts)
+        good[counts] = shared
+        paragraphs = inside & (moving_sum(good, IN_PARAGRAPH) >= need)
+        good &= inside_some(paragraphs, 1) > 0
+        values[counts & ~good] = ALONE
+        some = paragraphs.any(axis=1)
+        if some.all() and (good == counts).all():
+            break
+        left, values, inside = left[some], values[some], inside[some]
+    return left, values
 
 
 class Clusters:
     """Occurrences of shingles, joined where a paragraph around them is alike."""
 
-    def __init__(self, docs: np.ndarray, rows: np.ndarray, similarity: float) -> None:
-        self.docs, self.rows, self.similarity = docs, rows, similarity
+    def __init__(self, docs: np.ndarray, similarity: float) -> None:
+        self.docs, self.similarity = docs, similarity
         self.parent, self.first, self.last = np.arange(len(docs)), np.full(len(docs), 10**6), np.full(len(docs), -1)
 
     def root(self, i: int) -> int:
@@ -250,99 +252,123 @@ class Clusters:
             i = int(self.parent[i])
         return i
 
+
+class Kinds:
+    """Occurrences of equal reduced shingles as one: all pairs of kinds that can still change a result are compared.
+
+    Members of a kind with two documents are partners of each other over all that counts in them, so only
+    kinds of one document can still widen.
+    """
+
+    def __init__(self, clusters: Clusters, groups: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+        self.clusters, self.at, self.values = clusters, at, values
+        odd = np.random.default_rng(7).integers(0, 2**63, size=values.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        with np.errstate(over="ignore"):
+            mixed = (values ^ (values >> np.uint64(32))) * odd
+            keys = (mixed ^ (mixed >> np.uint64(29))).sum(axis=1, dtype=np.uint64) + groups[at].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        _, once, self.of = np.unique(keys, return_index=True, return_inverse=True)
+        order = np.argsort(self.of, kind="stable")
+        edges = np.searchsorted(self.of[order], np.arange(len(once)))
+        own = clusters.docs[at][order]
+        low, high = (f.reduceat(own, edges) if len(once) else own for f in (np.minimum, np.maximum))
+        # kinds of a group side by side
+        rank = np.lexsort((once, groups[at][once]))
+        place = np.empty_like(rank)
+        place[rank] = np.arange(len(rank))
+        self.of, self.once, self.low, self.many = place[self.of], once[rank], low[rank], (low != high)[rank]
+        self.rows, self.group = values[self.once], groups[at][self.once]
+        self.sizes = np.bincount(self.of, minlength=len(rank))
+        counts = self.rows > ALONE
+        self.low_end, self.high_end = counts.argmax(axis=1), counts.shape[1] - 1 - counts[:, ::-1].argmax(axis=1) + SHINGLE
+        self.first = np.where(self.many, self.low_end, 10**6)
+        self.last = np.where(self.many, self.high_end, -1)
+        self.label = np.arange(len(rank))
+
     def join(self, one: np.ndarray, other: np.ndarray) -> None:
-        """Compare pairs of occurrences, those of different documents, and join the alike ones."""
-        foreign = self.docs[one] != self.docs[other]
+        """Compare pairs of kinds and join the alike ones; two kinds of the same only document are not compared."""
+        foreign = self.many[one] | self.many[other] | (self.low[one] != self.low[other])
         one, other = one[foreign], other[foreign]
-        for at in range(0, len(one), STEP_PAIRS):
-            i, j = one[at : at + STEP_PAIRS], other[at : at + STEP_PAIRS]
-            spans = pairs_alike(shingle_rows(self.rows[i]), shingle_rows(self.rows[j]), self.similarity)
-            hit = spans[1] >= 0
-            i, j = i[hit], j[hit]
-            for k, start, end in ((i, *spans[:2]), (j, *spans[2:])):
-                np.minimum.at(self.first, k, start[hit])
-                np.maximum.at(self.last, k, end[hit])
-            for a, b in zip(i.tolist(), j.tolist(), strict=True):
-                p, q = self.root(a), self.root(b)
-                if p != q:
-                    self.parent[max(p, q)] = min(p, q)
-
-    def compare_all(self, groups: np.ndarray, few: np.ndarray) -> None:
-        """All pairs inside groups of at most PAIRS_LIMIT neighbours (``few`` marks their members)."""
-        for apart in range(1, PAIRS_LIMIT):
-            (at,) = np.nonzero((groups[:-apart] == groups[apart:]) & few[:-apart]) if apart < len(groups) else (np.zeros(0, dtype=int),)
-            if not len(at):
-                break
+        spans = pairs_alike(self.rows[one], self.rows[other], self.clusters.similarity)
+        hit = spans[1] >= 0
+        one, other = one[hit], other[hit]
+        for k, start, end in ((one, *spans[:2]), (other, *spans[2:])):
+            np.minimum.at(self.first, k, start[hit])
+            np.maximum.at(self.last, k, end[hit])
+        for a, b in zip(one.tolist(), other.tolist(), strict=True):
+            p, q = sorted((int(self.label[a]), int(self.label[b])))
+            if p != q:
+                low, high = np.searchsorted(self.group, [self.group[a], self.group[a] + 1])
+                part = self.label[low:high]
+                part[part == q] = p
+
+    def wide(self, some) -> np.ndarray:
+        return (self.first[some] <= self.low_end[some]) & (self.last[some] >= self.high_end[some])
+
+    def compare_group(self, low: int, high: int) -> None:
+        """All pairs of the kinds ``low`` to ``high`` but those that share too little or can change nothing.
+
+        First all with the kind of most occurrences. A partner has enough of a paragraph's shingles that it lacks
+        fewer than ``spare`` of them, so it has one of any ``spare``, also of the rarest: only kinds with one of
+        these are looked at.
+        """
+        everyone = np.arange(low, high)
+        leader = low + int(self.sizes[low:high].argmax())
+        others = everyone[everyone != leader]
+        self.join(np.full(len(others), leader), others)
+        _, numbers, times = np.unique(self.rows[low:high], return_inverse=True, return_counts=True)
+        numbers = numbers.reshape(high - low, -1)
+        counts, spare = self.rows[low:high] > ALONE, IN_PARAGRAPH - least_common(self.clusters.similarity) + 1
+        rarity = np.where(counts, times[numbers], 0)
+        order = np.argsort(numbers.ravel(), kind="stable")
+        edges = np.concatenate(([0], np.cumsum(times)))
+        owners = order // numbers.shape[1]
+        windows = np.lib.stride_tricks.sliding_window_view
+        for i in range(high - low):
+            if low + i == leader:
+                continue
+            rarest = np.argpartition(windows(rarity[i], IN_PARAGRAPH), spare - 1, axis=1)[:, :spare]
+            usable = moving_sum(counts[i : i + 1], IN_PARAGRAPH)[0] >= IN_PARAGRAPH - spare + 1
+            places = np.unique((rarest + np.arange(len(rarest))[:, None])[usable])
+            keys = np.unique(numbers[i][places[counts[i][places]]])
+            near = np.unique(np.concatenate([owners[edges[x] : edges[x + 1]] for x in keys.tolist()] or [np.zeros(0, dtype=np.int64)])) + low
+            near = near[(near != low + i) & (near != leader)]
+            # a pair is looked at from the first of the two
+            near = near[near > low + i]
+            open_ = (self.label[near] != self.label[low + i]) | ~self.wide(near) | ~self.wide(low + i)
+            near = near[open_]
+            for at in range(0, len(near), STEP_MATRICES):
+                part = near[at : at + STEP_MATRICES]
+                part = part[(self.label[part] != self.label[low + i]) | ~self.wide(part) | ~self.wide(low + i)]
+                self.join(np.full(len(part), low + i), part)
+
+    def compare(self) -> None:
+        edges = np.flatnonzero(np.concatenate(([True], self.group[1:] != self.group[:-1], [True]))) if len(self.group) else np.zeros(1, dtype=int)
+        sizes = edges[1:] - edges[:-1]
+        few = np.repeat(sizes <= PAIRS_LIMIT, sizes)
+        for apart in range(1, min(PAIRS_LIMIT, len(self.group))):
+            (at,) = np.nonzero((self.group[:-apart] == self.group[apart:]) & few[:-apart])
             self.join(at, at + apart)
+        for k in np.flatnonzero(sizes > PAIRS_LIMIT).tolist():
+            self.compare_group(int(edges[k]), int(edges[k + 1]))
 
-    def usual(self, some: np.ndarray) -> int:
-        """The occurrence most like the others: it has most of the words that most of a sample have."""
-        sample = self.rows[some[:: max(1, len(some) // 200)]]
-        middle = np.sort(sample, axis=0)[len(sample) // 2]
-        return int(some[int((self.rows[some] == middle).sum(axis=1).argmax())])
-
-    def compare_group(self, group: np.ndarray) -> None:
-        """All with the one most like the others, then who is still alone with all of them."""
-        leader = self.usual(group)
-        others = group[group != leader]
-        self.join(np.full(len(others), leader), others)
-        alone = group[self.last[group] < 0]
-        if len(alone) * len(group) > STEP_PAIRS:
-            self.compare_keys(group)
-        elif len(alone):
-            i, j = (x.ravel() for x in np.meshgrid(alone, group, indexing="ij"))
-            self.join(i[i != j], j[i != j])
-
-    def compare_keys(self, group: np.ndarray) -> None:
-        """A large group: dealt out by keys that alike occurrences must share.
-
-        Of a key's occurrences one of each cluster so far is compared with the one most like the others, and
-        who is still alone with all of them, but for pairs that the key before had together already. So
-        whatever has a partner gets one.
-        """
-        before = np.zeros(len(group), dtype=np.uint64)
-        for key, follows in run_keys(self.rows[group]):
-            before = before if follows else np.zeros(len(group), dtype=np.uint64)
-            order = np.argsort(key, kind="stable")
-            ranked = key[order]
-            edges = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1], [True])))
-            wide = np.flatnonzero((edges[1:] - edges[:-1] > 1) & (ranked[edges[:-1]] != 0))
-            for a, b in zip(edges[wide].tolist(), edges[wide + 1].tolist(), strict=True):
-                local = order[a:b]
-                if before[local[0]] and (before[local] == before[local[0]]).all():
-                    continue
-                everyone = group[local]
-                alone = local[self.last[everyone] < 0]
-                first_of = {self.root(i): i for i in everyone[::-1].tolist()}
-                if len(first_of) > 1:
-                    leader = self.usual(everyone)
-                    others = np.array([i for r, i in first_of.items() if r != self.root(leader)], dtype=np.int64)
-                    self.join(np.full(len(others), leader), others)
-                    alone = alone[self.last[group[alone]] < 0]
-                step = max(1, 10 * STEP_PAIRS // len(local))
-                for at in range(0, len(alone), step):
-                    i, j = (x.ravel() for x in np.meshgrid(alone[at : at + step], local, indexing="ij"))
-                    new = (i != j) & ((before[i] != before[j]) | (before[i] == 0))
-                    self.join(group[i[new]], group[j[new]])
-            before = key
+    def finish(self) -> None:
+        """Give the kinds' results to their members."""
+        found = self.last[self.of] >= 0
+        at, of = self.at[found], self.of[found]
+        self.clusters.first[at], self.clusters.last[at] = self.first[of], self.last[of]
+        least = np.full(len(self.label), len(self.clusters.docs))
+        np.minimum.at(least, self.label[of], at)
+        self.clusters.parent[at] = least[self.label[of]]
 
 
 def compared(groups: np.ndarray, docs: np.ndarray, rows: np.ndarray, similarity: float) -> Clusters:
     """Clusters of the occurrences of shingles; ``groups`` holds the shingle's number, equal ones side by side."""
-    clusters = Clusters(docs, rows, similarity)
-    edges = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1], [True])))
-    sizes = np.repeat(edges[1:] - edges[:-1], edges[1:] - edges[:-1])
-    clusters.compare_all(groups, sizes <= PAIRS_LIMIT)
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        if b - a > PAIRS_LIMIT:
-            # a text that repeats itself has the same surroundings many times
-            own = np.ascontiguousarray(np.concatenate((docs[a:b, None].view("<u2").reshape(b - a, -1), rows[a:b]), axis=1))
-            _, once, of = np.unique(own.view(f"V{own.shape[1] * 2}").ravel(), return_index=True, return_inverse=True)
-            clusters.compare_group(a + np.sort(once))
-            again = a + once[of.ravel()]
-            clusters.first[a:b], clusters.last[a:b] = clusters.first[again], clusters.last[again]
-            copies = np.flatnonzero(again != np.arange(a, b))
-            clusters.parent[a + copies] = again[copies]
+    clusters = Clusters(docs, similarity)
+    at, values = reduced(groups, docs, shingle_rows(rows), similarity)
+    if len(at):
+        kinds = Kinds(clusters, groups, at, values)
+        kinds.compare()
+        kinds.finish()
     return clusters
 
 
