@@ -220,3 +220,18 @@ def test_every_pair_of_a_large_group_counts():
     want = components_of(range(240), links)
     assert len(set(want.values())) < 200
     assert all(found.root(i) == want[i] for i in range(240))
+
+
+def test_hot_shingles_lose_no_pair_and_no_task_holds_them_all(make_docs, monkeypatch):
+    """One text with a passage of a much copied one, and alike pairs among unlike surroundings of one shingle."""
+    line, much = prose(1, 5), prose(2, 90)
+    rows = [(i, " ".join([*prose(100 + i, 6), *much])) for i in range(30)] + [(30, " ".join([*prose(200, 40), *much[15:75], *prose(201, 9)]))]
+    for i in range(20):
+        left, right = prose(300 + i // 2, 40), prose(400 + i // 2, 40)  # two of each
+        rows.append((40 + i, " ".join([*prose(500 + i, 9), *left, *line, *right])))
+    alone = {100 + i: " ".join([*prose(600 + i, 60), *line, *prose(700 + i, 60)]) for i in range(20)}
+    rows += list(alone.items())
+    spans = lambda limit: sorted(map(tuple, passages.repeated_passages(make_docs(rows), group_limit=limit).collect()))
+    few = spans(6)
+    assert few == spans(20_000)
+    assert {r[0]: r[3] for r in few} == {**{i: 0 for i in range(31)}, **{40 + i: 40 + i // 2 * 2 for i in range(20)}}

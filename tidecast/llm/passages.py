@@ -31,8 +31,8 @@ BANDS = 2
 ORDERS = np.random.default_rng(5).integers(0, 2**63, size=8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Words of a text that are hashed in one step.
 STEP_WORDS = 1 << 20
-#: Occurrences of a shingle compared with each other in one task; more are dealt out and meet again
-#: through the first of each cluster.
+#: Occurrences of a shingle compared with each other in one task; of more, those of equal kind are found
+#: by shuffles first, and what is left is dealt to blocks of which every two meet in a task.
 GROUP_LIMIT = 20_000
 #: Kinds of surroundings of a shingle whose pairs are compared together with those of other shingles.
 PAIRS_LIMIT = 4
@@ -373,7 +373,7 @@ def compared(groups: np.ndarray, docs: np.ndarray, rows: np.ndarray, similarity:
 
 
 def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
-    """``key, doc, place, first, last, leader_doc, leader_place, leader_around`` from occurrences sorted by (key, part)."""
+    """``key, doc, place, first, last, leader_doc, leader_place, part`` of occurrences; those of a (key, part) are compared."""
     import pyarrow as pa
 
     names = ["key", "doc", "place", "around"]
@@ -383,7 +383,7 @@ def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
 
         def done(upto: int) -> dict:
             key, part, doc = (np.array(held[n][:upto], dtype=np.int64) for n in ("key", "part", "doc"))
-            out = {n: [] for n in ("key", "doc", "place", "first", "last", "leader_doc", "leader_place", "leader_around")}
+            out = {n: [] for n in ("key", "doc", "place", "first", "last", "leader_doc", "leader_place", "part")}
             if upto:
                 changes = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
                 rows = np.frombuffer(b"".join(held["around"][:upto]), dtype="<u2").reshape(upto, -1)
@@ -397,7 +397,7 @@ def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
                     out["last"].append(place + int(clusters.last[i]))
                     out["leader_doc"].append(int(doc[leader]))
                     out["leader_place"].append(held["place"][leader])
-                    out["leader_around"].append(held["around"][leader] if i == leader else None)
+                    out["part"].append(int(part[i]))
             for n in held:
                 del held[n][:upto]
             return out
@@ -414,10 +414,10 @@ def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
                     yield done(tail)
         yield done(len(held["key"]))
 
-    schema = "key long, doc long, place int, first int, last int, leader_doc long, leader_place int, leader_around binary"
+    schema = "key long, doc long, place int, first int, last int, leader_doc long, leader_place int, part long"
     fields = pa.schema(
         [("key", pa.int64()), ("doc", pa.int64()), ("place", pa.int32()), ("first", pa.int32()), ("last", pa.int32()),
-         ("leader_doc", pa.int64()), ("leader_place", pa.int32()), ("leader_around", pa.binary())]
+         ("leader_doc", pa.int64()), ("leader_place", pa.int32()), ("part", pa.int64())]
     )
 
     def task(batches):
@@ -428,30 +428,101 @@ def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
     return dealt.mapInArrow(task, schema)
 
 
-def cluster_id(key: str, doc: str, place: str):
-    return F.xxhash64(key, doc, place)
+def cluster_id():
+    return F.xxhash64("key", "part", "leader_doc", "leader_place")
 
 
-def stretches(sketched: DataFrame, firsts: DataFrame, similarity: float, group_limit: int) -> tuple[DataFrame, DataFrame]:
-    """Verified stretches (``doc, first, last, cluster``) of the documents in ``firsts``, and links between clusters."""
+def hot_kinds(rows: DataFrame, similarity: float) -> DataFrame:
+    """``key, doc, place, around, kind`` of the occurrences that can have a partner, equal kinds with the same number.
+
+    The first step of :func:`reduced` as shuffles by (key, shingle): no task holds the occurrences of a key.
+    """
+    need = least_common(similarity)
+
+    def make():
+        def listed(keys, docs, places, arounds):
+            shingles = shingle_rows(np.frombuffer(b"".join(arounds), dtype="<u2").reshape(len(keys), -1))
+            row, at = np.nonzero(shingles > ALONE)
+            take = lambda column: np.array(column, dtype=np.int64)[row]
+            return {"key": take(keys), "doc": take(docs), "place": take(places).astype(np.int32), "at": at.astype(np.int32), "shingle": shingles[row, at].view(np.int64)}
+
+        return listed
+
+    def make_kinds():
+        def kinds(keys, docs, places, arounds, spots):
+            out = {n: [] for n in ("key", "doc", "place", "around", "kind")}
+            shingles = shingle_rows(np.frombuffer(b"".join(arounds), dtype="<u2").reshape(len(keys), -1))
+            good = np.zeros(shingles.shape, dtype=bool)
+            for i, some in enumerate(spots):
+                good[i, some] = True
+            paragraphs = whole(shingles) & (moving_sum(good, IN_PARAGRAPH) >= need)
+            good &= inside_some(paragraphs, 1) > 0
+            shingles[(shingles > ALONE) & ~good] = ALONE
+            for i in np.flatnonzero(paragraphs.any(axis=1)).tolist():
+                for name, value in zip(out, (keys[i], docs[i], places[i], arounds[i], xxhash.xxh3_64_intdigest(shingles[i].tobytes()) >> 1), strict=True):
+                    out[name].append(value)
+            return out
+
+        return kinds
+
+    each = map_slices(rows.select("key", "doc", "place", "around"), make, "key long, doc long, place int, at int, shingle long")
+    shared = each.groupBy("key", "shingle").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("key", "shingle")
+    spots = each.join(shared, ["key", "shingle"]).groupBy("key", "doc", "place").agg(F.collect_list("at").alias("spots"))
+    left = rows.join(spots, ["key", "doc", "place"]).select("key", "doc", "place", "around", "spots")
+    return map_slices(left, make_kinds, "key long, doc long, place int, around binary, kind long")
+
+
+def hot_stretches(rows: DataFrame, similarity: float, group_limit: int) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`stretches` for the occurrences of shingles that no task should hold all of.
+
+    Of each kind only the occurrences with the least and the largest document are compared, which stand for
+    the others. Where these are more than ``group_limit`` they are dealt to blocks, and every two blocks meet
+    in a task, so each pair does.
+    """
+    kinds = materialise(hot_kinds(rows, similarity), "hot-kinds")
+    one = F.struct("doc", "place", "around")
+    ends = kinds.groupBy("key", "kind").agg(F.min(one).alias("low"), F.max(one).alias("high"))
+    some = ends.select("key", "kind", F.explode(F.array_distinct(F.array("low", "high"))).alias("r")).select("key", "kind", "r.*")
+    some = materialise(some, "hot-ends")
+    blocks = some.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select(
+        "key", F.when(F.col("n") <= group_limit, 1).otherwise(F.ceil(F.col("n") * 2 / group_limit)).cast("long").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("doc", "place"), F.col("blocks"))
+    met = F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda b: (b != F.col("block")) | (F.col("blocks") == 1))
+    parts = F.transform(met, lambda b: F.least(b, F.col("block")) * F.col("blocks") + F.greatest(b, F.col("block")))
+    dealt = some.join(blocks, "key").withColumn("block", own).withColumn("part", F.explode(parts))
+    found = verified(dealt, similarity).join(some.select("key", "doc", "place", "kind"), ["key", "doc", "place"])
+    found = found.select("key", "kind", (F.col("first") - F.col("place")).alias("low"), (F.col("last") - F.col("place")).alias("high"), cluster_id().alias("cluster"))
+    found = materialise(found, "hot-found")
+    widest = found.groupBy("key", "kind").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("cluster").alias("cluster"))
+    stretched = kinds.select("key", "kind", "doc", "place").join(widest, ["key", "kind"])
+    links = found.select("key", "kind", F.col("cluster").alias("a")).join(widest.select("key", "kind", F.col("cluster").alias("b")), ["key", "kind"])
+    return (
+        stretched.select("doc", (F.col("place") + F.col("low")).alias("first"), (F.col("place") + F.col("high")).alias("last"), "cluster"),
+        links.where("a <> b").select("a", "b").distinct(),
+    )
+
+
+def stretches(sketched: DataFrame, firsts: DataFrame, similarity: float, group_limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Verified stretches (``doc, first, last, cluster``) of the documents in ``firsts``, and links between clusters, if any."""
     keys = sketched.select("doc", F.explode(F.arrays_zip("keys", "places")).alias("k")).select(
         F.col("k.keys").alias("key"), "doc", F.col("k.places").alias("place")
     )
-    shared = (
+    shared = materialise(
         keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("size"))
-        .where("low <> high").select("key", "size")
+        .where("low <> high").select("key", "size"),
+        "shared",
     )
     at = keys.join(shared, "key").groupBy("doc").agg(F.collect_list(F.struct("key", "place", "size")).alias("spots"))
 
     def make():
         def cut(docs, spots, words):
-            out = {n: [] for n in ("key", "part", "doc", "place", "around")}
+            out = {n: [] for n in ("key", "size", "doc", "place", "around")}
             for doc, some, binary in zip(docs, spots, words, strict=True):
                 own = np.frombuffer(binary, dtype="<u2")
                 for s in some:
                     out["key"].append(s["key"])
-                    # a shingle of very many documents is dealt out by document
-                    out["part"].append(hash_of(doc) % (1 + s["size"] // group_limit))
+                    out["size"].append(s["size"])
                     out["doc"].append(doc)
                     out["place"].append(s["place"])
                     out["around"].append(around(own, s["place"]))
@@ -460,19 +531,14 @@ def stretches(sketched: DataFrame, firsts: DataFrame, similarity: float, group_l
         return cut
 
     joined = at.join(firsts.select("doc"), "doc", "left_semi").join(sketched.select("doc", "words"), "doc").select("doc", "spots", "words")
-    rows = map_slices(joined, make, "key long, part long, doc long, place int, around binary")
-    found = materialise(verified(rows, similarity), "stretches")
-    own = found.select("doc", "first", "last", cluster_id("key", "leader_doc", "leader_place").alias("cluster"))
-    # clusters of one shingle that were dealt to different parts meet through their leaders
-    leaders = found.where("leader_around is not null").select("key", F.lit(0).cast("long").alias("part"), "doc", "place", F.col("leader_around").alias("around"))
-    large = shared.where(F.col("size") >= group_limit).select("key")
-    again = verified(leaders.join(large, "key", "left_semi"), similarity)
-    links = again.select(cluster_id("key", "doc", "place").alias("a"), cluster_id("key", "leader_doc", "leader_place").alias("b"))
-    return own, links
-
-
-def hash_of(number: int) -> int:
-    return (number * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 32
+    rows = map_slices(joined, make, "key long, size long, doc long, place int, around binary")
+    hot = F.col("size") >= group_limit
+    found = materialise(verified(rows.where(~hot).withColumn("part", F.lit(0).cast("long")), similarity), "stretches")
+    own = found.select("doc", "first", "last", cluster_id().alias("cluster"))
+    if shared.where(hot).isEmpty():
+        return own, None
+    hot_own, links = hot_stretches(materialise(rows.where(hot), "hot-rows"), similarity, group_limit)
+    return own.unionByName(hot_own), links
 
 
 def merged(own: DataFrame) -> DataFrame:
@@ -521,7 +587,8 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY, bands: in
     )
     passages = materialise(merged(own.unionByName(copied)), "passages")
     inside = passages.select(F.explode("clusters").alias("a"), F.array_min("clusters").alias("b"))
-    roots = components(inside.where("a <> b").unionByName(links))
+    inside = inside.where("a <> b")
+    roots = components(inside if links is None else inside.unionByName(links))
     rooted = (
         passages.withColumn("node", F.array_min("clusters"))
         .join(roots, "node", "left")
