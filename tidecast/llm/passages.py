@@ -38,7 +38,7 @@ GROUP_LIMIT = 20_000
 PAIRS_LIMIT = 4
 #: Pairs whose shingles are all laid against each other at once; what stands for no shingle of a text,
 #: and for one that no other document has.
-STEP_MATRICES, OUTSIDE, ALONE = 500, 0, 2
+STEP_MATRICES, STEP_LINKED, OUTSIDE, ALONE = 500, 50, 0, 2
 NO_ID = -(2**63)
 IN_PARAGRAPH = WORDS - SHINGLE + 1
 #: Words kept before and after the first word of a shared shingle.
@@ -164,11 +164,18 @@ def inside_some(paragraphs: np.ndarray, axis: int) -> np.ndarray:
     return np.moveaxis(counts, -1, axis)
 
 
-def pairs_alike(one: np.ndarray, other: np.ndarray, similarity: float) -> tuple[np.ndarray, ...]:
+def ends_of(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end (exclusive) in words of the marked shingles of each row."""
+    return places.argmax(axis=1), places.shape[1] - 1 - places[:, ::-1].argmax(axis=1) + SHINGLE
+
+
+def pairs_alike(one: np.ndarray, other: np.ndarray, similarity: float, held: tuple[np.ndarray, ...] | None = None) -> tuple[np.ndarray, ...]:
     """Start and end (exclusive) in words of what each row of shingles shares with its pair in alike paragraphs.
 
     For ``one``, then for ``other``; end -1 if none. Every paragraph of the one is compared with every one of the
     other, by the Jaccard similarity of their shingles, repeats included, wherever in the paragraph they stand.
+    ``held`` are starts and ends known of the rows, where the pair is linked already: pairs that cannot widen
+    these are left out (end -1).
     """
     n, need = len(one), least_common(similarity)
     out = [np.full(n, 10**6), np.full(n, -1), np.full(n, 10**6), np.full(n, -1)]
@@ -177,7 +184,24 @@ def pairs_alike(one: np.ndarray, other: np.ndarray, similarity: float) -> tuple[
         equal = (a[:, :, None] == b[:, None, :]) & (a > ALONE)[:, :, None]
         ok_a = whole(a) & (moving_sum(equal.any(axis=2), IN_PARAGRAPH) >= need)
         ok_b = whole(b) & (moving_sum(equal.any(axis=1), IN_PARAGRAPH) >= need)
-        (kept,) = np.nonzero(ok_a.any(axis=1) & ok_b.any(axis=1))
+        some = ok_a.any(axis=1) & ok_b.any(axis=1)
+        # nothing outside these bounds can be shared; where texts laid over each other reach them, that is all
+        same = (a == b) & (a > ALONE)
+        straight = ok_a & ok_b & (moving_sum(same, IN_PARAGRAPH) >= need)
+        same &= inside_some(straight, 1) > 0
+        settled, within = straight.any(axis=1), np.full(len(a), held is not None)
+        for k, (places, ok) in enumerate(((equal.any(axis=2), ok_a), (equal.any(axis=1), ok_b))):
+            bounds = ends_of(places & (inside_some(ok, 1) > 0))
+            reached = ends_of(same)
+            settled &= (bounds[0] == reached[0]) & (bounds[1] == reached[1])
+            if held is not None:
+                first, last = (h[at : at + len(a)] for h in held[2 * k : 2 * k + 2])
+                within &= (bounds[0] >= first) & (bounds[1] <= last)
+            for o, value in zip(out[2 * k : 2 * k + 2], reached, strict=True):
+                o[at : at + len(a)] = value
+        for o, value in zip(out, (10**6, -1) * 2, strict=True):
+            o[at : at + len(a)][~settled] = value
+        (kept,) = np.nonzero(some & ~settled & ~within)
         if not len(kept):
             continue
         equal, a, b = equal[kept], a[kept], b[kept]
@@ -194,8 +218,7 @@ def pairs_alike(one: np.ndarray, other: np.ndarray, similarity: float) -> tuple[
         some = alike.any(axis=(1, 2))
         shared = equal[some] & (inside_some(inside_some(alike[some], 1) > 0, 2) > 0)
         for k, places in enumerate((shared.any(axis=2), shared.any(axis=1))):
-            out[2 * k][at + kept[some]] = places.argmax(axis=1)
-            out[2 * k + 1][at + kept[some]] = width - 1 - places[:, ::-1].argmax(axis=1) + SHINGLE
+            out[2 * k][at + kept[some]], out[2 * k + 1][at + kept[some]] = ends_of(places)
     return tuple(out)
 
 
@@ -288,7 +311,11 @@ class Kinds:
         """Compare pairs of kinds and join the alike ones; two kinds of the same only document are not compared."""
         foreign = self.many[one] | self.many[other] | (self.low[one] != self.low[other])
         one, other = one[foreign], other[foreign]
-        spans = pairs_alike(self.rows[one], self.rows[other], self.clusters.similarity)
+        linked = self.label[one] == self.label[other]
+        held = []
+        for k in (one, other):  # unlinked pairs hold nothing
+            held += [np.where(linked, self.first[k], 10**6), np.where(linked, self.last[k], -1)]
+        spans = pairs_alike(self.rows[one], self.rows[other], self.clusters.similarity, tuple(held))
         hit = spans[1] >= 0
         one, other = one[hit], other[hit]
         for k, start, end in ((one, *spans[:2]), (other, *spans[2:])):
@@ -336,8 +363,8 @@ class Kinds:
             near = near[near > low + i]
             open_ = (self.label[near] != self.label[low + i]) | ~self.wide(near) | ~self.wide(low + i)
             near = near[open_]
-            for at in range(0, len(near), STEP_MATRICES):
-                part = near[at : at + STEP_MATRICES]
+            for at in range(0, len(near), STEP_LINKED):
+                part = near[at : at + STEP_LINKED]
                 part = part[(self.label[part] != self.label[low + i]) | ~self.wide(part) | ~self.wide(low + i)]
                 self.join(np.full(len(part), low + i), part)
 
