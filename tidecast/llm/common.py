@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidecast.sources.storage import materialise
+
 #: Rows handled at once inside a task; bounds what a batch function keeps in memory.
 SLICE_ROWS = 256
 #: Bytes of a slice above which it is cut further, so that long texts don't add up.
@@ -77,3 +80,22 @@ def ascii_words(text: str | None) -> list[bytes]:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+def ranked(df: DataFrame, order: list[Column]) -> tuple[DataFrame, int]:
+    """``df`` with ``rank`` (from 1, without gaps) in ``order``, and the number of rows.
+
+    Rows are dealt to sorted ranges, numbered inside them and shifted by the sizes of the ranges
+    before; the driver sees one count for each range. No task holds more than a range.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # range number in the upper bits, place inside the range in the lower 33
+    placed = materialise(placed.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    counts = placed.groupBy(F.shiftright("_place", 33).alias("range")).count().collect()
+    sizes = np.zeros(ranges + 1, dtype=np.int64)
+    for r in counts:
+        sizes[r["range"] + 1] = r["count"]
+    before = F.lit(np.cumsum(sizes)[:-1])
+    inside = F.col("_place").bitwiseAND((1 << 33) - 1)
+    rank = F.element_at(before, F.shiftright("_place", 33).cast("int") + 1) + inside + 1
+    return placed.withColumn("rank", rank).drop("_place"), int(sizes.sum())

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import exact_dedup, html_text, language, lm, mixing, packing, passages, pii, simhash, topk
+from tidecast.llm import exact_dedup, html_text, language, lm, mixing, packing, passages, pii, resampling, simhash, topk
 from tidecast.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,8 @@ def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_resampling")
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
