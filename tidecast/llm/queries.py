@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import exact_dedup, html_text, language, lm, mixing, packing, passages, pii, resampling, simhash, topk
+from tidecast.llm import exact_dedup, html_text, language, lm, mixing, packing, passages, pii, resampling, sharding, simhash, topk
 from tidecast.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,8 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_resampling")
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.importance(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op13_sharding")
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(documents(spark, sf_dir))
