@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import exact_dedup, html_text, language, lm, mixing, packing, passages, pii, resampling, sharding, simhash, topk
+from tidecast.llm import (
+    alignment,
+    exact_dedup,
+    html_text,
+    language,
+    lm,
+    mixing,
+    packing,
+    passages,
+    pii,
+    resampling,
+    sharding,
+    simhash,
+    topk,
+)
 from tidecast.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +111,11 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(documents(spark, sf_dir))
+
+
 @query("op12_resampling")
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.importance(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
