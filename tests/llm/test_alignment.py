@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -127,3 +128,18 @@ def test_bounded_memory_changes_nothing(make_docs, monkeypatch):
     for name, value in (("CACHE_TOKENS", 40), ("WINDOW_TOKENS", 3), ("SUM_PAIRS", 8)):
         monkeypatch.setattr(alignment, name, value)
     assert got(alignment.aligned(docs)) == want
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    rng = random.Random(5)
+    sides = [np.array([rng.randint(0, 3) for _ in range(500)]) for _ in range(2)]
+    cut = np.array(sorted({0, *rng.sample(range(500), 200)}))
+
+    def key(k):
+        return tuple(tuple(s[cut[k] : (*cut, 500)[k + 1]]) for s in sides)
+
+    for colliding in (False, True):
+        if colliding:
+            monkeypatch.setattr(alignment, "MIX", (0, 0, 0, 0))
+        kinds, kind = alignment.distinct_windows(tuple((s, cut) for s in sides))
+        assert all(key(kinds[kind[k]]) == key(k) for k in range(len(cut)))

@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -26,10 +27,12 @@ from tidecast.sources.storage import materialise
 
 #: The ranks of the byte-level vocabulary give the ids of its JSON file, in less time (a test compares them).
 BYTE_RANKS, PIECE_MODEL = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
-#: Tokens of the window alignments that a task remembers, and of one that it does.
-CACHE_TOKENS, WINDOW_TOKENS = 4_000_000, 64
+#: Tokens of half the window alignments that a task remembers, and of one that it does.
+CACHE_TOKENS, WINDOW_TOKENS = 2_500_000, 64
 #: Distinct pairs that a task sums before it sends them; pairs that every task holds for the look-up.
 SUM_PAIRS, HEAD_PAIRS = 1 << 20, 1 << 18
+#: Between the two tuples of a packed key; multipliers of the hash of windows.
+NO_ID, MIX = b"\xff\xff\xff\xff", (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 LINKED = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, codes binary, numbers binary"
@@ -80,50 +83,132 @@ class Aligner:
         self.bytes_a, self.bytes_b = bytes_a, bytes_b
         self.size_a, self.size_b = (np.array([len(t) for t in x], dtype=np.int64) for x in (bytes_a, bytes_b))
         self.space_a, self.space_b = (np.array([t[:1] == b" " for t in x]) for x in (bytes_a, bytes_b))
-        self.known: dict[tuple, tuple[str, bytes]] = {}
+        # of each id, A before B: its number inside and at the end of its side of a group
+        self.names = [f"{i}{c}" for i in range(len(bytes_a)) for c in ",|"] + [f"{i}{c}" for i in range(len(bytes_b)) for c in ",;"]
+        self.known: dict[bytes, tuple[str, bytes]] = {}
+        self.older: dict[bytes, tuple[str, bytes]] = {}
         self.held = 0
 
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, bytes]:
-        """Groups of a window as text, and its links as codes (A id times the number of B ids plus B id)."""
-        found = self.known.get((a, b))
-        if found is None:
-            found = self._worked_out(a, b)
-            if len(a) + len(b) <= WINDOW_TOKENS:
-                self.held += len(a) + len(b) + 8
-                if self.held > CACHE_TOKENS:
-                    self.known.clear()
-                    self.held = 0
-                self.known[a, b] = found
+    def aligned(self, keys: list[bytes], a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> list[tuple[str, bytes]]:
+        """Groups of windows as text, and their links as codes (A id times the number of B ids plus B id).
+
+        ``a`` and ``b`` are the ids of all these windows one after the other, ``sizes_a`` and ``sizes_b`` the
+        numbers of tokens of each window; ``keys`` are their packed id tuples, under which they are remembered.
+        """
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        place = np.searchsorted(ends_b, ends_a)  # windows end together, so there always is one
+        shared_a = ends_b[place] == ends_a
+        last_a, last_b = np.flatnonzero(shared_a), place[shared_a]
+        shared_b = np.zeros(len(b), dtype=bool)
+        shared_b[last_b] = True
+        # tokens in the order in which groups name them: a group's A tokens, then its B tokens
+        group_a, group_b = np.cumsum(shared_a) - shared_a, np.cumsum(shared_b) - shared_b
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[np.arange(len(a)) + np.append(0, last_b + 1)[group_a]] = 2 * a + shared_a
+        order[np.arange(len(b)) + (last_a + 1)[group_b]] = 2 * (b + len(self.bytes_a)) + shared_b
+        raw = (a[last_a] * len(self.bytes_b) + b[last_b]).tobytes()
+        links = np.append(0, np.cumsum(shared_a))[np.cumsum(sizes_a)].tolist()
+        out, name, i, x = [], self.names.__getitem__, 0, 0
+        for key, size, link in zip(keys, (sizes_a + sizes_b).tolist(), links, strict=True):
+            found = "".join(map(name, order[i : i + size].tolist()))[:-1], raw[8 * x : 8 * link]
+            i, x = i + size, link
+            out.append(found)
+            if size <= WINDOW_TOKENS:
+                self._remember(key, found, size)
+        return out
+
+    def _remember(self, key: bytes, found: tuple[str, bytes], size: int) -> None:
+        self.held += size + 8
+        if self.held > CACHE_TOKENS:
+            # windows that come again are taken over from the older half
+            self.known, self.older, self.held = {}, self.known, size + 8
+        self.known[key] = found
+
+    def looked_up(self, keys: list[bytes], sides: tuple) -> list[tuple[str, bytes]]:
+        """Alignments of windows by their keys; those not known yet are worked out together."""
+        found: list[tuple[str, bytes] | None] = [self.known.get(key) for key in keys]
+        for k, key in enumerate(keys):
+            if found[k] is None and (old := self.older.get(key)) is not None:
+                found[k] = old
+                self._remember(key, old, len(key) // 4 - 1)
+        new = [k for k, f in enumerate(found) if f is None]
+        if new:
+            (a, sizes_a), (b, sizes_b) = (
+                (ids[np.repeat(first[new] - np.cumsum(span[new]) + span[new], span[new]) + np.arange(span[new].sum())], span[new])
+                for ids, first, span in sides
+            )
+            for k, f in zip(new, self.aligned([keys[k] for k in new], a, b, sizes_a, sizes_b), strict=True):
+                found[k] = f
         return found
 
-    def _worked_out(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, bytes]:
-        ids_a, ids_b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
-        _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        groups, i, j = [], 0, 0
-        for x, y in zip((at_a + 1).tolist(), (at_b + 1).tolist(), strict=True):
-            groups.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
-            i, j = x, y
-        codes = ids_a[at_a] * len(self.bytes_b) + ids_b[at_b]
-        return ";".join(groups), codes.tobytes()
-
-    def anchors(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-        """Borders of the windows as token numbers of either side, from 0 to the number of tokens."""
+    def windows(self, a: np.ndarray, b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First tokens of all windows on either side; ``first_a`` and ``first_b`` are those of the documents."""
         starts_a, starts_b = (np.cumsum(s[i]) - s[i] for s, i in ((self.size_a, a), (self.size_b, b)))
-        mark_a, mark_b = np.flatnonzero(self.space_a[a]), np.flatnonzero(self.space_b[b])
-        _, x, y = np.intersect1d(starts_a[mark_a], starts_b[mark_b], assume_unique=True, return_indices=True)
-        cut_a, cut_b = mark_a[x], mark_b[y]
-        first = int(len(cut_a) > 0 and cut_a[0] == 0)  # the text's own beginning is no border between windows
-        return [0, *cut_a[first:].tolist(), len(a)], [0, *cut_b[first:].tolist(), len(b)]
-
-    def __call__(self, text: bytes, a: list[int], b: list[int]) -> tuple[str, np.ndarray] | None:
-        """Groups and link codes; None where either side's bytes are not the text's."""
-        if b"".join(map(self.bytes_a.__getitem__, a)) != text or b"".join(map(self.bytes_b.__getitem__, b)) != text:
-            return None
-        at_a, at_b = self.anchors(np.array(a, dtype=np.int64), np.array(b, dtype=np.int64))
-        ids_a, ids_b, window = tuple(a), tuple(b), self.window
-        found = [window(ids_a[i:x], ids_b[j:y]) for i, x, j, y in zip(at_a, at_a[1:], at_b, at_b[1:])]
-        return ";".join([g for g, _ in found]), np.frombuffer(b"".join([c for _, c in found]), dtype=np.int64)
+        marked_a, marked_b = self.space_a[a], self.space_b[b]
+        marked_a[first_a] = marked_b[first_b] = True
+        at_a, at_b = np.flatnonzero(marked_a), np.flatnonzero(marked_b)
+        place = np.minimum(np.searchsorted(starts_b[at_b], starts_a[at_a]), len(at_b) - 1)
+        shared = starts_b[at_b[place]] == starts_a[at_a]
+        return at_a[shared], at_b[place[shared]]
+
+    def __call__(self, texts: list[bytes], a: list[list[int]], b: list[list[int]]) -> list[tuple[str, np.ndarray] | None]:
+        """Groups and link codes of each text; None for empty ones and where either side's bytes are not the text's.
+
+        Equal windows of the batch are found by a hash of their ids and compared id by id, so that each
+        is looked up once.
+        """
+        bytes_a, bytes_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        out: list[tuple[str, np.ndarray] | None] = [None] * len(texts)
+        good = [k for k, t in enumerate(texts) if t and b"".join(map(bytes_a, a[k])) == t and b"".join(map(bytes_b, b[k])) == t]
+        if not good:
+            return out
+        first_a, first_b = (np.cumsum([0, *[len(x[k]) for k in good[:-1]]]) for x in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x[k] for k in good), dtype=np.int64) for x in (a, b))
+        cut_a, cut_b = self.windows(ids_a, ids_b, first_a, first_b)
+        kinds, kind = distinct_windows(((ids_a, cut_a), (ids_b, cut_b)))
+        first, last = (cut_a[kinds], cut_b[kinds]), (np.append(cut_a[1:], len(ids_a))[kinds], np.append(cut_b[1:], len(ids_b))[kinds])
+        raw_a, raw_b = ids_a.astype(np.uint32).tobytes(), ids_b.astype(np.uint32).tobytes()
+        spans = zip(*(x.tolist() for x in (first[0], last[0], first[1], last[1])))
+        keys = [raw_a[4 * i : 4 * x] + NO_ID + raw_b[4 * j : 4 * y] for i, x, j, y in spans]
+        found = self.looked_up(keys, tuple((ids, i, x - i) for ids, i, x in zip((ids_a, ids_b), first, last)))
+        groups, codes = [g for g, _ in found], np.frombuffer(b"".join([c for _, c in found]), dtype=np.int64)
+        # links of all windows, one after the other
+        number = np.array([len(c) // 8 for _, c in found], dtype=np.int64)
+        lengths = number[kind]
+        behind = np.cumsum(lengths)
+        links = codes[np.repeat((np.cumsum(number) - number)[kind] - behind + lengths, lengths) + np.arange(behind[-1])]
+        borders = [*np.searchsorted(cut_a, first_a).tolist(), len(cut_a)]
+        kind_list = kind.tolist()
+        for k, i, x in zip(good, borders, borders[1:]):
+            own = links[behind[i] - lengths[i] : behind[x - 1]]
+            out[k] = ";".join([groups[w] for w in kind_list[i:x]]), own
+        return out
+
+
+def distinct_windows(sides: tuple[tuple[np.ndarray, np.ndarray], ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of windows that stand for all equal ones, and for each window the place of its own in them.
+
+    A side is its ids and the first place of each window in them.
+    """
+    spans = [np.diff(np.append(cut, len(ids))) for ids, cut in sides]
+    id_mix, place_mix, sum_mix, side_mix = (np.uint64(m) for m in MIX)
+    mixed = np.zeros(len(sides[0][1]), dtype=np.uint64)
+    for (ids, cut), span in zip(sides, spans, strict=True):
+        inside = np.arange(len(ids)) - np.repeat(cut, span)
+        x = (ids + 1).astype(np.uint64) * id_mix + inside.astype(np.uint64) * place_mix
+        x = (x ^ (x >> np.uint64(29))) * sum_mix
+        mixed = mixed * side_mix + np.add.reduceat(x ^ (x >> np.uint64(32)), cut)
+    _, kinds, kind = np.unique(mixed, return_index=True, return_inverse=True)
+    like = kinds[kind]
+    same = np.ones(len(like), dtype=bool)
+    for (ids, cut), span in zip(sides, spans, strict=True):
+        same &= span == span[like]
+        shift = np.where(same, cut[like] - cut, 0)
+        same &= np.logical_and.reduceat(ids[np.arange(len(ids)) + np.repeat(shift, span)] == ids, cut)
+    # unlike windows of one hash stand for themselves
+    other = np.flatnonzero(~same)
+    kind[other] = len(kinds) + np.arange(len(other))
+    return np.append(kinds, other), kind
 
 
 def default_paths() -> tuple[str, str]:
@@ -144,15 +229,15 @@ def linked(docs: DataFrame, paths: tuple[str, str] | None = None, with_groups: b
 
         def link(rows, ids, texts):
             out = {k.split()[0]: [] for k in LINKED.split(", ")} | ({"groups": []} if with_groups else {})
-            for row, doc_id, text, b in zip(rows, ids, texts, piece.encode([t or "" for t in texts]), strict=True):
-                a = byte.encode(" " + text) if text else []
-                found = aligner((" " + text).encode(), a, b) if text else None
-                if found is None:
-                    a, b, found = [], [], ("", np.empty(0, dtype=np.int64))
-                groups, links = found
+            whole = [" " + t if t else "" for t in texts]
+            a, b = [byte.encode(t) if t else [] for t in whole], piece.encode([t or "" for t in texts])
+            found = aligner([t.encode() for t in whole], a, b)
+            for row, doc_id, of_a, of_b, pair in zip(rows, ids, a, b, found, strict=True):
+                n_a, n_b = (len(of_a), len(of_b)) if pair else (0, 0)
+                groups, links = pair or ("", np.empty(0, dtype=np.int64))
                 codes, numbers = np.unique(links, return_counts=True)
                 values = (
-                    row, doc_id, len(a), len(b), groups.count("|"), len(links),
+                    row, doc_id, n_a, n_b, groups.count("|"), len(links),
                     hashlib.sha256(groups.encode()).hexdigest() if groups else "",
                     codes.tobytes(), numbers.astype(np.int64).tobytes(), *([groups] if with_groups else []),
                 )
