@@ -122,8 +122,8 @@ def test_importance_sums_to_one(spark, data):
 def test_training_run_registers_logs_and_scores(spark, data, cut, tmp_path):
     root = str(tmp_path)
     result = training.train(
-        data, FEATURES, cut, root, "demand", rates=(0.3,), first={"maxIter": 3, "maxDepth": 3},
-        second=[{"maxIter": 3, "maxDepth": 3}], n_folds=2, trained_at="t", created=7,
+        data, FEATURES, cut, root, "demand", search=training.Search([{"maxIter": 3, "maxDepth": 3}], (0.3,), {"maxIter": 3, "maxDepth": 3}),
+        n_folds=2, trained_at="t", created=7,
     )
     assert result.version == 1 and result.metrics["test_mae"] > 0
     log = spark.read.parquet(f"{root}/runs")
@@ -135,3 +135,38 @@ def test_training_run_registers_logs_and_scores(spark, data, cut, tmp_path):
     assert {r[HOUR] for r in rows.collect()} == {newest}
     scored = training.score_next_hour(rows, result.model, FEATURES).collect()
     assert len(scored) == 3 and all(isinstance(r.predicted_ride_count, int) for r in scored)
+
+
+@pytest.fixture(scope="module")
+def fold_vectors(data):
+    vectors = models.checked_matrix(assign_folds(data, 2), FEATURES).select("features", TARGET, "fold").persist()
+    yield vectors
+    vectors.unpersist()
+
+
+def test_one_long_fit_scores_shorter_ones(fold_vectors):
+    """Sets that differ in the number of trees only: the same errors as fits of their own."""
+    gbt = models.gbt_absolute(maxDepth=3, subsamplingRate=0.8)
+    grid = [{gbt.maxIter: n, gbt.minInstancesPerNode: m} for n in (2, 5, 8) for m in (1, 4)]
+    trials = validation.grid_trials(gbt, fold_vectors, grid, 2)
+    for params, trial in zip(grid, trials, strict=True):
+        assert trial.params == {p.name: x for p, x in params.items()}
+        alone = {r.fold: r.mae for r in validation.fold_scores(gbt, fold_vectors, 2, params).collect()}
+        assert trial.fold_maes == pytest.approx([alone[1], alone[2]])
+        assert trial.cv_mae_mean == pytest.approx(sum(alone.values()) / 2)
+
+
+def test_published_searches_have_all_sets():
+    searches = training.published_searches()
+    assert [len(searches[k].second) for k in ("absolute", "leafmin", "batch")] == [16, 32, 32]
+    assert {p["maxIter"] for p in searches["absolute"].second} == {200, 300} and searches["absolute"].first["maxIter"] == 200
+    assert len(searches["absolute"].rates) == len(searches["batch"].rates) == 5 and not searches["leafmin"].rates
+    fewer = training.published_searches(0.01)
+    assert all(len({str(p) for p in s.second}) == len(s.second) for s in searches.values())
+    assert {p["maxIter"] for p in fewer["absolute"].second} == {2, 3}
+
+
+def test_other_estimators_are_searched_too(fold_vectors):
+    forest = models.forest(numTrees=3)
+    best, trials, params = validation.grid_search(forest, fold_vectors, [{forest.maxDepth: d} for d in (1, 4)], 2)
+    assert params == {forest.maxDepth: 4} and best is trials[1]

@@ -6,15 +6,12 @@ import pytest
 
 import __spark_entry__ as entry
 from check import connect, differences
+from tidecast.workload import q_learning
 
 SF = "/root/testdata/sf0.001"
 ORACLES = entry.oracle_sql()
-# training loops have their own tests; here they would only repeat the slow part
-SLOW = {
-    "ml_gbt_absolute", "ml_gbt_leafmin", "ml_gbt_squared", "ml_forest", "ml_two_stage_grid", "ml_random_search",
-    "ml_timeseries_cv_gbt", "ml_depth_sweep", "pl_train", "pl_fare_model", "pl_score_trees", "ml_forest_classifier",
-    "top_k_importance",
-}
+# fewer and smaller trees than the registered runs: the checks are the same
+SMALL = {"boosting": {"maxIter": 15}, "forest": {"numTrees": 5, "maxDepth": 6}, "random": 1 / 200, "search": 1 / 100}
 
 
 @pytest.fixture(scope="module")
@@ -33,20 +30,22 @@ def results(spark, request):
         if item.module is request.module and hasattr(item, "callspec")
     ]
     queries = entry.queries()
+    q_learning.SETTINGS.update(SMALL)
     with ThreadPoolExecutor(max_workers=4) as pool:
         futures = {name: pool.submit(lambda n: queries[n](spark, SF).toPandas(), name) for name in wanted}
         yield futures
         for future in futures.values():
             future.cancel()
+    q_learning.SETTINGS.clear()
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(results, duck, name):
     got = results[name].result()
     assert differences(got, duck.execute(ORACLES[name]).df()) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLES)))
 def test_query_without_oracle_has_rows(results, name):
     assert len(results[name].result()) > 0
 

@@ -50,9 +50,24 @@ DRIFT_RATIO = 1.2
 MAP_RADIUS_DIVISOR = 20
 
 # -- fixed values: published searches ---------------------------------------
+# absolute loss: rates with the first settings, then trees x depths x samples x rows of a leaf
 SEARCH_RATES = (0.3, 0.4, 0.5, 0.6, 0.7)
 SEARCH_FIRST = {"maxIter": 200, "maxDepth": 6}
 SEARCH_TREES = (200, 300)
 SEARCH_DEPTHS = (7, 9)
 SEARCH_SAMPLES = (0.8, 1.0)
 SEARCH_LEAVES = (1, 3)
+# minimum rows of a leaf: one grid of trees x depths x rates x samples x rows of a leaf
+LEAFMIN_TREES = (100, 200)
+LEAFMIN_DEPTHS = (7, 9)
+LEAFMIN_RATES = (0.01, 0.1)
+LEAFMIN_SAMPLES = (0.8, 1.0)
+LEAFMIN_LEAVES = (20, 50)
+# batch scoring: rates with the first settings, then the second grid with a least gain of a split
+BATCH_RATES = (0.01, 0.05, 0.1, 0.2, 0.3)
+BATCH_FIRST = {"maxIter": 200, "maxDepth": 7, "subsamplingRate": 0.8, "minInstancesPerNode": 1}
+BATCH_TREES = (150, 200)
+BATCH_DEPTHS = (7, 9)
+BATCH_SAMPLES = (0.8, 1.0)
+BATCH_LEAVES = (3, 5)
+BATCH_GAINS = (0.0, 0.5)

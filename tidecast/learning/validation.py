@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator
 from pyspark.ml.param import Param
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,9 @@ from tidecast.names import TARGET
 from tidecast.operators.aggregates import regression_metrics
 from tidecast.sources.contracts import struct
 
+#: Fits that run at the same time; each is a chain of small jobs, so that one alone leaves most cores idle.
+POOL = 8
+
 SCORES = struct("fold int, n bigint, mae double")
 
 
@@ -31,6 +35,7 @@ class Trial:
     cv_mae_mean: float
     cv_mae_std: float
     fold_maes: list[float] = field(default_factory=list)
+    stage: int = 1
 
 
 def fold_scores(
@@ -66,15 +71,49 @@ def evaluate(model, train: DataFrame, test: DataFrame, target: str = TARGET) ->
     return regression_metrics(model.transform(sides), target, "prediction", by=["side"])
 
 
-def run_trial(estimator, df, n_folds, params: dict[Param, object], parallelism: int = 2) -> Trial:
-    scores = fold_scores(estimator, df, n_folds, params, parallelism=parallelism)
-    summary = cv_summary(scores).first()
-    return Trial(
-        {p.name: value for p, value in params.items()},
-        summary["cv_mae_mean"],
-        summary["cv_mae_std"],
-        [r["mae"] for r in scores.orderBy("fold").collect()],
-    )
+def staged_maes(model, df: DataFrame, counts: Sequence[int]) -> list[float]:
+    """MAE on ``df`` of the first n trees of a boosted model for each n of ``counts``, from one pass."""
+    after = model.evaluateEachIteration(df, "absolute")
+    return [after[min(n, len(after)) - 1] for n in counts]
+
+
+def grid_trials(
+    estimator: Estimator, df: DataFrame, grid: Sequence[dict[Param, object]], n_folds: int = 5, parallelism: int = POOL, stage: int = 1
+) -> list[Trial]:
+    """Every parameter set scored on every expanding fold, in the order of ``grid``.
+
+    Boosting adds trees one by one, so sets that differ only in the number of trees are one fit with the
+    most, scored at each number. All fits, of all sets and folds, share one pool of ``parallelism`` threads.
+    """
+    boosted = isinstance(estimator, GBTRegressor)
+    fits: dict[tuple, list[int]] = {}
+    for k, params in enumerate(grid):
+        rest = tuple(sorted((p.name, x) for p, x in params.items() if not (boosted and p.name == "maxIter")))
+        fits.setdefault(rest, []).append(k)
+
+    def run(job: tuple[list[int], int]) -> list[float]:
+        sets, fold = job
+        test = df.where(F.col("fold") == fold)
+        if not boosted:
+            model = estimator.fit(df.where(F.col("fold") < fold), grid[sets[0]])
+            return [regression_metrics(model.transform(test), TARGET, "prediction").first()["mae"]] * len(sets)
+        counts = [grid[k].get(estimator.maxIter, estimator.getMaxIter()) for k in sets]
+        model = estimator.fit(df.where(F.col("fold") < fold), {**grid[sets[0]], estimator.maxIter: max(counts)})
+        return staged_maes(model, test, counts)
+
+    jobs = [(sets, fold) for sets in fits.values() for fold in range(1, n_folds + 1)]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        scored = list(pool.map(run, jobs))
+    maes: dict[int, list[float]] = {}
+    for (sets, _), found in zip(jobs, scored, strict=True):
+        for k, mae in zip(sets, found, strict=True):
+            maes.setdefault(k, []).append(mae)
+    trials = []
+    for k, params in enumerate(grid):
+        mean = sum(maes[k]) / n_folds
+        std = (sum((m - mean) ** 2 for m in maes[k]) / n_folds) ** 0.5
+        trials.append(Trial({p.name: x for p, x in params.items()}, mean, std, maes[k], stage))
+    return trials
 
 
 def trials_frame(spark, trials: Sequence[Trial]) -> DataFrame:
@@ -82,12 +121,17 @@ def trials_frame(spark, trials: Sequence[Trial]) -> DataFrame:
     return spark.createDataFrame(rows, "params map<string,string>, cv_mae_mean double, cv_mae_std double")
 
 
+def best_of(trials: Sequence[Trial]) -> int:
+    """Place of the smallest mean fold MAE (the first on ties)."""
+    return min(range(len(trials)), key=lambda i: trials[i].cv_mae_mean)
+
+
 def grid_search(
-    estimator: Estimator, df: DataFrame, grid: Sequence[dict[Param, object]], n_folds: int = 5, parallelism: int = 2
+    estimator: Estimator, df: DataFrame, grid: Sequence[dict[Param, object]], n_folds: int = 5, parallelism: int = POOL, stage: int = 1
 ) -> tuple[Trial, list[Trial], dict[Param, object]]:
-    """Every parameter set of the grid; the smallest mean fold MAE wins (first on ties)."""
-    trials = [run_trial(estimator, df, n_folds, params, parallelism) for params in grid]
-    best = min(range(len(trials)), key=lambda i: trials[i].cv_mae_mean)
+    """The best set of the grid, all trials, and the best set as parameters."""
+    trials = grid_trials(estimator, df, grid, n_folds, parallelism, stage)
+    best = best_of(trials)
     return trials[best], trials, grid[best]
 
 
@@ -99,12 +143,16 @@ def two_stage_search(
     first: dict[Param, object],
     second: Sequence[dict[Param, object]],
     n_folds: int = 5,
-    parallelism: int = 2,
+    parallelism: int = POOL,
 ) -> tuple[Trial, list[Trial], dict[Param, object]]:
-    """Tune the learning rate at fixed other parameters, then the others at the best rate."""
+    """Tune the learning rate at fixed other parameters, then the others at the best rate.
+
+    The best set is the best of the second stage. ``df`` carries ``fold`` and should be persisted and of few
+    partitions where it is small.
+    """
     stage_one = [{**first, rate: r} for r in rates]
-    best_rate, trials, _ = grid_search(estimator, df, stage_one, n_folds, parallelism)
+    best_rate, trials, _ = grid_search(estimator, df, stage_one, n_folds, parallelism, 1)
     chosen = best_rate.params[rate.name]
     stage_two = [{**params, rate: chosen} for params in second]
-    best, more, params = grid_search(estimator, df, stage_two, n_folds, parallelism)
+    best, more, params = grid_search(estimator, df, stage_two, n_folds, parallelism, 2)
     return best, trials + more, params

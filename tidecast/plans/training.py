@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.functions.fixed_values import SEARCH_DEPTHS, SEARCH_FIRST, SEARCH_LEAVES, SEARCH_RATES, SEARCH_SAMPLES, SEARCH_TREES
+from tidecast.functions import fixed_values as fixed
 from tidecast.learning import models, registry
-from tidecast.learning.validation import Trial, evaluate, two_stage_search
+from tidecast.learning.validation import POOL, Trial, evaluate, grid_search, two_stage_search
 from tidecast.names import HOUR, TARGET
 from tidecast.operators.windows import assign_folds
 from tidecast.plans.features import split_by_time
@@ -19,6 +20,74 @@ from tidecast.sources import writers
 from tidecast.sources.storage import materialise
 
 
+#: Rows of the training table per partition: below it, a tree level costs more in tasks than in rows.
+ROWS_PER_PARTITION = 5_000
+
+
+@dataclass(frozen=True)
+class Search:
+    """A parameter search: rates tried with the ``first`` settings, then ``second``; without rates one grid."""
+
+    second: Sequence[dict]
+    rates: Sequence[float] = ()
+    first: dict | None = None
+
+
+def all_of(**options: Sequence) -> list[dict]:
+    """Every combination of the options, the last one changing fastest."""
+    return [dict(zip(options, values, strict=True)) for values in product(*options.values())]
+
+
+def published_searches(trees: float = 1.0) -> dict[str, Search]:
+    """The three published searches; ``trees`` scales the numbers of trees (at least 1), nothing else."""
+
+    def scaled(numbers):
+        return [max(1, round(n * trees)) for n in numbers]
+
+    def start(settings):
+        return settings | {"maxIter": scaled([settings["maxIter"]])[0]}
+
+    return {
+        "absolute": Search(
+            all_of(
+                maxIter=scaled(fixed.SEARCH_TREES), maxDepth=fixed.SEARCH_DEPTHS, subsamplingRate=fixed.SEARCH_SAMPLES,
+                minInstancesPerNode=fixed.SEARCH_LEAVES,
+            ),
+            fixed.SEARCH_RATES, start(fixed.SEARCH_FIRST),
+        ),
+        "leafmin": Search(
+            all_of(
+                maxIter=scaled(fixed.LEAFMIN_TREES), maxDepth=fixed.LEAFMIN_DEPTHS, stepSize=fixed.LEAFMIN_RATES,
+                subsamplingRate=fixed.LEAFMIN_SAMPLES, minInstancesPerNode=fixed.LEAFMIN_LEAVES,
+            )
+        ),
+        "batch": Search(
+            all_of(
+                maxIter=scaled(fixed.BATCH_TREES), maxDepth=fixed.BATCH_DEPTHS, subsamplingRate=fixed.BATCH_SAMPLES,
+                minInstancesPerNode=fixed.BATCH_LEAVES, minInfoGain=fixed.BATCH_GAINS,
+            ),
+            fixed.BATCH_RATES, start(fixed.BATCH_FIRST),
+        ),
+    }
+
+
+def searched(estimator: Estimator, vectors: DataFrame, search: Search, n_folds: int = 5, parallelism: int = POOL):
+    """(best trial, all trials, best parameters) of a search over vectors with ``fold``."""
+
+    def named(settings: dict) -> dict:
+        return {estimator.getParam(k): x for k, x in settings.items()}
+
+    second = [named(p) for p in search.second]
+    if not search.rates:
+        return grid_search(estimator, vectors, second, n_folds, parallelism)
+    return two_stage_search(estimator, vectors, estimator.stepSize, search.rates, named(search.first or {}), second, n_folds, parallelism)
+
+
+def few_partitions(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Small tables in few partitions, so that the many small jobs of a fit have few tasks; large ones stay."""
+    return df.coalesce(max(1, -(-df.count() // rows_per_partition)))
+
+
 @dataclass
 class TrainingResult:
     model: PipelineModel
@@ -47,42 +116,30 @@ def train(
     cut: Column,
     root: str,
     name: str,
-    rates: Sequence[float] = SEARCH_RATES,
-    first: dict | None = None,
-    second: Sequence[dict] | None = None,
+    search: Search | None = None,
     n_folds: int = 5,
     trained_at: str = "",
     created: int = 0,
-    parallelism: int = 2,
+    parallelism: int = POOL,
     estimator: Estimator | None = None,
     fold_mode: str = "chronological",
 ) -> TrainingResult:
-    """Split by time, tune on the training side in two stages, refit, evaluate, register, log.
+    """Split by time, tune on the training side, refit, evaluate, register, log.
 
-    ``estimator`` is the boosting variant to tune (absolute loss by default, see ``learning.models`` for the
-    others); ``fold_mode`` is ``chronological`` or ``positional``.
+    ``search`` is the published one of absolute loss by default (see ``published_searches`` for the others), and
+    ``estimator`` the boosting variant to tune; ``fold_mode`` is ``chronological`` or ``positional``.
     """
     spark = df.sparkSession
     train_side, test_side = split_by_time(df, cut)
     folds = training_table(train_side, features, n_folds, fold_mode)
     vectors = models.checked_matrix(folds, features).select(models.FEATURES, TARGET, "fold")
     estimator = estimator or models.gbt_absolute()
-    first = first or SEARCH_FIRST
-    second = second or [
-        {"maxIter": i, "maxDepth": d, "subsamplingRate": s, "minInstancesPerNode": m}
-        for i in SEARCH_TREES
-        for d in SEARCH_DEPTHS
-        for s in SEARCH_SAMPLES
-        for m in SEARCH_LEAVES
-    ]
-    named = [{estimator.getParam(getattr(k, "name", k)): x for k, x in p.items()} for p in second]
-    start = {estimator.getParam(getattr(k, "name", k)): x for k, x in first.items()}
+    search = search or published_searches()["absolute"]
+    vectors = few_partitions(vectors)
     vectors.persist()
     try:
-        best, trials, params = two_stage_search(
-            estimator, vectors, estimator.stepSize, rates, start, named, n_folds, parallelism
-        )
-        model = models.pipeline(features, estimator.copy(params)).fit(folds)
+        best, trials, params = searched(estimator, vectors, search, n_folds, parallelism)
+        model = models.pipeline(features, estimator.copy(params)).fit(few_partitions(folds))
     finally:
         vectors.unpersist()
     typed_test = test_side.withColumns({f: F.col(f).cast("double") for f in features})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidecast.functions.scalars import bucket_label, flag
 from tidecast.functions.timeutil import plus_hours
-from tidecast.learning import models, registry, search, validation
+from tidecast.learning import models, registry, search, trees, validation
 from tidecast.names import HOUR, TARGET, WEATHER_COLUMNS, ZONE, lag_name
 from tidecast.operators import aggregates as a
 from tidecast.operators.windows import assign_folds
@@ -25,8 +25,10 @@ from tidecast.workload.registry import query
 CUT = "2024-01-22 23:00:00"
 SIDE_SQL = f"CASE WHEN hourly_timestamp <= TIMESTAMP '{CUT}' THEN 'train' ELSE 'test' END"
 SCORES = ("mae", "mse", "rmse", "r2")
-# values for the registered runs; the library defaults are the published settings
-QUICK = {"maxIter": 15, "maxDepth": 5, "stepSize": 0.2}
+#: Settings of the registered runs beside the library's defaults, which are the published ones; tests take less.
+SETTINGS: dict = {}
+#: The registered searches try all published sets on all folds with this share of the published numbers of trees.
+SEARCH_TREES, RANDOM_TREES = 1 / 20, 1 / 40
 
 
 def _sides(spark, sf):
@@ -37,7 +39,7 @@ def _vectors(spark, sf):
     """(train, test) feature vectors of the dataset, written once."""
     data = v.dataset(spark, sf).select(HOUR, ZONE, *DATASET_FEATURES, TARGET)
     data = data.withColumns({c: F.col(c).cast("double") for c in [*DATASET_FEATURES, TARGET]})
-    saved = materialise(data, "learning")
+    saved = materialise(training.few_partitions(data), "learning")
     return feat.split_by_time(models.assembler(DATASET_FEATURES).transform(saved), ntz(CUT))
 
 
@@ -140,24 +142,41 @@ def _fit_query(name, make):
 
 # estimators need a running session, so they are built when the query runs
 _FITS = {
-    "ml_gbt_absolute": lambda: models.gbt_absolute(**QUICK),
-    "ml_gbt_leafmin": lambda: models.gbt_leafmin(**QUICK, minInstancesPerNode=50),
-    "ml_gbt_squared": lambda: models.gbt_squared(maxIter=20),
+    "ml_gbt_absolute": lambda: models.gbt_absolute(**SETTINGS.get("boosting", {})),
+    "ml_gbt_leafmin": lambda: models.gbt_leafmin(**SETTINGS.get("boosting", {})),
+    "ml_gbt_squared": lambda: models.gbt_squared(**SETTINGS.get("boosting", {})),
     "ml_tree": lambda: models.tree(),
-    "ml_forest": lambda: models.forest(numTrees=20, maxDepth=8),
+    "ml_forest": lambda: models.forest(**SETTINGS.get("forest", {})),
 }
 for _name, _make in _FITS.items():
     _fit_query(_name, _make)
 
 
-@query("ml_timeseries_cv_gbt")
+# the training side in five chronological folds behind the rows that are trained on first
+FOLDS_SQL = f"""train_hours AS (
+    SELECT hourly_timestamp, dense_rank() OVER (ORDER BY hourly_timestamp) - 1 AS pos, count(*) OVER () AS nh
+    FROM (SELECT DISTINCT hourly_timestamp FROM dataset WHERE hourly_timestamp <= TIMESTAMP '{CUT}')),
+  folds AS (SELECT d.*, CAST(CASE WHEN pos < nh - 5 * (nh // 6) THEN 0 ELSE (pos - (nh - 5 * (nh // 6))) // (nh // 6) + 1 END AS INTEGER) AS fold
+            FROM dataset d JOIN train_hours USING (hourly_timestamp))"""
+
+
+@query(
+    "ml_timeseries_cv_gbt",
+    f"""WITH {FOLDS_SQL} SELECT fold, count(*) AS n, round(avg(abs(target - lag_1_ride_count)), 6) AS persistence_mae, 1 AS beats_persistence
+        FROM folds WHERE fold > 0 GROUP BY fold""",
+)
 def ml_timeseries_cv_gbt(spark, sf):
+    """Five expanding folds of the boosted trees beside the persistence forecast on the same rows."""
     train, _ = _vectors(spark, sf)
-    folds = assign_folds(train.select(HOUR, ZONE, models.FEATURES, TARGET), 3, "chronological").persist()
+    folds = assign_folds(train.select(HOUR, ZONE, models.FEATURES, lag_name(1), TARGET), 5, "chronological").persist()
     try:
-        return validation.fold_scores(models.gbt_absolute(**(QUICK | {"maxIter": 5})), folds, 3)
+        gbt = models.gbt_absolute(**SETTINGS.get("boosting", {}))
+        (trial,) = validation.grid_trials(gbt, folds, [{}], 5)
+        base = a.regression_metrics(folds.where("fold > 0"), TARGET, lag_name(1), by=["fold"]).collect()
     finally:
         folds.unpersist()
+    rows = [(r["fold"], r["n"], round(r["mae"], 6), int(trial.fold_maes[r["fold"] - 1] < r["mae"])) for r in base]
+    return spark.createDataFrame(rows, "fold int, n long, persistence_mae double, beats_persistence int")
 
 
 DEPTHS = (1, 2, 5, 8, 10, 15, 20, 30)
@@ -169,54 +188,94 @@ DEPTHS = (1, 2, 5, 8, 10, 15, 20, 30)
         FROM (SELECT unnest({list(DEPTHS)}) AS depth), (SELECT {SIDE_SQL} AS side, count(*) AS n FROM dataset GROUP BY 1)""",
 )
 def ml_depth_sweep(spark, sf):
-    """Errors of trees of growing depth; on the training side none may be worse than the one before."""
-    train, test = (side.persist() for side in _vectors(spark, sf))
-    rows, before = [], None
-    try:
-        for depth in DEPTHS:
-            scores = validation.evaluate(models.tree(maxDepth=depth).fit(train), train, test).collect()
-            now = next(r["mse"] for r in scores if r["side"] == "train")
-            worse = int(before is None or now <= before + 1e-9)
-            rows += [(depth, r["side"], r["n"], worse if r["side"] == "train" else -1) for r in scores]
-            before = now
-    finally:
-        train.unpersist(), test.unpersist()
-    return spark.createDataFrame(rows, "depth int, side string, n long, fits_no_worse int")
+    """Errors of trees of growing depth, from one fit; on the training side none may be worse than the one before.
 
-
-@query("ml_two_stage_grid")
+    A tree grows level by level, so the deepest one cut at a depth is the tree of that depth.
+    """
+    train, test = _vectors(spark, sf)
+    grown = trees.fitted_ensemble(spark, models.tree(maxDepth=max(DEPTHS)).fit(train))
+    sides = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    scored = trees.predictions_by_depth(grown, DATASET_FEATURES, DEPTHS)
+    cut = sides.select("side", TARGET, F.posexplode(scored).alias("place", "prediction"))
+    cut = cut.withColumn("depth", F.element_at(F.lit(list(DEPTHS)), F.col("place") + 1))
+    errors = a.regression_metrics(cut, TARGET, "prediction", by=["depth", "side"])
+    shallower = Window.partitionBy("side").orderBy("depth")  # one row per depth
+    no_worse = F.coalesce(F.col("mse") <= F.lag("mse").over(shallower) + 1e-9, F.lit(True)).cast("int")
+    return errors.select("depth", "side", "n", F.when(F.col("side") == "train", no_worse).otherwise(-1).alias("fits_no_worse"))
+
+
+def _set_sql(stage: int, **options) -> str:
+    """All combinations of the options as rows; an option that is searched elsewhere is null."""
+    names = ("maxIter", "maxDepth", "subsamplingRate", "minInstancesPerNode", "stepSize")
+    kinds = {"subsamplingRate": "DOUBLE", "stepSize": "DOUBLE"}
+    parts = [f"(SELECT unnest({list(options[n])})::{kinds.get(n, 'INTEGER')} AS {n})" for n in names if n in options]
+    columns = [n if n in options else f"NULL::{kinds.get(n, 'INTEGER')} AS {n}" for n in names]
+    return f"SELECT {stage} AS stage, {', '.join(columns)} FROM {', '.join(parts)}"
+
+
+def _options(sets: list[dict]) -> dict:
+    return {name: sorted({s[name] for s in sets}) for name in sets[0]}
+
+
+# what the first stage leaves to the estimator
+FIRST_REST = {"subsamplingRate": 1.0, "minInstancesPerNode": 1}
+_ABSOLUTE = training.published_searches(SEARCH_TREES)["absolute"]
+GRID_SQL = f"""WITH {FOLDS_SQL},
+  sets AS ({_set_sql(1, stepSize=_ABSOLUTE.rates, **{k: [x] for k, x in (FIRST_REST | _ABSOLUTE.first).items()})}
+           UNION ALL {_set_sql(2, **_options(list(_ABSOLUTE.second)))})
+  SELECT sets.*, 5 AS n_folds, scored_rows, 1 AS rate_is_best, CAST(stage = 2 AS INTEGER) AS chosen_is_least
+  FROM sets, (SELECT count(*) AS scored_rows FROM folds WHERE fold > 0)"""
+
+
+@query("ml_two_stage_grid", GRID_SQL)
 def ml_two_stage_grid(spark, sf):
+    """The published two-stage search: all sets, all folds; SQL checks sets, scored rows and both choices."""
     train, _ = _vectors(spark, sf)
-    folds = assign_folds(train.select(HOUR, ZONE, models.FEATURES, TARGET), 2, "chronological").persist()
-    gbt = models.gbt_absolute(maxIter=3)
+    folds = assign_folds(train.select(HOUR, ZONE, models.FEATURES, TARGET), 5, "chronological").persist()
     try:
-        _, trials, _ = validation.two_stage_search(
-            gbt,
-            folds,
-            gbt.stepSize,
-            [0.3, 0.5],
-            {gbt.maxDepth: 4},
-            [{gbt.maxDepth: d, gbt.minInstancesPerNode: 1} for d in (3, 5)],
-            n_folds=2,
-        )
+        n = folds.where("fold > 0").count()
+        best, trials, _ = training.searched(models.gbt_absolute(), folds, training.published_searches(SEARCH_TREES)["absolute"], 5)
     finally:
         folds.unpersist()
-    return validation.trials_frame(spark, trials).select(
-        F.to_json("params").alias("params"), "cv_mae_mean", "cv_mae_std"
+    first, second = ([t for t in trials if t.stage == k] for k in (1, 2))
+    rate = first[validation.best_of(first)].params["stepSize"]
+    chosen = int(best.cv_mae_mean == min(t.cv_mae_mean for t in second))
+    names = ("maxIter", "maxDepth", "subsamplingRate", "minInstancesPerNode", "stepSize")
+    rows = [
+        (
+            t.stage, *[None if name == "stepSize" and t.stage == 2 else (FIRST_REST | t.params).get(name) for name in names], len(t.fold_maes), n,
+            int(t.stage == 1 or t.params["stepSize"] == rate), chosen if t.stage == 2 else 0,
+        )
+        for t in trials
+    ]
+    return spark.createDataFrame(
+        rows,
+        "stage int, maxIter int, maxDepth int, subsamplingRate double, minInstancesPerNode int, stepSize double, n_folds int, "
+        "scored_rows long, rate_is_best int, chosen_is_least int",
     )
 
 
-@query("ml_random_search")
+@query(
+    "ml_random_search",
+    f"""SELECT 10 AS n_sets, 10 AS n_distinct, 1 AS in_space, 3 AS n_folds, 1 AS best_is_least, count(*) AS n
+        FROM dataset WHERE hourly_timestamp <= TIMESTAMP '{CUT}'""",
+)
 def ml_random_search(spark, sf):
+    """Ten draws from the published space of forests (depths up to MLlib's 30) on three shuffled folds."""
     train, _ = _vectors(spark, sf)
-    estimator = models.forest(numTrees=5)
-    space = {estimator.maxDepth: [3, 5, 7], estimator.minInstancesPerNode: [1, 5], estimator.numTrees: [3, 5]}
-    fitted = search.random_search(estimator, train, space, [HOUR, ZONE], n=3, n_folds=3)
-    rows = [
-        (str({p.name: x for p, x in params.items()}), float(m))
-        for params, m in zip(fitted.getEstimatorParamMaps(), fitted.avgMetrics, strict=True)
-    ]
-    return spark.createDataFrame(rows, "params string, rmse double")
+    forest = models.forest()
+    numbers = [max(1, round(n * SETTINGS.get("random", RANDOM_TREES))) for n in range(200, 2001, 200)]
+    space = {
+        forest.numTrees: numbers, forest.featureSubsetStrategy: ["all", "sqrt"], forest.maxDepth: [10, 20, 30],
+        forest.minInstancesPerNode: [1, 2, 4, 10, 20], forest.bootstrap: [True, False],
+    }
+    fitted = search.random_search(forest, train, space, [HOUR, ZONE], n=10, n_folds=3, parallelism=validation.POOL)
+    sets = [{p.name: x for p, x in params.items()} for params in fitted.getEstimatorParamMaps()]
+    inside = all(s[p.name] in options for s in sets for p, options in space.items())
+    least = sets[fitted.avgMetrics.index(min(fitted.avgMetrics))]
+    best = all(fitted.bestModel.getOrDefault(name) == x for name, x in least.items())
+    row = (len(sets), len({str(s) for s in sets}), int(inside), fitted.getNumFolds(), int(best), train.count())
+    return spark.createDataFrame([row], "n_sets int, n_distinct int, in_space int, n_folds int, best_is_least int, n long")
 
 
 def _importance_checks(table):
@@ -236,19 +295,51 @@ def ml_importance(spark, sf):
     return _importance_checks(models.importance_table(spark, models.tree().fit(train), DATASET_FEATURES))
 
 
-@query("top_k_importance")
+@query("top_k_importance", 'SELECT unnest(range(1, 11))::INTEGER AS "rank", 1 AS is_feature, 1 AS falls')
 def top_k_importance(spark, sf):
+    """The ten features that a forest uses most; SQL checks ranks, names and that the importances fall."""
     train, _ = _vectors(spark, sf)
-    table = models.importance_table(spark, models.forest(numTrees=10, maxDepth=6).fit(train), DATASET_FEATURES)
-    return table.orderBy(F.desc("importance"), "feature").limit(10)
+    table = models.importance_table(spark, models.forest(**SETTINGS.get("forest", {})).fit(train), DATASET_FEATURES)
+    before = Window.partitionBy().orderBy("rank")  # one row per feature
+    top = table.orderBy(F.desc("importance"), "feature").limit(10)
+    return top.select(
+        "rank", F.col("feature").isin(DATASET_FEATURES).cast("int").alias("is_feature"),
+        F.coalesce(F.col("importance") <= F.lag("importance").over(before), F.lit(True)).cast("int").alias("falls"),
+    )
+
+
+#: Two published-style trees over the dataset: named children, a row below the threshold goes to yes.
+DEMAND_DUMP = """[
+ {"nodeid": 0, "split": "lag_1_ride_count", "split_condition": 0.5, "yes": 1, "no": 2, "missing": 1, "children": [
+  {"nodeid": 1, "split": "hour_of_day", "split_condition": 7, "yes": 3, "no": 4, "missing": 3, "children": [
+   {"nodeid": 3, "leaf": 0.25}, {"nodeid": 4, "leaf": 0.75}]},
+  {"nodeid": 2, "leaf": 1.5}]},
+ {"nodeid": 0, "split": "rolling_mean_24h", "split_condition": 0.4375, "yes": 1, "no": 2, "missing": 2, "children": [
+  {"nodeid": 1, "leaf": 0.5},
+  {"nodeid": 2, "split": "temperature", "split_condition": 60, "yes": 5, "no": 6, "missing": 6, "children": [
+   {"nodeid": 5, "leaf": 2.0}, {"nodeid": 6, "leaf": 3.25}]}]}
+]"""
+DEMAND_CASE = """CASE WHEN lag_1_ride_count < 0.5 THEN CASE WHEN hour_of_day < 7 THEN 0.25 ELSE 0.75 END ELSE 1.5 END
+  + CASE WHEN rolling_mean_24h < 0.4375 THEN 0.5 ELSE CASE WHEN temperature < 60 THEN 2.0 ELSE 3.25 END END + 0.125"""
 
 
 @query(
     "ml_score",
+    f"SELECT hourly_timestamp, PULocationID, CAST(round_even({DEMAND_CASE}, 0) AS INTEGER) AS predicted_ride_count FROM dataset",
+)
+def ml_score(spark, sf):
+    """A published tree dump scored in batches; SQL has its trees as CASE."""
+    data = v.dataset(spark, sf)
+    model = trees.TreeDumpModel(dump=DEMAND_DUMP, features=DATASET_FEATURES, base=0.125)
+    return models.score(data, models.pipeline(DATASET_FEATURES, model).fit(data), DATASET_FEATURES).select(HOUR, ZONE, "predicted_ride_count")
+
+
+@query(
+    "ml_score_column",
     """SELECT hourly_timestamp, PULocationID, CAST(round_even(rolling_mean_3h, 0) AS INTEGER) AS predicted_ride_count
        FROM dataset""",
 )
-def ml_score(spark, sf):
+def ml_score_column(spark, sf):
     data = v.dataset(spark, sf)
     features = ["rolling_mean_3h", lag_name(1)]
     model = models.pipeline(features, models.PersistenceForecaster(inputCol="rolling_mean_3h")).fit(data)
@@ -304,24 +395,49 @@ def _fare_vectors(spark, sf):
     return search.split_random(vectors, ["pu_zone", "transaction_date", "transaction_hour"])
 
 
-@query("ml_forest_classifier")
+FARE_TEST_SQL = """WITH g AS (
+    SELECT pu_zone, CAST(pickup_ts AS DATE) AS day, hour(pickup_ts) AS hh, avg(trip_distance) AS trip_distance, avg(total_amount) AS total_amount
+    FROM trips WHERE total_amount >= 0 AND total_amount < 200 GROUP BY ALL),
+  test AS (SELECT * FROM g WHERE trip_distance IS NOT NULL AND ('0x' || substr(md5('42|' || pu_zone::VARCHAR || '|' || day::VARCHAR || '|' || hh::VARCHAR), 1, 8))::BIGINT
+             / 4294967296.0 >= 0.67)"""
+
+
+@query(
+    "ml_forest_classifier",
+    f"{FARE_TEST_SQL} SELECT count(*) FILTER (total_amount >= 100) AS high, count(*) FILTER (total_amount < 100) AS low, 1 AS adds_up FROM test",
+)
 def ml_forest_classifier(spark, sf):
+    """High fares against the others; SQL checks the sides of the confusion counts and that their shares follow from them."""
     train, test = _fare_vectors(spark, sf)
     label = flag(bucket_label("total_amount", 100) == "high").alias("label")
-    model = models.forest_classifier("label", numTrees=10, maxDepth=6).fit(
+    model = models.forest_classifier("label", **SETTINGS.get("forest", {})).fit(
         train.select(models.FEATURES, label.cast("double").alias("label"))
     )
-    return a.confusion(model.transform(test.select(models.FEATURES, label)), "label", "prediction")
+    counts = a.confusion(model.transform(test.select(models.FEATURES, label)), "label", "prediction")
+    right = F.try_divide(F.col("tp") + F.col("tn"), F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn"))
+    return counts.select(
+        (F.col("tp") + F.col("fn")).alias("high"), (F.col("fp") + F.col("tn")).alias("low"),
+        (right.eqNullSafe(F.col("accuracy"))).cast("int").alias("adds_up"),
+    )
 
 
-@query("pl_fare_model")
+@query(
+    "pl_fare_model",
+    f"""{FARE_TEST_SQL} SELECT model, count(*) AS n, 1 AS has_errors
+        FROM test, (SELECT unnest(['boosting', 'forest', 'tree']) AS model) GROUP BY model""",
+)
 def pl_fare_model(spark, sf):
     train, test = _fare_vectors(spark, sf)
     out = None
-    fits = {"tree": models.tree(), "forest": models.forest(numTrees=10, maxDepth=6), "boosting": models.gbt_squared(maxIter=5)}
+    fits = {
+        "tree": models.tree(), "forest": models.forest(**SETTINGS.get("forest", {})),
+        "boosting": models.gbt_squared(**SETTINGS.get("boosting", {})),
+    }
     for name, estimator in fits.items():
         scored = estimator.fit(train).transform(test)
-        row = a.regression_metrics(scored, TARGET, "prediction").withColumn("model", F.lit(name))
+        row = a.regression_metrics(scored, TARGET, "prediction").select(
+            F.lit(name).alias("model"), "n", ((F.col("mae") > 0) & (F.col("rmse") >= F.col("mae"))).cast("int").alias("has_errors")
+        )
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -329,55 +445,95 @@ def pl_fare_model(spark, sf):
 @query(
     "pl_train",
     f"""SELECT m.model_name, m.fold_mode, (SELECT count(*) FROM dataset WHERE hourly_timestamp <= TIMESTAMP '{CUT}') AS training_data_size,
-               {len(DATASET_FEATURES)} AS feature_count, 2 AS cv_folds, 4 AS trials, 1 AS best_is_least, 1 AS version
-        FROM (VALUES ('demand_absolute', 'chronological'), ('demand_leafmin', 'positional')) AS m(model_name, fold_mode)""",
+               {len(DATASET_FEATURES)} AS feature_count, 5 AS cv_folds, m.trials, 1 AS best_is_least, 1 AS version
+        FROM (VALUES ('demand_absolute', 'chronological', 21), ('demand_leafmin', 'positional', 32)) AS m(model_name, fold_mode, trials)""",
 )
 def pl_train(spark, sf):
-    """Both boosting variants, searched over a small space: SQL checks sizes, trials and the choice."""
+    """Both boosting variants over their published sets: SQL checks sizes, trials and the choice in the last stage."""
     root, data = work_path(spark, "train"), v.stored_dataset(spark, sf)
-    out = None
-    for name, make, mode in (
-        ("demand_absolute", models.gbt_absolute, "chronological"), ("demand_leafmin", models.gbt_leafmin, "positional"),
+    searches, out = training.published_searches(SETTINGS.get("search", SEARCH_TREES / 2)), None
+    for name, make, mode, variant in (
+        ("demand_absolute", models.gbt_absolute, "chronological", "absolute"), ("demand_leafmin", models.gbt_leafmin, "positional", "leafmin"),
     ):
         result = training.train(
-            data, DATASET_FEATURES, ntz(CUT), root, name, rates=(0.3, 0.5), first={"maxIter": 3, "maxDepth": 4},
-            second=[{"maxIter": 3, "maxDepth": d} for d in (3, 5)], n_folds=2, trained_at="2024-01-31T00:00:00", created=1,
-            estimator=make(), fold_mode=mode,
+            data, DATASET_FEATURES, ntz(CUT), root, name, search=searches[variant], n_folds=5, trained_at="2024-01-31T00:00:00",
+            created=1, estimator=make(), fold_mode=mode,
         )
-        least = min(t.cv_mae_mean for t in result.trials)
+        last = max(t.stage for t in result.trials)
+        least = min(t.cv_mae_mean for t in result.trials if t.stage == last)
         row = result.metadata.select(
             "model_name", F.lit(mode).alias("fold_mode"), "training_data_size", "feature_count",
             F.col("cross_validation.cv_folds").cast("int").alias("cv_folds"), F.lit(len(result.trials)).alias("trials"),
-            F.lit(int(result.best.cv_mae_mean <= least + 1e-12)).alias("best_is_least"), F.lit(result.version).alias("version"),
+            F.lit(int(result.best.cv_mae_mean == least)).alias("best_is_least"), F.lit(result.version).alias("version"),
         )
         out = row if out is None else out.unionByName(row)
     return out
 
 
-@query(
-    "pl_score",
-    f"""{STORE_CTES} SELECT hourly_timestamp + INTERVAL 1 HOUR AS hourly_timestamp, PULocationID,
-               CAST(round_even(rolling_mean_24h, 0) AS INTEGER) AS predicted_ride_count
-        FROM store WHERE hourly_timestamp = (SELECT max(hourly_timestamp) FROM store)""",
-)
-def pl_score(spark, sf):
+#: Two trees over the feature store: left and right children, a row up to the threshold goes left.
+STORE_DUMP = """{"tree_info": [
+ {"tree_structure": {"split_feature": "rolling_mean_24h", "threshold": 0.4, "decision_type": "<=", "default_left": true,
+   "left_child": {"leaf_value": 0.3}, "right_child": {"split_feature": "is_rush_hour", "threshold": 0.5, "decision_type": "<=",
+     "default_left": false, "left_child": {"leaf_value": 0.9}, "right_child": {"leaf_value": 1.7}}}},
+ {"tree_structure": {"split_feature": "lag_24_ride_count", "threshold": 1.0, "decision_type": "<=", "default_left": true,
+   "left_child": {"leaf_value": 0.1}, "right_child": {"leaf_value": 1.2}}}]}"""
+STORE_CASE = """CASE WHEN rolling_mean_24h <= 0.4 THEN 0.3 ELSE CASE WHEN is_rush_hour <= 0.5 THEN 0.9 ELSE 1.7 END END
+  + CASE WHEN lag_24_ride_count <= 1.0 THEN 0.1 ELSE 1.2 END"""
+
+
+def _scored_next_hour(spark, sf, name, model):
     """Newest feature rows -> registered model -> whole rides, written per scored hour."""
     from tidecast.sources import writers
 
     root = work_path(spark, "score")
     rows = feat.next_hour_rows(materialise(store(spark, sf), "store"), v.zones(spark, sf), downtown=v.DOWNTOWN)
-    forecaster = models.PersistenceForecaster(inputCol="rolling_mean_24h")
-    registry.register(spark, root, "demand", models.pipeline(STORE_FEATURES, forecaster).fit(rows), "run", 1)
-    model, _ = registry.load_latest(spark, root, "demand")
-    scored = training.score_next_hour(rows.withColumn(HOUR, plus_hours(HOUR, 1)), model, STORE_FEATURES)
+    registry.register(spark, root, name, models.pipeline(STORE_FEATURES, model).fit(rows), "run", 1)
+    loaded, _ = registry.load_latest(spark, root, name)
+    scored = training.score_next_hour(rows.withColumn(HOUR, plus_hours(HOUR, 1)), loaded, STORE_FEATURES)
     writers.write_partitioned(scored.withColumn("scored_hour", F.date_format(HOUR, "yyyyMMdd_HHmmss")), f"{root}/predictions", ["scored_hour"])
     return spark.read.parquet(f"{root}/predictions").drop("scored_hour")
 
 
-@query("pl_score_trees")
+@query(
+    "pl_score",
+    f"""{STORE_CTES} SELECT hourly_timestamp + INTERVAL 1 HOUR AS hourly_timestamp, PULocationID,
+               CAST(round_even({STORE_CASE}, 0) AS INTEGER) AS predicted_ride_count
+        FROM store WHERE hourly_timestamp = (SELECT max(hourly_timestamp) FROM store)""",
+)
+def pl_score(spark, sf):
+    """The published tree model is registered, loaded and scores the next hour; SQL has its trees as CASE."""
+    return _scored_next_hour(spark, sf, "trees", trees.TreeDumpModel(dump=STORE_DUMP, features=STORE_FEATURES))
+
+
+@query(
+    "pl_score_column",
+    f"""{STORE_CTES} SELECT hourly_timestamp + INTERVAL 1 HOUR AS hourly_timestamp, PULocationID,
+               CAST(round_even(rolling_mean_24h, 0) AS INTEGER) AS predicted_ride_count
+        FROM store WHERE hourly_timestamp = (SELECT max(hourly_timestamp) FROM store)""",
+)
+def pl_score_column(spark, sf):
+    return _scored_next_hour(spark, sf, "demand", models.PersistenceForecaster(inputCol="rolling_mean_24h"))
+
+
+@query(
+    "pl_score_trees",
+    f"""{STORE_CTES} SELECT hourly_timestamp + INTERVAL 1 HOUR AS hourly_timestamp, PULocationID, 1 AS in_range, 1 AS same_by_nodes
+        FROM store WHERE hourly_timestamp = (SELECT max(hourly_timestamp) FROM store)""",
+)
 def pl_score_trees(spark, sf):
+    """A boosted model trained here; SQL checks the scored rows, and its node table must give the same predictions."""
     train, _ = _sides(spark, sf)
     typed = train.select(*[F.col(c).cast("double").alias(c) for c in [*STORE_FEATURES, TARGET]])
-    model = models.pipeline(STORE_FEATURES, models.tree(maxDepth=6)).fit(materialise(typed, "trees"))
+    typed = materialise(training.few_partitions(typed), "trees")
+    model = models.pipeline(STORE_FEATURES, models.gbt_squared(**SETTINGS.get("boosting", {}))).fit(typed)
+    low, high = typed.agg(F.min(TARGET), F.max(TARGET)).first()
+    spread = high - low
     rows = feat.next_hour_rows(materialise(store(spark, sf), "store"), v.zones(spark, sf), downtown=v.DOWNTOWN)
-    return training.score_next_hour(rows.withColumn(HOUR, plus_hours(HOUR, 1)), model, STORE_FEATURES)
+    rows = materialise(rows.withColumn(HOUR, plus_hours(HOUR, 1)), "next-rows")
+    nodes = trees.fitted_ensemble(spark, model.stages[-1])
+    by_nodes = rows.select(HOUR, ZONE, F.rint(trees.predictions(nodes, STORE_FEATURES)).cast("int").alias("by_nodes"))
+    scored = training.score_next_hour(rows, model, STORE_FEATURES)
+    return scored.join(by_nodes, [HOUR, ZONE]).select(
+        HOUR, ZONE, F.col("predicted_ride_count").between(F.lit(low - spread), F.lit(high + spread)).cast("int").alias("in_range"),
+        (F.col("by_nodes") == F.col("predicted_ride_count")).cast("int").alias("same_by_nodes"),
+    )
