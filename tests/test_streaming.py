@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidecast.names import ACTUAL, COUNT, HOUR, PREDICTED, ZONE
 from tidecast.operators.grid import hourly_counts
+from tidecast.sources.versions import BatchLog, SnapshotTable
 from tidecast.streaming import jobs
 
 START = dt.datetime(2024, 1, 1)
@@ -74,7 +75,7 @@ def test_upserted_totals_of_late_rows_and_of_a_replay(spark, tmp_path):
         stream = jobs.read_new_files(spark, src, schema, files_per_trigger=1)
         sink = jobs.upsert_totals_sink(f"{base}/store", f"{base}/log", [HOUR, ZONE], {COUNT: F.lit(1)}, "day")
         jobs.run_available(jobs.hour_cells(stream, "ts"), f"{base}/checkpoint-{attempt}", "append", sink)
-        assert same(spark.read.parquet(f"{base}/store").select(HOUR, ZONE, COUNT), want)
+        assert same(SnapshotTable(spark, f"{base}/store").read().select(HOUR, ZONE, COUNT), want)
 
 
 def test_replayed_rows_are_dropped_however_late(spark, tmp_path):
@@ -87,7 +88,7 @@ def test_replayed_rows_are_dropped_however_late(spark, tmp_path):
     for attempt in range(2):
         stream = jobs.read_new_files(spark, src, schema, files_per_trigger=1)
         jobs.run_available(stream, f"{base}/checkpoint-{attempt}", "append", jobs.once_sink(f"{base}/table", ["id"], "ts"))
-        out = spark.read.parquet(f"{base}/table").drop("day", "batch")
+        out = jobs.stored_rows(spark, f"{base}/table").drop("day")
         assert same(out, want) and dict(out.dtypes)["ts"] == "timestamp_ntz"
 
 
@@ -112,3 +113,30 @@ def test_cleaning_stream_applies_rules_and_fills(spark, tmp_path):
     cleaned = jobs.clean_stream(stream, [("x", F.col("x") >= 0)], {"x": 2.5})
     jobs.run_available(cleaned, f"{base}/checkpoint", "append", jobs.changelog_sink(f"{base}/table"))
     assert {(r.id, r.x) for r in spark.read.parquet(f"{base}/table").collect()} == {(1, 5.0), (2, 2.5), (4, 2.5)}
+
+
+def test_many_batches_stay_few_folders(spark, tmp_path):
+    """Sums stay exact, late days included, while the folders that a read opens grow with the logarithm."""
+    root, n, fan = str(tmp_path / "log"), 70, 4
+    rng, want = random.Random(9), {}
+    log = BatchLog(spark, root, lambda rows: rows.groupBy("k", "day").agg(F.sum("n").alias("n")), fan=fan, keep=20)
+    for batch in range(n):
+        rows = [(rng.randrange(3), START.date() + dt.timedelta(days=rng.randrange(5)), rng.randrange(9)) for _ in range(6)]
+        for k, day, x in rows:
+            want[k, day] = want.get((k, day), 0) + x
+        frame = spark.createDataFrame(rows, "k int, day date, n bigint").groupBy("k", "day").agg(F.sum("n").alias("n")).coalesce(1)
+        log.append(frame, batch)
+        if batch % 9 == 0:
+            log.append(frame, batch)  # a replay
+            log.append(frame, batch // 2)  # one that a generation holds already
+    entries = log.latest().entries
+    assert len(entries) <= (fan - 1) * 4 and sum(e["last"] - e["first"] + 1 for e in entries) == n
+    totals = {(r.k, r.day): r.n for r in log.read().groupBy("k", "day").agg(F.sum("n").alias("n")).collect()}
+    assert totals == want
+    day = START.date()
+    some = {(r.k, r.day): r.n for r in log.read([day]).groupBy("k", "day").agg(F.sum("n").alias("n")).collect()}
+    assert some == {k: x for k, x in want.items() if k[1] == day}
+    log.expire()
+    assert len(list((tmp_path / "log" / "manifests").iterdir())) == 20
+    assert len(list((tmp_path / "log" / "data").iterdir())) < n
+    assert log.read().agg(F.sum("n")).first()[0] == sum(want.values())

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.operators.aggregates import latest_per_key
+from tidecast.sources import files
 from tidecast.sources.contracts import REGISTRY
 
 
@@ -28,11 +29,11 @@ def latest_versions(table: DataFrame) -> DataFrame:
 def register(spark: SparkSession, root: str, name: str, model: PipelineModel, run_id: str, created: int) -> int:
     """Save a fitted pipeline as the next version of ``name`` and return that version.
 
-    A version belongs to the writer who creates its folder below ``claims``; two writers at the same time
-    get different versions.
+    A version belongs to the writer who creates its file below ``claims``, which only one can; two writers at
+    the same time get different versions.
     """
     newest = versions(spark, root).where(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = _claimed(spark, f"{root}/claims/{name}", (newest or 0) + 1)
+    version = _claimed(spark, f"{root}/claims/{name}", (newest or 0) + 1, run_id)
     source = f"{root}/models/{name}/{version}"
     model.write().overwrite().save(source)
     row = spark.createDataFrame([(name, version, run_id, source, created, "READY")], REGISTRY)
@@ -40,16 +41,11 @@ def register(spark: SparkSession, root: str, name: str, model: PipelineModel, ru
     return version
 
 
-def _claimed(spark: SparkSession, path: str, first: int) -> int:
+def _claimed(spark: SparkSession, path: str, first: int, run_id: str) -> int:
     version = first
-    while True:
-        try:
-            spark.range(1).write.mode("error").parquet(f"{path}/{version}")
-            return version
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            version += 1
+    while not files.publish(spark, f"{path}/{version}", run_id):
+        version += 1
+    return version
 
 
 def load_latest(spark: SparkSession, root: str, name: str) -> tuple[PipelineModel, int]:

@@ -10,9 +10,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidecast.sources import files
+
 _fallback: list[str] = []
 
 
@@ -40,3 +44,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """:func:`materialise` for the length of a block: the folder is removed by the one who made it."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        files.remove(spark, path)

@@ -14,6 +14,7 @@ from tidecast.plans.weather import weather_by_hour
 from tidecast.sources import writers
 from tidecast.sources.contracts import DATASET
 from tidecast.sources.storage import materialise, work_path
+from tidecast.sources.versions import SnapshotTable
 from tidecast.streaming import jobs
 from tidecast.workload import views as v
 from tidecast.workload.oracle_views import CALENDAR, holiday, nearest_hour
@@ -288,7 +289,7 @@ def st_feature_upsert(spark, sf):
     base = work_path(spark, "st-store")
     sink = jobs.upsert_totals_sink(f"{base}/store", f"{base}/log", [HOUR, ZONE], {COUNT: F.lit(1)}, "day")
     jobs.run_available(jobs.hour_cells(_pickup_stream(spark, sf), "pickup_ts"), f"{base}/checkpoint", "append", sink)
-    return spark.read.parquet(f"{base}/store").drop("day")
+    return SnapshotTable(spark, f"{base}/store").read().drop("day")
 
 
 @query("st_dedup", "SELECT event_id, pickup_ts, PULocationID, amount FROM pickups")
@@ -296,7 +297,7 @@ def st_dedup(spark, sf):
     base = work_path(spark, "st-dedup")
     twice = _pickup_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
     jobs.run_available(twice, f"{base}/checkpoint", "append", jobs.once_sink(f"{base}/table", ["event_id"], "pickup_ts"))
-    return spark.read.parquet(f"{base}/table").drop("batch", "day")
+    return jobs.stored_rows(spark, f"{base}/table").drop("day")
 
 
 @query(

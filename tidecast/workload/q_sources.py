@@ -11,6 +11,7 @@ from tidecast.operators.grid import hour_span, hourly_counts, zone_hours
 from tidecast.sources import readers, writers
 from tidecast.sources.contracts import FEATURED, PREDICTIONS, RUN_LOG
 from tidecast.sources.storage import work_path
+from tidecast.sources.versions import SnapshotTable
 from tidecast.workload import views as v
 from tidecast.workload.registry import query
 
@@ -205,22 +206,33 @@ def snk_csv(spark, sf):
     return readers.read_csv(spark, path, T.StructType([PREDICTIONS[HOUR], PREDICTIONS[ZONE], PREDICTIONS["predicted_ride_count"]]))
 
 
-@query(
-    "snk_upsert_keep_last",
-    """SELECT hourly_timestamp, PULocationID,
+UPSERT_SQL = """SELECT hourly_timestamp, PULocationID,
               CASE WHEN hourly_timestamp >= TIMESTAMP '2024-01-15' THEN ride_count + 1000 ELSE ride_count END AS ride_count,
               CAST(hourly_timestamp AS DATE) AS day
-       FROM counts""",
-)
-def snk_upsert_keep_last(spark, sf):
-    path = work_path(spark, "store")
+       FROM counts"""
+
+
+def _older_and_newer(spark, sf):
     counts = hourly_counts(v.pickups(spark, sf), "pickup_ts")
     hour = F.col(HOUR)
     cut, end = F.expr("timestamp_ntz'2024-01-15 00:00:00'"), F.expr("timestamp_ntz'2024-01-20 00:00:00'")
-    older = counts.where(hour < end)
-    newer = counts.where(hour >= cut).withColumn(COUNT, F.col(COUNT) + 1000)
-    writers.upsert(spark, path, older, [HOUR, ZONE], "day", F.to_date(HOUR))
-    writers.upsert(spark, path, newer, [HOUR, ZONE], "day", F.to_date(HOUR))
+    return counts.where(hour < end), counts.where(hour >= cut).withColumn(COUNT, F.col(COUNT) + 1000)
+
+
+@query("snk_upsert_keep_last", UPSERT_SQL)
+def snk_upsert_keep_last(spark, sf):
+    """Two upserts into a table of snapshots."""
+    table = SnapshotTable(spark, work_path(spark, "snapshots"))
+    for rows in _older_and_newer(spark, sf):
+        table.upsert(rows, [HOUR, ZONE], "day", F.to_date(HOUR))
+    return table.read()
+
+
+@query("snk_upsert_in_place", UPSERT_SQL)
+def snk_upsert_in_place(spark, sf):
+    path = work_path(spark, "store")
+    for rows in _older_and_newer(spark, sf):
+        writers.upsert(spark, path, rows, [HOUR, ZONE], "day", F.to_date(HOUR))
     return spark.read.parquet(path)
 
 
