@@ -164,3 +164,26 @@ def test_observed_zones_only(clean, home, spark):
     observed = features.hourly_series(clean, "tpep_pickup_datetime", more, only_observed=True)
     assert everything.select(ZONE).distinct().count() == 5
     assert observed.select(ZONE).distinct().count() == 4
+
+
+def test_cleaning_starts_no_job_and_reads_trips_twice(spark, trips, home, tmp_path, plan_of):
+    path = str(tmp_path / "trips")
+    trips.write.parquet(path)
+    stored, end = spark.read.schema(trips.schema).parquet(path), ntz(START + dt.timedelta(hours=HOURS))
+    sc = spark.sparkContext
+    sc.setJobGroup("build-clean", "build")
+    try:
+        cleaned = ingest.clean_trips(stored, home, "LocationID", ntz(START), end)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert not sc.statusTracker().getJobIdsForGroup("build-clean")
+    assert len(cleaned.collect()) > 0
+    assert plan_of(cleaned).split("== Initial Plan ==")[0].count("FileScan parquet") <= 2
+
+
+def test_columns_without_a_value_are_found_with_the_medians(trips, home, clean):
+    end = ntz(START + dt.timedelta(hours=HOURS))
+    wider = trips.withColumn("airport_fee", F.lit(None).cast("double"))
+    got = ingest.clean_trips(wider, home, "LocationID", ntz(START), end, drop_empty=True)
+    assert got.columns == clean.columns
+    assert got.exceptAll(clean).count() == 0 and clean.exceptAll(got).count() == 0

@@ -67,10 +67,10 @@ def test_drop_all_null(spark):
 
 
 @pytest.mark.parametrize("kind", ["normal", "few_values", "one_value", "heavy_tail", "tiny", "hot_value"])
-@pytest.mark.parametrize("accuracy", [100_000, 50])
-def test_exact_quantiles_equal_numpy(spark, monkeypatch, kind, accuracy):
-    # a coarse sketch forces ranks next to and between the brackets
-    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+@pytest.mark.parametrize("steps", [4096, 1])
+def test_exact_quantiles_equal_numpy(spark, monkeypatch, kind, steps):
+    # few places leave many values in each, many leave ranks in neighbouring ones
+    monkeypatch.setattr(quantiles, "STEPS", steps)
     rng = np.random.default_rng(7)
     values = {
         "normal": rng.normal(size=5000),
@@ -165,3 +165,59 @@ def test_hash_split_is_stable_and_near_the_share(spark):
     assert abs(train.count() / 20_000 - 0.67) < 0.02
     again, _ = split_random(df.repartition(13).orderBy(F.desc("id")), ["id"])
     assert train.exceptAll(again).count() == 0
+
+
+def test_places_never_fall(spark):
+    tiny = 5e-324
+    near = [x for k in range(-1074, 1024, 7) for x in (np.nextafter(2.0**k, 0), 2.0**k, np.nextafter(2.0**k, np.inf))]
+    values = sorted({float(x) for x in [*near, 0.0, tiny, 1.5, 1e308, float("inf"), *np.random.default_rng(2).lognormal(0, 20, 500)]})
+    values = [-x for x in reversed(values)] + values
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double")
+    places = [r.p for r in df.select("i", quantiles._place(F.col("x")).alias("p")).orderBy("i").collect()]
+    assert places == sorted(places)
+
+
+def test_exact_quantiles_per_key_with_a_hot_one(spark):
+    rng = np.random.default_rng(4)
+    rows = [("hot", float(x)) for x in rng.normal(size=4000)] + [(None, 1.0), (None, 4.0), ("a", None), ("b", float("nan")), ("b", 2.0)]
+    df = spark.createDataFrame(rows, "key string, x double").repartition(6)
+    got = {r.key: r for r in quantiles.exact_quantiles(df, ["x"], [0.5, 0.9], ["key"]).collect()}
+    hot = [x for k, x in rows if k == "hot"]
+    assert set(got) == {"hot", None, "b"}
+    assert got["hot"].n == 4000 and got["hot"].q0 == pytest.approx(np.median(hot)) and got["hot"].q1 == pytest.approx(np.quantile(hot, 0.9))
+    assert (got[None].n, got[None].q0, got["b"].n, got["b"].q0) == (2, 2.5, 1, 2.0)
+
+
+def jobs_of(spark, build):
+    """Jobs that building a frame starts."""
+    group = f"build-{build.__name__}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        df = build()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return df, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_medians_start_no_job_and_read_their_basis_once(spark, tmp_path, plan_of):
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("id", "if(id % 7 = 0, null, cast(id % 97 as double)) as x", "cast(id as double) as y").write.parquet(path)
+
+    def build():
+        return q.impute_median(spark.read.schema("id long, x double, y double").parquet(path), ["x", "y"])
+
+    df, jobs = jobs_of(spark, build)
+    assert jobs == 0
+    assert df.agg(F.sum("x")).first()[0] > 0
+    plan = df.select("x", "y")
+    plan.collect()
+    text = plan_of(plan).split("== Initial Plan ==")[0]
+    assert text.count("FileScan parquet") <= 2 and "ReusedExchange" in text
+
+
+def test_bias_of_a_hot_key(spark):
+    rows = [(1, float(i), float(i + i % 5)) for i in range(2001)] + [(2, 1.0, 3.0), (None, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "z int, actual double, predicted double")
+    got = {r.z: (r.n, r.mean_bias, r.median_bias) for r in a.bias(df, ["z"], "actual", "predicted").collect()}
+    errors = [i % 5 for i in range(2001)]
+    assert got == {1: (2001, pytest.approx(sum(errors) / 2001), 2.0), 2: (1, 2.0, 2.0), None: (1, -1.0, -1.0)}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidecast.functions.fixed_values import DRIFT_RATIO
 from tidecast.names import ACTUAL, HOUR, PREDICTED
+from tidecast.operators.quantiles import exact_quantiles
 
 
 def mean_and_count(df: DataFrame, keys: Sequence[str], measures: Sequence[str], count: str) -> DataFrame:
@@ -84,15 +85,14 @@ def top_groups(df: DataFrame, keys: Sequence[str], error: str, k: int, name: str
 
 
 def bias(df: DataFrame, keys: Sequence[str], actual: str = ACTUAL, predicted: str = PREDICTED) -> DataFrame:
-    """Mean and exact median signed error per key.
-
-    Errors per key are one value per hour, so a key's median buffer is bounded by
-    the calendar, not by the number of events.
-    """
-    err = F.col(predicted) - F.col(actual)
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(err).alias("mean_bias"), F.median(err).alias("median_bias")
-    )
+    """Mean and exact median signed error per key; no key's errors are ever gathered in a buffer."""
+    errors = df.select(*keys, (F.col(predicted) - F.col(actual)).cast("double").alias("__error"))
+    means = errors.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("__error").alias("mean_bias"))
+    middle = exact_quantiles(errors, ["__error"], [0.5], keys).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("q0").alias("median_bias"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return means.join(middle, same, "left").select(*keys, "n", "mean_bias", "median_bias")
 
 
 def hourly_mae(df: DataFrame, hour: str = HOUR, actual: str = ACTUAL, predicted: str = PREDICTED) -> DataFrame:

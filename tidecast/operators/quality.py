@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,6 +132,12 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
+def value_counts_of(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of how many values each column has, filled by the first job over the result."""
+    seen = Observation()
+    return df.observe(seen, *[F.count(F.col(c)).alias(c) for c in df.columns]), seen
+
+
 def drop_all_null(df: DataFrame) -> DataFrame:
     """Drop columns without a single value. Runs one aggregate: the schema depends on the data."""
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).first()
@@ -139,20 +145,22 @@ def drop_all_null(df: DataFrame) -> DataFrame:
 
 
 # -- imputation ---------------------------------------------------------------
+def medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+    """One row with the median of each column under its own name (null without values)."""
+    found = (exact_quantiles if exact else approx_quantiles)(df, columns, [0.5])
+    return found.agg(*[F.max(F.when(F.col("column") == c, F.col("q0"))).alias(c) for c in columns])
+
+
 def impute_median(
     df: DataFrame, columns: Sequence[str], basis: DataFrame | None = None, exact: bool = True
 ) -> DataFrame:
     """NULL -> median of the column over ``basis`` (default: ``df`` itself).
 
-    The medians - one number per column - are computed here and enter the plan as
-    literals. ``exact=False`` saves one of the two scans at a rank error of n / 10,000.
+    The medians - one row - are a scalar sub-query of the plan, so nothing runs before the query does.
+    ``exact=False`` takes them from a sketch with a rank error of n / 10,000.
     """
-    basis = df if basis is None else basis
-    find = exact_quantiles if exact else approx_quantiles
-    medians = {r["column"]: r["q0"] for r in find(basis, columns, [0.5]).collect()}
-    return df.withColumns(
-        {c: F.coalesce(F.col(c), F.lit(m)) for c, m in medians.items() if m is not None}
-    )
+    found = medians(df if basis is None else basis, columns, exact).select(F.struct(*columns)).scalar()
+    return df.withColumns({c: F.coalesce(F.col(c), found.getField(c)) for c in columns})
 
 
 # -- assertions ---------------------------------------------------------------
