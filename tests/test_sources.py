@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecast.learning import models, registry
 from tidecast.names import HOUR, ZONE
@@ -140,3 +141,31 @@ def test_upsert_opens_touched_partitions_only(spark, tmp_path):
     writers.upsert(spark, path, rows.where("k in (1, 7)").withColumn("v", F.lit(100)), ["k", "at"], "day", F.col("at"))
     got = {r.k: r.v for r in spark.read.parquet(path).where("day <> DATE'2024-01-05'").collect()}
     assert got == {k: 100 if k in (1, 7) else k for k in range(20) if k != 4}
+
+
+def test_broken_csv_lines_are_kept_apart(spark, tmp_path):
+    lines = ["k,x,day", "1,2.5,01.02.2024", "2,oops,01.02.2024", "3,1.0,01.02.2024,more", "4,1.0", "5,N/A,01.02.2024", "6,-1,01.02.2024", "7,9,no day", ""]
+    (tmp_path / "in.csv").write_text("\n".join(lines))
+    schema = T._parse_datatype_string("k int, x double, day string")
+    rules = [("positive", F.coalesce(F.col("x") >= 0, F.lit(True))), ("day", F.try_to_timestamp("day", F.lit("dd.MM.yyyy")).isNotNull())]
+    good, rejected = readers.read_csv_checked(spark, str(tmp_path / "in.csv"), schema, rules=rules)
+    assert sorted((r.k, r.x) for r in good.collect()) == [(1, 2.5), (5, None)]
+    assert good.columns == ["k", "x", "day"] and good.select("k").count() == 2
+    got = {r.line.split(",")[0]: r.reason for r in rejected.collect()}
+    assert got == {"2": "malformed", "3": "malformed", "4": "malformed", "6": "positive", "7": "day"}
+    assert rejected.select("reason").count() == 5 and all(r.file.endswith("in.csv") for r in rejected.collect())
+
+
+def test_observations_without_a_time_are_rejected(spark, tmp_path):
+    header = ",".join(f.name for f in contracts.OBSERVATION_FILE)
+    width = len(contracts.OBSERVATION_FILE)
+    at = [f.name for f in contracts.OBSERVATION_FILE].index("date and time")
+    rows = []
+    for text in ("31.01.2024 10:30", "2024-01-31", ""):
+        cells = [""] * width
+        cells[at] = text
+        rows.append(",".join(cells))
+    (tmp_path / "o.csv").write_text("\n".join([header, *rows]))
+    good, rejected = readers.read_observations_checked(spark, str(tmp_path / "o.csv"))
+    assert [str(r.observed_at) for r in good.collect()] == ["2024-01-31 10:30:00"]
+    assert {r.reason for r in rejected.collect()} == {"time"} and rejected.count() == 2

@@ -15,6 +15,10 @@ from tidecast.operators.aggregates import latest_per_key
 from tidecast.sources.contracts import MODEL_METADATA, OBSERVATION_FILE, ZONE_LOOKUP
 
 
+#: Column that takes the text of a line that does not fit.
+REJECTED = "__rejected"
+
+
 def read_trips(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
     """Columnar trip files; filters and column selection reach the scan."""
     reader = spark.read.schema(schema) if schema else spark.read
@@ -60,6 +64,36 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, null_value: s
     )
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType, null_value: str = "N/A", rules: Sequence[tuple[str, Column]] = (), header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected lines): a line that does not fit the schema or breaks a rule is neither lost nor fatal.
+
+    Rejected lines are ``(file, line, reason)``: ``malformed`` for values of another type and for too many or too
+    few fields, else the name of the first rule that does not hold. Every line is in exactly one of the two.
+    """
+    raw = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())]))
+        .option("header", header)
+        .option("nullValue", null_value)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .option("columnPruning", False)  # otherwise a line is checked for the selected columns only
+        .csv(path)
+    )
+    broken = F.when(F.col(REJECTED).isNotNull(), F.lit("malformed"))
+    for name, rule in rules:
+        broken = broken.when(~F.coalesce(rule, F.lit(False)), F.lit(name))
+    fields = [F.col(f"`{f.name}`") for f in schema]
+    text = F.coalesce(F.col(REJECTED), F.to_csv(F.struct(*fields)))
+    marked = raw.withColumns({"__reason": broken, "__line": text, "__file": F.col("_metadata.file_path")})
+    rejected = marked.where("__reason is not null")
+    return (
+        marked.where("__reason is null").select(*fields),
+        rejected.select(F.col("__file").alias("file"), F.col("__line").alias("line"), F.col("__reason").alias("reason")),
+    )
+
+
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup; the name is not unique, so ``LocationID`` is the only key."""
     return read_csv(spark, path, ZONE_LOOKUP)
@@ -73,12 +107,29 @@ def read_observations(
     text_ts: str = "date and time",
 ) -> DataFrame:
     raw = spark.read.schema(schema).option("header", True).csv(path)
+    return _observations(raw, pattern, text_ts)
+
+
+def _observations(raw: DataFrame, pattern: str, text_ts: str) -> DataFrame:
     names = {c: c.replace(" ", "_") for c in raw.columns}
     return raw.withColumn(text_ts, parse_timestamp(F.col(f"`{text_ts}`"), pattern)).withColumnsRenamed(
         {**names, text_ts: "observed_at"}
     )
 
 
+def read_observations_checked(
+    spark: SparkSession,
+    path: str,
+    pattern: str = OBSERVATION_FORMAT,
+    schema: T.StructType = OBSERVATION_FILE,
+    text_ts: str = "date and time",
+) -> tuple[DataFrame, DataFrame]:
+    """(observations, rejected lines): also lines without a readable time are rejected."""
+    rules = [("time", F.try_to_timestamp(F.col(f"`{text_ts}`"), F.lit(pattern)).isNotNull())]
+    good, rejected = read_csv_checked(spark, path, schema, rules=rules)
+    return _observations(good, pattern, text_ts), rejected
+
+
 def read_model_metadata(spark: SparkSession, path: str, schema: T.StructType = MODEL_METADATA) -> DataFrame:
     return (
         spark.read.schema(schema)

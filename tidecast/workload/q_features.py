@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tidecast.names import ACTUAL, COUNT, HOUR, PREDICTED, TARGET, WEATHER_COLUMNS, ZONE
 from tidecast.operators import aggregates as a
+from tidecast.operators import sketches
 from tidecast.operators.grid import hourly_counts
+from tidecast.operators.quantiles import exact_quantiles
 from tidecast.plans import analysis, fares
 from tidecast.plans import features as feat
 from tidecast.plans.ingest import clean_trips
@@ -247,6 +249,49 @@ def mon_feature_shift(spark, sf):
     return rounded(a.population_shift(v.pickups(spark, sf), "amount", current), "psi")
 
 
+def _stored_sketches(spark, sf):
+    """A row per day and column, stored as monitoring would keep it."""
+    e = v.table(spark, sf, "events")
+    return materialise(sketches.period_sketches(e, F.to_date("ts"), ["value"], ["user_id"]), "sketches")
+
+
+@query(
+    "mon_stored_sketches",
+    """SELECT 'value' AS "column", count(DISTINCT ts::DATE) AS periods, count(value) AS n, min(value) AS lo, max(value) AS hi, 1 AS in_bounds FROM events
+       UNION ALL SELECT 'user_id', count(DISTINCT ts::DATE), count(user_id), NULL, NULL, 1 FROM events""",
+)
+def mon_stored_sketches(spark, sf):
+    """Counts, extremes, quantiles and distinct users of all days from the stored sketches, held against exact ones."""
+    found = sketches.estimates(_stored_sketches(spark, sf), [0.1, 0.5, 0.9])
+    q = {c: F.max(F.when(F.col("column") == "value", F.col(c))) for c in ("q0", "q1", "q2")}
+    one = found.agg(*[x.alias(c) for c, x in q.items()], F.max("n_distinct").alias("d"))
+    packed = one.select(F.struct(*one.columns)).scalar()
+    e = v.table(spark, sf, "events")
+    bounds = [F.abs(F.count_if(F.col("value") <= packed[c]) / F.count("value") - p) < 0.03 for c, p in (("q0", 0.1), ("q1", 0.5), ("q2", 0.9))]
+    close = F.abs(packed["d"] / F.count_distinct("user_id") - 1) < 0.06
+    held = e.agg(F.struct((bounds[0] & bounds[1] & bounds[2]).cast("int").alias("value"), close.cast("int").alias("user_id"))).scalar()
+    in_bounds = F.when(F.col("column") == "value", held["value"]).otherwise(held["user_id"])
+    return found.select("column", "periods", "n", "lo", "hi", in_bounds.alias("in_bounds"))
+
+
+@query("mon_stored_shift", "SELECT unnest(range(10))::INTEGER AS bin, 1 AS base_is_even, 1 AS current_in_bounds")
+def mon_stored_shift(spark, sf):
+    """Shift of a month's second half against its first from the stored sketches; shares held against exact ones."""
+    shift = sketches.stored_shift(_stored_sketches(spark, sf), "value", F.col("period") >= F.lit("2024-01-16").cast("date"))
+    e = v.table(spark, sf, "events").where("value is not null")
+    late = F.col("ts") >= ntz("2024-01-16 00:00:00")
+    # exact shares between the exact deciles of the first half; the sketch may be off by its rank error on either side
+    deciles = [i / 10 for i in range(1, 10)]
+    cuts = exact_quantiles(e.where(~late), ["value"], deciles).select(F.array(*[f"q{i}" for i in range(9)])).scalar()
+    place = sum(((F.col("value") > cuts[i]).cast("int") for i in range(9)), F.lit(0))
+    exact = e.where(late).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    total = e.agg(F.count_if(late)).scalar()
+    return shift.join(exact, "bin", "left").select(
+        "bin", (F.abs(F.col("base_share") - 0.1) < 0.04).cast("int").alias("base_is_even"),
+        (F.abs(F.col("current_share") - F.coalesce("n", F.lit(0)) / total) < 0.06).cast("int").alias("current_in_bounds"),
+    )
+
+
 # -- streaming ----------------------------------------------------------------
 def _event_stream(spark, sf):
     """The events table as a stream of newly arriving files.

@@ -74,6 +74,28 @@ def src_csv_timestamped(spark, sf):
     return readers.read_observations(spark, path)
 
 
+@query(
+    "src_csv_rejects",
+    """SELECT CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0 THEN 'malformed' WHEN value > 400 THEN 'value' ELSE 'kept' END AS status,
+              count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1""",
+)
+def src_csv_rejects(spark, sf):
+    """Lines with a word for a number, a field too many or too few go to a quarantine table beside the kept rows."""
+    base = work_path(spark, "rejects")
+    e = v.table(spark, sf, "events")
+    number = F.when(F.col("event_id") % 7 == 0, F.lit("oops")).otherwise(F.col("value").cast("string"))
+    fields = F.concat_ws(",", F.col("event_id").cast("string"), number, F.when(F.col("event_id") % 13 != 0, F.col("event_type")))
+    line = F.when((F.col("event_id") % 11 == 0) & (F.col("event_id") % 13 != 0), F.concat(fields, F.lit(",more"))).otherwise(fields)
+    e.select(line.alias("value")).write.text(f"{base}/lines")
+    schema = T._parse_datatype_string("event_id bigint, value double, event_type string")
+    rules = [("value", F.col("value") <= 400)]
+    kept, rejected = readers.read_csv_checked(spark, f"{base}/lines", schema, rules=rules, header=False)
+    rejected.write.parquet(f"{base}/quarantine")
+    held = spark.read.parquet(f"{base}/quarantine").select(F.col("reason").alias("status"), F.split("line", ",")[0].cast("bigint").alias("event_id"))
+    both = kept.select(F.lit("kept").alias("status"), "event_id").unionByName(held)
+    return both.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
+
+
 def _metadata(spark, sf):
     """One model document per event type, with scores taken from the events."""
     measured = v.pickups(spark, sf).groupBy("vendor").agg(
