@@ -122,7 +122,7 @@ def test_language_edge_cases(make_docs):
     assert got[0][0] == "en" and got[20][0] == "de"
     none = {r.lang_pred for r in language.identify(make_docs([(1, "abc"), (2, None)])).collect()}
     assert none == {"und"}
-    assert language.recognised(make_docs(rows), 0.02).where("doc_id in (50, 51, 52)").count() == 0
+    assert language.recognised(make_docs(rows), [(0, 0.02)]).where("doc_id in (50, 51, 52)").count() == 0
 
 
 def test_predictions_ignore_the_label(make_docs):
@@ -131,3 +131,9 @@ def test_predictions_ignore_the_label(make_docs):
     changed = [(i, t, "xx" if (i, t, lang, s) in held else lang, s) for i, t, lang, s in rows]
     one = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(make_docs(rows)).collect()}
     assert held and one == {r.doc_id: (r.lang_pred, r.score) for r in language.identify(make_docs(changed)).collect()}
+
+
+def test_long_runs_of_zeros(make_docs):
+    texts = ["0" * 5000 + "1.2.3.4", "1." + "0" * 6000 + ".0.7", "1.2.3." + "9" * 5000, "0" * 9000]
+    rows = {r.doc_id: r for r in pii.personal_data(make_docs(list(enumerate(texts)))).collect()}
+    assert [rows[i].n_ip for i in range(4)] == [1, 1, 0, 0]
