@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import zlib
@@ -66,6 +67,41 @@ def test_local_search_empties_bins_and_keeps_pieces():
     assert len(packing.empty_bins([[0, 1], [2, 3], [4]], [50, 30, 50, 30, 40], 100)) == 2
 
 
+def triplets(n, seed, capacity):
+    """Lengths that fill n bins exactly, three pieces each."""
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        a = rng.randint(capacity // 4, capacity // 2 - 1)
+        b = rng.randint(capacity // 4, min(capacity // 2 - 1, capacity - a - capacity // 4))
+        out += [a, b, capacity - a - b]
+    rng.shuffle(out)
+    return out
+
+
+def test_local_search_runs_until_nothing_gains():
+    lengths = triplets(400, 1, 4096)
+    start = packing.best_fit(lengths, 4096)
+    found = packing.empty_bins(start, lengths, 4096)
+    assert len(start) >= 450 and len(found) <= 408
+    small = triplets(12, 3, 60)
+    end = packing.Bins(packing.best_fit(small, 60), small, 60)
+    bins = end.run()
+
+    def gains():
+        """Squared fills of every packing that one exchange of two bins leads to."""
+        for s in range(len(bins)):
+            for t in range(len(bins)):
+                outs = [x for r in (1, 2) for x in itertools.combinations(bins[s], r)]
+                backs = [x for r in (0, 1, 2) for x in itertools.combinations(bins[t], r)]
+                for out, back in itertools.product(outs, backs):
+                    d = sum(small[i] for i in out) - sum(small[i] for i in back)
+                    load_s, load_t = (sum(small[i] for i in bins[k]) for k in (s, t))
+                    if s != t and (len(out), len(back)) != (2, 2) and d > 0 and load_t + d <= 60:
+                        yield (load_s - d) ** 2 + (load_t + d) ** 2 - load_s**2 - load_t**2
+
+    assert len(bins) == 12 or max(gains(), default=0) <= 0
+
+
 SHARES = {"big": 4000, "mid": 800, "small": 300, None: 50}
 
 

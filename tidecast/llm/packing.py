@@ -25,13 +25,13 @@ from tidecast.sources.storage import materialise
 CAPACITY = 4096
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-#: Pieces of a group: bounds the memory and time of one packing task.
-GROUP_PIECES = 20_000
+#: Pieces of a group: bounds the memory of a packing task, and its time, which may grow with their square.
+GROUP_PIECES = 5_000
 #: A bin with more free tokens than this goes to the next round.
 SLACK = 16
 ROUNDS = 4
-#: Words whose ids a task remembers; bins, pieces of a bin and steps that the local search looks at.
-CACHE_WORDS, SEARCH_BINS, SEARCH_PIECES, SEARCH_STEPS = 500_000, 32, 12, 400
+#: Words whose ids a task remembers; exchanges that the local search weighs in one array.
+CACHE_WORDS, EXCHANGES_AT_ONCE = 500_000, 2_000_000
 TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -173,61 +173,108 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def combined(members: list[int], lengths: list[int]) -> tuple[list[tuple[int, ...]], np.ndarray]:
-    """The longest pieces of a bin, alone and in twos, with their lengths."""
-    longest = sorted(members, key=lambda i: (-lengths[i], i))[:SEARCH_PIECES]
-    sets = [(i,) for i in longest] + [(i, j) for a, i in enumerate(longest) for j in longest[a + 1 :]]
-    return sets, np.array([sum(lengths[i] for i in s) for s in sets], dtype=np.int64)
+def combined(members: list[int], lengths: list[int]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, ...]]]:
+    """Sizes, numbers of pieces and pieces of all choices of one or two from a bin, one for each pair of lengths.
 
-
-def best_exchange(source: list[int], load: int, targets: list[list[int]], loads: np.ndarray, lengths: list[int], capacity: int):
-    """The exchange with the largest gain, over all targets: (target, out of source, out of target), or None.
-
-    Kinds: a piece moves over, one goes for one, two for one, one for two. If d tokens move from the
+    Pieces of a length can stand for each other; a bin has few lengths, as k different ones take k (k + 1) / 2 tokens.
+    """
+    by_length: dict[int, list[int]] = {}
+    for i in members:
+        by_length.setdefault(lengths[i], []).append(i)
+    kinds = sorted(by_length)
+    sets: list[tuple[int, ...]] = [(by_length[n][0],) for n in kinds]
+    for k, n in enumerate(kinds):
+        if len(by_length[n]) > 1:
+            sets.append(tuple(by_length[n][:2]))
+        sets += [(by_length[n][0], by_length[m][0]) for m in kinds[k + 1 :]]
+    return np.array([sum(lengths[i] for i in s) for s in sets], dtype=np.int64), np.array([len(s) for s in sets]), sets
+
+
+class Bins:
+    """Local search over bins: a source gives tokens to another underfull bin if the squared fills rise.
+
+    Kinds of exchange: a piece moves over, one goes for one, two for one, one for two. If d tokens move from the
     source to a target, the sum of squared fills rises by 2 d (target - source) + 2 d^2.
     """
-    out_sets, out_sizes = combined(source, lengths)
-    ones = min(len(source), SEARCH_PIECES)
-    best, answer = 0, None
-    for t, target in enumerate(targets):
-        back_sets, back_sizes = combined(target, lengths)
-        back_sets, back_sizes = [(), *back_sets], np.concatenate(([0], back_sizes))
-        moved = out_sizes[:, None] - back_sizes[None, :]
-        gain = 2 * moved * (int(loads[t]) - load) + 2 * moved * moved
-        gain[(moved <= 0) | (moved > capacity - int(loads[t]))] = 0
-        gain[ones:, 1 + min(len(target), SEARCH_PIECES) :] = 0  # not two for two
-        at = int(gain.argmax())
-        if gain.flat[at] > best:
-            best = int(gain.flat[at])
-            answer = (t, out_sets[at // len(back_sets)], back_sets[at % len(back_sets)])
-    return answer
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int) -> None:
+        self.bins, self.lengths, self.capacity = [list(b) for b in bins], lengths, capacity
+        self.loads = np.array([sum(lengths[i] for i in b) for b in bins], dtype=np.int64)
+        #: step of a bin's last change, and of the last search with it as the source
+        self.changed, self.searched = np.zeros(len(bins), dtype=np.int64), np.full(len(bins), -1, dtype=np.int64)
+        self.choices: dict[int, tuple[np.ndarray, np.ndarray, list[tuple[int, ...]]]] = {}
+        self.step = 0
+
+    def choices_of(self, k: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, ...]]]:
+        if k not in self.choices:
+            self.choices[k] = combined(self.bins[k], self.lengths)
+        return self.choices[k]
+
+    def best_exchange(self, source: int, targets: list[int]) -> tuple[int, tuple[int, ...], tuple[int, ...]] | None:
+        """The exchange with the largest gain over all targets: (target, out of source, out of target)."""
+        out_sizes, out_numbers, out_sets = self.choices_of(source)
+        best, answer, at = 0, None, 0
+        while at < len(targets):
+            part, width = [], 0
+            while at < len(targets) and width * len(out_sizes) < EXCHANGES_AT_ONCE:
+                part.append(targets[at])
+                width += 1 + len(self.choices_of(targets[at])[0])
+                at += 1
+            spans = np.cumsum([0, *[1 + len(self.choices[t][0]) for t in part]])
+            back_sizes = np.concatenate([x for t in part for x in ((0,), self.choices[t][0])])
+            back_numbers = np.concatenate([x for t in part for x in ((0,), self.choices[t][1])])
+            loads = np.repeat(self.loads[part], np.diff(spans))
+            moved = out_sizes[:, None] - back_sizes[None, :]
+            gain = 2 * moved * (loads[None, :] - self.loads[source]) + 2 * moved * moved
+            barred = (moved <= 0) | (moved > (self.capacity - loads)[None, :])
+            barred |= (out_numbers[:, None] == 2) & (back_numbers[None, :] == 2)
+            gain[barred] = 0
+            place = int(gain.argmax())
+            if gain.flat[place] > best:
+                best = int(gain.flat[place])
+                row, column = divmod(place, len(back_sizes))
+                k = int(np.searchsorted(spans, column, side="right")) - 1
+                inside = column - spans[k] - 1
+                answer = part[k], out_sets[row], () if inside < 0 else self.choices[part[k]][2][inside]
+        return answer
+
+    def exchange(self, source: int, target: int, out: tuple[int, ...], back: tuple[int, ...]) -> None:
+        moved = sum(self.lengths[i] for i in out) - sum(self.lengths[i] for i in back)
+        self.bins[source] = [i for i in self.bins[source] if i not in out] + list(back)
+        self.bins[target] = [i for i in self.bins[target] if i not in back] + list(out)
+        self.loads[source] -= moved
+        self.loads[target] += moved
+        self.step += 1
+        for k in (source, target):
+            self.changed[k], self.searched[k] = self.step, -1
+            self.choices.pop(k, None)
+
+    def run(self) -> list[list[int]]:
+        """Exchange until no bins fewer are possible or no exchange of any two bins gains.
+
+        The emptiest bin that has something new to look at is the next source: itself if it has changed, else
+        the bins that have changed since it was searched.
+        """
+        least = -(-int(self.loads.sum()) // self.capacity)
+        while int((self.loads > 0).sum()) > least:
+            open_ = np.flatnonzero((self.loads > 0) & (self.loads < self.capacity))
+            newest = int(self.changed[open_].max()) if len(open_) else -1
+            waiting = open_[self.searched[open_] < newest]
+            if not len(waiting):
+                break
+            source = int(waiting[np.lexsort((waiting, self.loads[waiting]))[0]])
+            targets = open_[(open_ != source) & (self.changed[open_] > self.searched[source])].tolist()
+            found = self.best_exchange(source, targets)
+            if found is None:
+                self.searched[source] = self.step
+            else:
+                self.exchange(source, *found)
+        return [b for b in self.bins if b]
 
 
 def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Local search: the emptiest bin gives its pieces to other underfull bins until it is empty.
-
-    Stops when no bins fewer are possible, when no bin it looks at can gain, or after SEARCH_STEPS.
-    """
-    loads = [sum(lengths[i] for i in b) for b in bins]
-    least, stuck = -(-sum(loads) // capacity), set()
-    for _ in range(SEARCH_STEPS):
-        under = sorted((k for k, b in enumerate(bins) if b and loads[k] < capacity), key=lambda k: (loads[k], k))
-        source = next((k for k in under[:SEARCH_BINS] if k not in stuck), None)
-        if source is None or sum(1 for b in bins if b) <= least:
-            break
-        targets = [k for k in under if k != source][:SEARCH_BINS]
-        found = best_exchange(bins[source], loads[source], [bins[k] for k in targets], np.array([loads[k] for k in targets]), lengths, capacity)
-        if found is None:
-            stuck.add(source)
-            continue
-        t, out, back = targets[found[0]], found[1], found[2]
-        moved = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
-        bins[source] = [i for i in bins[source] if i not in out] + list(back)
-        bins[t] = [i for i in bins[t] if i not in back] + list(out)
-        loads[source] -= moved
-        loads[t] += moved
-        stuck.clear()
-    return [b for b in bins if b]
+    """Local search from a packing; see :class:`Bins`."""
+    return Bins(bins, lengths, capacity).run()
 
 
 def pack(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
