@@ -11,13 +11,15 @@ from tidecast.llm import exact_dedup, language, mixing, packing, simhash
 from tidecast.llm.common import documents
 from tidecast.sources.storage import materialise
 
-#: A document whose cosine with the best prototype is lower has no language of those learnt.
-LEAST_COSINE = 0.02
+#: (letters, cosine): a document of so many letters or more whose cosine with every prototype is lower has no
+#: language of those learnt. Cosines of unrelated vectors vary by 1/32 (1024 dimensions); texts of a learnt
+#: language reach 0.1 from about 20 letters on, and those of less than 10 letters say too little.
+BORDERS = ((10, 1.5 / 32), (20, 2.25 / 32))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; those without letters or likeness to any language go."""
-    return language.recognised(docs, LEAST_COSINE)
+    """Documents with a recognised language; those without letters, or without likeness to any language, go."""
+    return language.recognised(docs, BORDERS)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,8 +138,21 @@ def test_pipeline_stages_one_by_one(spark, table):
 
 
 def low_scores(spark, sf):
-    rows = language.identify(spark.read.parquet(f"{sf}/documents.parquet")).collect()
-    return [r.doc_id for r in rows if r.score < corpus_pipeline.LEAST_COSINE]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    letters = {r.doc_id: sum(c.isalpha() for c in r.text or "") for r in docs.collect()}
+    rows = language.identify(docs).collect()
+    return [r.doc_id for r in rows if r.lang_pred == "und" or any(letters[r.doc_id] >= n and r.score < c for n, c in corpus_pipeline.BORDERS)]
+
+
+def test_foreign_texts_go_and_clean_ones_stay(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    foreign = ["我们今天去公园散步然后回家吃饭", "zzxqj wvvkq qqxz jjvk", "Ελληνικά γράμματα είναι εδώ", "привет как дела сегодня", "日本語のテキストを書きます", "한국어 문장을 씁니다 오늘은", "12 34 ...", "", None]
+    extra = spark.createDataFrame([(10**6 + i, t, None, "new", 0) for i, t in enumerate(foreign)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.select(*extra.columns).unionByName(extra), sf).collect()}
+    assert not {i for i in kept if i >= 10**6}
+    lettered = {r.doc_id for r in docs.collect() if any(map(str.isalpha, r.text or ""))}
+    assert lettered <= kept
 
 
 def fingerprint(text):

@@ -8,7 +8,7 @@ bundle, the prototype, has the largest cosine with its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -154,18 +154,30 @@ def identify(docs: DataFrame, parts: int = HOLD_OUT_PARTS) -> DataFrame:
     return predictions(source.select("doc_id", "held_out", "text"), names, vectors)
 
 
-def recognised(docs: DataFrame, least_cosine: float, parts: int = HOLD_OUT_PARTS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that have a language: not ``und``, and a cosine of at least ``least_cosine``.
+def recognised(docs: DataFrame, borders: Sequence[tuple[int, float]], parts: int = HOLD_OUT_PARTS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that have a language.
 
-    Prototypes are learnt as in :func:`identify`; the text is read twice and never shuffled.
+    Rejected are texts without a letter trigram, and those whose cosine with every prototype is below that of
+    the last of ``borders`` (letters, cosine) whose number of letters they have; texts shorter than all borders say
+    too little to be rejected. Prototypes are learnt as in :func:`identify`; the text is read twice and never
+    shuffled.
     """
     remainder = F.crc32(F.col("doc_id").cast("long").cast("string")) % parts
     names, vectors = prototypes(docs.where(remainder != 1).select("text", "lang"))
 
-    @F.pandas_udf("double")
-    def cosine(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    highest = max((c for _, c in borders), default=-1.0)
+
+    def accepted(profiles: Profiles, text: str | None) -> bool:
+        name, cosine = best_language(profiles, names, vectors, text)
+        if name == UNDETERMINED or cosine >= highest:
+            return name != UNDETERMINED
+        letters = sum(map(str.isalpha, text))
+        return cosine >= max((c for n, c in borders if letters >= n), default=-1.0)
+
+    @F.pandas_udf("boolean")
+    def keeps(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         profiles = Profiles()
         for texts in batches:
-            yield pd.Series([best_language(profiles, names, vectors, text)[1] for text in texts], dtype="float64")
+            yield pd.Series([accepted(profiles, text) for text in texts], dtype=bool)
 
-    return docs.where(cosine(F.col("text").cast("string")) >= least_cosine)
+    return docs.where(keeps(F.col("text").cast("string")))
