@@ -17,7 +17,7 @@ def _summary(links: DataFrame) -> tuple:
 def _large_star(links: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("root"))
+    least = materialise(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")), "least")
     return (
         both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("root").alias("b")).distinct()
     )
@@ -26,7 +26,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Link every smaller neighbour of a node, and the node, to its smallest neighbour."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("root"))
+    least = materialise(down.groupBy("a").agg(F.min("b").alias("root")), "least")
     moved = down.join(least, "a").where("b <> root").select(F.col("b").alias("a"), F.col("root").alias("b"))
     return moved.unionByName(least.select("a", F.col("root").alias("b"))).distinct()
 
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates the large-star and small-star steps, which move links towards the smallest node and
     need a number of rounds that grows with the logarithm of the number of nodes. A hub is combined
-    in the tasks before the shuffle and joined by a splittable sort-merge join. Every round is
+    in the tasks before the shuffle; its smallest neighbour is written first, so that both sides of the
+    look-up are plain exchanges, whose hot partitions adaptive execution splits. Every step is
     written to the shared folder, which cuts the lineage. Null nodes and loops are dropped.
     """
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))

@@ -7,9 +7,11 @@ equal exactly if the blocks (pairs) are, so two documents of the same number of
 the same last name exactly if their texts are equal: no hash stands for a text.
 
 Cost: the text is shuffled twice (distinct blocks, and rows looking up their names), all later
-levels move integers and halve in length. Distinct values are combined before each shuffle, and
-the look-ups are plain sort-merge joins that adaptive execution splits, so a block that a third
-of all documents share is one row of the name table and never one task's load.
+levels move integers and halve in length. Distinct values are combined before each shuffle, so a block
+that a third of all documents share is one row of the name table. The names of pairs and the sizes of
+groups are written before rows look them up: both sides are then plain exchanges, whose hot partitions
+adaptive execution splits. The names of blocks are not, as that would store the text a third time:
+the rows of one hot block look up its name in one task, one block after the other.
 """
 
 from __future__ import annotations
@@ -65,7 +67,8 @@ def identities(docs: DataFrame, key: list[str], text: Column, block: int = BLOCK
             F.max(F.when(even, F.col("name"))).alias("first"),
             F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("second"),
         )
-        level = pairs.join(names_of(pairs, ["first", "second"]), ["first", "second"]).select(
+        names = materialise(names_of(pairs, ["first", "second"]), "names-of-pairs")
+        level = pairs.join(names, ["first", "second"]).select(
             *key, "blocks", F.shiftright(F.col("left") + 1, 1).alias("left"), "pos", "name"
         )
         level = materialise(level, "pair-names")
@@ -94,6 +97,7 @@ def exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     groups = rows.groupBy("blocks", "name").agg(
         F.max("_id").alias("_keep"), F.sum("_copies").alias("group_size")
     )
+    groups = materialise(groups, "text-groups")
     return (
         rows.join(groups, ["blocks", "name"])
         .select("*", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy"))

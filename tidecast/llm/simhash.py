@@ -243,7 +243,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int =
     table an empty result.
     """
     rows = rooted(docs, size, distance, group_limit)
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # written first: both sides of the look-up are then plain exchanges, and a hot component's partition is split
+    least = materialise(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "component-ids")
     return rows.join(least, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
