@@ -1,6 +1,7 @@
 import hashlib
 import html
 import re
+import time
 import zlib
 
 import pytest
@@ -137,3 +138,35 @@ def test_long_runs_of_zeros(make_docs):
     texts = ["0" * 5000 + "1.2.3.4", "1." + "0" * 6000 + ".0.7", "1.2.3." + "9" * 5000, "0" * 9000]
     rows = {r.doc_id: r for r in pii.personal_data(make_docs(list(enumerate(texts)))).collect()}
     assert [rows[i].n_ip for i in range(4)] == [1, 1, 0, 0]
+
+
+ARTICLE = "This is a long sentence of the article, which goes on for a while. " * 6
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout has-sidebar'>{}</div>", "<div id=page class='no-sidebar comments-open'><p>{}</p></div>",
+        "<article class='post-with-comments ad-free'><p>{}</p></article>", "<div class=sidebar-wrapper><div class=related><p>{}</p></div></div>",
+        "<div class=comments><p>{}</p></div><p>short</p>", "<div class='content'><p>{}</p><div class=ad>Buy!</div><div class='site-nav'><a>x</a></div></div>",
+        "<article><p>{}</p><div class=comments><p>I think so too, and more of it.</p></div></article>",
+    ],
+)
+def test_names_are_hints_only(page):
+    got = html_text.main_text(page.format(ARTICLE))
+    assert got.startswith(ARTICLE.strip()) and "Buy" not in got and "think" not in got
+
+
+def test_paragraphs_and_articles_side_by_side():
+    got = html_text.main_text(f"<article><p>{ARTICLE}</p><p class='related-work'>Related work is old.</p><p class=notice>No.</p></article>")
+    assert got == ARTICLE.strip() + " Related work is old."
+    two = f"<main><article><p>{ARTICLE}</p></article><article><p>{ARTICLE}The second.</p></article></main>"
+    assert html_text.main_text(two) == f"{ARTICLE.strip()} {ARTICLE}The second."
+
+
+@pytest.mark.parametrize("open_", ["<div>", "<div><b>", "<p><span>", "<ul><li>", "<table><tr><td>"])
+def test_time_grows_with_the_page_only(open_):
+    begin = time.process_time()
+    page = open_ * 40_000 + "inmost" + "</i></b></p></em>" * 20_000
+    assert html_text.main_text(page) == "inmost"
+    assert time.process_time() - begin < 20

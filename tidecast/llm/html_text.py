@@ -6,7 +6,10 @@ text-to-tag ratio of the lines is smoothed with a Gaussian kernel and split in t
 lines of the upper cluster are content. The region that holds most of their text (an article
 or main element where there is one) is the main text: every line in it counts, short ones
 too, except what stands in a menu, header, footer, sidebar, notice, advert, form, script,
-style or comment section.
+style or comment section. Elements and roles say so themselves; a class or an id is a hint only, which
+the text overrules: where no article has text beside it, a container that holds half of the page's text is
+never dropped for its name.
+All steps take time in proportion to the page, however deep its elements are nested.
 """
 
 from __future__ import annotations
@@ -45,7 +48,28 @@ CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section table ul".split()
 )
+#: Parts of a class name that say that the other parts are not about the element itself.
+MODIFIERS = frozenset("has no not with without free open closed enabled disabled layout page body wrapper".split())
 WORD = re.compile(r"[A-Za-z]+")
+#: Elements of running text: only a whole class name counts as a hint there, not a part of one.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figure figcaption article main".split()) | INLINE
+#: Share of a page's text that an element must hold for its name not to count; of the heaviest article for another one to stand beside it.
+OVERRULED, BESIDE = 0.5, 0.5
+#: More articles alike than this are a list of teasers.
+MOST_ARTICLES = 3
+
+
+def hinted(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether a class or an id hints that an element is no content."""
+    for name, value in attrs:
+        if name in ("class", "id") and value:
+            for token in value.split():
+                parts = [w.lower() for w in WORD.findall(token)]
+                if token.lower() in SKIPPED_WORDS:
+                    return True
+                if tag not in TEXTUAL and not MODIFIERS.intersection(parts) and SKIPPED_WORDS.intersection(parts):
+                    return True
+    return False
 
 
 def marked(attrs: list[tuple[str, str | None]]) -> bool:
@@ -59,8 +83,6 @@ def marked(attrs: list[tuple[str, str | None]]) -> bool:
             return True
         if name == "style" and "display:none" in value.replace(" ", "").lower():
             return True
-        if name in ("class", "id") and any(w.lower() in SKIPPED_WORDS for w in WORD.findall(value)):
-            return True
     return False
 
 
@@ -70,8 +92,10 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []  # element, skipped, region number
+        self.places: dict[str, list[int]] = {}  # places of the open elements of a name in the stack
+        self.blocks: list[int] = []  # places of the open elements that are not inline
         self.lines: list[tuple[str, int, int]] = []  # text, tags, region
-        self.regions: list[tuple[int, str]] = [(-1, "")]  # parent, kind of section
+        self.regions: list[tuple[int, str, bool]] = [(-1, "", False)]  # parent, kind of section, hinted to be no content
         self.parts: list[str] = []
         self.tags = 0
 
@@ -88,10 +112,21 @@ class Lines(HTMLParser):
     def skipping(self) -> bool:
         return bool(self.stack) and self.stack[-1][1]
 
+    def last(self, names) -> int:
+        """Place of the innermost open element of one of the names, or -1."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            tag = self.stack.pop()[0]
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+
     def close_to(self, depth: int) -> None:
         if depth < len(self.stack):
             self.flush()
-            del self.stack[depth:]
+            self.cut(depth)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -103,24 +138,33 @@ class Lines(HTMLParser):
             self.close_open({"p"}, CLOSES_P - {"p"})
         elif tag in ITEMS:
             self.close_open({"td", "th"} if tag in ("td", "th") else {"dt", "dd"} if tag in ("dt", "dd") else {tag}, set(ITEMS[tag]))
-        skipped = self.skipping() or tag in SKIPPED or tag not in ("html", "body") and marked(attrs)
+        own = tag not in ("html", "body")
+        skipped = self.skipping() or tag in SKIPPED or own and marked(attrs)
         if tag == "article":  # an article inside an article is a reader's comment on it
-            skipped = skipped or any(x[0] == "article" for x in self.stack)
-        region = self.region()
-        if tag not in INLINE and tag != "p":
+            skipped = skipped or bool(self.places.get("article"))
+        region, hint = self.region(), own and not skipped and hinted(tag, attrs)
+        if hint or tag not in INLINE and tag != "p":
             kind = tag if tag in SECTIONING else "main" if ("role", "main") in attrs else ""
-            self.regions.append((region, kind))
+            self.regions.append((region, kind, hint))
             region = len(self.regions) - 1
+        if hint and tag in INLINE:
+            self.flush_inline()
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
         self.stack.append((tag, skipped, region))
 
+    def flush_inline(self) -> None:
+        """A hinted inline element is a line of its own."""
+        tags, self.tags = self.tags, max(1, self.tags - 1)
+        self.flush()
+        self.tags = self.tags or tags
+
     def close_open(self, names: set[str], stops: frozenset | set) -> None:
         """End an element of ``names`` whose end tag was left out, unless a container stands between."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] in names:
-                self.close_to(i)
-                return
-            if self.stack[i][0] in stops:
-                return
+        at = self.last(names)
+        if at >= 0 and at > self.last(stops):
+            self.close_to(at)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -131,14 +175,15 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag not in INLINE:
             self.flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                if tag in INLINE:
-                    if all(x[0] in INLINE for x in self.stack[i:]):
-                        del self.stack[i:]
-                else:
-                    self.close_to(i)
-                return
+        at = self.last((tag,))
+        if at < 0:
+            return
+        if tag not in INLINE:
+            self.close_to(at)
+        elif not self.blocks or self.blocks[-1] < at:
+            if self.stack[at][2] != (self.stack[at - 1][2] if at else 0):
+                self.flush()
+            self.cut(at)
 
     def handle_data(self, data: str) -> None:
         if not self.skipping():
@@ -167,12 +212,23 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def inside(regions: list[tuple[int, str]], region: int, of: int) -> bool:
-    while region >= 0:
-        if region == of:
-            return True
-        region = regions[region][0]
-    return False
+def weights(regions: list[tuple[int, str, bool]], lines: list[tuple[str, int, int]], counts: np.ndarray) -> np.ndarray:
+    """Text of the counted lines in each region and all regions inside it; a region comes after its parent."""
+    total = np.zeros(len(regions), dtype=np.int64)
+    for (text, _, region), counted in zip(lines, counts.tolist(), strict=True):
+        if counted:
+            total[region] += len(text)
+    for region in range(len(regions) - 1, 0, -1):
+        total[regions[region][0]] += total[region]
+    return total
+
+
+def within(regions: list[tuple[int, str, bool]], chosen: set[int]) -> list[bool]:
+    """Of each region, whether it is one of the chosen or inside one."""
+    out: list[bool] = []
+    for region, (parent, _, _) in enumerate(regions):
+        out.append(region in chosen or parent >= 0 and out[parent])
+    return out
 
 
 def main_text(html: str | None) -> str:
@@ -184,28 +240,33 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.flush()
     lines, regions = parser.lines, parser.regions
+    if any(hint for _, _, hint in regions):
+        dropped = within(regions, {r for r, (_, _, hint) in enumerate(regions) if hint})
+        sections = within(regions, {r for r, (_, kind, _) in enumerate(regions) if kind})
+        if not any(sections[region] and not dropped[region] for _, _, region in lines):
+            # no article or main element has text without the hinted ones: the text overrules a hint on what holds most of it
+            size = weights(regions, lines, np.ones(len(lines), dtype=bool))
+            dropped = within(regions, {r for r, (_, _, hint) in enumerate(regions) if hint and size[r] < OVERRULED * size[0]})
+        lines = [line for line in lines if not dropped[line[2]]]
     if not lines:
         return ""
     ratios = np.array([len(text) / tags for text, tags, _ in lines], dtype=float)
     smooth = smoothed(ratios)
-    content = smooth >= threshold(smooth)
-    weight: dict[int, int] = {}
-    for (text, _, region), is_content in zip(lines, content, strict=True):
-        if is_content:
-            at = region
-            while at >= 0:
-                weight[at] = weight.get(at, 0) + len(text)
-                at = regions[at][0]
-    total = weight.get(0, 0)
+    weight, size = weights(regions, lines, smooth >= threshold(smooth)), weights(regions, lines, np.ones(len(lines), dtype=bool))
+    total = int(weight[0])
     for kind in SECTIONING:
-        found = [r for r in weight if regions[r][1] == kind]
+        found = [r for r in range(len(regions)) if regions[r][1] == kind]
         heaviest = max(found, key=lambda r: (weight[r], -r), default=0)
-        # an article counts if it holds most of the content; a list of teasers does not
-        if heaviest and 2 * weight[heaviest] >= total:
-            return " ".join(text for text, _, region in lines if inside(regions, region, heaviest))
+        # articles count if they hold most of the content; a list of teasers does not
+        alike = {r for r in found if size[r] >= BESIDE * size[heaviest]}
+        alike = alike if len(alike) <= MOST_ARTICLES else {heaviest}
+        if heaviest and 2 * sum(int(weight[r]) for r in alike) >= total > 0:
+            inside = within(regions, alike)
+            return " ".join(text for text, _, region in lines if inside[region])
     # no such element: the smallest container with nearly all of the content
-    best = min((r for r in weight if weight[r] >= 0.9 * total), key=lambda r: (weight[r], -r), default=0)
-    return " ".join(text for text, _, region in lines if inside(regions, region, best))
+    best = min((r for r in range(len(regions)) if weight[r] and weight[r] >= 0.9 * total), key=lambda r: (weight[r], -r), default=0)
+    inside = within(regions, {best})
+    return " ".join(text for text, _, region in lines if inside[region])
 
 
 def page_text(pages: DataFrame) -> DataFrame:
