@@ -64,6 +64,8 @@ def test_impute_median_uses_the_basis(spark):
 def test_drop_all_null(spark):
     df = spark.createDataFrame([(1, None, None), (2, None, 3)], "a int, b int, c int")
     assert q.drop_all_null(df).columns == ["a", "c"]
+    assert q.drop_all_null(df, probe_rows=1).columns == ["a", "c"]
+    assert q.drop_all_null(df.where("a > 5")).columns == []
 
 
 @pytest.mark.parametrize("kind", ["normal", "few_values", "one_value", "heavy_tail", "tiny", "hot_value"])

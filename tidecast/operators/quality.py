@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,16 +132,19 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
-def value_counts_of(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df`` and an observation of how many values each column has, filled by the first job over the result."""
-    seen = Observation()
-    return df.observe(seen, *[F.count(F.col(c)).alias(c) for c in df.columns]), seen
+def drop_all_null(df: DataFrame, probe_rows: int = 1000) -> DataFrame:
+    """Drop columns without a single value.
 
+    The schema depends on the data, so this runs here: most columns show a value in a few rows, and only
+    the others are counted in the whole table, in a scan of these columns alone.
+    """
+
+    def without_value(frame: DataFrame, columns: list[str]) -> list[str]:
+        counts = frame.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first()
+        return [c for c in columns if counts[c] == 0]
 
-def drop_all_null(df: DataFrame) -> DataFrame:
-    """Drop columns without a single value. Runs one aggregate: the schema depends on the data."""
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).first()
-    return df.drop(*[c for c in df.columns if counts[c] == 0])
+    unseen = without_value(df.limit(probe_rows), df.columns)
+    return df.drop(*without_value(df, unseen)) if unseen else df
 
 
 # -- imputation ---------------------------------------------------------------

@@ -18,12 +18,11 @@ from tidecast.functions.fixed_values import (
 from tidecast.operators.quality import (
     apply_rules,
     between_ts,
+    drop_all_null,
     impute_median,
     mark_either_in,
-    medians,
     normalise_nan,
     quality_funnel,
-    value_counts_of,
 )
 from tidecast.sources.contracts import downcast
 
@@ -89,15 +88,6 @@ def _prepare(trips, zones, zone_key, c, start, end, closed, exact):
     return marked, basis, fill
 
 
-def _measured(trips, zones, zone_key, c, start, end, closed, exact):
-    """Columns without a value, and the medians, from one job over the trips."""
-    observed, seen = value_counts_of(trips)
-    _, basis, _ = _prepare(observed, zones, zone_key, c, start, end, closed, exact)
-    found = medians(basis, [c[role] for role in IMPUTED], exact).first()
-    counts = seen.get
-    return [name for name in trips.columns if not counts[name]], found
-
-
 def clean_trips(
     trips: DataFrame,
     zones: DataFrame,
@@ -113,20 +103,16 @@ def clean_trips(
     """Rows that satisfy every rule, with NULLs imputed by medians of the rows that
     satisfy the rules before imputation.
 
-    Trips are read twice, for the medians and for the result. ``drop_empty`` drops columns without a single
-    value: as the schema then depends on the data, the first reading is a job of its own that finds
-    medians and value counts together; else nothing runs before the query does. ``narrow`` casts columns to smaller types, after imputation and before the
+    Trips are read twice, for the medians and for the result, and nothing runs before the query does.
+    ``drop_empty`` drops columns without a single value, for which it looks at the data (see
+    :func:`drop_all_null`); ``narrow`` casts columns to smaller types, after imputation and before the
     range rules.
     """
     c = columns
     if drop_empty:
-        empty, found = _measured(trips, zones, zone_key, c, start, end, closed, exact_medians)
-        _, basis, _ = _prepare(trips.drop(*empty), zones, zone_key, c, start, end, closed, exact_medians)
-        known = {name: x for name, x in found.asDict().items() if x is not None}
-        filled = basis.na.fill(known | {c["surcharge"]: 0.0})
-    else:
-        _, basis, fill = _prepare(trips, zones, zone_key, c, start, end, closed, exact_medians)
-        filled = fill(basis)
+        trips = drop_all_null(trips)
+    _, basis, fill = _prepare(trips, zones, zone_key, c, start, end, closed, exact_medians)
+    filled = fill(basis)
     filled = downcast(filled, narrow) if narrow else filled
     return apply_rules(filled, value_rules(c)).drop("__zone_ok")
 
