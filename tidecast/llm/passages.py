@@ -34,11 +34,11 @@ STEP_WORDS = 1 << 20
 #: Occurrences of a shingle compared with each other in one task; of more, those of equal kind are found
 #: by shuffles first, and what is left is dealt to blocks of which every two meet in a task.
 GROUP_LIMIT = 20_000
-#: Kinds of surroundings of a shingle whose pairs are compared together with those of other shingles.
-PAIRS_LIMIT = 4
-#: Pairs whose shingles are all laid against each other at once; what stands for no shingle of a text,
-#: and for one that no other document has.
-STEP_MATRICES, STEP_LINKED, OUTSIDE, ALONE = 500, 50, 0, 2
+#: Occurrences compared at once in a task, of whole groups.
+TASK_ROWS = 20_000
+#: Pairs compared at once, of them those of a kind at first; what stands for no shingle of a text, and for one that
+#: no other document has.
+STEP_PAIRS, STEP_LINKED, OUTSIDE, ALONE = 1_000, 30, 0, 2
 NO_ID = -(2**63)
 IN_PARAGRAPH = WORDS - SHINGLE + 1
 #: Words kept before and after the first word of a shared shingle.
@@ -169,56 +169,148 @@ def ends_of(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places.argmax(axis=1), places.shape[1] - 1 - places[:, ::-1].argmax(axis=1) + SHINGLE
 
 
-def pairs_alike(one: np.ndarray, other: np.ndarray, similarity: float, held: tuple[np.ndarray, ...] | None = None) -> tuple[np.ndarray, ...]:
+def shared_places(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in its ``one`` each shingle of ``other`` first stands (-1: nowhere), and where each of ``one`` first does."""
+    spots, firsts = np.empty(other.shape, dtype=np.int16), np.empty(one.shape, dtype=np.int16)
+    for at in range(0, len(one), STEP_PAIRS):
+        a, b = one[at : at + STEP_PAIRS], other[at : at + STEP_PAIRS]
+        equal = (a[:, :, None] == b[:, None, :]) & (a > ALONE)[:, :, None]
+        spots[at : at + len(a)] = np.where(equal.any(axis=1), equal.argmax(axis=1), -1)
+        firsts[at : at + len(a)] = np.where(a > ALONE, (a[:, :, None] == a[:, None, :]).argmax(axis=2), -1)
+    return spots, firsts
+
+
+def repeated_shingles(found: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shared shingles of pairs as (pair, first place in the one), those that repeat on a side, and the others' places.
+
+    Returns the owners and first places of the repeating ones, then a mask of the places in ``found`` of the others,
+    and these pairs' numbers.
+    """
+    n, width = found.shape
+    pair, y = np.nonzero(found >= 0)
+    in_other = np.bincount(pair * width + found[pair, y], minlength=n * width)
+    own, x = np.nonzero(firsts >= 0)
+    in_one = np.bincount(own * width + firsts[own, x], minlength=n * width)
+    (keys,) = np.nonzero((in_other > 0) & ((in_other > 1) | (in_one > 1)))
+    once = (in_other[pair * width + found[pair, y]] == 1) & (in_one[pair * width + found[pair, y]] == 1)
+    return keys // width, keys % width, y[once], pair[once]
+
+
+def spans_on_grid(found: np.ndarray, firsts: np.ndarray, ok_one: np.ndarray, ok_other: np.ndarray, need: int) -> tuple[np.ndarray, ...]:
+    """Start and end of what paragraphs marked ok share where they are alike, on either side; 10**6 and -1 if none are.
+
+    Every two paragraphs are a point of a grid. A shingle that stands once on either side counts in a rectangle
+    of it; of one that repeats, the smaller of its two numbers counts. ``found`` and ``firsts`` are as in
+    :func:`shared_places`.
+    """
+    n, windows = ok_one.shape
+    owner, value, y, pair = repeated_shingles(found, firsts)
+    x = found[pair, y].astype(np.int64)
+    low_x, high_x = np.maximum(x - IN_PARAGRAPH + 1, 0), np.minimum(x + 1, windows)
+    low_y, high_y = np.maximum(y - IN_PARAGRAPH + 1, 0), np.minimum(y + 1, windows)
+    side = windows + 1
+    corners = [(pair * side + p) * side + q for p in (low_x, high_x) for q in (low_y, high_y)]
+    common = np.zeros(n * side * side, dtype=np.int16)
+    for corner, sign in zip(corners, (1, -1, -1, 1), strict=True):
+        np.add.at(common, corner, np.int16(sign))
+    common = common.reshape(n, side, side)
+    np.cumsum(common, axis=1, out=common)
+    np.cumsum(common, axis=2, out=common)
+    common = common[:, :windows, :windows]
+    # a bounded number of repeating shingles at once, with their places and numbers in every paragraph
+    parts = [slice(at, at + STEP_PAIRS) for at in range(0, len(owner), STEP_PAIRS)]
+
+    def places(part: slice) -> list[np.ndarray]:
+        return [side[owner[part]] == value[part, None] for side in (firsts, found)]
+
+    for part in parts:
+        one, other = (moving_sum(marks, IN_PARAGRAPH).astype(np.int8) for marks in places(part))
+        owners, starts = np.unique(owner[part], return_index=True)
+        common[owners] += np.add.reduceat(np.minimum(one[:, :, None], other[:, None, :]), starts, axis=0, dtype=np.int16)
+    equal = (common >= need) & ok_one[:, :, None] & ok_other[:, None, :]
+    alike = np.zeros((n, side, side), dtype=np.int16)
+    alike[:, 1:, 1:] = equal
+    np.cumsum(alike, axis=1, out=alike)
+    np.cumsum(alike, axis=2, out=alike)
+    alike = alike.ravel()
+    inside = alike[corners[0]] - alike[corners[1]] - alike[corners[2]] + alike[corners[3]] > 0
+    shared = [np.zeros(found.shape, dtype=bool) for _ in range(2)]
+    shared[0][pair[inside], x[inside]] = shared[1][pair[inside], y[inside]] = True
+    for part in parts:
+        marks = places(part)
+        for k, axis in ((0, 2), (1, 1)):
+            across = moving_sum(marks[1 - k], IN_PARAGRAPH) > 0
+            met = (equal[owner[part]] & (across[:, None, :] if axis == 2 else across[:, :, None])).any(axis=axis)
+            at, place = np.nonzero(marks[k] & (inside_some(met, 1) > 0))
+            shared[k][owner[part][at], place] = True
+    out = []
+    for places_shared in shared:
+        some = places_shared.any(axis=1)
+        out += [np.where(some, end, none) for end, none in zip(ends_of(places_shared), (10**6, -1), strict=True)]
+    return tuple(out)
+
+
+def pairs_alike(
+    one: np.ndarray,
+    other: np.ndarray,
+    similarity: float,
+    held: tuple[np.ndarray, ...] | None = None,
+    places: tuple[np.ndarray, np.ndarray] | None = None,
+) -> tuple[np.ndarray, ...]:
     """Start and end (exclusive) in words of what each row of shingles shares with its pair in alike paragraphs.
 
     For ``one``, then for ``other``; end -1 if none. Every paragraph of the one is compared with every one of the
     other, by the Jaccard similarity of their shingles, repeats included, wherever in the paragraph they stand.
     ``held`` are starts and ends known of the rows, where the pair is linked already: pairs that cannot widen
-    these are left out (end -1).
+    these are left out (end -1). ``places`` is :func:`shared_places` of the rows, if the caller has it.
     """
     n, need = len(one), least_common(similarity)
     out = [np.full(n, 10**6), np.full(n, -1), np.full(n, 10**6), np.full(n, -1)]
-    for at in range(0, n, STEP_MATRICES):
-        a, b = one[at : at + STEP_MATRICES], other[at : at + STEP_MATRICES]
-        equal = (a[:, :, None] == b[:, None, :]) & (a > ALONE)[:, :, None]
-        ok_a = whole(a) & (moving_sum(equal.any(axis=2), IN_PARAGRAPH) >= need)
-        ok_b = whole(b) & (moving_sum(equal.any(axis=1), IN_PARAGRAPH) >= need)
-        some = ok_a.any(axis=1) & ok_b.any(axis=1)
+    spots, firsts = shared_places(one, other) if places is None else places
+    (some,) = np.nonzero((spots >= 0).sum(axis=1) >= need)
+    for at in range(0, len(some), STEP_PAIRS):
+        left = some[at : at + STEP_PAIRS]
+        found, first = spots[left], np.broadcast_to(firsts, one.shape)[left]
+        in_a, in_b = np.zeros(found.shape, dtype=bool), found >= 0
+        pair, y = np.nonzero(in_b)
+        in_a[pair, found[pair, y]] = True
+        in_a = np.take_along_axis(in_a, np.maximum(first, 0).astype(np.int64), axis=1) & (first >= 0)
+
+        def inside_held(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Pairs that share nothing outside of what is known."""
+            if held is None:
+                return np.zeros(len(left), dtype=bool)
+            ends = (*ends_of(a), *ends_of(b))
+            known = [h[left] for h in held]  # noqa: B023
+            return (ends[0] >= known[0]) & (ends[1] <= known[1]) & (ends[2] >= known[2]) & (ends[3] <= known[3])
+
+        out_of = ~inside_held(in_a, in_b)
+        left, found, first, in_a, in_b = (v[out_of] for v in (left, found, first, in_a, in_b))
+        ok_a, ok_b = (moving_sum(shared, IN_PARAGRAPH) >= need for shared in (in_a, in_b))
+        good = ok_a.any(axis=1) & ok_b.any(axis=1)
+        left, found, first, in_a, in_b, ok_a, ok_b = (v[good] for v in (left, found, first, in_a, in_b, ok_a, ok_b))
+        ok_a &= whole(one[left])
+        ok_b &= whole(other[left])
+        in_a &= inside_some(ok_a, 1) > 0
+        in_b &= inside_some(ok_b, 1) > 0
+        good = ok_a.any(axis=1) & ok_b.any(axis=1) & ~inside_held(in_a, in_b)
+        left, found, first, in_a, in_b, ok_a, ok_b = (v[good] for v in (left, found, first, in_a, in_b, ok_a, ok_b))
         # nothing outside these bounds can be shared; where texts laid over each other reach them, that is all
+        a, b = one[left], other[left]
         same = (a == b) & (a > ALONE)
         straight = ok_a & ok_b & (moving_sum(same, IN_PARAGRAPH) >= need)
         same &= inside_some(straight, 1) > 0
-        settled, within = straight.any(axis=1), np.full(len(a), held is not None)
-        for k, (places, ok) in enumerate(((equal.any(axis=2), ok_a), (equal.any(axis=1), ok_b))):
-            bounds = ends_of(places & (inside_some(ok, 1) > 0))
-            reached = ends_of(same)
+        reached, settled = ends_of(same), straight.any(axis=1)
+        for shared in (in_a, in_b):
+            bounds = ends_of(shared)
             settled &= (bounds[0] == reached[0]) & (bounds[1] == reached[1])
-            if held is not None:
-                first, last = (h[at : at + len(a)] for h in held[2 * k : 2 * k + 2])
-                within &= (bounds[0] >= first) & (bounds[1] <= last)
-            for o, value in zip(out[2 * k : 2 * k + 2], reached, strict=True):
-                o[at : at + len(a)] = value
-        for o, value in zip(out, (10**6, -1) * 2, strict=True):
-            o[at : at + len(a)][~settled] = value
-        (kept,) = np.nonzero(some & ~settled & ~within)
-        if not len(kept):
-            continue
-        equal, a, b = equal[kept], a[kept], b[kept]
-        width, windows = equal.shape[1], equal.shape[1] - IN_PARAGRAPH + 1
-        common = moving_sum(equal.reshape(-1, width), IN_PARAGRAPH).reshape(len(kept), width, windows)
-        common = moving_sum(common.transpose(0, 2, 1).reshape(-1, width), IN_PARAGRAPH).reshape(len(kept), windows, windows).transpose(0, 2, 1)
-        # of a shingle that repeats, the smaller of the two numbers counts
-        for k in np.flatnonzero((equal.sum(axis=2) > 1).any(axis=1) | (equal.sum(axis=1) > 1).any(axis=1)).tolist():
-            values, times = np.unique(np.concatenate((a[k][equal[k].any(axis=1)], b[k][equal[k].any(axis=0)])), return_counts=True)
-            for x in values[times > 2]:
-                x, y = moving_sum((a[k] == x)[None], IN_PARAGRAPH)[0], moving_sum((b[k] == x)[None], IN_PARAGRAPH)[0]
-                common[k] -= np.multiply.outer(x, y) - np.minimum.outer(x, y)
-        alike = (common >= need) & ok_a[kept][:, :, None] & ok_b[kept][:, None, :]
-        some = alike.any(axis=(1, 2))
-        shared = equal[some] & (inside_some(inside_some(alike[some], 1) > 0, 2) > 0)
-        for k, places in enumerate((shared.any(axis=2), shared.any(axis=1))):
-            out[2 * k][at + kept[some]], out[2 * k + 1][at + kept[some]] = ends_of(places)
+        for k, value in enumerate(reached * 2):
+            out[k][left[settled]] = value[settled]
+        (kept,) = np.nonzero(~settled)
+        if len(kept):
+            spans = spans_on_grid(found[kept], first[kept], ok_a[kept], ok_b[kept], need)
+            for o, value in zip(out, spans, strict=True):
+                o[left[kept]] = value
     return tuple(out)
 
 
@@ -237,7 +329,7 @@ def reduced(groups: np.ndarray, docs: np.ndarray, shingles: np.ndarray, similari
     """
     need, left = least_common(similarity), np.arange(len(groups))
     values, seed = shingles.copy(), groups.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    inside = whole(values)
+    inside, done = whole(values), []
     while len(left):
         counts = values > ALONE
         with np.errstate(over="ignore"):
@@ -256,10 +348,18 @@ def reduced(groups: np.ndarray, docs: np.ndarray, shingles: np.ndarray, similari
         good &= inside_some(paragraphs, 1) > 0
         values[counts & ~good] = ALONE
         some = paragraphs.any(axis=1)
-        if some.all() and (good == counts).all():
-            break
+        # groups in which nothing has changed stay as they are
+        changed = np.zeros(int(groups.max()) + 1, dtype=bool)
+        changed[groups[left[(good != counts).any(axis=1) | ~some]]] = True
+        settled = ~changed[groups[left]]
+        done.append((left[settled], values[settled]))
+        some &= ~settled
         left, values, inside = left[some], values[some], inside[some]
-    return left, values
+    if not done:
+        return left, values
+    left, values = (np.concatenate(parts) for parts in zip(*done, strict=True))
+    order = np.argsort(left)
+    return left[order], values[order]
 
 
 class Clusters:
@@ -307,76 +407,100 @@ class Kinds:
         self.last = np.where(self.many, self.high_end, -1)
         self.label = np.arange(len(rank))
 
-    def join(self, one: np.ndarray, other: np.ndarray) -> None:
-        """Compare pairs of kinds and join the alike ones; two kinds of the same only document are not compared."""
-        foreign = self.many[one] | self.many[other] | (self.low[one] != self.low[other])
-        one, other = one[foreign], other[foreign]
+    def join(self, one: np.ndarray, other: np.ndarray, spots: np.ndarray, firsts: np.ndarray) -> None:
+        """Compare pairs of kinds and join the alike ones; the last two are their :func:`shared_places`."""
         linked = self.label[one] == self.label[other]
         held = []
         for k in (one, other):  # unlinked pairs hold nothing
             held += [np.where(linked, self.first[k], 10**6), np.where(linked, self.last[k], -1)]
-        spans = pairs_alike(self.rows[one], self.rows[other], self.clusters.similarity, tuple(held))
+        spans = pairs_alike(self.rows[one], self.rows[other], self.clusters.similarity, tuple(held), (spots, firsts))
         hit = spans[1] >= 0
-        one, other = one[hit], other[hit]
         for k, start, end in ((one, *spans[:2]), (other, *spans[2:])):
-            np.minimum.at(self.first, k, start[hit])
-            np.maximum.at(self.last, k, end[hit])
-        for a, b in zip(one.tolist(), other.tolist(), strict=True):
+            np.minimum.at(self.first, k[hit], start[hit])
+            np.maximum.at(self.last, k[hit], end[hit])
+        new = hit & ~linked
+        for a, b in zip(one[new].tolist(), other[new].tolist(), strict=True):
             p, q = sorted((int(self.label[a]), int(self.label[b])))
             if p != q:
-                low, high = np.searchsorted(self.group, [self.group[a], self.group[a] + 1])
+                low, high = self.edges[self.number[a]], self.edges[self.number[a] + 1]
                 part = self.label[low:high]
                 part[part == q] = p
 
     def wide(self, some) -> np.ndarray:
         return (self.first[some] <= self.low_end[some]) & (self.last[some] >= self.high_end[some])
 
-    def compare_group(self, low: int, high: int) -> None:
-        """All pairs of the kinds ``low`` to ``high`` but those that share too little or can change nothing.
-
-        First all with the kind of most occurrences. A partner has enough of a paragraph's shingles that it lacks
-        fewer than ``spare`` of them, so it has one of any ``spare``, also of the rarest: only kinds with one of
-        these are looked at.
-        """
-        everyone = np.arange(low, high)
-        leader = low + int(self.sizes[low:high].argmax())
-        others = everyone[everyone != leader]
-        self.join(np.full(len(others), leader), others)
-        _, numbers, times = np.unique(self.rows[low:high], return_inverse=True, return_counts=True)
-        numbers = numbers.reshape(high - low, -1)
-        counts, spare = self.rows[low:high] > ALONE, IN_PARAGRAPH - least_common(self.clusters.similarity) + 1
-        rarity = np.where(counts, times[numbers], 0)
-        order = np.argsort(numbers.ravel(), kind="stable")
-        edges = np.concatenate(([0], np.cumsum(times)))
-        owners = order // numbers.shape[1]
-        windows = np.lib.stride_tricks.sliding_window_view
-        for i in range(high - low):
-            if low + i == leader:
-                continue
-            rarest = np.argpartition(windows(rarity[i], IN_PARAGRAPH), spare - 1, axis=1)[:, :spare]
-            usable = moving_sum(counts[i : i + 1], IN_PARAGRAPH)[0] >= IN_PARAGRAPH - spare + 1
-            places = np.unique((rarest + np.arange(len(rarest))[:, None])[usable])
-            keys = np.unique(numbers[i][places[counts[i][places]]])
-            near = np.unique(np.concatenate([owners[edges[x] : edges[x + 1]] for x in keys.tolist()] or [np.zeros(0, dtype=np.int64)])) + low
-            near = near[(near != low + i) & (near != leader)]
-            # a pair is looked at from the first of the two
-            near = near[near > low + i]
-            open_ = (self.label[near] != self.label[low + i]) | ~self.wide(near) | ~self.wide(low + i)
-            near = near[open_]
-            for at in range(0, len(near), STEP_LINKED):
-                part = near[at : at + STEP_LINKED]
-                part = part[(self.label[part] != self.label[low + i]) | ~self.wide(part) | ~self.wide(low + i)]
-                self.join(np.full(len(part), low + i), part)
+    def open(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Which pairs can still change a result; two kinds of the same only document are no pair."""
+        foreign = self.many[one] | self.many[other] | (self.low[one] != self.low[other])
+        return foreign & ((self.label[one] != self.label[other]) | ~self.wide(one) | ~self.wide(other))
 
     def compare(self) -> None:
-        edges = np.flatnonzero(np.concatenate(([True], self.group[1:] != self.group[:-1], [True]))) if len(self.group) else np.zeros(1, dtype=int)
-        sizes = edges[1:] - edges[:-1]
-        few = np.repeat(sizes <= PAIRS_LIMIT, sizes)
-        for apart in range(1, min(PAIRS_LIMIT, len(self.group))):
-            (at,) = np.nonzero((self.group[:-apart] == self.group[apart:]) & few[:-apart])
-            self.join(at, at + apart)
-        for k in np.flatnonzero(sizes > PAIRS_LIMIT).tolist():
-            self.compare_group(int(edges[k]), int(edges[k + 1]))
+        """All pairs of the kinds of each group but those that share too little or can change nothing.
+
+        First all with the kind of most occurrences, then round by round those of one more kind of each group. A
+        partner has enough of a paragraph's shingles that it lacks fewer than ``spare`` of them, so it has one of any
+        ``spare``, also of the rarest: only kinds with one of these are looked at.
+        """
+        if not len(self.group):
+            return
+        self.edges = np.flatnonzero(np.concatenate(([True], self.group[1:] != self.group[:-1], [True])))
+        sizes = np.diff(self.edges)
+        self.number = np.repeat(np.arange(len(sizes)), sizes)
+        # numbers of shingles, different ones in every group
+        counts = self.rows > ALONE
+        numbers = np.full(self.rows.shape, -1)
+        with np.errstate(over="ignore"):
+            seeded = ((self.rows ^ (self.number.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))[:, None]) * np.uint64(0x9E3779B97F4A7C15))[counts]
+        _, numbers[counts], times = np.unique(seeded, return_inverse=True, return_counts=True)
+        owners = np.nonzero(counts)[0][np.argsort(numbers[counts], kind="stable")]
+        starts = np.concatenate(([0], np.cumsum(times)))
+        rarity = np.where(counts, np.append(times, 0)[numbers], 0)
+        place_of = np.full(len(times) + 1, -1, dtype=np.int16)  # the last one stands for no shingle
+        spare = IN_PARAGRAPH - least_common(self.clusters.similarity) + 1
+
+        def join_all(ones: np.ndarray, one: np.ndarray, other: np.ndarray) -> None:
+            """Pairs of ``ones``, one kind of each group, sorted; few of a kind first, as they may settle the others."""
+            row, at = np.nonzero(counts[ones])
+            own = numbers[ones[row], at]
+            place_of[own[::-1]] = at[::-1]  # of a shingle that repeats, its first place
+            rank = np.arange(len(one)) - np.searchsorted(one, one)
+            low, step = 0, STEP_LINKED
+            while (rank >= low).any():
+                (some,) = np.nonzero((rank >= low) & (rank < low + step))
+                for at in range(0, len(some), STEP_PAIRS):
+                    part = some[at : at + STEP_PAIRS]
+                    part = part[self.open(one[part], other[part])]
+                    if len(part):
+                        self.join(one[part], other[part], place_of[numbers[other[part]]], place_of[numbers[one[part]]])
+                low, step = low + step, 4 * step
+            place_of[own] = -1
+
+        rank = np.lexsort((np.arange(len(self.group)), -self.sizes, self.number))
+        leaders = rank[self.edges[:-1]]
+        leader = leaders[self.number]
+        others = np.flatnonzero(leader != np.arange(len(leader)))
+        join_all(leaders, leader[others], others)
+        place = np.arange(len(self.number)) - self.edges[self.number]
+        for turn in range(int(sizes.max()) - 1):
+            ones = self.edges[:-1][sizes > turn + 1] + turn
+            ones = ones[ones != leaders[self.number[ones]]]
+            for at in range(0, len(ones), STEP_PAIRS):
+                some = ones[at : at + STEP_PAIRS]
+                windows = np.lib.stride_tricks.sliding_window_view(rarity[some], IN_PARAGRAPH, axis=1)
+                rarest = np.argpartition(windows, spare - 1, axis=2)[:, :, :spare] + np.arange(windows.shape[1])[None, :, None]
+                row, usable = np.nonzero(moving_sum(counts[some], IN_PARAGRAPH) >= IN_PARAGRAPH - spare + 1)
+                marks = np.zeros((len(some), counts.shape[1]), dtype=bool)
+                marks[np.repeat(row, spare), rarest[row, usable].ravel()] = True
+                row, spot = np.nonzero(marks & counts[some])
+                keys = np.unique(numbers[some[row], spot])
+                length = times[keys]
+                first = np.repeat(starts[keys] - np.concatenate(([0], np.cumsum(length)[:-1])), length)
+                other = np.unique(owners[first + np.arange(int(length.sum()))])
+                # a pair is looked at from the first of the two
+                other = other[(place[other] > turn) & (leader[other] != other)]
+                one = self.edges[self.number[other]] + turn
+                left = self.open(one, other)
+                join_all(some, one[left], other[left])
 
     def finish(self) -> None:
         """Give the kinds' results to their members."""
@@ -399,7 +523,7 @@ def compared(groups: np.ndarray, docs: np.ndarray, rows: np.ndarray, similarity:
     return clusters
 
 
-def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
+def verified(occurrences: DataFrame, similarity: float, rows: int) -> DataFrame:
     """``key, doc, place, first, last, leader_doc, leader_place, part`` of occurrences; those of a (key, part) are compared."""
     import pyarrow as pa
 
@@ -433,7 +557,7 @@ def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
             for n, column in zip(held, batch.columns, strict=True):
                 held[n] += column.to_pylist()
             n = len(held["key"])
-            if n > 5_000:
+            if n > TASK_ROWS:
                 tail = n - 1
                 while tail and held["key"][tail - 1] == held["key"][n - 1] and held["part"][tail - 1] == held["part"][n - 1]:
                     tail -= 1
@@ -451,7 +575,10 @@ def verified(occurrences: DataFrame, similarity: float) -> DataFrame:
         for out in run(batches):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in fields], schema=fields)
 
-    dealt = occurrences.select("key", "part", *names[1:]).repartition("key", "part").sortWithinPartitions("key", "part", "doc", "place")
+    # so many parts that no task has much more than TASK_ROWS rows but for one group; its work is not that of its bytes
+    parts = max(int(occurrences.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+    dealt = occurrences.select("key", "part", *names[1:]).repartition(parts, "key", "part")
+    dealt = dealt.sortWithinPartitions("key", "part", "doc", "place")
     return dealt.mapInArrow(task, schema)
 
 
@@ -518,7 +645,8 @@ def hot_stretches(rows: DataFrame, similarity: float, group_limit: int) -> tuple
     met = F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda b: (b != F.col("block")) | (F.col("blocks") == 1))
     parts = F.transform(met, lambda b: F.least(b, F.col("block")) * F.col("blocks") + F.greatest(b, F.col("block")))
     dealt = some.join(blocks, "key").withColumn("block", own).withColumn("part", F.explode(parts))
-    found = verified(dealt, similarity).join(some.select("key", "doc", "place", "kind"), ["key", "doc", "place"])
+    dealt = materialise(dealt, "hot-dealt")
+    found = verified(dealt, similarity, dealt.count()).join(some.select("key", "doc", "place", "kind"), ["key", "doc", "place"])
     found = found.select("key", "kind", (F.col("first") - F.col("place")).alias("low"), (F.col("last") - F.col("place")).alias("high"), cluster_id().alias("cluster"))
     found = materialise(found, "hot-found")
     widest = found.groupBy("key", "kind").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("cluster").alias("cluster"))
@@ -560,7 +688,8 @@ def stretches(sketched: DataFrame, firsts: DataFrame, similarity: float, group_l
     joined = at.join(firsts.select("doc"), "doc", "left_semi").join(sketched.select("doc", "words"), "doc").select("doc", "spots", "words")
     rows = map_slices(joined, make, "key long, size long, doc long, place int, around binary")
     hot = F.col("size") >= group_limit
-    found = materialise(verified(rows.where(~hot).withColumn("part", F.lit(0).cast("long")), similarity), "stretches")
+    total = shared.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    found = materialise(verified(rows.where(~hot).withColumn("part", F.lit(0).cast("long")), similarity, total), "stretches")
     own = found.select("doc", "first", "last", cluster_id().alias("cluster"))
     if shared.where(hot).isEmpty():
         return own, None
