@@ -1,6 +1,13 @@
 """What a query shuffles, and how its plan grows, where a larger table would not fit."""
 
+import itertools
+import re
+
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
+from tidecast.operators.quality import drop_all_null
+from tidecast.workload import views as v
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,3 +18,34 @@ def test_distinct_keys_are_counted_without_a_sketch_for_every_key(spark, plan_of
     # the sketch is merged from one row a task; no aggregate by key carries it
     by_key = [line for line in plan.splitlines() if "Aggregate(keys=[l_" in line]
     assert by_key and not any("approx_count_distinct" in line for line in by_key)
+
+
+def below(plan: str, start: str) -> str:
+    """The lines of a plan tree under the first one with ``start``."""
+    lines = plan.splitlines()
+    first = next(i for i, line in enumerate(lines) if start in line)
+    depth = lines[first].index(start)
+    under = itertools.takewhile(lambda line: re.match(r"[\s:+-]*", line).end() > depth, lines[first + 1 :])
+    return "\n".join(under)
+
+
+def test_lines_are_not_dealt_by_customer(spark):
+    plan = v.trips(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in below(plan, "Join Inner, (o_custkey")
+
+
+def test_cleaning_reads_lines_from_the_start_on(spark, plan_of):
+    plan = plan_of(entry.queries()["dq_clean_trips"](spark, SF))
+    assert "GreaterThanOrEqual(l_shipdate,1996-01-01T00:00" in plan
+
+
+def test_empty_columns_are_found_without_the_whole_table(spark):
+    """A row beyond the few given ones fails when it is read; null and absent columns take no look at it."""
+    df = spark.range(100).select(
+        "id", F.when(F.col("id") < 5, F.col("id")).otherwise(F.raise_error(F.lit("read")).cast("long")).alias("x"), F.lit(None).cast("double").alias("e")
+    )
+    assert drop_all_null(df, few=df.where("id < 5")).columns == ["id", "x"]
+    whole = spark.createDataFrame([(1, None, None), (2, 3.0, None)], "a int, b double, c double")
+    assert drop_all_null(whole, few=whole.where("a = 1")).columns == ["a", "b"]
+    assert drop_all_null(whole, few=whole.select("a")).columns == ["a", "b"]
+    assert drop_all_null(whole.where("a > 5")).columns == []

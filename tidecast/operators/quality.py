@@ -68,20 +68,29 @@ def normalise_nan(df: DataFrame) -> DataFrame:
 
 
 # -- funnel -------------------------------------------------------------------
+def rules_passed(rules: Sequence[Rule], then: Column | int = 0) -> Column:
+    """Number of ordered rules that a row passes before the first one it fails; ``then`` more if it fails none."""
+    passes = F.lit(len(rules)) + then
+    for i, (_, rule) in reversed(list(enumerate(rules))):
+        passes = F.when(F.coalesce(rule, F.lit(False)), passes).otherwise(F.lit(i))
+    return passes
+
+
 def quality_funnel(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows left after each ordered rule, and the share of all rows, in one scan.
 
     Result: ``(step, rule, rows, retention_pct)`` with step 0 for the input.
     """
-    # number of rules a row passes before the first one it fails, evaluated once per row
-    passes = F.lit(len(rules))
-    for i, (_, rule) in reversed(list(enumerate(rules))):
-        passes = F.when(F.coalesce(rule, F.lit(False)), passes).otherwise(F.lit(i))
+    return funnel_of(df, rules_passed(rules), [name for name, _ in rules])
+
+
+def funnel_of(df: DataFrame, passes: Column, names: Sequence[str]) -> DataFrame:
+    """:func:`quality_funnel` of rows whose number of passed rules is known."""
     per_stop = df.select(passes.alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
     counts = per_stop.agg(
         *[
             F.coalesce(F.sum(F.when(F.col("p") >= i, F.col("n"))), F.lit(0)).alias(f"r{i}")
-            for i in range(len(rules) + 1)
+            for i in range(len(names) + 1)
         ]
     )
     steps = [
@@ -90,7 +99,7 @@ def quality_funnel(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             F.lit(name).alias("rule"),
             F.col(f"r{i}").alias("rows"),
         )
-        for i, name in enumerate(["input", *[name for name, _ in rules]])
+        for i, name in enumerate(["input", *names])
     ]
     return counts.select("r0", F.explode(F.array(*steps)).alias("s")).select(
         "s.step",
@@ -132,19 +141,28 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
-def drop_all_null(df: DataFrame, probe_rows: int = 1000) -> DataFrame:
+def drop_all_null(df: DataFrame, probe_rows: int = 1000, few: DataFrame | None = None) -> DataFrame:
     """Drop columns without a single value.
 
     The schema depends on the data, so this runs here: most columns show a value in a few rows, and only
-    the others are counted in the whole table, in a scan of these columns alone.
+    the others are looked for in the whole table, in a scan of these columns alone. ``few`` may give any rows
+    of ``df`` that cost less than its first ones, which take all of its joins; columns it lacks are looked for
+    in the whole table.
     """
 
     def without_value(frame: DataFrame, columns: list[str]) -> list[str]:
         counts = frame.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first()
         return [c for c in columns if counts[c] == 0]
 
-    unseen = without_value(df.limit(probe_rows), df.columns)
-    return df.drop(*without_value(df, unseen)) if unseen else df
+    few = df.limit(probe_rows) if few is None else few
+    seen = [c for c in df.columns if c in few.columns]
+    empty = set(without_value(few, seen) if seen else [])
+    unseen = [c for c in df.columns if c in empty or c not in seen]
+    if not unseen:
+        return df
+    # rows without any of them are left out first: a column that is null by its expression then reads nothing
+    some = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in unseen])
+    return df.drop(*without_value(df.select(*unseen).where(some), unseen))
 
 
 # -- imputation ---------------------------------------------------------------

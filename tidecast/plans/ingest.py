@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +19,11 @@ from tidecast.operators.quality import (
     apply_rules,
     between_ts,
     drop_all_null,
+    funnel_of,
     impute_median,
     mark_either_in,
     normalise_nan,
-    quality_funnel,
+    rules_passed,
 )
 from tidecast.sources.contracts import downcast
 
@@ -79,7 +80,8 @@ def value_rules(c: Mapping[str, str]) -> list[tuple[str, Column]]:
 def _prepare(trips, zones, zone_key, c, start, end, closed, exact):
     either = [c["pickup_zone"], c["dropoff_zone"]]
     marked = mark_either_in(normalise_nan(trips), either, zones, zone_key, "__zone_ok")
-    basis = apply_rules(marked, row_rules(c, start, end, closed))
+    # a drop-off after a pick-up is after the start, too: known before the sides of a join meet
+    basis = apply_rules(marked.where(F.col(c["dropoff"]) >= start), row_rules(c, start, end, closed))
     imputed = [c[role] for role in IMPUTED]
 
     def fill(df):
@@ -99,18 +101,19 @@ def clean_trips(
     exact_medians: bool = True,
     drop_empty: bool = False,
     narrow: Mapping[str, str] | None = None,
+    few: DataFrame | None = None,
 ) -> DataFrame:
     """Rows that satisfy every rule, with NULLs imputed by medians of the rows that
     satisfy the rules before imputation.
 
     Trips are read twice, for the medians and for the result, and nothing runs before the query does.
     ``drop_empty`` drops columns without a single value, for which it looks at the data (see
-    :func:`drop_all_null`); ``narrow`` casts columns to smaller types, after imputation and before the
+    :func:`drop_all_null`, also for ``few``); ``narrow`` casts columns to smaller types, after imputation and before the
     range rules.
     """
     c = columns
     if drop_empty:
-        trips = drop_all_null(trips)
+        trips = drop_all_null(trips, few=few)
     _, basis, fill = _prepare(trips, zones, zone_key, c, start, end, closed, exact_medians)
     filled = fill(basis)
     filled = downcast(filled, narrow) if narrow else filled
@@ -126,8 +129,16 @@ def cleaning_funnel(
     columns: Mapping[str, str] = TRIP_COLUMNS,
     closed: str = "both",
     exact_medians: bool = True,
+    complete: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Rows left after each rule of :func:`clean_trips`, counted in one pass."""
-    c = columns
-    marked, _, fill = _prepare(trips, zones, zone_key, c, start, end, closed, exact_medians)
-    return quality_funnel(fill(marked), row_rules(c, start, end, closed) + value_rules(c))
+    """Rows left after each rule of :func:`clean_trips`, counted in one pass.
+
+    The rules on values become one number a row before anything is joined. Where pick-up or zones come from a
+    large join, ``trips`` may lack them and ``complete`` joins them: it then deals that number, not the values.
+    """
+    c, whole = columns, complete or (lambda df: df)
+    _, _, fill = _prepare(whole(trips), zones, zone_key, c, start, end, closed, exact_medians)
+    before, after = row_rules(c, start, end, closed), value_rules(c)
+    numbered = whole(fill(normalise_nan(trips)).withColumn("__values_passed", rules_passed(after)))
+    marked = mark_either_in(numbered, [c["pickup_zone"], c["dropoff_zone"]], zones, zone_key, "__zone_ok")
+    return funnel_of(marked, rules_passed(before, F.col("__values_passed")), [name for name, _ in before + after])

@@ -394,7 +394,7 @@ def dq_clean_trips(spark, sf):
     trips = v.trips(spark, sf).withColumn("airport_fee", F.lit(None).cast("double"))
     return clean_trips(
         trips, v.home_zones(spark, sf), "LocationID", ntz(TRIP_START), ntz(TRIP_END), v.TRIP_ROLES,
-        drop_empty=True, narrow={"passenger_count": "float", "trip_distance": "float"},
+        drop_empty=True, narrow={"passenger_count": "float", "trip_distance": "float"}, few=v.trips(spark, sf, 1000),
     )
 
 

@@ -5,7 +5,7 @@ They are defined once more, independently, in ``oracle_views`` as SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.scalars import json_number
@@ -84,27 +84,13 @@ def pickups(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def trips(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines as trips between customer and supplier zones, with missing measures."""
-    li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    c, s = table(spark, sf, "customer"), table(spark, sf, "supplier")
-    joined = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-    )
+def _trip_values() -> list[Column]:
+    """What an order line alone gives of a trip; every 5th to 19th part lacks a measure."""
 
     def gap(n, value):
         return F.when(F.col("l_partkey") % n != 0, value)
 
-    return joined.select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        F.col("o_orderdate").alias("pickup_ts"),
-        F.col("l_shipdate").alias("dropoff_ts"),
-        F.col("c_nationkey").alias("pu_zone"),
-        F.col("s_nationkey").alias("do_zone"),
+    return [
         (1 + F.col("l_suppkey") % 3).cast("int").alias("vendor_id"),
         F.col("l_linenumber").alias("rate_code"),
         (1 + F.col("l_partkey") % 7).cast("int").alias("payment_type"),
@@ -116,9 +102,51 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
         gap(19, F.col("l_extendedprice") / 100 + F.col("l_discount") * 100).alias("total_amount"),
         gap(5, F.lit(2.5)).alias("congestion_surcharge"),
         F.col("l_returnflag").alias("store_and_fwd_flag"),
+    ]
+
+
+def _supplied_lines(spark: SparkSession, sf: str, lines: int | None = None) -> DataFrame:
+    li, s = table(spark, sf, "lineitem"), table(spark, sf, "supplier")
+    li = li if lines is None else li.limit(lines)
+    return li.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+def _placed_orders(spark: SparkSession, sf: str) -> DataFrame:
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    placed = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return placed.select("o_orderkey", F.col("o_orderdate").alias("pickup_ts"), F.col("c_nationkey").alias("pu_zone"))
+
+
+def trips(spark: SparkSession, sf: str, lines: int | None = None) -> DataFrame:
+    """Order lines as trips between customer and supplier zones, with missing measures; all, or those of a few ``lines``.
+
+    Orders find their customer and lines their supplier before the two meet, so that lines, the largest table, are
+    dealt by one key only, however large the dimensions are.
+    """
+    joined = _supplied_lines(spark, sf, lines).join(_placed_orders(spark, sf), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "pickup_ts",
+        F.col("l_shipdate").alias("dropoff_ts"),
+        "pu_zone",
+        F.col("s_nationkey").alias("do_zone"),
+        *_trip_values(),
+    )
+
+
+def trip_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`trips` before they know their pick-up."""
+    return _supplied_lines(spark, sf).select(
+        "l_orderkey", F.col("l_shipdate").alias("dropoff_ts"), F.col("s_nationkey").alias("do_zone"), *_trip_values()
     )
 
 
+def with_pickup(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
+    return lines.join(_placed_orders(spark, sf), F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+
+
 def observations(spark: SparkSession, sf: str) -> DataFrame:
     """Events as weather observations: irregular, with missing values and free text."""
     e = table(spark, sf, "events")
