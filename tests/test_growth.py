@@ -39,6 +39,14 @@ def test_cleaning_reads_lines_from_the_start_on(spark, plan_of):
     assert "GreaterThanOrEqual(l_shipdate,1996-01-01T00:00" in plan
 
 
+def test_funnel_deals_one_number_instead_of_values(spark):
+    plan = entry.queries()["dq_funnel"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    meeting = below(plan, "Join Inner, (l_orderkey")
+    assert "__values_passed" in meeting
+    dealt = next(line for line in meeting.splitlines() if "Project [" in line)
+    assert "l_extendedprice" not in dealt.split("CASE")[0] and "store_and_fwd_flag" not in dealt
+
+
 def test_empty_columns_are_found_without_the_whole_table(spark):
     """A row beyond the few given ones fails when it is read; null and absent columns take no look at it."""
     df = spark.range(100).select(

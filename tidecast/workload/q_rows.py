@@ -380,7 +380,8 @@ def _funnel_sql() -> str:
 @query("dq_funnel", _funnel_sql())
 def dq_funnel(spark, sf):
     return cleaning_funnel(
-        v.trips(spark, sf), v.home_zones(spark, sf), "LocationID", ntz(TRIP_START), ntz(TRIP_END), v.TRIP_ROLES
+        v.trip_lines(spark, sf), v.home_zones(spark, sf), "LocationID", ntz(TRIP_START), ntz(TRIP_END), v.TRIP_ROLES,
+        complete=lambda lines: v.with_pickup(spark, sf, lines),
     )
 
 
