@@ -6,7 +6,10 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tidecast.names import HOUR, TARGET, ZONE
 from tidecast.operators.quality import drop_all_null
+from tidecast.sources.contracts import DATASET_FEATURES
+from tidecast.workload import q_learning
 from tidecast.workload import views as v
 
 SF = "/root/testdata/sf0.001"
@@ -57,3 +60,13 @@ def test_empty_columns_are_found_without_the_whole_table(spark):
     assert drop_all_null(whole, few=whole.where("a = 1")).columns == ["a", "b"]
     assert drop_all_null(whole, few=whole.select("a")).columns == ["a", "b"]
     assert drop_all_null(whole.where("a > 5")).columns == []
+
+
+def test_later_hours_add_no_partition_to_the_training_side(spark, monkeypatch):
+    hour = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))
+    values = [F.lit(1.0).alias(c) for c in [*DATASET_FEATURES, TARGET]]
+    rows = spark.range(60_000, numPartitions=8).select("id", hour.alias(HOUR), F.lit(1).alias(ZONE), *values)
+    monkeypatch.setattr(v, "dataset", lambda *_: rows)
+    train, test = q_learning._vectors(spark, SF)
+    assert (train.count(), test.count()) == (22 * 24, 60_000 - 22 * 24)
+    assert train.rdd.getNumPartitions() == 1

@@ -29,18 +29,26 @@ SCORES = ("mae", "mse", "rmse", "r2")
 SETTINGS: dict = {}
 #: The registered searches try all published sets on all folds with this share of the published numbers of trees.
 SEARCH_TREES, RANDOM_TREES = 1 / 20, 1 / 40
+#: Training rows per partition where a pool grows deep forests: a task holds and sends the statistics of all nodes of
+#: a level, however few of their rows it has, and the pool keeps the cores busy.
+DEEP_ROWS = 20_000
 
 
 def _sides(spark, sf):
     return feat.split_by_time(v.dataset(spark, sf), ntz(CUT))
 
 
-def _vectors(spark, sf):
-    """(train, test) feature vectors of the dataset, written once."""
+def _vectors(spark, sf, rows_per_partition: int = training.ROWS_PER_PARTITION):
+    """(train, test) feature vectors of the dataset, each side written once.
+
+    The training side has partitions for its own rows: later hours add none, so neither do they add tasks to the
+    many small jobs of a fit.
+    """
     data = v.dataset(spark, sf).select(HOUR, ZONE, *DATASET_FEATURES, TARGET)
     data = data.withColumns({c: F.col(c).cast("double") for c in [*DATASET_FEATURES, TARGET]})
-    saved = materialise(training.few_partitions(data), "learning")
-    return feat.split_by_time(models.assembler(DATASET_FEATURES).transform(saved), ntz(CUT))
+    train, test = feat.split_by_time(materialise(data, "learning"), ntz(CUT))
+    train = materialise(training.few_partitions(train, rows_per_partition), "learning-train")
+    return tuple(models.assembler(DATASET_FEATURES).transform(side) for side in (train, test))
 
 
 @query(
@@ -267,7 +275,7 @@ def ml_two_stage_grid(spark, sf):
 )
 def ml_random_search(spark, sf):
     """Ten draws from the published space of forests (depths up to MLlib's 30) on three shuffled folds."""
-    train, _ = _vectors(spark, sf)
+    train, _ = _vectors(spark, sf, DEEP_ROWS)
     forest = models.forest()
     numbers = [max(1, round(n * SETTINGS.get("random", RANDOM_TREES))) for n in range(200, 2001, 200)]
     space = {
