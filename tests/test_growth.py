@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tidecast.names import HOUR, TARGET, ZONE
 from tidecast.operators.quality import drop_all_null
+from tidecast.plans import training
 from tidecast.sources.contracts import DATASET_FEATURES
 from tidecast.workload import q_learning
 from tidecast.workload import views as v
@@ -70,3 +71,22 @@ def test_later_hours_add_no_partition_to_the_training_side(spark, monkeypatch):
     train, test = q_learning._vectors(spark, SF)
     assert (train.count(), test.count()) == (22 * 24, 60_000 - 22 * 24)
     assert train.rdd.getNumPartitions() == 1
+
+
+def test_a_search_trains_on_few_partitions_and_is_logged_at_once(spark, monkeypatch, tmp_path):
+    hour = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))
+    rows = spark.range(12_000).select(hour.alias(HOUR), F.lit(1).alias("zone"), (F.col("id") % 24).alias("x"), (F.col("id") % 7).alias(TARGET))
+    seen, search = [], training.searched
+
+    def watched(estimator, vectors, *rest):
+        seen.append(vectors.rdd.getNumPartitions())
+        return search(estimator, vectors, *rest)
+
+    monkeypatch.setattr(training, "searched", watched)
+    sets = training.Search([{"maxIter": 1, "maxDepth": d} for d in (1, 2, 3)])
+    cut = F.lit("2024-12-31").cast("timestamp_ntz")
+    training.train(rows, ["x"], cut, str(tmp_path), "m", search=sets, n_folds=2)
+    assert seen == [1]
+    files = list((tmp_path / "runs").glob("part-*.parquet"))
+    assert len({re.sub(r"^part-\d+-|-c\d+.*$", "", f.name) for f in files}) == 1
+    assert spark.read.parquet(str(tmp_path / "runs")).select("run_id").distinct().count() == 3

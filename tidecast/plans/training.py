@@ -22,6 +22,9 @@ from tidecast.sources.storage import materialise
 
 #: Rows of the training table per partition: below it, a tree level costs more in tasks than in rows.
 ROWS_PER_PARTITION = 5_000
+#: The same where a pool of fits keeps the cores busy: a task holds and sends the statistics of all nodes of a level,
+#: however few of their rows it has.
+POOLED_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -135,7 +138,7 @@ def train(
     vectors = models.checked_matrix(folds, features).select(models.FEATURES, TARGET, "fold")
     estimator = estimator or models.gbt_absolute()
     search = search or published_searches()["absolute"]
-    vectors = few_partitions(vectors)
+    vectors = few_partitions(vectors, POOLED_ROWS)
     vectors.persist()
     try:
         best, trials, params = searched(estimator, vectors, search, n_folds, parallelism)
@@ -158,14 +161,11 @@ def train(
         sides["train"]["n"],
     )
     writers.write_model_metadata(metadata, f"{root}/metadata/{name}/{version}")
-    for i, trial in enumerate(trials):
-        entries = {
-            "param": trial.params,
-            "metric": {"cv_mae_mean": trial.cv_mae_mean, "cv_mae_std": trial.cv_mae_std},
-        }
-        writers.log_run(
-            writers.run_rows(spark, f"{name}-{created}-{i}", entries, created, f"{name}-{created}"), f"{root}/runs"
-        )
+    runs = {
+        f"{name}-{created}-{i}": {"param": trial.params, "metric": {"cv_mae_mean": trial.cv_mae_mean, "cv_mae_std": trial.cv_mae_std}}
+        for i, trial in enumerate(trials)
+    }
+    writers.log_run(writers.runs_rows(spark, runs, created, f"{name}-{created}"), f"{root}/runs")
     return TrainingResult(model, version, best, trials, metrics, metadata)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,8 +109,16 @@ def run_rows(
     parent_run_id: str | None = None,
 ) -> DataFrame:
     """Log rows of one run from ``{kind: {key: value}}`` (kind: param, metric, artefact)."""
+    return runs_rows(spark, {run_id: entries}, logged_at, parent_run_id)
+
+
+def runs_rows(
+    spark: SparkSession, runs: Mapping[str, dict[str, dict[str, object]]], logged_at: int, parent_run_id: str | None = None
+) -> DataFrame:
+    """:func:`run_rows` of several runs, so that a search is logged by one write."""
     rows = [
         (run_id, parent_run_id, kind, key, str(value), logged_at)
+        for run_id, entries in runs.items()
         for kind, pairs in entries.items()
         for key, value in pairs.items()
     ]

@@ -29,9 +29,6 @@ SCORES = ("mae", "mse", "rmse", "r2")
 SETTINGS: dict = {}
 #: The registered searches try all published sets on all folds with this share of the published numbers of trees.
 SEARCH_TREES, RANDOM_TREES = 1 / 20, 1 / 40
-#: Training rows per partition where a pool grows deep forests: a task holds and sends the statistics of all nodes of
-#: a level, however few of their rows it has, and the pool keeps the cores busy.
-DEEP_ROWS = 20_000
 
 
 def _sides(spark, sf):
@@ -275,7 +272,7 @@ def ml_two_stage_grid(spark, sf):
 )
 def ml_random_search(spark, sf):
     """Ten draws from the published space of forests (depths up to MLlib's 30) on three shuffled folds."""
-    train, _ = _vectors(spark, sf, DEEP_ROWS)
+    train, _ = _vectors(spark, sf, training.POOLED_ROWS)
     forest = models.forest()
     numbers = [max(1, round(n * SETTINGS.get("random", RANDOM_TREES))) for n in range(200, 2001, 200)]
     space = {
