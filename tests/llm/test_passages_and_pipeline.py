@@ -248,3 +248,61 @@ def test_hot_shingles_lose_no_pair_and_no_task_holds_them_all(make_docs, monkeyp
     few = spans(6)
     assert few == spans(20_000)
     assert {r[0]: r[3] for r in few} == {**{i: 0 for i in range(31)}, **{40 + i: 40 + i // 2 * 2 for i in range(20)}}
+
+
+def test_a_word_that_goes_on_repeating_gives_no_key_for_every_place(make_docs):
+    rows = [(1, "the " * 5000), (2, " ".join(["a", "b", "c"] * 1500)), (3, " ".join(prose(1, 400)))]
+    keys = {r.doc: len(r["keys"]) for r in passages.sketches(make_docs(rows), passages.BANDS).collect()}
+    assert keys[1] <= 5000 / passages.IN_PARAGRAPH + 2 and keys[2] <= 3 * (4500 / 40 + 2) and keys[3] >= 400 / WORD
+
+
+def test_fewer_places_stand_in_the_same_paragraphs():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        shingles = rng.integers(0, 4, 400).astype(np.uint64)
+        places = np.flatnonzero(rng.random(400) < rng.choice([0.02, 0.2, 1]))
+        kept = passages.needed_places(shingles, places)
+        inside = lambda some: {(int(shingles[p]), s) for p in some.tolist() for s in range(p - passages.IN_PARAGRAPH + 1, p + 1)}
+        assert set(kept.tolist()) <= set(places.tolist()) and inside(kept) == inside(places)
+    assert passages.needed_places(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)).size == 0
+
+
+def passages_by(texts, places_of):
+    """Merged stretches as (doc, start, end, smallest doc of the component), and the number of occurrences."""
+    rows = []
+    for doc, words in enumerate(texts):
+        hashes = passages.word_hashes([w.encode() for w in words], {})
+        shingles = passages.shingle_hashes(hashes)
+        codes = np.maximum(hashes >> np.uint64(48), np.uint64(1)).astype("<u2")
+        rows += [(int(shingles[p]), doc, p, passages.around(codes, p)) for p in places_of(shingles, passages.least_positions(shingles, 2)).tolist()]
+    rows.sort()
+    groups = np.unique([r[0] for r in rows], return_inverse=True)[1]
+    found = passages.compared(groups, np.array([r[1] for r in rows]), np.frombuffer(b"".join(r[3] for r in rows), dtype="<u2").reshape(len(rows), -1), 0.8)
+    merged, links = [], []
+    spans = [(r[1], r[2] - passages.BEFORE + int(found.first[i]), r[2] - passages.BEFORE + int(found.last[i]), found.root(i)) for i, r in enumerate(rows) if found.last[i] >= 0]
+    for doc, a, b, root in sorted(spans):
+        if merged and merged[-1][0] == doc and a < merged[-1][2]:
+            merged[-1][2] = max(b, merged[-1][2])
+        else:
+            merged.append([doc, a, b])
+        links.append((len(merged) - 1, root + 10**6))
+    root = components_of({n for link in links for n in link}, links)
+    return [(*m, merged[root[i]][0]) for i, m in enumerate(merged)], len(rows)
+
+
+def test_fewer_places_find_the_same_passages():
+    rng = random.Random(8)
+    pool = [prose(30 + i, rng.randrange(20, 90)) for i in range(6)]
+    runs = lambda: rng.choice([["the"], ["la", "li"], ["x", "y", "z", "x"], pool[0][:17]]) * rng.randrange(3, 90)
+    for _ in range(4):
+        texts = []
+        for i in range(14):
+            words = prose(rng.random(), rng.randrange(30))
+            for _ in range(4):
+                words += rng.choice([runs, lambda: rng.choice(pool), lambda: prose(rng.random(), 25)])()
+            if i % 3 == 0:
+                words[len(words) // 2 : len(words) // 2] = ["put", "in"]
+            texts.append((words + prose(rng.random(), 60))[: rng.randrange(60, 900)])
+        every, before = passages_by(texts, lambda shingles, places: places)
+        fewer, after = passages_by(texts, passages.needed_places)
+        assert fewer == every and len(every) > 5 and after < 0.5 * before

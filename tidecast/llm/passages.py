@@ -3,7 +3,8 @@
 A paragraph is any stretch of WORDS words of a text (texts have no reliable paragraph breaks, and
 a passage may stand in the middle of a line). Its MinHash under each of BANDS random orders is the
 least of its word shingles. Neighbouring paragraphs mostly share their least shingle, so a text
-gives about two for every WORDS words and order: the band keys. With one shingle a band, two
+gives about two for every WORDS words and order: the band keys. Of a shingle that a text repeats at
+short distance, only as many places are kept as its paragraphs need. With one shingle a band, two
 paragraphs of similarity s meet with probability 1 - (1 - s)^BANDS: 0.96 at 0.8 for two bands, and
 always if they are equal.
 
@@ -16,6 +17,8 @@ linked over documents form components; one document keeps the passage.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -85,6 +88,27 @@ def least_positions(shingles: np.ndarray, bands: int) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
+def needed_places(shingles: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Of the places of each shingle as few as are inside all the paragraphs that the others are inside of.
+
+    A word or line that goes on repeating has the same shingle at every place or every few, and each would be
+    compared with all of another text. Its paragraphs are what is compared, so one place for every paragraph's
+    width does.
+    """
+    order = np.argsort(shingles[places], kind="stable")
+    keys, at = shingles[places][order], places[order]
+    near = (keys[1:] == keys[:-1]) & (at[1:] - at[:-1] <= IN_PARAGRAPH)
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], near, [0]))))
+    keep = np.ones(len(at), dtype=bool)
+    for low, high in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        run, now = at[low : high + 1].tolist(), 0
+        while now < len(run) - 1:
+            after = bisect_right(run, run[now] + IN_PARAGRAPH) - 1
+            keep[low + now + 1 : low + after] = False
+            now = after
+    return np.sort(at[keep])
+
+
 def sketches(docs: DataFrame, bands: int) -> DataFrame:
     """``doc, text_key, n_words, keys, places, words`` of each row: band keys, where they are, 16 bits a word."""
 
@@ -99,7 +123,7 @@ def sketches(docs: DataFrame, bands: int) -> DataFrame:
                     continue
                 hashes = word_hashes(words, known)
                 shingles = shingle_hashes(hashes)
-                places = least_positions(shingles, bands)
+                places = needed_places(shingles, least_positions(shingles, bands))
                 out["doc"].append(doc)
                 out["text_key"].append(key)
                 out["n_words"].append(len(words))
