@@ -12,6 +12,7 @@ from tidecast.operators.aggregates import regression_metrics
 from tidecast.operators.windows import assign_folds
 from tidecast.plans import training
 from tidecast.plans.features import add_calendar, next_hour_rows, series_dataset, split_by_time
+from tidecast.workload import q_learning
 
 START = dt.datetime(2024, 1, 1)
 FEATURES = ["hour_of_day", "is_weekend", "lag_1_ride_count", "lag_24_ride_count", "rolling_mean_3h"]
@@ -170,3 +171,25 @@ def test_other_estimators_are_searched_too(fold_vectors):
     forest = models.forest(numTrees=3)
     best, trials, params = validation.grid_search(forest, fold_vectors, [{forest.maxDepth: d} for d in (1, 4)], 2)
     assert params == {forest.maxDepth: 4} and best is trials[1]
+
+
+def test_pl_train_searches_all_published_trees(spark, monkeypatch):
+    seen = []
+
+    class Done(Exception):
+        pass
+
+    def watched(*_, search, n_folds, **__):
+        seen.append((search, n_folds))
+        if len(seen) == 2:
+            raise Done
+        empty = spark.createDataFrame([], "model_name string, training_data_size long, feature_count int, cross_validation struct<cv_folds:double>")
+        best = validation.Trial({}, 1.0, 0.0)
+        return training.TrainingResult(None, 1, best, [best], {}, empty)
+
+    monkeypatch.setattr(q_learning.v, "stored_dataset", lambda *_: None)
+    monkeypatch.setattr(q_learning.training, "train", watched)
+    with pytest.raises(Done):
+        q_learning.pl_train(spark, "")
+    published = training.published_searches()
+    assert seen == [(published["absolute"], 5), (published["leafmin"], 5)]

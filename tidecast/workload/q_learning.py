@@ -459,9 +459,9 @@ def pl_fare_model(spark, sf):
         FROM (VALUES ('demand_absolute', 'chronological', 21), ('demand_leafmin', 'positional', 32)) AS m(model_name, fold_mode, trials)""",
 )
 def pl_train(spark, sf):
-    """Both boosting variants over their published sets: SQL checks sizes, trials and the choice in the last stage."""
+    """Both boosting variants over their published sets, with all published trees: SQL checks sizes, trials and the choice in the last stage."""
     root, data = work_path(spark, "train"), v.stored_dataset(spark, sf)
-    searches, out = training.published_searches(SETTINGS.get("search", SEARCH_TREES / 2)), None
+    searches, out = training.published_searches(SETTINGS.get("search", 1.0)), None
     for name, make, mode, variant in (
         ("demand_absolute", models.gbt_absolute, "chronological", "absolute"), ("demand_leafmin", models.gbt_leafmin, "positional", "leafmin"),
     ):
