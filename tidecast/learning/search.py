@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.param import Param
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 
 from tidecast.functions.scalars import hash_fraction
+from tidecast.learning import growth
 from tidecast.names import TARGET
 
 
@@ -46,7 +49,9 @@ def random_search(
 ):
     """Fitted ``CrossValidatorModel`` over random parameter sets.
 
-    Folds come from a hash of the row key, so they are the same on every recomputation.
+    Folds come from a hash of the row key, so they are the same on every recomputation. Where tasks can hold the rows,
+    forests are grown by trees dealt to tasks (``growth``), so that neither their time nor the driver's memory is that of
+    a job and a table of statistics for every level of every tree.
     """
     fold = (hash_fraction(*keys, seed=seed) * n_folds).cast("int")
     cv = CrossValidator(
@@ -58,7 +63,29 @@ def random_search(
         parallelism=parallelism,
         seed=seed,
     )
-    return cv.fit(df.withColumn("__fold", fold))
+    dealt = df.withColumn("__fold", fold)
+    grid = cv.getEstimatorParamMaps()
+    if metric in ERRORS and isinstance(estimator, RandomForestRegressor) and growth.grows(estimator, dealt, grid):
+        return _grown(cv, dealt, grid, metric)
+    return cv.fit(dealt)
+
+
+#: Errors from the number of rows and their sums of squared and of absolute errors.
+ERRORS = {
+    "rmse": lambda n, squares, distances: math.sqrt(squares / n),
+    "mse": lambda n, squares, distances: squares / n,
+    "mae": lambda n, squares, distances: distances / n,
+}
+
+
+def _grown(cv: CrossValidator, df: DataFrame, grid: Sequence[dict], metric: str) -> CrossValidatorModel:
+    """What ``cv`` fits, with trees grown in tasks."""
+    errors = growth.forest_errors(cv.getEstimator(), df, grid, cv.getNumFolds(), cv.getFoldCol())
+    scores = [[ERRORS[metric](*fold) for fold in folds] for folds in errors]
+    means = [sum(s) / len(s) for s in scores]
+    spreads = [math.sqrt(sum((x - mean) ** 2 for x in s) / len(s)) for s, mean in zip(scores, means, strict=True)]
+    best = growth.forest(cv.getEstimator(), df, grid[means.index(min(means))])
+    return cv._copyValues(CrossValidatorModel(best, means, [], spreads))
 
 
 def split_random(df: DataFrame, keys: Sequence[str], train_share: float = 0.67, seed: int = 42):
