@@ -12,6 +12,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidecast.learning import growth
 from tidecast.names import TARGET
 from tidecast.operators.aggregates import regression_metrics
 from tidecast.sources.contracts import struct
@@ -83,7 +84,8 @@ def grid_trials(
     """Every parameter set scored on every expanding fold, in the order of ``grid``.
 
     Boosting adds trees one by one, so sets that differ only in the number of trees are one fit with the
-    most, scored at each number. All fits, of all sets and folds, share one pool of ``parallelism`` threads.
+    most, scored at each number. Where tasks can hold the rows, each boosted fit is a task (``growth``); else all
+    fits, of all sets and folds, share one pool of ``parallelism`` threads.
     """
     boosted = isinstance(estimator, GBTRegressor)
     fits: dict[tuple, list[int]] = {}
@@ -91,23 +93,30 @@ def grid_trials(
         rest = tuple(sorted((p.name, x) for p, x in params.items() if not (boosted and p.name == "maxIter")))
         fits.setdefault(rest, []).append(k)
 
+    def counts_of(sets: list[int]) -> list[int]:
+        return [grid[k].get(estimator.maxIter, estimator.getMaxIter()) for k in sets]
+
     def run(job: tuple[list[int], int]) -> list[float]:
         sets, fold = job
         test = df.where(F.col("fold") == fold)
         if not boosted:
             model = estimator.fit(df.where(F.col("fold") < fold), grid[sets[0]])
             return [regression_metrics(model.transform(test), TARGET, "prediction").first()["mae"]] * len(sets)
-        counts = [grid[k].get(estimator.maxIter, estimator.getMaxIter()) for k in sets]
+        counts = counts_of(sets)
         model = estimator.fit(df.where(F.col("fold") < fold), {**grid[sets[0]], estimator.maxIter: max(counts)})
         return staged_maes(model, test, counts)
 
-    jobs = [(sets, fold) for sets in fits.values() for fold in range(1, n_folds + 1)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scored = list(pool.map(run, jobs))
-    maes: dict[int, list[float]] = {}
-    for (sets, _), found in zip(jobs, scored, strict=True):
+    # the longest first
+    jobs = [(sets, fold) for fold in range(n_folds, 0, -1) for sets in fits.values()]
+    if boosted and growth.grows(estimator, df, grid):
+        scored = growth.boosted_scores(estimator, df, [(grid[sets[0]], counts_of(sets), fold) for sets, fold in jobs])
+    else:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            scored = list(pool.map(run, jobs))
+    maes: dict[int, list[float]] = {k: [0.0] * n_folds for k in range(len(grid))}
+    for (sets, fold), found in zip(jobs, scored, strict=True):
         for k, mae in zip(sets, found, strict=True):
-            maes.setdefault(k, []).append(mae)
+            maes[k][fold - 1] = mae
     trials = []
     for k, params in enumerate(grid):
         mean = sum(maes[k]) / n_folds
