@@ -1,4 +1,4 @@
-"""Model registry: saved pipelines plus one append-only version table."""
+"""Model registry: saved pipelines plus one append-only version table, a folder for each row."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from tidecast.sources.contracts import REGISTRY
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
     try:
-        return spark.read.schema(REGISTRY).parquet(f"{root}/versions")
+        return spark.read.schema(REGISTRY).option("recursiveFileLookup", "true").parquet(f"{root}/versions")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -37,7 +37,8 @@ def register(spark: SparkSession, root: str, name: str, model: PipelineModel, ru
     source = f"{root}/models/{name}/{version}"
     model.write().overwrite().save(source)
     row = spark.createDataFrame([(name, version, run_id, source, created, "READY")], REGISTRY)
-    row.write.mode("append").parquet(f"{root}/versions")
+    # a folder of its own: jobs that append to one folder at the same time remove each other's unfinished files
+    row.write.mode("append").parquet(f"{root}/versions/{name}/{version}")
     return version
 
 
